@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import ENVELOPE, LOG
 from topiclake.functions.hashing import SLOTS, java_hash, key_slot
@@ -50,7 +50,7 @@ def scan(
     return log.where(matches(pattern))
 
 
-def matches(pattern: str):
+def matches(pattern: str) -> Column:
     """Condition on ``topic``: regex over ``tenant/ns/name``, within the namespace the pattern names."""
     if not pattern.strip():
         raise ValueError("TopicsPattern is empty")
@@ -107,6 +107,13 @@ def key_range(readers: int, reader: int) -> tuple[int, int]:
     return start, start + part + (reader < rest) - 1
 
 
+def reader_of_slot(slot: Column, readers: int) -> Column:
+    """The reader whose range holds a slot."""
+    part, rest = divmod(SLOTS, readers)
+    large = rest * (part + 1)
+    return F.when(slot < large, F.floor(slot / (part + 1))).otherwise(rest + F.floor((slot - large) / part)).cast("int")
+
+
 def key_range_scan(m: DataFrame, readers: int, reader: int) -> DataFrame:
     """Messages whose key falls in the range of one reader; messages without key count as slot 0 of an empty key."""
     start, end = key_range(readers, reader)
