@@ -16,8 +16,10 @@ ROWS_PER_TASK_KEY = "topiclake.rowsPerTask"
 ROWS_PER_TASK = 2_000_000
 #: keys beyond this many hold less than 1/10000 of all rows each and need no slices
 MAX_HOT_KEYS = 10_000
-MAX_SLICES = 1024
-SAMPLES_PER_SLICE = 32
+MAX_SLICES = 4096
+SAMPLES_PER_SLICE = 200
+#: whole numbers below this are exact as DOUBLE, with room for a fraction of one half
+EXACT = 1 << 52
 
 
 def rows_per_task(df: DataFrame) -> int:
@@ -42,43 +44,40 @@ def hot_keys(df: DataFrame, keys: list[str]) -> dict[int, int]:
     return {row["h"]: row["count"] for row in counts.collect()}
 
 
-def _sortable(df: DataFrame, column: str) -> Column:
-    """An order column as a value whose Python form sorts the way Spark sorts it."""
+def _number(df: DataFrame, column: str) -> Column:
+    """An order column as a whole number that sorts the same way."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column)
     if isinstance(kind, T.TimestampNTZType):
         return F.unix_micros(F.col(column).cast("timestamp"))
     if isinstance(kind, T.DateType):
-        return F.unix_date(column)
+        return F.unix_date(column).cast("bigint")
     if isinstance(kind, T.IntegralType):
         return F.col(column).cast("bigint")
     raise TypeError(f"order column {column} must be an integer, date or timestamp, not {kind.simpleString()}")
 
 
-def _at_least(columns: list[Column], bound: tuple[int, ...]) -> Column:
-    """Lexicographic ``columns >= bound`` on plain numbers."""
-    head, value = columns[0], F.lit(bound[0]).cast("bigint")
-    if len(columns) == 1:
-        return head >= value
-    return (head > value) | ((head == value) & _at_least(columns[1:], bound[1:]))
+def _rank(df: DataFrame, order: list[str], ranges: list[tuple[int, int]]) -> Column:
+    """The order columns as one number that never falls along the order.
 
-
-def _slice_number(columns: list[Column], bounds: list[tuple[int, ...]], base: int = 0) -> Column:
-    """How many of the sorted bounds a row has reached, by binary search."""
-    if not bounds:
-        return F.lit(base)
-    middle = len(bounds) // 2
-    return F.when(
-        _at_least(columns, bounds[middle]), _slice_number(columns, bounds[middle + 1 :], base + middle + 1)
-    ).otherwise(_slice_number(columns, bounds[:middle], base))
+    Each column counts from its lowest value and the columns after it fill the space
+    between two of its values.  Where a column is too wide for that, the rest is left out.
+    """
+    rank = F.lit(0.0)
+    for column, (low, high) in reversed(list(zip(order, ranges))):
+        if high - low >= EXACT:
+            rank = F.lit(0.0)
+        step = (_number(df, column) - F.lit(low)).cast("double") + rank
+        rank = step / F.lit(float(high - low + 1))
+    return rank
 
 
-def hot_slices(df: DataFrame, keys: list[str], order: list[str]) -> Column | None:
-    """Slice of a row along ``order`` if its key is hot, -1 otherwise; None without hot keys.
+def add_slices(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame | None:
+    """Add ``_slice``: where a row of a hot key lies along ``order``, -1 for other keys.
 
-    Slice bounds are quantiles of a sample of the hot rows.  The sample only places the
-    bounds: any bounds give the same result.
+    None when there are no hot keys.  The bounds of slices are quantiles over a sample
+    of the hot rows; the sample only places the bounds, any bounds give the same result.
     """
     hot = hot_keys(df, keys)
     if not hot:
@@ -86,17 +85,23 @@ def hot_slices(df: DataFrame, keys: list[str], order: list[str]) -> Column | Non
     is_hot = F.xxhash64(*keys).isin(list(hot))
     rows = sum(hot.values())
     slices = min(MAX_SLICES, 2 * -(-rows // rows_per_task(df)))
-    step = max(1, rows // (slices * SAMPLES_PER_SLICE))
-    columns = [_sortable(df, c) for c in order]
-    sample = (
-        df.where(is_hot & (F.pmod(F.xxhash64(*keys, *order), F.lit(step)) == 0))
-        .select(*[c.alias(f"o{i}") for i, c in enumerate(columns)])
-        .limit(4 * slices * SAMPLES_PER_SLICE)
-        .collect()
-    )
-    points = sorted(tuple(row) for row in sample)
-    bounds = sorted({points[i * len(points) // slices] for i in range(1, slices)}) if points else []
-    return F.when(is_hot, _slice_number(columns, bounds)).otherwise(F.lit(-1))
+    numbers = [_number(df, c) for c in order]
+    extremes = df.where(is_hot).agg(*[f(n) for n in numbers for f in (F.min, F.max)]).first()
+    ranges = list(zip(extremes[::2], extremes[1::2]))
+    ranked = df.withColumn("_rank", F.when(is_hot, _rank(df, order, ranges)))
+    fraction = min(1.0, slices * SAMPLES_PER_SLICE / rows)
+    points = ranked.where(is_hot).select("_rank").sample(fraction, seed=1)
+    wanted = [i / slices for i in range(1, slices)]
+    bounds = sorted(set(points.approxQuantile("_rank", wanted, 1 / (4 * slices))))
+    if not bounds:
+        return df.withColumn("_slice", F.when(is_hot, 0).otherwise(-1))
+
+    from pyspark.ml.feature import Bucketizer
+
+    splits = [float("-inf"), *bounds, float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="_rank", outputCol="_bucket", handleInvalid="keep")
+    sliced = cut.transform(ranked).withColumn("_slice", F.when(is_hot, F.col("_bucket").cast("int")).otherwise(-1))
+    return sliced.drop("_rank", "_bucket")
 
 
 def last_before(
@@ -113,15 +118,15 @@ def last_before(
     ``order`` must not be NULL.  With ``backwards`` it is the next value instead of the last.
     """
     sort = [F.col(c).desc() if backwards else F.col(c).asc() for c in order]
-    slice_of = hot_slices(df, keys, order)
+    sliced = add_slices(df, keys, order)
     before = (Window.unboundedPreceding, -1)
-    if slice_of is None:
+    if sliced is None:
         window = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(*before)
         return df.withColumn(name, F.last(value, ignorenulls=True).over(window))
 
     if backwards:
-        slice_of = F.when(slice_of < 0, F.lit(-1)).otherwise(F.lit(MAX_SLICES) - slice_of)
-    rows = df.select("*", slice_of.alias("_slice"), value.alias("_value"))
+        sliced = sliced.withColumn("_slice", F.when(F.col("_slice") >= 0, F.lit(MAX_SLICES) - F.col("_slice")).otherwise(-1))
+    rows = sliced.withColumn("_value", value)
     order_by = F.struct(*order)
     pick = F.min_by if backwards else F.max_by
     # one row per hot key and slice: the last value of the slice, then that of the slices before it
