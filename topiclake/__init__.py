@@ -6,7 +6,7 @@ UTC throughout.
 
 from topiclake.envelope import ENVELOPE, as_envelope
 from topiclake.operators.assemble import assemble, extended, metadata, value_only, with_key_prefix
-from topiclake.operators.changelog import compact, decode_upsert, encode_upsert, latest, latest_as_of, normalize
+from topiclake.operators.changelog import compact, decode_upsert, encode_upsert, latest, latest_as_of, latest_table, normalize
 from topiclake.operators.decode import decode, encode, quarantine
 from topiclake.operators.eventtime import (
     audit,
@@ -49,7 +49,7 @@ __all__ = [
     "ENVELOPE", "as_envelope", "as_of_join", "as_of_join_stream", "assemble", "assign_partitions", "audit", "backlog",
     "compact", "decode", "decode_upsert", "discover_partitions", "drop_undecodable", "due", "encode", "encode_upsert",
     "extended", "from_starts", "gap_ranges", "guard_data_loss", "high_water", "intervals", "key_range_scan", "key_ranges",
-    "latest", "latest_as_of", "metadata", "normalize", "normalize_stream", "partition_watermark", "partitions", "positions",
+    "latest", "latest_as_of", "latest_table", "metadata", "normalize", "normalize_stream", "partition_watermark", "partitions", "positions",
     "quarantine", "read_log", "resolve_start", "route", "scan", "split_late", "stream_log", "to_messages", "topic_diff",
     "tumble", "until_marker", "upsert_messages", "value_only", "with_event_time", "with_key_prefix", "with_start", "write",
     "write_stream", "write_upsert", "write_upsert_stream",

@@ -64,7 +64,7 @@ def changelog_normalize(spark, folder):
     f"WITH {EV}, {LAST} SELECT user_id, event_type, value FROM ev JOIN last USING (user_id, event_id) WHERE NOT tombstone",
 )
 def materialize_latest(spark, folder):
-    return C.latest(changes(spark, folder), ["user_id"]).select("user_id", "event_type", "value")
+    return C.latest_table(events(spark, folder), {"user_id": user_id()}, DDL).select("user_id", "event_type", "value")
 
 
 @check(

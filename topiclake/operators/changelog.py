@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from topiclake.envelope import ENVELOPE, KEY_ORDER
 from topiclake.operators.decode import as_struct, decode
@@ -88,13 +88,19 @@ def latest(changes: DataFrame, pk: list[str], order: list[str] | None = None) ->
     An aggregate, so each task reduces its own rows first and a hot key costs nothing.
     """
     order = KEY_ORDER if order is None else order
-    rest = [c for c in changes.columns if c not in pk]
-    last = changes.groupBy(*pk).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
-    return (
-        last.where(~_deletes(F.col("_last.row_kind")))
-        .select(*pk, "_last.*")
-        .select(*[c for c in changes.columns if c != "row_kind"])
-    )
+    last = _last(changes, pk, order)
+    return last.where(~_deletes(F.col("row_kind"))).select(*[c for c in changes.columns if c != "row_kind"])
+
+
+def _last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The row of each key that is last in ``order``."""
+    rest = [c for c in rows.columns if c not in {*keys, *order}]
+    if any(isinstance(rows.schema[c].dataType, T.MapType) for c in rest):
+        # maps cannot be compared, so they cannot stand in the struct that is
+        newest = F.max_by(F.struct(*order, *rest), F.struct(*order))
+    else:
+        newest = F.max(F.struct(*order, *rest))
+    return rows.groupBy(*keys).agg(newest.alias("_last")).select(*keys, "_last.*")
 
 
 def latest_as_of(changes: DataFrame, pk: list[str], until: Column, order: list[str] | None = None) -> DataFrame:
@@ -104,15 +110,18 @@ def latest_as_of(changes: DataFrame, pk: list[str], until: Column, order: list[s
 
 def compact(m: DataFrame) -> DataFrame:
     """The last message of each key of a topic; deleted keys and messages without key are left out."""
-    rest = [c for c in ENVELOPE.names if c not in ("topic", "key")]
-    return (
-        m.where(F.col("key").isNotNull())
-        .groupBy("topic", "key")
-        .agg(F.max_by(F.struct(*rest), F.struct(*KEY_ORDER)).alias("_last"))
-        .where(F.coalesce(F.length("_last.value"), F.lit(0)) > 0)
-        .select("topic", "key", "_last.*")
-        .select(*ENVELOPE.names)
-    )
+    last = _last(m.where(F.col("key").isNotNull()), ["topic", "key"], KEY_ORDER)
+    return last.where(F.coalesce(F.length("value"), F.lit(0)) > 0).select(*ENVELOPE.names)
+
+
+def latest_table(m: DataFrame, pk: Mapping[str, Column], schema: str, *, fmt: str = "json") -> DataFrame:
+    """Current table of a keyed topic.
+
+    Messages are reduced to the last one per key before any value is decoded.
+    """
+    last = _last(m.where(F.col("key").isNotNull()).select("topic", "key", "value", *KEY_ORDER), ["topic", "key"], KEY_ORDER)
+    rows = decode_upsert(last, pk, schema, fmt=fmt)
+    return rows.where(~_deletes(F.col("row_kind"))).drop("row_kind")
 
 
 def encode_upsert(changes: DataFrame, pk: list[str], columns: list[str], *, keep: list[str] | None = None) -> DataFrame:

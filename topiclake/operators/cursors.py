@@ -26,6 +26,11 @@ COMMIT_RETRIES = 3
 SENTINEL_LEDGERS = (-1, 9223372036854775807)
 
 
+def range_subscription(subscription: str, start: int = 0, end: int = 65535) -> str:
+    """Name under which a reader of part of the key-hash ring saves its cursors."""
+    return subscription if (start, end) == (0, 65535) else f"{subscription}[{start}, {end}]"
+
+
 def commit_rows(
     positions: DataFrame, subscription: str, seq: int, *, existing: DataFrame | None = None, external: bool = False
 ) -> DataFrame:

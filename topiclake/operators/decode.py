@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -25,7 +26,7 @@ def as_struct(schema: str | T.StructType) -> T.StructType:
 def decode(
     m: DataFrame,
     schema: str | T.StructType,
-    fmt: str = "json",
+    fmt: str | Callable[[DataFrame], DataFrame] = "json",
     *,
     column: str = "value",
     into: str = "data",
@@ -36,8 +37,11 @@ def decode(
 
     ``json``, ``avro`` and ``protobuf`` give a struct; ``raw`` and ``atomic`` give one
     value of the named type.  For avro the schema is the Avro definition, for protobuf
-    ``(message name, descriptor file)``.
+    ``(message name, descriptor file)``.  A function in place of a format gets the
+    messages and returns them with ``into``; it may give several rows per message.
     """
+    if callable(fmt):
+        return fmt(m)
     source = F.col(column)
     fmt = fmt.lower()
     if fmt == "json":

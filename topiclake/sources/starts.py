@@ -11,12 +11,14 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import LOG, position
 from topiclake.plans.bounded import small_side
 
 STARTS_DDL = "topic STRING, partition INT, start STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>, inclusive BOOLEAN"
+MARKS_DDL = "topic STRING, partition INT, last STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>"
 POLICIES = ("fail", "earliest", "last")
 
 
@@ -36,6 +38,19 @@ def high_water(m: DataFrame) -> DataFrame:
     return extreme_position(m)
 
 
+def captured_marks(log: DataFrame, path: str) -> DataFrame:
+    """High-water marks of the first start: written once, read again at every restart.
+
+    A stream that starts at latest must not move its start when it is restarted.
+    """
+    spark = log.sparkSession
+    try:
+        return spark.read.schema(MARKS_DDL).parquet(path)
+    except AnalysisException:
+        high_water(log).coalesce(1).write.mode("errorifexists").parquet(path)
+        return spark.read.schema(MARKS_DDL).parquet(path)
+
+
 def earliest_starts(parts: DataFrame) -> DataFrame:
     return parts.select(*LOG, *_start(F.lit(None), inclusive=True))
 
@@ -189,6 +204,8 @@ def with_start(
     if mode not in ("latest", "specific-offsets", "external-subscription"):
         raise ValueError(f"unknown startup mode {mode}")
     if marks is None:
+        if m.isStreaming:
+            raise ValueError(f"a stream that starts at {mode} needs marks, see captured_marks")
         marks = small_side(high_water(m))
     if mode == "latest":
         return from_starts(m, latest_starts(marks))

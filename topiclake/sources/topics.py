@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from topiclake.envelope import ENVELOPE, LOG
 from topiclake.functions.hashing import SLOTS, java_hash, key_slot
 from topiclake.functions.topic_names import full_name, namespace_of, partition_topic, topic_parts
+from topiclake.plans.bounded import small_side
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -16,12 +17,18 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE).parquet(path).select(*ENVELOPE.names)
 
 
-def stream_log(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """The same log as a stream; new partition directories are found in each micro-batch."""
+def stream_log(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, only: DataFrame | None = None
+) -> DataFrame:
+    """The same log as a stream; new partition directories are found in each micro-batch.
+
+    ``only`` turns discovery off: the partitions it lists are read and no others.
+    """
     reader = spark.readStream.schema(ENVELOPE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path).select(*ENVELOPE.names)
+    stream = reader.parquet(path).select(*ENVELOPE.names)
+    return stream if only is None else stream.join(small_side(only.select(*LOG)), LOG, "left_semi")
 
 
 def scan(

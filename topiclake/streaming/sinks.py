@@ -50,12 +50,14 @@ def batch_writer(
     subscription: str | None = None,
     cursor_path: str | None = None,
     source: Callable[[DataFrame], DataFrame] | None = None,
+    quarantine_path: str | None = None,
 ) -> BatchWriter:
     """A function that writes one micro-batch of envelopes to the log at ``path``.
 
     ``source`` turns messages that were read into messages to write; cursors of
     ``subscription`` are those of the messages that were read.  With ``fail_on_write``
-    off, a batch that cannot be written is logged and left out.
+    off, a batch that cannot be written is logged and left out; what was read for it is
+    kept below ``quarantine_path``.
     """
     if semantic not in SEMANTICS:
         raise ValueError(
@@ -71,6 +73,8 @@ def batch_writer(
             if fail_on_write:
                 raise
             log.exception("batch %s was not written", batch_id)
+            if quarantine_path:
+                batch.write.mode("overwrite").parquet(f"{quarantine_path}/commit={batch_id}")
             return
         if subscription and cursor_path:
             commit_cursors(commit_rows(positions(batch), subscription, batch_id), cursor_path)
@@ -88,17 +92,19 @@ def write_stream(
     subscription: str | None = None,
     cursor_path: str | None = None,
     source: Callable[[DataFrame], DataFrame] | None = None,
+    quarantine_path: str | None = None,
     available_now: bool = True,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Write a stream of envelopes to a log."""
+    """Write a stream of envelopes to a log; the other arguments are those of ``batch_writer``."""
     if checkpoint is None:
         if semantic != "none":
             log.warning("no checkpoint given: semantic %s becomes none", semantic)
         semantic, checkpoint = "none", new_dir(messages.sparkSession, "checkpoint")
     writer = batch_writer(
-        path, semantic, fail_on_write=fail_on_write, subscription=subscription, cursor_path=cursor_path, source=source
-    )
+        path, semantic, fail_on_write=fail_on_write, subscription=subscription, cursor_path=cursor_path, source=source,
+        quarantine_path=quarantine_path,
+    )
     return start(messages, writer, checkpoint, available_now=available_now, interval=interval)
 
 

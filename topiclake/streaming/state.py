@@ -19,20 +19,19 @@ class BatchState:
     def __init__(self, path: str, merge: Callable[[DataFrame], DataFrame], compact_every: int = 20) -> None:
         self.path, self.merge, self.compact_every = path.rstrip("/"), merge, compact_every
 
-    def _numbers(self, spark: SparkSession, kind: str) -> list[int]:
-        # a listing of a few directory names by Spark's own file system
+    def _folders(self, spark: SparkSession):
+        """(file system, folders below the path)."""
         jvm = spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        found = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith(f"{kind}=") and fs.exists(done):
-                found.append(int(name.split("=")[1]))
-        return sorted(found)
+        return fs, [status.getPath() for status in fs.listStatus(root)] if fs.exists(root) else []
+
+    def _numbers(self, spark: SparkSession, kind: str) -> list[int]:
+        """Batches with a complete directory of this kind."""
+        fs, folders = self._folders(spark)
+        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        names = [f.getName() for f in folders if fs.exists(done(f, "_SUCCESS"))]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """What earlier batches left, merged; None before the first."""
@@ -51,11 +50,24 @@ class BatchState:
         """Keep the rows of this batch."""
         rows.write.mode("overwrite").parquet(f"{self.path}/part={batch_id}")
         if (batch_id + 1) % self.compact_every == 0:
-            merged = self.before(rows.sparkSession, batch_id + 1)
-            merged.write.mode("overwrite").parquet(f"{self.path}/snapshot={batch_id}")
+            self.replace(self.before(rows.sparkSession, batch_id + 1), batch_id)
 
     def replace(self, rows: DataFrame, batch_id: int) -> None:
-        """Keep ``rows`` instead of everything that earlier batches left."""
+        """Keep ``rows`` instead of everything up to this batch."""
         rows.write.mode("overwrite").parquet(f"{self.path}/snapshot={batch_id}")
+        self._forget(rows.sparkSession, batch_id)
 
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Drop what no batch can read any more.
 
+        Only the current batch can run again, and it reads the snapshot before its own.
+        """
+        older = [n for n in self._numbers(spark, "snapshot") if n < batch_id]
+        if not older:
+            return
+        fs, folders = self._folders(spark)
+        for folder in folders:
+            kind, _, number = folder.getName().partition("=")
+            limit = older[-1] if kind == "snapshot" else older[-1] + 1
+            if kind in ("snapshot", "part") and int(number) < limit:
+                fs.delete(folder, True)

@@ -44,7 +44,8 @@ def as_of_join_stream(
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.select(*fields)
+        # read several times below; lost blocks are read from the source again
+        fresh = batch.select(*fields).persist()
         seen = fresh.groupBy("side").agg(F.max(F.unix_micros(ts)).alias("high"))
         highs.put(seen, batch_id)
         marks = {r["side"]: r["high"] for r in highs.before(spark, batch_id + 1).collect()}
@@ -63,5 +64,6 @@ def as_of_join_stream(
         )
         still = rows.where(F.col(ts) > mark).unionByName(newest.select(*on, "_newest.*").select(*fields))
         kept.replace(still, batch_id)
+        fresh.unpersist()
 
     return start(both, each_batch, checkpoint, available_now=available_now)

@@ -41,7 +41,8 @@ def normalize_stream(
     state = BatchState(state_path, newest)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*fields)
+        # read several times below; lost blocks are read from the source again
+        rows = batch.select(*fields).persist()
         kept = state.before(batch.sparkSession, batch_id)
         if kept is None:
             emit(normalize(rows, pk, order, columns), batch_id)
@@ -51,6 +52,7 @@ def normalize_stream(
             changed = normalize(both, pk, ["_seed", *order], columns)
             emit(changed.where("_seed = 1").drop("_seed"), batch_id)
         state.put(newest(rows).select(*fields), batch_id)
+        rows.unpersist()
 
     return start(changes, each_batch, checkpoint, available_now=available_now)
 
