@@ -8,7 +8,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.avro import functions as avro
+from pyspark.sql.protobuf import functions as protobuf
 
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 #: default name of the column that keeps the text of a malformed message
@@ -51,10 +55,12 @@ def decode(
     if fmt == "atomic":
         return m.withColumn(into, decode_atomic(source, schema))
     if fmt == "avro":
-        return m.withColumn(into, _avro().from_avro(source, schema, options or {}))
+        return _optional("spark-avro", lambda: m.withColumn(into, avro.from_avro(source, schema, options or {})))
     if fmt == "protobuf":
         message, descriptor = schema
-        return m.withColumn(into, _protobuf().from_protobuf(source, message, descriptor, options or {}))
+        return _optional(
+            "spark-protobuf", lambda: m.withColumn(into, protobuf.from_protobuf(source, message, descriptor, options or {}))
+        )
     raise ValueError(f"unknown format {fmt}")
 
 
@@ -76,9 +82,9 @@ def encode(
     if fmt == "atomic":
         return df.withColumn(into, encode_atomic(F.col(columns[0]), df.schema[columns[0]].dataType))
     if fmt == "avro":
-        return df.withColumn(into, _avro().to_avro(row, schema or ""))
+        return _optional("spark-avro", lambda: df.withColumn(into, avro.to_avro(row, schema or "")))
     if fmt == "protobuf":
-        return df.withColumn(into, _protobuf().to_protobuf(row, *schema))
+        return _optional("spark-protobuf", lambda: df.withColumn(into, protobuf.to_protobuf(row, *schema)))
     raise ValueError(f"unknown format {fmt}")
 
 
@@ -226,7 +232,8 @@ def decode_atomic(source: Column, kind: str | T.DataType) -> Column:
 
     Integers, floats and epoch days or seconds are big-endian as the public client
     writes them: a date is an epoch day in 8 bytes, a time the nanos of the day in 8, a
-    local date-time both in 16, an instant epoch seconds in 8 and nanos in 4.
+    local date-time both in 16, an instant epoch seconds in 8 and nanos in 4.  The type
+    TIME needs ``spark.sql.timeType.enabled``.
     """
     name = _type_name(kind)
     if name == "binary":
@@ -261,15 +268,13 @@ def _big_endian(number: Column, size: int) -> Column:
 def _float_bytes(value: Column, layout: str) -> Column:
     """IEEE 754 bytes; the function is sent by value, so executors need no extra package."""
 
-    def pack(values):
-        import pandas
-
+    def pack(values: pd.Series) -> pd.Series:
         size = int(layout[-1])
         packed = values.to_numpy(f"float{8 * size}").astype(layout).tobytes()
         out = [packed[i : i + size] for i in range(0, len(packed), size)]
-        return pandas.Series(out, index=values.index, dtype=object)
+        return pd.Series(out, index=values.index, dtype=object)
 
-    packed = F.pandas_udf(pack, T.BinaryType(), F.PandasUDFType.SCALAR)
+    packed = F.pandas_udf(pack, T.BinaryType())
     return F.when(value.isNotNull(), packed(value))
 
 
@@ -310,32 +315,12 @@ def encode_atomic(value: Column, kind: str | T.DataType) -> Column:
 # Avro and protobuf: Spark's optional modules -----------------------------------------
 
 
-class _Guarded:
-    """Call functions of an optional module; say which package is missing if it is."""
-
-    def __init__(self, module, package: str) -> None:
-        self._module, self._package = module, package
-
-    def __getattr__(self, name: str):
-        function = getattr(self._module, name)
-
-        def call(*args):
-            try:
-                return function(*args)
-            except Exception as error:
-                raise RuntimeError(f"{name} needs the {self._package} package on Spark's classpath") from error
-
-        return call
-
-
-def _avro() -> _Guarded:
-    import pyspark.sql.avro.functions as module
-
-    return _Guarded(module, "spark-avro")
-
-
-def _protobuf() -> _Guarded:
-    import pyspark.sql.protobuf.functions as module
-
-    return _Guarded(module, "spark-protobuf")
-
+def _optional(package: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Use a module Spark ships separately; say which package is missing if it is."""
+    try:
+        return build()
+    except (AnalysisException, TypeError, RuntimeError, OSError) as error:
+        text = str(error)
+        if "NOT_LOADED" in text or "JavaPackage" in text or "PROTOBUF" in text:
+            raise RuntimeError(f"this format needs the {package} package on Spark's classpath") from error
+        raise
