@@ -97,7 +97,7 @@ def test_last_before_is_the_same_with_slices(spark, backwards, limit):
     want = rows(df.withColumn("p", F.last("v", ignorenulls=True).over(window)), "k", "i", "p")
     spark.conf.set("topiclake.rowsPerTask", str(limit))
     try:
-        assert rows(last_before(df, ["k"], ["t", "i"], F.col("v"), "p", backwards=backwards), "k", "i", "p") == want
+        assert rows(last_before(df, ["k"], ["t", "i"], "v", "p", backwards=backwards), "k", "i", "p") == want
     finally:
         spark.conf.unset("topiclake.rowsPerTask")
 
@@ -130,7 +130,7 @@ def test_slices_when_the_first_column_is_constant(spark):
 def test_order_must_be_a_number_or_time(spark, hot):
     df = spark.range(100).select(F.lit("a").alias("k"), F.col("id").cast("string").alias("o"))
     with pytest.raises(TypeError):
-        last_before(df, ["k"], ["o"], F.col("o"), "p")
+        last_before(df, ["k"], ["o"], "o", "p")
 
 
 # temporal joins -----------------------------------------------------------------------

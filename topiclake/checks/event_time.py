@@ -97,19 +97,18 @@ def late_rows(spark, folder):
 
 @check(
     "idle_source",
-    f"""WITH {EV}, arrived AS (SELECT event_id // 10 AS batch, partition, publish_time AS rowtime FROM ev WHERE partition <> 1 OR event_id % 100 < 10),
+    f"""WITH {EV}, arrived AS (SELECT event_id // 4 AS batch, partition, publish_time AS rowtime FROM ev),
     {MARKS.format(rows='arrived')},
     act AS (SELECT r.batch, r.partition, r.high, MAX(CASE WHEN p.seen IS NOT NULL THEN r.batch END) OVER (PARTITION BY r.partition ORDER BY r.batch) AS last_batch
       FROM run r LEFT JOIN per p USING (batch, partition)),
-    per_batch AS (SELECT batch, MIN(high) AS low, COUNT(*) AS ready FROM act WHERE batch - last_batch <= 5 GROUP BY 1),
+    per_batch AS (SELECT batch, MIN(high) AS low, COUNT(*) AS ready FROM act WHERE batch - last_batch <= 2 GROUP BY 1),
     lim AS (SELECT MIN(batch) AS first, (SELECT COUNT(DISTINCT partition) FROM arrived) AS known FROM arrived)
-    SELECT batch, MAX(CASE WHEN ready >= known OR batch >= first + 5 THEN low END) OVER (ORDER BY batch) AS watermark FROM per_batch, lim""",
+    SELECT batch, MAX(CASE WHEN ready >= known OR batch >= first + 2 THEN low END) OVER (ORDER BY batch) AS watermark FROM per_batch, lim""",
 )
 def idle_source(spark, folder):
-    """A partition that is silent for five batches no longer holds the watermark."""
-    m = events(spark, folder).withColumn("batch", F.expr("sequence_id DIV 10"))
-    m = m.where((F.col("partition") != 1) | (F.col("sequence_id") % 100 < 10))
-    return _marks(E.partition_watermark(m, "batch", "publish_time", idle_after=5))
+    """A partition that is silent for more than two batches, of four ids each, no longer holds the watermark."""
+    m = events(spark, folder).withColumn("batch", F.expr("sequence_id DIV 4"))
+    return _marks(E.partition_watermark(m, "batch", "publish_time", idle_after=2))
 
 
 @check(

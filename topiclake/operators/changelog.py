@@ -61,13 +61,12 @@ def normalize(changes: DataFrame, pk: list[str], order: list[str] | None = None,
     order = KEY_ORDER if order is None else order
     if columns is None:
         columns = [c for c in changes.columns if c not in {"row_kind", *pk, *order}]
-    row = F.struct(*[F.col(c) for c in columns])
-    state = F.struct(_deletes(F.col("row_kind")).alias("gone"), row.alias("row"))
-    seen = last_before(changes, pk, order, state, "_before")
-    old = F.col("_before.row")
-    known = F.col("_before").isNotNull() & ~F.col("_before.gone")
-    known = F.coalesce(known, F.lit(False))
-    gone = _deletes(F.col("row_kind"))
+    # the row travels as one column next to the key and the order
+    state = F.struct(_deletes(F.col("row_kind")).alias("gone"), F.struct(*columns).alias("row")).alias("_state")
+    seen = last_before(changes.select(*pk, *order, state), pk, order, "_state", "_before")
+    row, old = F.col("_state.row"), F.col("_before.row")
+    gone = F.col("_state.gone")
+    known = F.coalesce(~F.col("_before.gone"), F.lit(False))
 
     def change(kind: str, step: int, content: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.lit(step).alias("step"), content.alias("row"))

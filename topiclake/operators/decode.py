@@ -21,6 +21,7 @@ CORRUPT = "_corrupt_record"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 #: encodings whose line ends cannot be found byte by byte
 _WIDE_ENCODINGS = ("UTF-16", "UTF-32")
+_BLANKS = "".join(map(chr, range(33)))
 
 
 def as_struct(schema: str | T.StructType) -> T.StructType:
@@ -146,7 +147,9 @@ def _decode_json(
         options["timestampFormat"] = TIMESTAMP_FORMAT
     encoding = options.get(lowered.get("encoding", lowered.get("charset", "")), "UTF-8")
     text = source.cast("string") if encoding.upper() == "UTF-8" else F.decode(source, encoding)
-    text = _empty_as_null(text, schema)
+    # blank text is NULL for from_json too, but said here the optimizer knows it: it assumes
+    # that a struct of fields of a value that is not NULL is not NULL
+    text = F.when(F.trim(text, F.lit(_BLANKS)) != "", _empty_as_null(text, schema))
     if mode == "FAILFAST":
         return m.withColumn(into, F.from_json(text, schema, {**options, "mode": "FAILFAST"}))
     parsed = {**options, "mode": "PERMISSIVE"}

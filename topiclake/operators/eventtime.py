@@ -71,11 +71,13 @@ def partition_watermark(
         .withColumn("next", F.lead("batch").over(in_order))
         .where(F.col("high").isNotNull())
     )
-    ends = m.agg(F.max(F.col(batch).cast("bigint")).alias("n")).scalar()
-    until = F.coalesce(F.col("next") - 1, ends)
+    number = F.col(batch).cast("bigint")
+    facts = F.struct(F.min(number).alias("first"), F.max(number).alias("last"), F.count_distinct(*LOG).alias("logs"))
+    facts = m.agg(facts.alias("facts")).scalar()
+    until = F.coalesce(F.col("next") - 1, facts["last"])
     if idle_after is not None:
         until = F.least(until, F.col("batch") + idle_after)
-    known = F.lit(partitions) if partitions is not None else m.select(*LOG).distinct().agg(F.count("*").alias("n")).scalar()
+    known = F.lit(partitions) if partitions is not None else facts["logs"]
     per = (
         steps.select(F.explode(F.sequence("batch", until)).alias("batch"), "high")
         .groupBy("batch")
@@ -83,8 +85,7 @@ def partition_watermark(
     )
     whole = F.col("ready") >= known
     if idle_after is not None:
-        begins = m.agg(F.min(F.col(batch).cast("bigint")).alias("n")).scalar()
-        whole = whole | (F.col("batch") >= begins + idle_after)
+        whole = whole | (F.col("batch") >= facts["first"] + idle_after)
     delayed = F.timestamp_micros(F.unix_micros("low") - delay_ms * 1000) if _is_time(m, ts) else F.col("low") - delay_ms
     marks = per.select("batch", F.when(whole, delayed).alias("watermark"))
     if idle_after is None:
@@ -164,7 +165,7 @@ def gap_ranges(m: DataFrame, seq: str = "sequence_id") -> DataFrame:
     runs = _runs(m, seq)
     begins_gap = F.when((F.col("copies") == 0) & (F.col("follows") == 1), F.col("number"))
     edges = runs.where((F.col("copies") == 0) | (F.col("follows") == 0))
-    paired = last_before(edges, LOG, ["number"], begins_gap, "gap_from")
+    paired = last_before(edges.withColumn("begin", begins_gap), LOG, ["number"], "begin", "gap_from")
     return paired.where((F.col("copies") > 0) & F.col("gap_from").isNotNull()).select(
         *LOG, "gap_from", (F.col("number") - 1).alias("gap_to")
     )

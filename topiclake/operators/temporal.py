@@ -56,7 +56,7 @@ def as_of_join(
         F.struct(*left.columns).alias("_left"),
     )
     both = versions.unionByName(rows, allowMissingColumns=True)
-    seen = last_before(both, keys, ["_ts", "_side", *ties], F.col("_right"), "_match").where("_side = 1")
+    seen = last_before(both, keys, ["_ts", "_side", *ties], "_right", "_match").where("_side = 1")
     matched = F.col("_match").isNotNull()
     if deleted is not None:
         matched = matched & ~F.coalesce(F.col(f"_match.`{deleted}`"), F.lit(False))
@@ -75,7 +75,7 @@ def intervals(changes: DataFrame, pk: list[str], ts: str, order: list[str] | Non
     last is ever valid.  Deletes end a version and have none of their own.
     """
     step = [ts, *(order or [])]
-    ended = last_before(changes, pk, step, F.col(ts), "valid_to", backwards=True)
+    ended = last_before(changes, pk, step, ts, "valid_to", backwards=True)
     return ended.where(
         (F.col("row_kind").isin("+I", "+U")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col(ts)))
     ).withColumn("valid_from", F.col(ts))

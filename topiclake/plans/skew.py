@@ -105,49 +105,37 @@ def add_slices(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame |
 
 
 def last_before(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    name: str,
-    *,
-    backwards: bool = False,
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, *, backwards: bool = False
 ) -> DataFrame:
     """Add ``name``: the latest non-NULL ``value`` among the earlier rows of the same key.
 
-    ``order`` must not be NULL.  With ``backwards`` it is the next value instead of the last.
+    ``value`` is a column, so that it is shuffled once; ``order`` must not be NULL.  With
+    ``backwards`` it is the next value instead of the last.
     """
     sort = [F.col(c).desc() if backwards else F.col(c).asc() for c in order]
-    sliced = add_slices(df, keys, order)
     before = (Window.unboundedPreceding, -1)
+    sliced = add_slices(df, keys, order)
     if sliced is None:
         window = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(*before)
         return df.withColumn(name, F.last(value, ignorenulls=True).over(window))
 
     if backwards:
         sliced = sliced.withColumn("_slice", F.when(F.col("_slice") >= 0, F.lit(MAX_SLICES) - F.col("_slice")).otherwise(-1))
-    rows = sliced.withColumn("_value", value)
-    order_by = F.struct(*order)
     pick = F.min_by if backwards else F.max_by
+    present = F.when(F.col(value).isNotNull(), F.struct(*order))
     # one row per hot key and slice: the last value of the slice, then that of the slices before it
-    ends = (
-        rows.where(F.col("_slice") >= 0)
-        .groupBy(*keys, "_slice")
-        .agg(pick("_value", F.when(F.col("_value").isNotNull(), order_by)).alias("_value"))
-    )
+    ends = sliced.where(F.col("_slice") >= 0).groupBy(*keys, "_slice").agg(pick(F.col(value), present).alias(value))
     by_slice = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*before)
     carried = (
-        ends.withColumn("_value", F.last("_value", ignorenulls=True).over(by_slice))
-        .where(F.col("_value").isNotNull())
+        ends.withColumn(value, F.last(value, ignorenulls=True).over(by_slice))
+        .where(F.col(value).isNotNull())
         .withColumn("_carried", F.lit(True))
     )
-    window = (
-        Window.partitionBy(*keys, "_slice").orderBy(F.col("_carried").desc(), *sort).rowsBetween(*before)
-    )
+    window = Window.partitionBy(*keys, "_slice").orderBy(F.col("_carried").desc(), *sort).rowsBetween(*before)
     return (
-        rows.withColumn("_carried", F.lit(False))
+        sliced.withColumn("_carried", F.lit(False))
         .unionByName(carried, allowMissingColumns=True)
-        .withColumn(name, F.last("_value", ignorenulls=True).over(window))
+        .withColumn(name, F.last(value, ignorenulls=True).over(window))
         .where(~F.col("_carried"))
-        .drop("_slice", "_value", "_carried")
+        .drop("_slice", "_carried")
     )
