@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from topiclake.catalog.connect import insert_into, read_changelog, read_table
+from topiclake.catalog.options import TableOptions
 from topiclake.catalog.registry import REGISTRY_DDL
 from topiclake.catalog.tables import RESERVED_TENANT, as_table, databases, tables
 from topiclake.checks import check
-from topiclake.checks.topics import ORDERS, log, table
+from topiclake.checks.topics import EV, ORDERS, events, log, ntz, table
+from topiclake.plans.workspace import new_dir
+from topiclake.sources.topics import read_log
 
 
 def registry(spark, folder):
@@ -46,3 +50,76 @@ def register_table(spark, folder):
     rows = spark.createDataFrame([entry], REGISTRY_DDL)
     as_table(log(spark, folder), rows, "public/default", "orders", view="orders_topic")
     return spark.sql("SELECT o_orderkey, o_totalprice FROM orders_topic WHERE o_totalprice > 300000")
+
+
+_USERS = {"topic": "events", "key.format": "raw", "value.format": "json", "value.fields-include": "EXCEPT_KEY"}
+
+
+def users_table():
+    """Last event per user, keyed by the user."""
+    schema = T.StructType.fromDDL("user_id BIGINT, event_type STRING, value DOUBLE")
+    return TableOptions(schema, _USERS, ["user_id"], upsert=True)
+
+
+@check(
+    "table_scan",
+    """SELECT o_custkey AS k_customer, o_orderkey, o_totalprice, o_orderdate AS published, o_orderpriority AS priority
+    FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'""",
+)
+def table_scan(spark, folder):
+    """A table over the orders topic from its options, with key, value and metadata columns, asked in SQL."""
+    options = {
+        "topic": "orders", "scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": "852076800000",
+        "key.format": "raw", "key.fields": "k_customer", "key.fields-prefix": "k_",
+        "value.format": "json", "value.fields-include": "EXCEPT_KEY",
+    }
+    schema = T.StructType.fromDDL("k_customer BIGINT, o_orderkey BIGINT, o_totalprice DOUBLE")
+    read_table(
+        log(spark, folder), TableOptions(schema, options), {"published": "publishTime", "props": "properties"}, view="orders_table"
+    )
+    rows = spark.sql("SELECT k_customer, o_orderkey, o_totalprice, published, props['priority'] AS priority FROM orders_table")
+    return rows.withColumn("published", ntz("published"))
+
+
+@check(
+    "table_upsert_scan",
+    f"""WITH {EV}, last AS (SELECT user_id, MAX(event_id) AS event_id FROM ev GROUP BY 1)
+    SELECT user_id, event_type, value FROM ev JOIN last USING (user_id, event_id) WHERE NOT tombstone""",
+)
+def table_upsert_scan(spark, folder):
+    return read_table(events(spark, folder), users_table())
+
+
+@check(
+    "table_changelog",
+    f"""WITH {EV}, s AS (SELECT user_id, tombstone, event_type, value, COALESCE(LAG(tombstone) OVER w, TRUE) AS gone,
+      LAG(event_type) OVER w AS old_type, LAG(value) OVER w AS old_value FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+    c AS (SELECT CASE WHEN tombstone AND NOT gone THEN ['-D'] WHEN tombstone THEN [] WHEN gone THEN ['+I']
+      WHEN event_type <> old_type OR value <> old_value THEN ['-U', '+U'] ELSE [] END AS kinds FROM s)
+    SELECT row_kind, COUNT(*) AS changes FROM (SELECT UNNEST(kinds) AS row_kind FROM c) GROUP BY 1""",
+)
+def table_changelog(spark, folder):
+    return read_changelog(events(spark, folder), users_table()).groupBy("row_kind").agg(F.count("*").alias("changes"))
+
+
+@check(
+    "table_insert",
+    """SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate AS "eventTime", o_orderstatus AS status FROM orders""",
+)
+def table_insert(spark, folder):
+    """Insert rows with writable metadata and read them back through the same options."""
+    options = {
+        "topic": "inserted", "scan.startup.mode": "earliest", "key.format": "json", "key.fields": "o_custkey",
+        "value.format": "json", "sink.message-router": "key-hash",
+    }
+    target = TableOptions(T.StructType.fromDDL("o_custkey BIGINT, o_orderkey BIGINT, o_totalprice DOUBLE"), options)
+    rows = table(spark, folder, "orders").select(
+        "o_custkey", "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("timestamp").alias("eventTime"),
+        F.create_map(F.lit("status"), "o_orderstatus").alias("properties"),
+    )
+    path = new_dir(spark, "table")
+    insert_into(rows, path, target, F.col("o_orderkey"), partitions=4)
+    back = read_table(read_log(spark, path), target, ["eventTime", "properties"])
+    return back.select(
+        "o_custkey", "o_orderkey", "o_totalprice", ntz("eventTime").alias("eventTime"), F.col("properties")["status"].alias("status")
+    )

@@ -76,8 +76,9 @@ def assemble(
     key_prefix: str = "",
     metadata_columns: list[str] | Mapping[str, str] = (),
     upsert: bool = False,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of the ``physical`` columns followed by metadata.
+    """Rows of the ``physical`` columns followed by metadata and the columns to ``carry`` along.
 
     ``value`` names the decoded value struct, ``key`` the decoded key struct, or
     ``keys`` an array of key structs, each of which gets its own copy of the value.
@@ -101,6 +102,7 @@ def assemble(
             raise ValueError(f"column {column} is neither a key nor a value field")
     pairs = metadata_columns.items() if isinstance(metadata_columns, Mapping) else ((n, n) for n in metadata_columns)
     out += [metadata_column(source).alias(column) for column, source in pairs]
+    out += [F.col(column) for column in carry or []]
     if upsert:
         absent = F.col("value").isNull() | (F.length("value") == 0)
         return rows.select(F.when(absent, "-D").otherwise("+U").alias("row_kind"), *out)

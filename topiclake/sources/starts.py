@@ -114,6 +114,24 @@ def subscription_starts(
     )
 
 
+def new_cursors(starts: DataFrame, cursors: DataFrame, subscription: str) -> DataFrame:
+    """Positions to save for partitions that have no cursor of the subscription yet.
+
+    They stand before the start, so reading on from them begins there; entry -1 means that
+    nothing was read.
+    """
+    mine = cursors.where(F.col("subscription") == subscription)
+    entry = F.when(F.col("start").isNull(), F.lit(-1)).when(
+        F.col("inclusive"), F.greatest(F.col("start.entry_id") - 1, F.lit(-1))
+    )
+    return starts.join(mine, LOG, "left_anti").select(
+        *LOG,
+        F.coalesce("start.ledger_id", F.lit(0)).alias("ledger_id"),
+        entry.otherwise(F.col("start.entry_id")).alias("entry_id"),
+        F.lit(-1).alias("batch_index"),
+    )
+
+
 def resolve_start(current: DataFrame, saved: DataFrame, mode: DataFrame) -> DataFrame:
     """Starts after a restart.
 

@@ -43,9 +43,15 @@ def as_of_join_stream(
     highs = BatchState(f"{state_path}/marks", lambda rows: rows.groupBy("side").agg(F.max("high").alias("high")))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         # read several times below; lost blocks are read from the source again
         fresh = batch.select(*fields).persist()
+        try:
+            join_batch(fresh, batch_id)
+        finally:
+            fresh.unpersist()
+
+    def join_batch(fresh: DataFrame, batch_id: int) -> None:
+        spark = fresh.sparkSession
         seen = fresh.groupBy("side").agg(F.max(F.unix_micros(ts)).alias("high"))
         highs.put(seen, batch_id)
         marks = {r["side"]: r["high"] for r in highs.before(spark, batch_id + 1).collect()}
@@ -64,6 +70,5 @@ def as_of_join_stream(
         )
         still = rows.where(F.col(ts) > mark).unionByName(newest.select(*on, "_newest.*").select(*fields))
         kept.replace(still, batch_id)
-        fresh.unpersist()
 
     return start(both, each_batch, checkpoint, available_now=available_now)

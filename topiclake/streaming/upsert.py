@@ -43,16 +43,18 @@ def normalize_stream(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # read several times below; lost blocks are read from the source again
         rows = batch.select(*fields).persist()
-        kept = state.before(batch.sparkSession, batch_id)
-        if kept is None:
-            emit(normalize(rows, pk, order, columns), batch_id)
-        else:
-            seeds = kept.select(*fields).join(rows.select(*pk).distinct(), pk, "left_semi")
-            both = seeds.withColumn("_seed", F.lit(0)).unionByName(rows.withColumn("_seed", F.lit(1)))
-            changed = normalize(both, pk, ["_seed", *order], columns)
-            emit(changed.where("_seed = 1").drop("_seed"), batch_id)
-        state.put(newest(rows).select(*fields), batch_id)
-        rows.unpersist()
+        try:
+            kept = state.before(batch.sparkSession, batch_id)
+            if kept is None:
+                emit(normalize(rows, pk, order, columns), batch_id)
+            else:
+                seeds = kept.select(*fields).join(rows.select(*pk).distinct(), pk, "left_semi")
+                both = seeds.withColumn("_seed", F.lit(0)).unionByName(rows.withColumn("_seed", F.lit(1)))
+                changed = normalize(both, pk, ["_seed", *order], columns)
+                emit(changed.where("_seed = 1").drop("_seed"), batch_id)
+            state.put(newest(rows).select(*fields), batch_id)
+        finally:
+            rows.unpersist()
 
     return start(changes, each_batch, checkpoint, available_now=available_now)
 
