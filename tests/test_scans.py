@@ -156,3 +156,22 @@ def test_each_partition_has_one_owner(log):
 
 def test_sentinels():
     assert SENTINEL_LEDGERS == (-1, 2**63 - 1)
+
+
+def test_a_stored_log_skips_ledgers(spark, path):
+    from topiclake.operators.sinks import write
+
+    where = path("log")
+    data = messages(spark, [(p, e, "k", str(e), e) for p in range(4) for e in range(30)])
+    data = data.withColumn("ledger_id", F.expr("entry_id DIV 10"))
+    write(data, where)
+    m = T.read_log(spark, where)
+    marks = S.high_water(data.where("partition < 2 AND ledger_id < 2")).unionByName(
+        S.high_water(data.where("partition = 2")).withColumn("last", F.lit(None).cast("struct<ledger_id: bigint, entry_id: bigint, batch_index: int>"))
+    )
+    got = S.with_start(m, "latest", marks=marks)
+    assert rows(got, "partition", "entry_id") == rows(S.with_start(data, "latest", marks=marks), "partition", "entry_id")
+    assert got.groupBy("partition").count().orderBy("partition").collect() == [(0, 10), (1, 10), (2, 30), (3, 30)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ledger_id,1)" in plan
+    assert "partition#" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import LOG, position
-from topiclake.plans.bounded import small_side
+from topiclake.plans.bounded import small_rows, small_side
 
 STARTS_DDL = "topic STRING, partition INT, start STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>, inclusive BOOLEAN"
 MARKS_DDL = "topic STRING, partition INT, last STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>"
+#: partitions whose starts are turned into conditions that skip files
+PRUNED_PARTITIONS = 1000
 POLICIES = ("fail", "earliest", "last")
 
 
@@ -187,14 +190,35 @@ def from_starts(m: DataFrame, starts: DataFrame) -> DataFrame:
     """Messages at or after the start of their partition.
 
     Partitions without a row were found later and are read from the earliest message.
+    From a stored log only files of ledgers that can hold such messages are read.
     """
+    rows = small_rows(starts.select(*LOG, "start", "inclusive"))
+    if rows is None:
+        return _reached(m, starts)
+    known = [row for row in rows if row["start"] is not None]
+    side = F.broadcast(m.sparkSession.createDataFrame(rows, STARTS_DDL))
+    stored = m.schema["partition"].metadata.get("topiclake.directory", False)
+    if m.isStreaming or not stored or not 0 < len(known) <= PRUNED_PARTITIONS:
+        return _reached(m, side)
+    by_topic: dict[str, list[int]] = {}
+    for row in known:
+        by_topic.setdefault(row["topic"], []).append(row["partition"])
+    started = reduce(
+        Column.__or__, [(F.col("topic") == t) & F.col("partition").isin(parts) for t, parts in by_topic.items()]
+    )
+    # two scans of different directories: one skips row groups by ledger, the other reads all
+    lowest = min(row["start"]["ledger_id"] for row in known)
+    return _reached(m.where(started).where(F.col("ledger_id") >= lowest), side).unionByName(m.where(~started))
+
+
+def _reached(m: DataFrame, starts: DataFrame) -> DataFrame:
     here = position()
     reached = (
         F.col("start").isNull()
         | (here > F.col("start"))
         | (F.col("inclusive") & (here == F.col("start")))
     )
-    return m.join(small_side(starts), LOG, "left").where(reached).select(m.columns)
+    return m.join(starts, LOG, "left").where(reached).select(m.columns)
 
 
 def with_start(

@@ -12,9 +12,14 @@ from topiclake.functions.topic_names import full_name, namespace_of, partition_t
 from topiclake.plans.bounded import small_side
 
 
+#: marks the columns of a stored log that are directories, so that conditions on them skip files
+DIRECTORY = {"topiclake.directory": True}
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """A stored log: parquet directories by commit, topic and partition."""
-    return spark.read.schema(ENVELOPE).parquet(path).select(*ENVELOPE.names)
+    stored = spark.read.schema(ENVELOPE).parquet(path)
+    return stored.select(*[F.col(c).alias(c, metadata=DIRECTORY if c in LOG else {}) for c in ENVELOPE.names])
 
 
 def stream_log(
