@@ -149,22 +149,35 @@ def sides(spark):
     return left, right
 
 
-def test_as_of(sides):
+@pytest.mark.parametrize("few", [0, 100])
+def test_as_of(sides, few):
     left, right = sides
-    got = rows(as_of_join(left, right, ["user"], "viewed", "since", deleted="gone"), "view", "name")
+    more = {"deleted": "gone", "broadcast_versions": few}
+    joined = as_of_join(left, right, ["user"], "viewed", "since", **more)
+    assert ("BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()) == bool(few)
+    got = rows(joined, "view", "name")
     # before the first version, at its time, after the next, another key, without key, without time, after a delete
     assert got == [(1, None), (2, "v1"), (3, "v2"), (4, None), (5, None), (6, None), (7, None)]
-    inner = as_of_join(left, right, ["user"], "viewed", "since", "inner", deleted="gone")
+    inner = as_of_join(left, right, ["user"], "viewed", "since", "inner", **more)
     assert rows(inner, "view", "name") == [(2, "v1"), (3, "v2")]
 
 
-def test_as_of_same_time(spark):
+@pytest.mark.parametrize("few", [0, 100])
+def test_as_of_same_time(spark, few):
     left = spark.createDataFrame([("a", at(3))], "user STRING, viewed TIMESTAMP")
     right = spark.createDataFrame([("a", at(3), 1), ("a", at(3), 2)], "user STRING, since TIMESTAMP, version INT")
-    got = as_of_join(left, right, ["user"], "viewed", "since", right_order=["version"])
+    got = as_of_join(left, right, ["user"], "viewed", "since", right_order=["version"], broadcast_versions=few)
     assert rows(got, "version") == [(2,)]
 
 
+def test_many_versions_of_a_key_are_not_broadcast(spark):
+    left = spark.range(3).select(F.lit("a").alias("user"), F.timestamp_seconds("id").alias("viewed"))
+    right = spark.range(300).select(F.lit("a").alias("user"), F.timestamp_seconds("id").alias("since"), F.col("id").alias("version"))
+    joined = as_of_join(left, right, ["user"], "viewed", "since")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined, "version") == [(0,), (1,), (2,)]
+
+
 def test_as_of_refuses(sides):
     left, right = sides
     with pytest.raises(ValueError):

@@ -40,6 +40,12 @@ def test_idle_partitions_are_left_out_and_never_turn_time_back(spark):
     assert marks(E.partition_watermark(m, "batch", "ts", idle_after=2)) == [1, 1, 1, 40, 40, 40]
 
 
+def test_running_highest_over_chunks(spark):
+    values = [3, None, 1, 7, 2, 5, None, 9, 8, 4]
+    df = spark.createDataFrame(list(enumerate(values)), "batch BIGINT, watermark BIGINT")
+    assert marks(E._never_back(df, 3)) == [3, 3, 3, 7, 7, 7, 7, 9, 9, 9]
+
+
 def test_delay_and_late_rows(spark):
     data = [("t", 0, b, at(s)) for b, s in ((0, 100), (1, 50), (1, 95), (2, 89), (2, 200))]
     m = spark.createDataFrame(data, "topic STRING, partition INT, batch INT, ts TIMESTAMP")

@@ -170,9 +170,11 @@ def _sides(spark, folder):
     return views, versions
 
 
-def temporal_join(spark, folder, how):
+def temporal_join(spark, folder, how, **more):
     views, versions = _sides(spark, folder)
-    return as_of_join(views, versions, ["user_id"], "view_time", "version_time", how, right_order=["version_id"], deleted="deleted")
+    return as_of_join(
+        views, versions, ["user_id"], "view_time", "version_time", how, right_order=["version_id"], deleted="deleted", **more
+    )
 
 
 @check(
@@ -181,11 +183,18 @@ def temporal_join(spark, folder, how):
       CASE WHEN NOT deleted THEN version_id END AS version_id, CASE WHEN NOT deleted THEN price END AS price FROM joined""",
 )
 def temporal_left_join(spark, folder):
-    return temporal_join(spark, folder, "left")
+    """With versions that grow with the log: one shuffle of both sides."""
+    return temporal_join(spark, folder, "left", broadcast_versions=0)
 
 
 @check("temporal_inner_join", f"WITH {_SIDES} SELECT * EXCLUDE (deleted) FROM joined WHERE NOT deleted")
 def temporal_inner_join(spark, folder):
+    return temporal_join(spark, folder, "inner", broadcast_versions=0)
+
+
+@check("temporal_join_few_versions", f"WITH {_SIDES} SELECT * EXCLUDE (deleted) FROM joined WHERE NOT deleted")
+def temporal_join_few_versions(spark, folder):
+    """The same with a broadcast of the versions, as long as they are few."""
     return temporal_join(spark, folder, "inner")
 
 
