@@ -66,6 +66,15 @@ def test_times_and_formats(spark):
     assert one(D.decode(m, "e DATE", options={"dateFormat": "dd/MM/yyyy"})).e == dt.date(2021, 6, 5)
 
 
+def test_times_without_zone_and_times_of_day(spark):
+    m = texts(spark, '{"n": 90, "m": "2020-01-02T03:04:05.678", "t": "01:02:03.5", "l": [60, null], "b": "AQI="}')
+    row = one(D.decode(m, "n TIMESTAMP_NTZ, m TIMESTAMP_NTZ, t TIME(6), l ARRAY<TIMESTAMP_NTZ>, b BINARY"))
+    assert row.n == dt.datetime(1970, 1, 1, 0, 1, 30) and row.m == dt.datetime(2020, 1, 2, 3, 4, 5, 678000)
+    assert row.t == dt.time(1, 2, 3, 500000) and row.l == [dt.datetime(1970, 1, 1, 0, 1), None]
+    assert bytes(row.b) == b"\x01\x02"
+    assert one(D.decode(texts(spark, '{"t": "noon", "n": 1}'), "t TIME(6), n INT")) == (None, 1)
+
+
 def test_option_rules():
     for bad in ({"lineSep": ""}, {"encoding": "UTF-16"}, {"encoding": "UTF-32"}, {"charset": "ISO-8859-1"}):
         with pytest.raises(ValueError):

@@ -137,6 +137,30 @@ def _empty_as_null(text: Column, schema: T.StructType) -> Column:
     return F.when(F.contains(text, F.lit('""')), F.regexp_replace(text, pattern, "$1null")).otherwise(text)
 
 
+def _parsed_as(kind: T.DataType) -> T.DataType:
+    """The type from_json reads for a type it cannot read fully.
+
+    A number in a time field is in seconds, which it only knows for TIMESTAMP; it does not know TIME.
+    """
+    if isinstance(kind, T.TimestampNTZType):
+        return T.TimestampType()
+    if isinstance(kind, T.TimeType):
+        return T.StringType()
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _parsed_as(f.dataType), f.nullable) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_parsed_as(kind.elementType), kind.containsNull)
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, _parsed_as(kind.valueType), kind.valueContainsNull)
+    return kind
+
+
+def _from_json(text: Column, schema: T.StructType, options: dict[str, str]) -> Column:
+    parsed = _parsed_as(schema)
+    out = F.from_json(text, parsed, options)
+    return out if parsed == schema else out.try_cast(schema)
+
+
 def _decode_json(
     m: DataFrame, source: Column, schema: T.StructType, into: str, mode: str, options: dict[str, str]
 ) -> DataFrame:
@@ -151,14 +175,14 @@ def _decode_json(
     # that a struct of fields of a value that is not NULL is not NULL
     text = F.when(F.trim(text, F.lit(_BLANKS)) != "", _empty_as_null(text, schema))
     if mode == "FAILFAST":
-        return m.withColumn(into, F.from_json(text, schema, {**options, "mode": "FAILFAST"}))
+        return m.withColumn(into, _from_json(text, schema, {**options, "mode": "FAILFAST"}))
     parsed = {**options, "mode": "PERMISSIVE"}
     if mode == "PERMISSIVE":
-        return m.withColumn(into, F.from_json(text, schema, parsed))
+        return m.withColumn(into, _from_json(text, schema, parsed))
     corrupt = options.get(lowered.get("columnnameofcorruptrecord", ""), CORRUPT)
     full = schema if corrupt in schema.names else T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     parsed["columnNameOfCorruptRecord"] = corrupt
-    out = m.withColumn(into, F.from_json(text, full, parsed)).where(F.col(f"{into}.`{corrupt}`").isNull())
+    out = m.withColumn(into, _from_json(text, full, parsed)).where(F.col(f"{into}.`{corrupt}`").isNull())
     return out if corrupt in schema.names else out.withColumn(into, F.col(into).dropFields(corrupt))
 
 
