@@ -66,7 +66,7 @@ def murmur3_32(data: Column) -> Column:
     size = F.length(data)
     rest = size % 4
     words = F.hash(F.lit(SEED_ZERO), F.substring(data, 1, size - rest)).cast("bigint").bitwiseAND(F.lit(_MASK))
-    body = _unfinish(words).bitwiseXOR((size - rest).cast("bigint"))
+    body = F.when(size < 4, F.lit(0).cast("bigint")).otherwise(_unfinish(words).bitwiseXOR((size - rest).cast("bigint")))
     digits = F.rpad(F.hex(F.substring(data, size - rest + 1, 3)), 6, "0")
     tail = let(
         F.conv(digits, 16, 10).cast("bigint"),

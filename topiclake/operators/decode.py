@@ -172,8 +172,9 @@ def _decode_json(
     encoding = options.get(lowered.get("encoding", lowered.get("charset", "")), "UTF-8")
     text = source.cast("string") if encoding.upper() == "UTF-8" else F.decode(source, encoding)
     # blank text is NULL for from_json too, but said here the optimizer knows it: it assumes
-    # that a struct of fields of a value that is not NULL is not NULL
-    text = F.when(F.trim(text, F.lit(_BLANKS)) != "", _empty_as_null(text, schema))
+    # that a struct of fields of a value that is not NULL is not NULL.  A brace settles it early.
+    filled = F.contains(text, F.lit("{")) | (F.trim(text, F.lit(_BLANKS)) != "")
+    text = F.when(filled, _empty_as_null(text, schema))
     if mode == "FAILFAST":
         return m.withColumn(into, _from_json(text, schema, {**options, "mode": "FAILFAST"}))
     parsed = {**options, "mode": "PERMISSIVE"}

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import ENVELOPE, LOG
-from topiclake.functions.hashing import SLOTS, java_hash, key_slot
+from topiclake.functions.hashing import SLOTS, java_hash, key_slot, let
 from topiclake.functions.topic_names import full_name, namespace_of, partition_topic, topic_parts
 from topiclake.plans.bounded import small_side
 
@@ -123,14 +123,18 @@ def reader_of_slot(slot: Column, readers: int) -> Column:
     """The reader whose range holds a slot."""
     part, rest = divmod(SLOTS, readers)
     large = rest * (part + 1)
-    return F.when(slot < large, F.floor(slot / (part + 1))).otherwise(rest + F.floor((slot - large) / part)).cast("int")
+
+    def owner(s: Column) -> Column:
+        return F.when(s < large, F.floor(s / (part + 1))).otherwise(rest + F.floor((s - large) / part)).cast("int")
+
+    return let(slot, owner)
 
 
 def key_range_scan(m: DataFrame, readers: int, reader: int) -> DataFrame:
     """Messages whose key falls in the range of one reader; messages without key count as slot 0 of an empty key."""
     start, end = key_range(readers, reader)
     slot = key_slot(F.coalesce(F.col("key"), F.lit(b"")))
-    return m.where(slot.between(start, end))
+    return m.where(F.exists(F.array(slot), lambda s: s.between(start, end)))  # the hash is computed once
 
 
 def assign_partitions(parts: DataFrame, readers: int, *, key_ranges: bool = False) -> DataFrame:
