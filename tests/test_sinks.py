@@ -14,7 +14,7 @@ from topiclake.plans.workspace import shared_dir
 from topiclake.sources.starts import captured_marks, with_start
 from topiclake.sources.topics import partitions, read_log, scan, stream_log
 from topiclake.streaming import sinks as St
-from topiclake.streaming.state import BatchState
+from topiclake.streaming.state import BatchState, WholeState
 from topiclake.streaming.temporal import as_of_join_stream
 from topiclake.streaming.upsert import normalize_stream
 from topiclake.streaming.watermarks import union_by_partition
@@ -239,17 +239,33 @@ def test_normalized_stream_equals_batch(spark, path):
     assert rows(spark.read.parquet(out), *columns) == rows(want, *columns)
 
 
-def test_state_merges_and_forgets(spark, path):
-    where = path("state")
-    state = BatchState(where, lambda df: df.groupBy("k").agg(F.max("v").alias("v")), compact_every=2)
-    for n in range(7):
+@pytest.mark.parametrize("every", [1, 2, 3, 20])
+def test_state_merges_and_batches_run_again(spark, path, every):
+    state = BatchState(path("state"), lambda df: df.groupBy("k").agg(F.max("v").alias("v")), every)
+
+    def put(n):
         state.put(spark.createDataFrame([("a", n), (f"k{n}", n)], "k STRING, v INT"), n)
-    assert state.before(spark, 0) is None or state.before(spark, 0).count() == 0
-    kept = dict(rows(state.before(spark, 7), "k", "v"))
-    assert kept == {"a": 6, **{f"k{n}": n for n in range(7)}}
-    # a batch that runs again sees what it saw before
-    assert dict(rows(state.before(spark, 6), "k", "v"))["a"] == 5
-    assert state._numbers(spark, "snapshot") == [3, 5] and state._numbers(spark, "part") == [4, 5, 6]
+
+    def seen(n):
+        before = state.before(spark, n)
+        return {} if before is None else dict(rows(before, "k", "v"))
+
+    for n in range(8):
+        want = {**({"a": n - 1} if n else {}), **{f"k{i}": i for i in range(n)}}
+        assert seen(n) == want
+        put(n)
+        # the batch runs again: it sees the same and changes nothing
+        assert seen(n) == want
+        put(n)
+
+
+def test_whole_state(spark, path):
+    state = WholeState(path("state"))
+    assert state.before(spark, 0) is None
+    for n in range(4):
+        for _ in range(2):
+            assert n == 0 or state.before(spark, n).first().v == n - 1
+            state.put(spark.createDataFrame([(n,)], "v INT"), n)
 
 
 def test_grouped_count_stream(spark, path):

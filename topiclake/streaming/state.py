@@ -1,9 +1,8 @@
-"""Rows kept between micro-batches, as tables of the shared folder.
+"""Rows kept between micro-batches, as parquet tables in the shared folder.
 
-Every micro-batch writes its own directory and reads only directories of earlier
-batches, so a batch that is run again after a failure sees what it saw before and
-overwrites its own output.  Each ``compact_every`` batches the parts are merged
-into one snapshot.
+Micro-batches are numbered without holes, so every path follows from the number of the
+batch.  A batch reads only what earlier batches wrote and writes only what no earlier
+batch needs, so it can run again after a failure.  Old tables are overwritten in turn.
 """
 
 from __future__ import annotations
@@ -14,60 +13,49 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class BatchState:
-    """State directories ``part=<batch>`` and merged ``snapshot=<batch>`` below ``path``."""
+    """A table that grows by the rows of each batch.
 
-    def __init__(self, path: str, merge: Callable[[DataFrame], DataFrame], compact_every: int = 20) -> None:
-        self.path, self.merge, self.compact_every = path.rstrip("/"), merge, compact_every
+    Each batch writes its own rows; after ``every`` batches they are merged into a base.
+    ``merge`` reduces rows of several batches, for instance to the last one per key.
+    """
 
-    def _folders(self, spark: SparkSession):
-        """(file system, folders below the path)."""
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return fs, [status.getPath() for status in fs.listStatus(root)] if fs.exists(root) else []
+    def __init__(self, path: str, merge: Callable[[DataFrame], DataFrame], every: int = 20) -> None:
+        self.path, self.merge, self.every = path.rstrip("/"), merge, every
 
-    def _numbers(self, spark: SparkSession, kind: str) -> list[int]:
-        """Batches with a complete directory of this kind."""
-        fs, folders = self._folders(spark)
-        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        names = [f.getName() for f in folders if fs.exists(done(f, "_SUCCESS"))]
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
+    def _base(self, epoch: int) -> str:
+        return f"{self.path}/base={epoch % 2}"
+
+    def _rows(self, batch_id: int) -> str:
+        return f"{self.path}/rows={batch_id % (2 * self.every)}"
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """What earlier batches left, merged; None before the first."""
-        snapshots = [n for n in self._numbers(spark, "snapshot") if n < batch_id]
-        base = snapshots[-1] if snapshots else -1
-        parts = [n for n in self._numbers(spark, "part") if base < n < batch_id]
-        paths = [f"{self.path}/part={n}" for n in parts]
-        if base >= 0:
-            paths.insert(0, f"{self.path}/snapshot={base}")
-        if not paths:
-            return None
-        rows = spark.read.parquet(*paths)
-        return rows if len(paths) == 1 and base >= 0 else self.merge(rows)
+        """What the batches before this one left; None before the first."""
+        epoch = batch_id // self.every
+        paths = [self._base(epoch)] if epoch else []
+        paths += [self._rows(i) for i in range(epoch * self.every, batch_id)]
+        return self.merge(spark.read.parquet(*paths)) if paths else None
 
     def put(self, rows: DataFrame, batch_id: int) -> None:
         """Keep the rows of this batch."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/part={batch_id}")
-        if (batch_id + 1) % self.compact_every == 0:
-            self.replace(self.before(rows.sparkSession, batch_id + 1), batch_id)
-
-    def replace(self, rows: DataFrame, batch_id: int) -> None:
-        """Keep ``rows`` instead of everything up to this batch."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/snapshot={batch_id}")
-        self._forget(rows.sparkSession, batch_id)
-
-    def _forget(self, spark: SparkSession, batch_id: int) -> None:
-        """Drop what no batch can read any more.
-
-        Only the current batch can run again, and it reads the snapshot before its own.
-        """
-        older = [n for n in self._numbers(spark, "snapshot") if n < batch_id]
-        if not older:
-            return
-        fs, folders = self._folders(spark)
-        for folder in folders:
-            kind, _, number = folder.getName().partition("=")
-            limit = older[-1] if kind == "snapshot" else older[-1] + 1
-            if kind in ("snapshot", "part") and int(number) < limit:
-                fs.delete(folder, True)
+        rows.write.mode("overwrite").parquet(self._rows(batch_id))
+        if (batch_id + 1) % self.every == 0:
+            first = batch_id + 1 - self.every
+            paths = [self._base(first // self.every)] if first else []
+            paths += [self._rows(i) for i in range(first, batch_id + 1)]
+            merged = self.merge(rows.sparkSession.read.parquet(*paths))
+            merged.write.mode("overwrite").parquet(self._base(first // self.every + 1))
+
+
+class WholeState:
+    """A table that each batch replaces."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path.rstrip("/")
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """What the batch before this one left; None before the first."""
+        return spark.read.parquet(f"{self.path}/state={batch_id % 2}") if batch_id else None
+
+    def put(self, rows: DataFrame, batch_id: int) -> None:
+        """Keep ``rows`` instead."""
+        rows.write.mode("overwrite").parquet(f"{self.path}/state={(batch_id + 1) % 2}")

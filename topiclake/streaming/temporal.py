@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topiclake.operators.temporal import as_of_join
 from topiclake.streaming.sinks import start
-from topiclake.streaming.state import BatchState
+from topiclake.streaming.state import BatchState, WholeState
 
 LEFT, RIGHT = "left", "right"
 
@@ -39,7 +39,7 @@ def as_of_join_stream(
     watermark are late: they do not change rows that were already emitted.
     """
     fields = ["side", *on, ts, *left_columns, *right_columns]
-    kept = BatchState(f"{state_path}/rows", lambda rows: rows)
+    kept = WholeState(f"{state_path}/rows")
     highs = BatchState(f"{state_path}/marks", lambda rows: rows.groupBy("side").agg(F.max("high").alias("high")))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -69,6 +69,6 @@ def as_of_join_stream(
             F.max_by(F.struct(*[c for c in fields if c not in on]), F.col(ts)).alias("_newest")
         )
         still = rows.where(F.col(ts) > mark).unionByName(newest.select(*on, "_newest.*").select(*fields))
-        kept.replace(still, batch_id)
+        kept.put(still, batch_id)
 
     return start(both, each_batch, checkpoint, available_now=available_now)
