@@ -39,6 +39,68 @@ def test_normalize_rules(spark):
     ]
 
 
+def plain_normalize(steps):
+    """The rules, one message at a time."""
+    table, out = {}, []
+    for i, (key, value) in enumerate(steps):
+        old = table.get(key)
+        if value is None:
+            if old is not None:
+                out.append((i, 0, "-D", key, old))
+            table.pop(key, None)
+        elif old is None:
+            out.append((i, 0, "+I", key, value))
+            table[key] = value
+        elif old != value:
+            out += [(i, 0, "-U", key, old), (i, 1, "+U", key, value)]
+            table[key] = value
+    return sorted(out), table
+
+
+@pytest.mark.parametrize("limit", [8, 10**9])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_normalize_any_sequence(spark, seed, limit):
+    rng = random.Random(seed)
+    # one key holds half of the messages
+    steps = [("h" if rng.random() < 0.5 else rng.choice("abcdef"), rng.choice([None, 1, 2, 3])) for _ in range(500)]
+    want, table = plain_normalize(steps)
+    changes = upserts(spark, *steps)
+    spark.conf.set("topiclake.rowsPerTask", str(limit))
+    try:
+        got = rows(C.normalize(changes, ["id"], columns=["v"]), "entry_id", "step", "row_kind", "id", "v")
+    finally:
+        spark.conf.unset("topiclake.rowsPerTask")
+    assert got == want
+    assert dict(rows(C.latest(changes, ["id"]), "id", "v")) == table
+
+
+@pytest.mark.parametrize("limit", [10, 10**9])
+def test_as_of_any_times(spark, limit):
+    rng = random.Random(11)
+    users = ["hot"] * 6 + list("abcdef")
+    left = [(i, rng.choice(users), rng.randrange(1000)) for i in range(600)]
+    right = sorted({(rng.choice(users), rng.randrange(1000)) for _ in range(300)})
+    versions = {}
+    for n, (user, since) in enumerate(right):
+        versions.setdefault(user, []).append((since, n, rng.random() < 0.2))
+
+    def match(user, t):
+        found = [v for v in versions.get(user, []) if v[0] <= t]
+        return None if not found or max(found)[2] else max(found)[1]
+
+    left_df = spark.createDataFrame([(i, u, at(t)) for i, u, t in left], "view INT, user STRING, viewed TIMESTAMP")
+    flat = [(u, at(since), n, gone) for u, vs in versions.items() for since, n, gone in vs]
+    right_df = spark.createDataFrame(flat, "user STRING, since TIMESTAMP, version INT, gone BOOLEAN")
+    want = [(i, match(u, t)) for i, u, t in left]
+    spark.conf.set("topiclake.rowsPerTask", str(limit))
+    try:
+        for few in (0, 1000):
+            joined = as_of_join(left_df, right_df, ["user"], "viewed", "since", deleted="gone", broadcast_versions=few)
+            assert rows(joined, "view", "version") == want
+    finally:
+        spark.conf.unset("topiclake.rowsPerTask")
+
+
 def test_latest_and_as_of(spark):
     changes = upserts(spark, ("a", 1), ("b", 5), ("a", None), ("c", 7), ("c", 8))
     assert rows(C.latest(changes, ["id"]), "id", "v") == [("b", 5), ("c", 8)]
