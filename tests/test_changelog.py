@@ -189,6 +189,19 @@ def test_slices_when_the_first_column_is_constant(spark):
     assert max(r["count"] for r in sizes) <= 60
 
 
+def test_the_count_can_be_skipped(spark):
+    spark.conf.set("topiclake.rowsPerTask", "0")
+    try:
+        assert add_slices(skewed(spark, 30), ["k"], ["t"]) is None
+    finally:
+        spark.conf.unset("topiclake.rowsPerTask")
+
+
+def test_latest_of_rows_with_maps(spark):
+    df = spark.sql("SELECT * FROM VALUES ('+U', 'a', 1, named_struct('m', map('x', 1))), ('+U', 'a', 2, named_struct('m', map('x', 2))) AS t(row_kind, id, n, s)")
+    assert C.latest(df, ["id"], ["n"]).select("s.m").first().m == {"x": 2}
+
+
 def test_order_must_be_a_number_or_time(spark, hot):
     df = spark.range(100).select(F.lit("a").alias("k"), F.col("id").cast("string").alias("o"))
     with pytest.raises(TypeError):

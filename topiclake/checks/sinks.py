@@ -13,7 +13,7 @@ from topiclake.operators.decode import decode
 from topiclake.operators.routing import route
 from topiclake.operators.sinks import due, to_messages, write
 from topiclake.plans.workspace import new_dir
-from topiclake.sources.starts import with_start
+from topiclake.sources.starts import high_water, with_start
 from topiclake.sources.topics import read_log, scan, stream_log
 from topiclake.streaming.sinks import start, write_stream
 from topiclake.streaming.upsert import normalize_stream
@@ -143,6 +143,21 @@ def commit_cursors(spark, folder):
     return rest.select("partition", "sequence_id")
 
 
+@check(
+    "resume_stored_log",
+    f"""WITH {EV}, mark AS (SELECT partition, MAX(event_id) AS last FROM ev WHERE publish_time < {CUT} GROUP BY 1)
+    SELECT partition, sequence_id, key FROM ev LEFT JOIN mark USING (partition) WHERE last IS NULL OR event_id > last""",
+)
+def resume_stored_log(spark, folder):
+    """Read on from saved positions of a stored log: directories and ledgers before them are skipped."""
+    path = new_dir(spark, "stored")
+    m = events(spark, folder)
+    write(m, path)
+    marks = high_water(m.where(f"publish_time < {CUT}"))
+    rest = with_start(scan(read_log(spark, path), topic="events"), "latest", marks=marks)
+    return rest.select("partition", "sequence_id", F.col("key").cast("string").alias("key"))
+
+
 def stored_in_parts(spark, m, parts: int, by: str):
     """Messages as a log of ``parts`` files per partition, cut along ``by`` so that streams read them in order."""
     path = new_dir(spark, "input")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from topiclake.envelope import ENVELOPE, KEY_ORDER
 from topiclake.operators.decode import as_struct, decode
@@ -94,7 +94,7 @@ def latest(changes: DataFrame, pk: list[str], order: list[str] | None = None) ->
 def _last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key that is last in ``order``."""
     rest = [c for c in rows.columns if c not in {*keys, *order}]
-    if any(isinstance(rows.schema[c].dataType, T.MapType) for c in rest):
+    if any("map<" in rows.schema[c].dataType.simpleString() for c in rest):
         # maps cannot be compared, so they cannot stand in the struct that is
         newest = F.max_by(F.struct(*order, *rest), F.struct(*order))
     else:

@@ -31,8 +31,10 @@ def hot_keys(df: DataFrame, keys: list[str]) -> dict[int, int]:
 
     Reads the key columns only and counts with map-side combine.  At most MAX_HOT_KEYS
     rows reach the driver.  A key that shares its hash with a hot one is sliced too,
-    which is harmless.
+    which is harmless.  A limit of 0 rows says that there are no hot keys and skips the count.
     """
+    if rows_per_task(df) == 0:
+        return {}
     counts = (
         df.select(F.xxhash64(*keys).alias("h"))
         .groupBy("h")
