@@ -186,11 +186,13 @@ def guard_data_loss(starts: DataFrame, marks: DataFrame, policy: str = "fail") -
     )
 
 
-def from_starts(m: DataFrame, starts: DataFrame) -> DataFrame:
+def from_starts(m: DataFrame, starts: DataFrame, *, fixed: bool = False) -> DataFrame:
     """Messages at or after the start of their partition.
 
     Partitions without a row were found later and are read from the earliest message.
-    From a stored log only files of ledgers that can hold such messages are read.
+    From a stored log only row groups of ledgers that can hold such messages are read.  A
+    stream may do so only if the starts are ``fixed``, the same at every restart, because
+    it then has two sources.
     """
     rows = small_rows(starts.select(*LOG, "start", "inclusive"))
     if rows is None:
@@ -198,7 +200,7 @@ def from_starts(m: DataFrame, starts: DataFrame) -> DataFrame:
     known = [row for row in rows if row["start"] is not None]
     side = F.broadcast(m.sparkSession.createDataFrame(rows, STARTS_DDL))
     stored = m.schema["partition"].metadata.get("topiclake.directory", False)
-    if m.isStreaming or not stored or not 0 < len(known) <= PRUNED_PARTITIONS:
+    if (m.isStreaming and not fixed) or not stored or not 0 < len(known) <= PRUNED_PARTITIONS:
         return _reached(m, side)
     by_topic: dict[str, list[int]] = {}
     for row in known:
@@ -250,7 +252,8 @@ def with_start(
             raise ValueError(f"a stream that starts at {mode} needs marks, see captured_marks")
         marks = small_side(high_water(m))
     if mode == "latest":
-        return from_starts(m, latest_starts(marks))
+        # the marks of the first start do not change, see captured_marks
+        return from_starts(m, latest_starts(marks), fixed=True)
     if mode == "specific-offsets":
         if positions is None:
             raise ValueError("'scan.startup.specific-offsets' is required in 'specific-offsets' startup mode but missing.")

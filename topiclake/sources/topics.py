@@ -16,10 +16,13 @@ from topiclake.plans.bounded import small_side
 DIRECTORY = {"topiclake.directory": True}
 
 
+def _stored(files: DataFrame) -> DataFrame:
+    return files.select(*[F.col(c).alias(c, metadata=DIRECTORY if c in LOG else {}) for c in ENVELOPE.names])
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """A stored log: parquet directories by commit, topic and partition."""
-    stored = spark.read.schema(ENVELOPE).parquet(path)
-    return stored.select(*[F.col(c).alias(c, metadata=DIRECTORY if c in LOG else {}) for c in ENVELOPE.names])
+    return _stored(spark.read.schema(ENVELOPE).parquet(path))
 
 
 def stream_log(
@@ -32,7 +35,7 @@ def stream_log(
     reader = spark.readStream.schema(ENVELOPE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    stream = reader.parquet(path).select(*ENVELOPE.names)
+    stream = _stored(reader.parquet(path))
     return stream if only is None else stream.join(small_side(only.select(*LOG)), LOG, "left_semi")
 
 
