@@ -47,8 +47,11 @@ def test_formats_of_one_column(spark, log):
 def test_key_and_value_own_the_same_field(spark, path):
     table = options(
         "k_id INT, id INT, name STRING",
-        {"key.format": "json", "key.fields": "k_id", "key.fields-prefix": "k_", "value.fields-include": "EXCEPT_KEY", "scan.startup.mode": "earliest", "sink.parallelism": "2"},
-    )
+        {
+            "key.format": "json", "key.fields": "k_id", "key.fields-prefix": "k_", "value.fields-include": "EXCEPT_KEY",
+            "scan.startup.mode": "earliest", "sink.parallelism": "2",
+        },
+    )
     where = path("table")
     data = spark.createDataFrame([(1, 10, "a"), (2, 20, None)], table.schema)
     insert_into(data, where, table, F.col("id"))

@@ -314,6 +314,27 @@ def test_temporal_stream_equals_batch(spark, path):
     assert rows(spark.read.parquet(out), "view", "name") == want
 
 
+def test_temporal_stream_keeps_rows_without_time_and_waits_for_versions(spark, path):
+    source, out = path("sides"), path("joined")
+    schema = both_sides(spark, 0, 1).schema
+
+    def part(n, *data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.parquet(f"{source}/part={n}")
+
+    # no version yet; then one that is older than the first view; the last part moves both sides on
+    part(0, ("left", "a", at(5), 1, None, None), ("left", "a", None, 2, None, None))
+    part(1, ("right", "a", at(3), None, "v3", False))
+    part(2, ("right", "a", at(9), None, "v9", False), ("left", "a", at(8), 3, None, None), ("left", "b", at(9), 4, None, None))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source).select(*schema.names)
+    as_of_join_stream(
+        stream, ["user"], "ts", ["view"], ["name", "gone"], path("state"), path("checkpoint"),
+        lambda df, n: df.write.mode("overwrite").parquet(f"{out}/part={n}"), deleted="gone",
+    ).awaitTermination()
+    got = spark.read.parquet(out)
+    assert rows(got, "view", "name") == [(1, "v3"), (2, None), (3, "v3"), (4, None)]
+    assert rows(got.where("part = 0"), "view") == [(2,)]
+
+
 def test_partition_watermarks_in_a_stream(spark, path):
     """Partition 1 is far ahead; rows of partition 0 are not late because of it."""
     first = messages(spark, [(0, 0, "a", "x", 10), (1, 1, "a", "x", 10_000)])

@@ -40,7 +40,8 @@ def order_rows(m):
 
 @check(
     "sink_topic",
-    "SELECT 'persistent://public/default/copy' AS topic, CAST(o_orderkey % 3 AS INTEGER) AS partition, o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    """SELECT 'persistent://public/default/copy' AS topic, CAST(o_orderkey % 3 AS INTEGER) AS partition, o_orderkey,
+      o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
 )
 def sink_topic(spark, folder):
     path = new_dir(spark, "sink")

@@ -26,6 +26,7 @@ def as_of_join_stream(
     *,
     delay_ms: int = 0,
     how: str = "left",
+    right_order: list[str] | None = None,
     deleted: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
@@ -57,18 +58,19 @@ def as_of_join_stream(
         marks = {r["side"]: r["high"] for r in highs.before(spark, batch_id + 1).collect()}
         old = kept.before(spark, batch_id)
         rows = fresh if old is None else old.select(*fields).unionByName(fresh)
-        if LEFT in marks and RIGHT in marks:
-            mark = F.timestamp_micros(F.lit(min(marks.values()) - delay_ms * 1000))
-        else:
-            mark = F.timestamp_micros(F.lit(-1))
-        left, right = rows.where(F.col("side") == LEFT), rows.where(F.col("side") == RIGHT)
+        # without rows of both sides nothing is final yet
+        mark = min(marks.values()) - delay_ms * 1000 if len(marks) == 2 else None
+        passed = F.lit(False) if mark is None else F.col(ts) <= F.timestamp_micros(F.lit(mark))
+        left, right = rows.where(F.col("side") == LEFT), rows.where((F.col("side") == RIGHT) & F.col(ts).isNotNull())
         versions = right.select(*on, F.col(ts).alias("version_time"), *right_columns)
-        final = left.where(F.col(ts) <= mark).select(*on, ts, *left_columns)
-        emit(as_of_join(final, versions, on, ts, "version_time", how, deleted=deleted), batch_id)
-        newest = right.where(F.col(ts) <= mark).groupBy(*on).agg(
-            F.max_by(F.struct(*[c for c in fields if c not in on]), F.col(ts)).alias("_newest")
-        )
-        still = rows.where(F.col(ts) > mark).unionByName(newest.select(*on, "_newest.*").select(*fields))
+        # a row without time matches nothing and waits for nothing
+        final = left.where(F.col(ts).isNull() | passed).select(*on, ts, *left_columns)
+        joined = as_of_join(final, versions, on, ts, "version_time", how, right_order=right_order, deleted=deleted)
+        emit(joined, batch_id)
+        order = F.struct(ts, *(right_order or []))
+        rest = F.struct(*[c for c in fields if c not in on])
+        newest = right.where(passed).groupBy(*on).agg(F.max_by(rest, order).alias("_newest"))
+        still = rows.where(F.col(ts).isNotNull() & ~passed).unionByName(newest.select(*on, "_newest.*").select(*fields))
         kept.put(still, batch_id)
 
     return start(both, each_batch, checkpoint, available_now=available_now)
