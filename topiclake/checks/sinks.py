@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from topiclake.checks import check
 from topiclake.checks.scans import MURMUR
-from topiclake.checks.topics import EV, EVENT_DDL, LINE_DDL, ORDER_DDL, events, json_bytes, lineitem, ntz, table
+from topiclake.checks.topics import EV, EVENT_DDL, LINE_DDL, ORD, ORDER_DDL, events, json_bytes, lineitem, ntz, orders, table
 from topiclake.operators import cursors as K, eventtime as E
 from topiclake.operators.changelog import decode_upsert, latest
 from topiclake.operators.decode import decode
@@ -16,6 +16,7 @@ from topiclake.plans.workspace import new_dir
 from topiclake.sources.starts import high_water, with_start
 from topiclake.sources.topics import read_log, scan, stream_log
 from topiclake.streaming.sinks import start, write_stream
+from topiclake.streaming.temporal import as_of_join_stream
 from topiclake.streaming.upsert import normalize_stream
 
 CUT = "TIMESTAMP '2024-01-20 00:00:00'"
@@ -221,3 +222,48 @@ def stream_changelog_normalize(spark, folder):
     return latest(spark.read.parquet(path), ["user_id"], order).select("user_id", "event_type", "value")
 
 
+
+
+@check(
+    "sink_at_least_once",
+    f"WITH {ORD} SELECT partition, sequence_id FROM ord",
+)
+def sink_at_least_once(spark, folder):
+    """Every order arrives at least once; here nothing fails, so exactly once."""
+    source = stored_in_parts(spark, orders(spark, folder), 2, "sequence_id")
+    path, checkpoint = new_dir(spark, "least"), new_dir(spark, "checkpoint")
+    write_stream(stream_log(spark, source, files_per_batch=4), path, checkpoint, "at-least-once").awaitTermination()
+    return read_log(spark, path).select("partition", "sequence_id")
+
+
+@check(
+    "stream_temporal_join",
+    """WITH views AS (SELECT event_id AS view_id, user_id, ts FROM events WHERE event_type = 'view'),
+    versions AS (SELECT user_id, ts AS since, value AS price, event_type = 'error' AS gone FROM events WHERE event_type IN ('purchase', 'error')),
+    mark AS (SELECT LEAST((SELECT MAX(ts) FROM views), (SELECT MAX(since) FROM versions)) AS mark)
+    SELECT view_id, v.user_id, CASE WHEN NOT gone THEN price END AS price FROM views v CROSS JOIN mark
+    ASOF LEFT JOIN versions r ON v.user_id = r.user_id AND v.ts >= r.since WHERE v.ts <= mark""",
+)
+def stream_temporal_join(spark, folder):
+    """Views with the price of the user at their time, in three micro-batches; the last views are not final yet."""
+    source = stored_in_parts(spark, events(spark, folder), 3, "sequence_id")
+    path, state, checkpoint = (new_dir(spark, name) for name in ("joined", "state", "checkpoint"))
+    kind = F.col("properties")["type"]
+    value = F.when(kind == "purchase", F.get_json_object(F.col("value").cast("string"), "$.value").cast("double"))
+    both = (
+        stream_log(spark, source, files_per_batch=4)
+        .where(kind.isin("view", "purchase", "error"))
+        .select(
+            F.when(kind == "view", "left").otherwise("right").alias("side"),
+            F.col("key").cast("string").cast("bigint").alias("user_id"),
+            "publish_time",
+            F.when(kind == "view", F.col("sequence_id")).alias("view_id"),
+            value.alias("price"),
+            (kind == "error").alias("gone"),
+        )
+    )
+    as_of_join_stream(
+        both, ["user_id"], "publish_time", ["view_id"], ["price", "gone"], state, checkpoint,
+        lambda df, n: df.write.mode("overwrite").parquet(f"{path}/part={n}"), deleted="gone",
+    ).awaitTermination()
+    return spark.read.parquet(path).select("view_id", "user_id", "price")
