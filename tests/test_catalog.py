@@ -173,11 +173,11 @@ def test_agreement_and_compatibility(spark):
     assert R.check_same_schema(reg, [])["schema_type"] == "NONE"
     assert R.check_same_schema(reg, ["unknown"])["schema_type"] == "BYTES"
     for bad in (["a", "c"], ["a", "unknown"]):
-        with pytest.raises(R.IncompatibleSchema, match="2 distinct schemas"):
+        with pytest.raises(R.IncompatibleSchema, match="these have 2"):
             R.check_same_schema(reg, bad)
     # the same schema again changes nothing, another one is refused
     assert R.register_schema(reg, "a", struct("id INT, s STRING"), "JSON").count() == 3
-    with pytest.raises(R.IncompatibleSchema, match="incompatible schema"):
+    with pytest.raises(R.IncompatibleSchema, match="another schema"):
         R.register_schema(reg, "a", struct("id INT"), "JSON")
     none = {"schema_type": "NONE", "definition": ""}
     assert R.compatible(none, {"schema_type": "BYTES", "definition": ""})

@@ -116,6 +116,12 @@ def test_atomic(spark, name, kind, values, wanted):
     assert got == [*values, None]
 
 
+@pytest.mark.parametrize("name", ["INT32", "DOUBLE", "LOCAL_DATE", "BOOLEAN"])
+def test_atomic_size_is_checked(spark, name):
+    with pytest.raises(Exception, match="bytes, not 3"):
+        spark.range(1).select(D.decode_atomic(F.lit(b"abc"), name)).collect()
+
+
 def test_atomic_nan_and_time(spark):
     nan = spark.range(1).select(D.decode_atomic(D.encode_atomic(F.lit(float("nan")), "DOUBLE"), "DOUBLE").alias("x"))
     assert math.isnan(nan.first().x)
@@ -161,7 +167,7 @@ def test_key_overwrites_value_and_prefix(spark):
 
 def test_missing_value_is_an_error_unless_upsert(spark):
     df = spark.sql("SELECT named_struct('id', 1) AS k, CAST(NULL AS STRUCT<x: INT>) AS data, CAST(NULL AS BINARY) AS value")
-    with pytest.raises(Exception, match="non-upsert mode"):
+    with pytest.raises(Exception, match="not read in upsert mode"):
         assemble(df, ["id", "x"], key="k", key_fields=["id"]).collect()
     assert assemble(df, ["id", "x"], key="k", key_fields=["id"], upsert=True).collect() == [("-D", 1, None)]
 

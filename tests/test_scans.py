@@ -100,7 +100,7 @@ def test_data_loss(spark, log):
     for policy, count in (("earliest", 9), ("last", 1)):
         got = S.from_starts(log, S.guard_data_loss(starts, marks, policy))
         assert got.groupBy("partition").count().collect() == [(1, count)]
-    with pytest.raises(Exception, match="beyond the last commit"):
+    with pytest.raises(Exception, match="beyond the last message"):
         S.guard_data_loss(starts, marks, "fail").collect()
     with pytest.raises(ValueError):
         S.guard_data_loss(starts, marks, "ignore")

@@ -55,7 +55,7 @@ def test_files_are_in_log_order(spark, path):
 
 
 def test_sink_takes_one_topic(spark):
-    with pytest.raises(ValueError, match="single topic"):
+    with pytest.raises(ValueError, match="one topic"):
         W.to_messages(spark.range(1), topic="a,b", value=F.lit(b""), sequence=F.col("id"))
     with pytest.raises(ValueError, match="read-only"):
         W.check_writable(["eventTime", "topic"])

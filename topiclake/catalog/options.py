@@ -35,10 +35,44 @@ DEFAULTS = {
 }
 
 
+# Texts of the errors, as users of such table options know them.
+MESSAGES = {
+    "both topics": "Option 'topic' and 'topic-pattern' shouldn't be set together.",
+    "no topic": "Either 'topic' or 'topic-pattern' must be set.",
+    "startup mode": "Invalid value for option 'scan.startup.mode'. Supported values are "
+    "[earliest, latest, specific-offsets, external-subscription], but was: {mode}",
+    "startup option": "'{option}' is required in '{mode}' startup mode but missing.",
+    "single topic": "the sink currently only supports single topic, but got '{option}': {value}.",
+    "router": "Option 'sink.message-router' should be a non-empty string.",
+    "semantic": "Unsupported value '{semantic}' for 'sink.semantic'. "
+    "Supported values are ['at-least-once', 'exactly-once', 'none'].",
+    "key format": "The option 'key.fields' can only be declared if a key format is defined using 'key.format'.",
+    "key fields": "A key format 'key.format' requires the declaration of one or more of key fields using 'key.fields'.",
+    "key field": "Could not find the field '{name}' in the table schema for usage in the key format. "
+    "A key field must be a regular, physical column. "
+    "The following columns can be selected in the 'key.fields' option:\n{columns}",
+    "key prefix": "All fields in 'key.fields' must be prefixed with '{prefix}' when option "
+    "'key.fields-prefix' is set but field '{name}' is not prefixed.",
+    "prefix with all": "A key prefix is not allowed when option 'value.fields-include' is set to 'ALL'. "
+    "Set it to 'EXCEPT_KEY' instead to avoid field overlaps.",
+    "primary key": "The table with '{format}' format doesn't support defining PRIMARY KEY constraint "
+    "on the table, because it can't guarantee the semantic of primary key.",
+    "upsert topics": "The upsert table doesn't support topic list now. "
+    "Please use single topic as the value of the parameter 'topic'.",
+    "upsert format": "upsert table doesn't support '{format}' as {part} format, because '{format}' is not in insert-only mode.",
+    "upsert key": "upsert tables require to define a PRIMARY KEY constraint. "
+    "The PRIMARY KEY specifies which columns should be read from or write to the message key.",
+}
+
+
 class OptionError(ValueError):
     """An option that is missing, wrong or does not go with another."""
 
 
+def refuse(name: str, **values: object) -> OptionError:
+    return OptionError(MESSAGES[name].format(**values))
+
+
 def case_folded(options: Mapping[str, str]) -> dict[str, str]:
     return {k.lower(): v for k, v in options.items()}
 
@@ -56,76 +90,62 @@ def topic_list(value: str | None) -> list[str]:
 def validate_source(options: Mapping[str, str]) -> None:
     """Topic and startup mode of a table that is read."""
     if "topic" in options and "topic-pattern" in options:
-        raise OptionError("Option 'topic' and 'topic-pattern' shouldn't be set together.")
+        raise refuse("both topics")
     if "topic" not in options and "topic-pattern" not in options:
-        raise OptionError("Either 'topic' or 'topic-pattern' must be set.")
+        raise refuse("no topic")
     mode = options.get("scan.startup.mode", DEFAULTS["scan.startup.mode"]).lower()
     if mode not in STARTUP_MODES:
-        raise OptionError(
-            "Invalid value for option 'scan.startup.mode'. Supported values are "
-            f"[earliest, latest, specific-offsets, external-subscription], but was: {mode}"
-        )
+        raise refuse("startup mode", mode=mode)
     needed = {
         "external-subscription": "scan.startup.sub-name",
         "specific-offsets": "scan.startup.specific-offsets",
         "timestamp": "scan.startup.timestamp-millis",
     }
     if mode in needed and needed[mode] not in options:
-        raise OptionError(f"'{needed[mode]}' is required in '{mode}' startup mode but missing.")
+        raise refuse("startup option", option=needed[mode], mode=mode)
 
 
 def validate_sink(options: Mapping[str, str]) -> None:
     """Topic, router and semantic of a table that is written."""
     if len(topic_list(options.get("topic"))) != 1:
-        what = "topic-pattern" if "topic-pattern" in options else "topic"
-        raise OptionError(f"the sink currently only supports single topic, but got '{what}': {options.get(what)}.")
+        option = "topic-pattern" if "topic-pattern" in options else "topic"
+        raise refuse("single topic", option=option, value=options.get(option))
     if options.get("sink.message-router") == "":
-        raise OptionError("Option 'sink.message-router' should be a non-empty string.")
+        raise refuse("router")
     semantic = options.get("sink.semantic", DEFAULTS["sink.semantic"])
     if semantic not in SEMANTICS:
-        raise OptionError(
-            f"Unsupported value '{semantic}' for 'sink.semantic'. "
-            "Supported values are ['at-least-once', 'exactly-once', 'none']."
-        )
+        raise refuse("semantic", semantic=semantic)
 
 
 def key_columns(schema: T.StructType, options: Mapping[str, str]) -> list[str]:
     """Columns stored in the key, in the order of ``key.fields``."""
-    fmt, fields = options.get("key.format"), topic_list(options.get("key.fields"))
-    if fmt is None and "key.fields" in options:
-        raise OptionError("The option 'key.fields' can only be declared if a key format is defined using 'key.format'.")
-    if fmt is not None and not fields:
-        raise OptionError("A key format 'key.format' requires the declaration of one or more of key fields using 'key.fields'.")
+    fields = topic_list(options.get("key.fields"))
+    if "key.format" not in options:
+        if "key.fields" in options:
+            raise refuse("key format")
+        return []
+    if not fields:
+        raise refuse("key fields")
     prefix = options.get("key.fields-prefix", "")
     for name in fields:
         if name not in schema.names:
-            raise OptionError(
-                f"Could not find the field '{name}' in the table schema for usage in the key format. "
-                "A key field must be a regular, physical column. "
-                f"The following columns can be selected in the 'key.fields' option:\n{schema.names}"
-            )
+            raise refuse("key field", name=name, columns=schema.names)
         if not name.startswith(prefix):
-            raise OptionError(
-                f"All fields in 'key.fields' must be prefixed with '{prefix}' when option "
-                f"'key.fields-prefix' is set but field '{name}' is not prefixed."
-            )
+            raise refuse("key prefix", prefix=prefix, name=name)
     return fields
 
 
 def value_columns(schema: T.StructType, options: Mapping[str, str]) -> list[str]:
     """Columns stored in the value: all of them, or those that are not in the key."""
     include = options.get("value.fields-include", ALL)
-    if include == ALL:
-        if options.get("key.fields-prefix"):
-            raise OptionError(
-                "A key prefix is not allowed when option 'value.fields-include' is set to 'ALL'. "
-                "Set it to 'EXCEPT_KEY' instead to avoid field overlaps."
-            )
-        return list(schema.names)
-    if include != EXCEPT_KEY:
+    if include == EXCEPT_KEY:
+        keys = set(key_columns(schema, options))
+        return [n for n in schema.names if n not in keys]
+    if include != ALL:
         raise OptionError(f"Invalid value for option 'value.fields-include': {include}")
-    keys = set(key_columns(schema, options))
-    return [n for n in schema.names if n not in keys]
+    if options.get("key.fields-prefix"):
+        raise refuse("prefix with all")
+    return list(schema.names)
 
 
 def check_schema_mode(mode: str | None) -> str:
@@ -150,28 +170,18 @@ class TableOptions:
         if self.upsert:
             self._check_upsert(opts)
         elif self.primary_key and self.value_format not in CHANGELOG_FORMATS:
-            raise OptionError(
-                f"The table with '{self.value_format}' format doesn't support defining PRIMARY KEY constraint "
-                "on the table, because it can't guarantee the semantic of primary key."
-            )
+            raise refuse("primary key", format=self.value_format)
         self.key_columns, self.value_columns  # noqa: B018  the rules are checked by computing them
 
     def _check_upsert(self, opts: dict[str, str]) -> None:
         if len(topic_list(opts.get("topic"))) > 1:
-            raise OptionError(
-                "The upsert table doesn't support topic list now. Please use single topic as the value of the parameter 'topic'."
-            )
+            raise refuse("upsert topics")
         for part in ("key", "value"):
             fmt = opts.get(f"{part}.format")
             if fmt in CHANGELOG_FORMATS:
-                raise OptionError(
-                    f"upsert table doesn't support '{fmt}' as {part} format, because '{fmt}' is not in insert-only mode."
-                )
+                raise refuse("upsert format", format=fmt, part=part)
         if not self.primary_key:
-            raise OptionError(
-                "upsert tables require to define a PRIMARY KEY constraint. "
-                "The PRIMARY KEY specifies which columns should be read from or write to the message key."
-            )
+            raise refuse("upsert key")
         if "key.fields" in opts:
             raise OptionError("'key.fields' cannot be set, an upsert table uses its PRIMARY KEY")
         opts["key.fields"] = ",".join(self.primary_key)

@@ -78,7 +78,7 @@ def _add(registry: DataFrame, row: tuple[str, str, str, str]) -> DataFrame:
 
 def create_database(registry: DataFrame, database: str, *, ignore_if_exists: bool = False) -> DataFrame:
     if not is_generic(database):
-        raise CatalogError("Can't create tenant/namespace mapped database")
+        raise CatalogError(f"{database} would be mapped from topics, it cannot be created")
     if database_exists(registry, database):
         if ignore_if_exists:
             return registry
@@ -90,7 +90,7 @@ def drop_database(
     registry: DataFrame, database: str, *, cascade: bool = False, ignore_if_not_exists: bool = False
 ) -> DataFrame:
     if not is_generic(database):
-        raise CatalogError("Can't drop tenant/namespace mapped database")
+        raise CatalogError(f"{database} is mapped from topics, it cannot be dropped")
     if not database_exists(registry, database):
         if ignore_if_not_exists:
             return registry
@@ -111,7 +111,7 @@ def create_table(
 ) -> DataFrame:
     """The registry with a new table; nothing is changed when its definition cannot be stored."""
     if not is_generic(database):
-        raise CatalogError(f"Can't create generic table under tenant/namespace: {database}")
+        raise CatalogError(f"{database} is mapped from topics, tables cannot be created in it")
     if not database_exists(registry, database):
         raise CatalogError(f"database {database} does not exist")
     if table_exists(registry, database, table):
@@ -121,13 +121,13 @@ def create_table(
     try:
         definition = json.dumps(to_props(schema, options or {}), sort_keys=True)
     except (TypeError, ValueError) as error:
-        raise CatalogError("Can't store table metadata") from error
+        raise CatalogError(f"the definition of {table} cannot be stored") from error
     return _add(registry, (topic_name(database, table), TABLE_TYPE, definition, ""))
 
 
 def drop_table(registry: DataFrame, database: str, table: str, *, ignore_if_not_exists: bool = False) -> DataFrame:
     if not is_generic(database):
-        raise CatalogError("Can't delete a mapped topic")
+        raise CatalogError(f"{table} is a mapped topic, it cannot be dropped")
     if not table_exists(registry, database, table):
         if ignore_if_not_exists:
             return registry

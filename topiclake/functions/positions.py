@@ -61,8 +61,7 @@ def parse_positions(spark: SparkSession, text: str) -> DataFrame:
             ledger, entry, partition = (int(p) for p in parts)
         except ValueError:
             raise ValueError(
-                "Invalid properties 'scan.startup.specific-offsets' should follow the format "
-                f"messageId with partition'42:1012:0;44:1011:1', but is '{text}'."
+                f"positions are written ledger:entry:partition and separated by semicolons, not {text!r}"
             ) from None
         found[partition] = (partition, ledger, entry)
     if not found:

@@ -106,6 +106,6 @@ def assemble(
     if upsert:
         absent = F.col("value").isNull() | (F.length("value") == 0)
         return rows.select(F.when(absent, "-D").otherwise("+U").alias("row_kind"), *out)
-    message = "Invalid null value received in non-upsert mode. Could not to set row kind for output record."
+    message = "a message has no value, but the table is not read in upsert mode"
     checked = F.when(F.col(value).isNull(), F.raise_error(F.lit(message))).otherwise(F.lit(True))
     return rows.where(checked).select(*out)

@@ -102,9 +102,9 @@ def check_json_options(options: dict[str, str]) -> None:
     if encoding is None or lowered.get("multiline", "false").lower() == "true":
         return
     if encoding.upper() in _WIDE_ENCODINGS:
-        raise ValueError(f"The {encoding} encoding must not be included in the blacklist when multiLine is disabled")
+        raise ValueError(f"{encoding} text can only be read with multiLine")
     if encoding.upper() != "UTF-8" and line_sep is None:
-        raise ValueError(f"The lineSep must be specified for the {encoding} encoding")
+        raise ValueError(f"{encoding} text needs a lineSep")
 
 
 def parse_mode(mode: str | None) -> str:
@@ -203,6 +203,8 @@ def quarantine(
 # raw and atomic -------------------------------------------------------------------
 
 _INT_BYTES = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8}
+# Bytes of the types that always have the same size.
+_SIZES = {"boolean": 1, **_INT_BYTES, "float": 4, "double": 8, "date": 8, "time": 8, "timestamp_ntz": 16, "timestamp": 12}
 _ALIASES = {
     "int8": "tinyint", "byte": "tinyint", "int16": "smallint", "short": "smallint", "int32": "int",
     "integer": "int", "int64": "bigint", "long": "bigint", "bytes": "binary", "none": "binary",
@@ -223,29 +225,30 @@ def decode_raw(source: Column, kind: str | T.DataType = "string") -> Column:
 
 
 def _unsigned(source: Column, start: int, size: int) -> Column:
-    """``size`` big-endian bytes from byte ``start`` (1-based) as a DECIMAL(20,0)."""
-    return F.conv(F.hex(F.substring(source, start, size)), 16, 10).cast("decimal(20,0)")
+    """Up to four big-endian bytes from byte ``start`` (1-based)."""
+    return F.conv(F.hex(F.substring(source, start, size)), 16, 10).cast("bigint")
 
 
 def _signed(source: Column, start: int, size: int, name: str = "bigint") -> Column:
-    raw = _unsigned(source, start, size)
-    limit = 1 << (8 * size - 1)
-    return F.when(raw >= F.lit(str(limit)).cast("decimal(20,0)"), raw - F.lit(str(2 * limit)).cast("decimal(20,0)")).otherwise(raw).cast(name)
+    if size == 8:
+        high, low = _unsigned(source, start, 4), _unsigned(source, start + 4, 4)
+        return F.shiftleft(high, 32).bitwiseOR(low).cast(name)
+    top = F.lit(1 << (8 * size - 1)).cast("bigint")
+    return (_unsigned(source, start, size).bitwiseXOR(top) - top).cast(name)
 
 
 def _floating(source: Column, exponent_bits: int, fraction_bits: int) -> Column:
     """IEEE 754 bits as a DOUBLE; every step is exact because it scales by powers of two."""
-    size = (1 + exponent_bits + fraction_bits) // 8
-    bits = _signed(source, 1, size)
+    bits = _signed(source, 1, (1 + exponent_bits + fraction_bits) // 8)
     top, bias = (1 << exponent_bits) - 1, (1 << (exponent_bits - 1)) - 1
     sign = F.when(bits < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     exponent = F.shiftright(bits, fraction_bits).bitwiseAND(F.lit(top))
     fraction = bits.bitwiseAND(F.lit((1 << fraction_bits) - 1))
-    scaled = fraction.cast("double") * F.pow(F.lit(2.0), F.lit(float(-fraction_bits)))
+    scaled = fraction.cast("double") * F.lit(2.0**-fraction_bits)
     return (
         F.when((exponent == top) & (fraction != 0), F.lit(float("nan")))
         .when(exponent == top, sign * F.lit(float("inf")))
-        .when(exponent == 0, sign * scaled * F.pow(F.lit(2.0), F.lit(float(1 - bias))))
+        .when(exponent == 0, sign * scaled * F.lit(2.0 ** (1 - bias)))
         .otherwise(sign * (scaled + 1.0) * F.pow(F.lit(2.0), (exponent - bias).cast("double")))
     )
 
@@ -268,6 +271,9 @@ def decode_atomic(source: Column, kind: str | T.DataType) -> Column:
         return source.cast("binary")
     if name == "string":
         return source.cast("string")
+    if name in _SIZES:
+        wrong = F.concat(F.lit(f"size of a {name} is {_SIZES[name]} bytes, not "), F.length(source))
+        source = F.when((F.length(source) != _SIZES[name]), F.raise_error(wrong).cast("binary")).otherwise(source)
     if name == "boolean":
         return F.hex(source) != "00"
     if name in _INT_BYTES:

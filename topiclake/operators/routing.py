@@ -30,9 +30,7 @@ def route_column(
         return F.when(F.col(key).isNull(), F.raise_error(F.lit("key-hash routing needs a message key"))).otherwise(hashed)
     if router == "round-robin":
         return F.pmod(F.col(sequence), F.lit(partitions)).cast("int")
-    if not router:
-        raise ValueError("Option 'sink.message-router' should be a non-empty string.")
-    raise ValueError(f"unknown router {router}; give a function (key, n) -> Column")
+    raise ValueError(f"unknown router {router!r}; give one of {ROUTERS} or a function (key, n) -> Column")
 
 
 def route(

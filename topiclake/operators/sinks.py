@@ -38,7 +38,7 @@ def to_messages(
     properties without a value are dropped.  A fixed delay counts from the publish time.
     """
     if "," in topic:
-        raise ValueError(f"the sink currently only supports single topic, but got 'topic': {topic}.")
+        raise ValueError(f"a sink writes one topic, not {topic!r}")
     target = F.lit(full_name(topic))
     published = F.current_timestamp() if publish_time is None else publish_time
     if deliver_at is None and delay_ms > 0:

@@ -86,7 +86,7 @@ def specific_starts(marks: DataFrame, positions: DataFrame) -> DataFrame:
     unknown = positions.join(marks, LOG, "left_anti").take(5)
     if unknown:
         names = [f"{r['topic']}-partition-{r['partition']}" for r in unknown]
-        raise ValueError(f"Topics specified in specific offsets do not exist: {names}")
+        raise ValueError(f"positions are given for partitions that do not exist: {names}")
     return positions.select(*LOG, "start", F.lit(True).alias("inclusive")).unionByName(
         latest_starts(marks.join(positions, LOG, "left_anti"))
     )
@@ -103,7 +103,7 @@ def subscription_starts(
     current = cursors.where(F.col("subscription") == subscription)
     if "active" in cursors.columns and current.where("active").take(1):
         raise RuntimeError(
-            f"subscription {subscription} is used by another consumer, exactly-once reading cannot be guaranteed"
+            f"subscription {subscription} is held by another consumer, messages could be read twice"
         )
     entry = F.when(F.col("entry_id") == -1, F.lit(-1)).otherwise(F.col("entry_id") + 1)
     at = F.struct(F.col("ledger_id"), entry.alias("entry_id"), F.lit(-1).alias("batch_index"))
@@ -175,7 +175,7 @@ def guard_data_loss(starts: DataFrame, marks: DataFrame, policy: str = "fail") -
     if policy == "fail":
         start = F.when(
             F.col("beyond"),
-            F.raise_error(F.concat(F.lit("start message id beyond the last commit: "), F.col("topic"))),
+            F.raise_error(F.concat(F.lit("the start lies beyond the last message of "), F.col("topic"))),
         ).otherwise(F.col("start"))
         return joined.select(*LOG, start.alias("start"), "inclusive")
     reset = F.lit(None) if policy == "earliest" else F.col("last")
@@ -243,7 +243,7 @@ def with_start(
         return m
     if mode == "timestamp":
         if timestamp_ms is None or not 0 <= timestamp_ms <= time.time() * 1000:
-            raise ValueError(f"The provided value for the startup timestamp {timestamp_ms} is invalid")
+            raise ValueError(f"the start time {timestamp_ms} is not between 0 and now")
         return m.where(F.col("publish_time") >= F.timestamp_millis(F.lit(timestamp_ms)))
     if mode not in ("latest", "specific-offsets", "external-subscription"):
         raise ValueError(f"unknown startup mode {mode}")
@@ -256,12 +256,12 @@ def with_start(
         return from_starts(m, latest_starts(marks), fixed=True)
     if mode == "specific-offsets":
         if positions is None:
-            raise ValueError("'scan.startup.specific-offsets' is required in 'specific-offsets' startup mode but missing.")
+            raise ValueError("the mode specific-offsets needs positions")
         if not isinstance(positions, DataFrame):
             positions = position_rows(m.sparkSession, positions)
         return from_starts(m, specific_starts(marks, positions))
     if cursors is None or subscription is None:
-        raise ValueError("'scan.startup.sub-name' is required in 'external-subscription' startup mode but missing.")
+        raise ValueError("the mode external-subscription needs a subscription and its cursors")
     return from_starts(m, subscription_starts(marks, cursors, subscription, default))
 
 

@@ -51,16 +51,16 @@ def scan(
     ``topic`` is a partition directory of a stored log, so the condition prunes files.
     """
     if sum(option is not None for option in (topic, topics, pattern)) != 1:
-        raise ValueError("You should specify topic(s) using one of the topic options: topic,topics,topicspattern")
+        raise ValueError("give exactly one of topic, topics and pattern")
     if topic is not None:
         if "," in topic:
-            raise ValueError("Use `topics` instead of `topic` for multi topic read")
+            raise ValueError(f"{topic!r} names several topics, give them as topics")
         return log.where(F.col("topic") == full_name(topic))
     if topics is not None:
         names = topics.split(",") if isinstance(topics, str) else topics
         names = [n.strip() for n in names if n.strip()]
         if not names:
-            raise ValueError(f"No topics is specified for read with option{topics}")
+            raise ValueError(f"no topic is named in {topics!r}")
         return log.where(F.col("topic").isin([full_name(n) for n in names]))
     return log.where(matches(pattern))
 
@@ -68,7 +68,7 @@ def scan(
 def matches(pattern: str) -> Column:
     """Condition on ``topic``: regex over ``tenant/ns/name``, within the namespace the pattern names."""
     if not pattern.strip():
-        raise ValueError("TopicsPattern is empty")
+        raise ValueError("the topic pattern is empty")
     path = full_name(pattern).split("://", 1)[1]
     namespace = "/".join(path.split("/")[:2])
     re.compile(path)

@@ -60,9 +60,7 @@ def batch_writer(
     kept below ``quarantine_path``.
     """
     if semantic not in SEMANTICS:
-        raise ValueError(
-            f"Unsupported value '{semantic}' for 'sink.semantic'. Supported values are {list(SEMANTICS)}."
-        )
+        raise ValueError(f"semantic must be one of {SEMANTICS}, not {semantic!r}")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         messages = source(batch) if source else batch
