@@ -69,8 +69,8 @@ class OptionError(ValueError):
     """An option that is missing, wrong or does not go with another."""
 
 
-def refuse(name: str, **values: object) -> OptionError:
-    return OptionError(MESSAGES[name].format(**values))
+def refuse(message: str, **values: object) -> OptionError:
+    return OptionError(MESSAGES[message].format(**values))
 
 
 def case_folded(options: Mapping[str, str]) -> dict[str, str]:
