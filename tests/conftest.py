@@ -20,9 +20,9 @@ def spark():
 @pytest.fixture
 def hot(spark):
     """Every key with more than a handful of rows counts as hot."""
-    spark.conf.set("topiclake.rowsPerTask", "5")
+    spark.conf.set("spark.topiclake.rowsPerTask", "5")
     yield
-    spark.conf.unset("topiclake.rowsPerTask")
+    spark.conf.unset("spark.topiclake.rowsPerTask")
 
 
 @pytest.fixture

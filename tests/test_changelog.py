@@ -65,11 +65,11 @@ def test_normalize_any_sequence(spark, seed, limit):
     steps = [("h" if rng.random() < 0.5 else rng.choice("abcdef"), rng.choice([None, 1, 2, 3])) for _ in range(500)]
     want, table = plain_normalize(steps)
     changes = upserts(spark, *steps)
-    spark.conf.set("topiclake.rowsPerTask", str(limit))
+    spark.conf.set("spark.topiclake.rowsPerTask", str(limit))
     try:
         got = rows(C.normalize(changes, ["id"], columns=["v"]), "entry_id", "step", "row_kind", "id", "v")
     finally:
-        spark.conf.unset("topiclake.rowsPerTask")
+        spark.conf.unset("spark.topiclake.rowsPerTask")
     assert got == want
     assert dict(rows(C.latest(changes, ["id"]), "id", "v")) == table
 
@@ -92,13 +92,13 @@ def test_as_of_any_times(spark, limit):
     flat = [(u, at(since), n, gone) for u, vs in versions.items() for since, n, gone in vs]
     right_df = spark.createDataFrame(flat, "user STRING, since TIMESTAMP, version INT, gone BOOLEAN")
     want = [(i, match(u, t)) for i, u, t in left]
-    spark.conf.set("topiclake.rowsPerTask", str(limit))
+    spark.conf.set("spark.topiclake.rowsPerTask", str(limit))
     try:
         for few in (0, 1000):
             joined = as_of_join(left_df, right_df, ["user"], "viewed", "since", deleted="gone", broadcast_versions=few)
             assert rows(joined, "view", "version") == want
     finally:
-        spark.conf.unset("topiclake.rowsPerTask")
+        spark.conf.unset("spark.topiclake.rowsPerTask")
 
 
 def test_latest_and_as_of(spark):
@@ -157,20 +157,20 @@ def test_last_before_is_the_same_with_slices(spark, backwards, limit):
     sort = [F.col("t").desc(), F.col("i").desc()] if backwards else ["t", "i"]
     window = Window.partitionBy("k").orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
     want = rows(df.withColumn("p", F.last("v", ignorenulls=True).over(window)), "k", "i", "p")
-    spark.conf.set("topiclake.rowsPerTask", str(limit))
+    spark.conf.set("spark.topiclake.rowsPerTask", str(limit))
     try:
         assert rows(last_before(df, ["k"], ["t", "i"], "v", "p", backwards=backwards), "k", "i", "p") == want
     finally:
-        spark.conf.unset("topiclake.rowsPerTask")
+        spark.conf.unset("spark.topiclake.rowsPerTask")
 
 
 def test_slices_are_bounded_and_in_order(spark):
     df = skewed(spark)
-    spark.conf.set("topiclake.rowsPerTask", "50")
+    spark.conf.set("spark.topiclake.rowsPerTask", "50")
     try:
         sliced = add_slices(df, ["k"], ["t", "i"])
     finally:
-        spark.conf.unset("topiclake.rowsPerTask")
+        spark.conf.unset("spark.topiclake.rowsPerTask")
     hot = sliced.where("_slice >= 0")
     assert {r.k for r in hot.select("k").distinct().collect()} == {"hot"}
     sizes = [r["count"] for r in hot.groupBy("_slice").count().collect()]
@@ -181,20 +181,20 @@ def test_slices_are_bounded_and_in_order(spark):
 
 def test_slices_when_the_first_column_is_constant(spark):
     df = skewed(spark).withColumn("ledger", F.lit(4).cast("bigint")).withColumn("far", F.col("i").cast("bigint") * F.lit(10**12))
-    spark.conf.set("topiclake.rowsPerTask", "50")
+    spark.conf.set("spark.topiclake.rowsPerTask", "50")
     try:
         sizes = add_slices(df, ["k"], ["ledger", "far", "i"]).where("_slice >= 0").groupBy("_slice").count().collect()
     finally:
-        spark.conf.unset("topiclake.rowsPerTask")
+        spark.conf.unset("spark.topiclake.rowsPerTask")
     assert max(r["count"] for r in sizes) <= 60
 
 
 def test_the_count_can_be_skipped(spark):
-    spark.conf.set("topiclake.rowsPerTask", "0")
+    spark.conf.set("spark.topiclake.rowsPerTask", "0")
     try:
         assert add_slices(skewed(spark, 30), ["k"], ["t"]) is None
     finally:
-        spark.conf.unset("topiclake.rowsPerTask")
+        spark.conf.unset("spark.topiclake.rowsPerTask")
 
 
 def test_latest_of_rows_with_maps(spark):

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 #: rows of one key that a single task may sort; override with this session setting
-ROWS_PER_TASK_KEY = "topiclake.rowsPerTask"
+ROWS_PER_TASK_KEY = "spark.topiclake.rowsPerTask"
 ROWS_PER_TASK = 2_000_000
 #: keys beyond this many hold less than 1/10000 of all rows each and need no slices
 MAX_HOT_KEYS = 10_000
