@@ -253,6 +253,15 @@ def test_many_versions_of_a_key_are_not_broadcast(spark):
     assert rows(joined, "version") == [(0,), (1,), (2,)]
 
 
+def test_large_versions_are_not_broadcast(spark):
+    left = spark.range(3).select(F.col("id").alias("user"), F.timestamp_seconds("id").alias("viewed"))
+    text = F.repeat(F.lit("x"), 1024 * 1024)
+    right = spark.range(40).select(F.col("id").alias("user"), F.timestamp_seconds(F.lit(0)).alias("since"), text.alias("body"))
+    joined = as_of_join(left, right, ["user"], "viewed", "since").select("user", F.length("body").alias("n"))
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert {r.n for r in joined.collect()} == {1024 * 1024}
+
+
 def test_as_of_refuses(sides):
     left, right = sides
     with pytest.raises(ValueError):

@@ -12,6 +12,7 @@ from topiclake.plans.skew import last_before
 #: versions that are broadcast instead of shuffling the left side, and how many one key may have
 BROADCAST_VERSIONS = 20_000
 VERSIONS_PER_KEY = 256
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def as_of_join(
@@ -87,9 +88,14 @@ def _with_match(
 
 
 def _few_versions(right: DataFrame, on: list[str], limit: int) -> bool:
-    """Whether the versions are few enough to broadcast; fetches no more than their keys."""
-    rows = small_rows(right.select(*on), limit) if limit > 0 else None
-    return rows is not None and max(Counter(map(tuple, rows)).values(), default=0) <= VERSIONS_PER_KEY
+    """Whether the versions are few and small enough to broadcast; fetches only their keys and sizes."""
+    if limit <= 0:
+        return False
+    size = F.octet_length(F.struct(*right.columns).cast("string"))
+    rows = small_rows(right.select(size.alias("_size"), *on), limit)
+    if rows is None or sum(row["_size"] for row in rows) > BROADCAST_BYTES:
+        return False
+    return max(Counter(tuple(row)[1:] for row in rows).values(), default=0) <= VERSIONS_PER_KEY
 
 
 def _broadcast_join(
