@@ -237,6 +237,24 @@ def test_as_of(sides, few):
     assert rows(inner, "view", "name") == [(2, "v1"), (3, "v2")]
 
 
+@pytest.mark.parametrize("kind", ["INT", "BIGINT", "DATE", "TIMESTAMP", "TIMESTAMP_NTZ"])
+@pytest.mark.parametrize("limit", [1, 10**9])
+def test_as_of_kinds_of_time(spark, kind, limit):
+    make = {"INT": "CAST({} AS INT)", "BIGINT": "CAST({} AS BIGINT)", "DATE": "date_from_unix_date({})"}.get(
+        kind, f"CAST(timestamp_seconds({{}}) AS {kind})"
+    )
+    views = ", ".join(f"({i}, {make.format(t)})" for i, t in enumerate((1, 5, 9, 12)))
+    left = spark.sql(f"SELECT 'a' AS user, viewed, view FROM VALUES {views}, (9, NULL) AS t(view, viewed)")
+    right = spark.sql(f"SELECT 'a' AS user, since, version FROM VALUES ({make.format(3)}, 'x'), ({make.format(9)}, 'y') AS t(since, version)")
+    spark.conf.set("spark.topiclake.rowsPerTask", str(limit))
+    try:
+        for few in (0, 100):
+            got = as_of_join(left, right, ["user"], "viewed", "since", broadcast_versions=few)
+            assert rows(got, "view", "version") == [(0, None), (1, "x"), (2, "y"), (3, "y"), (9, None)]
+    finally:
+        spark.conf.unset("spark.topiclake.rowsPerTask")
+
+
 @pytest.mark.parametrize("few", [0, 100])
 def test_as_of_same_time(spark, few):
     left = spark.createDataFrame([("a", at(3))], "user STRING, viewed TIMESTAMP")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from topiclake.plans.bounded import small_rows
 from topiclake.plans.skew import last_before
@@ -64,7 +64,7 @@ def as_of_join(
     when = F.col(left_ts)
     rows = left.select(
         *[F.col(c).alias(k) for c, k in zip(on, keys)],
-        F.coalesce(when, F.lit("0001-01-01").cast(left.schema[left_ts].dataType)).alias("_ts"),
+        F.coalesce(when, _before_all(left.schema[left_ts].dataType)).alias("_ts"),
         F.lit(1).alias("_side"),
         *zero,
         F.struct(*left.columns).alias("_left"),
@@ -74,6 +74,11 @@ def as_of_join(
     return _with_match(seen, [F.col("_left.*")], right_columns, how, deleted)
 
 
+def _before_all(kind: T.DataType) -> Column:
+    """A time before any version, for left rows without time."""
+    return F.lit(-(1 << 62)) if isinstance(kind, T.IntegralType) else F.lit("0001-01-01").cast(kind)
+
+
 def _with_match(
     rows: DataFrame, left: list[Column], right_columns: list[str], how: str, deleted: str | None
 ) -> DataFrame:
