@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topiclake.llm import near_copies
+from topiclake.llm import decontaminate, licenses, near_copies, quality
 from topiclake.llm.queries import query
 from topiclake.llm.tables import table
 
@@ -33,3 +33,54 @@ FROM sets s JOIN least l ON l.a = s.doc_id
 @query("op9_near_copies", _OP9)
 def op9_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies.near_copies(table(spark, folder, "documents"))
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP7 = f"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), window_of AS (
+  SELECT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(1, len(w) - 9) + 1),
+    lambda i: array_to_string(w[i : i + 9], ' '))) AS g FROM item WHERE len(w) > 0
+), place AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM window_of))
+), hit AS (
+  SELECT p.doc_id, p.i, p.n, v.item_id FROM place p JOIN window_of v USING (n, g)
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op7_decontaminate", _OP7)
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
