@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from topiclake.llm.suffixes import suffix_order
 from topiclake.llm.tables import let_workers_import, written
 from topiclake.llm.words import LETTERS, Texts, chunks
 
@@ -65,25 +66,6 @@ def phrases_of(items: list[tuple[int, str | None]], window: int = WINDOW) -> Phr
     )
 
 
-def suffix_order(symbols: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """The positions of ``symbols`` in the order of their suffixes, by doubling ranks.
-
-    With ``depth``, suffixes that agree on so many symbols may come in any order."""
-    n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
-    rank = np.zeros(n, np.int64)
-    rank[order[1:]] = np.cumsum(symbols[order][1:] != symbols[order][:-1])
-    width = 1
-    while n and rank[order[-1]] < n - 1 and width < (depth or n):
-        key = rank * (n + 1)
-        key[: n - width] += rank[width:] + 1
-        order = np.argsort(key, kind="stable")
-        rank = np.zeros(n, np.int64)
-        rank[order[1:]] = np.cumsum(key[order][1:] != key[order][:-1])
-        width *= 2
-    return order
-
-
 class FmIndex:
     """Finds and locates phrases in a sequence of symbols 1 .. top that ends with a single 0."""
 

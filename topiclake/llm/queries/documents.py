@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topiclake.llm import decontaminate, licenses, near_copies, quality
+from topiclake.llm import decontaminate, licenses, near_copies, quality, repeats
 from topiclake.llm.queries import query
 from topiclake.llm.tables import table
 
@@ -84,3 +84,12 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",").cast("binary"), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+@query("op1_repeated_passages")
+def op1_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
