@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topiclake.llm import decontaminate, licenses, near_copies, quality, repeats
+from topiclake.llm import decontaminate, licenses, near_copies, packing, quality, repeats
 from topiclake.llm.queries import query
 from topiclake.llm.tables import table
 
@@ -93,3 +94,11 @@ def op1_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
     )
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
