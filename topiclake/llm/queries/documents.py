@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topiclake.llm import decontaminate, licenses, near_copies, packing, quality, repeats
+from topiclake.llm import decontaminate, licenses, lines, near_copies, packing, quality, repeats
 from topiclake.llm.queries import query
 from topiclake.llm.tables import table
 
@@ -102,3 +102,47 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+_OP5 = """
+WITH line AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS no, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), word AS (
+  SELECT doc_id, no, list_filter(string_split_regex(line, '[ \\t\\r\\x0B\\f]+'), lambda x: x <> '') AS w FROM line
+), item AS (
+  SELECT doc_id, no, list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s
+  FROM word WHERE len(w) >= 5
+), token AS (SELECT doc_id, no, len(s) AS n, unnest(s) AS g FROM item),
+gone AS (
+  SELECT DISTINCT doc_id, no FROM (
+    SELECT y.doc_id, y.no FROM token x JOIN token y ON x.g = y.g AND (x.doc_id < y.doc_id OR x.doc_id = y.doc_id AND x.no < y.no)
+    GROUP BY x.doc_id, x.no, y.doc_id, y.no, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*)))
+), lost AS (
+  SELECT doc_id, count(*) AS n, sum(length(line)) AS chars FROM gone JOIN line USING (doc_id, no) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(string_split(coalesce(text, ''), chr(10))) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_removed,
+  length(coalesce(text, '')) - CAST(coalesce(chars, 0) AS BIGINT) AS kept_chars
+FROM documents d LEFT JOIN lost USING (doc_id)
+"""
+
+
+@query("op5_line_dedup", _OP5)
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: lines, lines removed, and characters that are kept, line ends of removed lines included."""
+    docs = table(spark, folder, "documents")
+    parts = F.split(F.coalesce("text", F.lit("")), "\n")
+    sizes = docs.select(
+        "doc_id",
+        F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("doc_key"),
+        F.transform(parts, lambda line: F.length(line)).alias("sizes"),
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"),
+    )
+    found = sizes.join(lines.removed_lines(docs), "doc_key", "left")
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, i: n + F.get("sizes", i))
+    return found.select(
+        "doc_id",
+        F.size("sizes").cast("long").alias("n_lines"),
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        (F.col("chars") - F.coalesce(lost, F.lit(0))).alias("kept_chars"),
+    )
