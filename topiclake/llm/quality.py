@@ -60,7 +60,7 @@ def _repeated_words(words: Words, hashes: np.ndarray, size: int = 3) -> np.ndarr
     order = np.argsort(keys)
     same = keys[order][1:] == keys[order][:-1]
     twice = np.zeros(len(keys), bool)
-    twice[1:], twice[:-1] = same, twice[:-1] | same
+    twice[1:] |= same
     twice[:-1] |= same
     at = whole[order[twice]]
     for i in range(size):
@@ -245,3 +245,25 @@ def judge(docs: DataFrame, model: Model | None, least_probability: float = LEAST
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     passed = F.coalesce(F.col("probability") >= least_probability, F.lit(True))
     return counted.withColumn("base_failed", failed).withColumn("kept", ~failed & passed)
+
+
+def keep_good(docs: DataFrame, model: Model | None, least_probability: float = LEAST_PROBABILITY) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
+    spark = docs.sparkSession
+    let_workers_import(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for texts in chunks(batch):
+                words = texts.words()
+                hashes = words.hashes()
+                n = words.counts()
+                repeated = _per_text(_repeated_words(words, hashes), words.offsets)
+                good = (n >= LEAST_WORDS) & (100 * repeated <= MOST_REPEATED * n)
+                if model is not None:
+                    good &= scores(model, texts, words, hashes) >= least_probability
+                yield texts.rows.filter(pa.array(good))
+
+    return docs.mapInArrow(passed, docs.schema)
