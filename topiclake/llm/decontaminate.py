@@ -19,10 +19,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from topiclake.llm.suffixes import suffix_order
-from topiclake.llm.tables import let_workers_import, written
+from topiclake.llm.tables import as_row, let_workers_import, with_text, written
 from topiclake.llm.words import LETTERS, Texts, chunks
 
 WINDOW = 10
@@ -217,21 +217,14 @@ def _pass(phrases, fields: list[str]):
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (doc_id, text) -> doc_id, text, n_words, items, spans, clean_text.
-
-    items: ids of the items with a window in the text, ascending; spans: maximal runs of hit
-    words as [first, end); clean_text: the text without them.  A NULL text has no words and
-    an empty clean_text.  Items without words or with a NULL id find nothing; items that
-    share an id count as one.  Columns other than doc_id and text, item_id and text are not read.
-    """
+def _found(docs: DataFrame, benchmark: DataFrame, block_bytes: int, carried: list[Column]) -> DataFrame:
     spark = docs.sparkSession
     let_workers_import(spark)
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text")
     blocks = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
     found = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<long>").alias("items"), F.array().cast("array<array<int>>").alias("spans"), F.lit("").alias("clean_text"),
+        *carried, "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<long>").alias("items"),
+        F.array().cast("array<array<int>>").alias("spans"), F.lit("").alias("clean_text"),
     )
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).distinct().collect()
@@ -240,3 +233,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
         if block + 1 < blocks:
             found = written(found, "decontaminated")
     return found
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` (doc_id, text) -> doc_id, text, n_words, items, spans, clean_text.
+
+    items: ids of the items with a window in the text, ascending; spans: maximal runs of hit
+    words as [first, end); clean_text: the text without them.  A NULL text has no words and
+    an empty clean_text.  Items without words or with a NULL id find nothing; items that
+    share an id count as one.  Columns other than doc_id and text, item_id and text are not read.
+    """
+    return _found(docs, benchmark, block_bytes, [F.col("doc_id").cast("long").alias("doc_id")])
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with the spans of test phrases taken out of text; all rows and other columns stay."""
+    found = _found(docs, benchmark, block_bytes, [as_row(docs, "text").alias("row")])
+    hit = F.size("spans") > 0
+    return with_text(found, docs.columns, F.when(hit, F.col("clean_text")).otherwise(F.col("text")), hit)

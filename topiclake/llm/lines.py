@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from topiclake.llm.tables import written
+from topiclake.llm.tables import as_row, row_key, with_text, written
 from topiclake.plans.bounded import small_side
 
 SHINGLE = 5
@@ -43,7 +43,7 @@ def _first(n: Column) -> Column:
 def _lines(docs: DataFrame) -> DataFrame:
     """Every line of SHINGLE words or more: doc_id, doc_key, line_no, line, words."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = text.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), F.split("text", "\n").alias("parts"))
+    keyed = text.select("doc_id", row_key().alias("doc_key"), F.split("text", "\n").alias("parts"))
     every = keyed.select("doc_id", "doc_key", F.posexplode("parts").alias("line_no", "line"))
     return every.withColumn("words", _words(F.col("line"))).where(F.size("words") >= SHINGLE)
 
@@ -179,18 +179,21 @@ def removed_lines(docs: DataFrame, short: int = SHORT) -> DataFrame:
 
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` with the removed lines taken out of text; all other columns and rows stay."""
-    keyed = docs.withColumn("doc_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
+    """``docs`` with the removed lines taken out of text, and without documents that have no word left."""
+    keyed = docs.select(as_row(docs).alias("row"), row_key().alias("doc_key"))
     joined = keyed.join(small_side(removed), "doc_key", "left")
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("removed", i))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn("text", text).select(*docs.columns)
+    whole = F.col("row")["text"]
+    kept = F.filter(F.split(whole, "\n"), lambda line, i: ~F.array_contains("removed", i))
+    changed = F.col("removed").isNotNull()
+    text = F.when(changed, F.array_join(kept, "\n")).otherwise(whole)
+    emptied = changed & (F.size(_words(F.translate(F.array_join(kept, " "), "\n", " "))) == 0)
+    return with_text(joined.where(~emptied), docs.columns, text, changed)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, any others) without the lines that are similar to an earlier one.
 
-    A NULL text stays NULL; a text that loses all its lines becomes empty; an empty table gives
-    an empty result.  Columns named doc_key or removed must not be in ``docs``.
+    A document that has no word left after that goes too; one that had none stays.  A NULL
+    text stays NULL; an empty table gives an empty result.
     """
     return without_lines(docs, removed_lines(docs))

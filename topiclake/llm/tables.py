@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.plans.workspace import new_dir
 
@@ -32,3 +32,22 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def row_key() -> Column:
+    """Rows of (doc_id, text) that are equal have the same key; a NULL text is like an empty one."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
+
+
+def as_row(docs: DataFrame, *without: str) -> Column:
+    """All columns as one, out of the way of the names an operator uses."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without])
+
+
+def with_text(rows: DataFrame, columns: list[str], text: Column, changed: Column) -> DataFrame:
+    """Take apart the column ``row`` of ``as_row``; text is new, and n_chars follows where it changed."""
+    own = F.col("row")
+    new = {"text": text}
+    if "n_chars" in columns:
+        new["n_chars"] = F.when(changed, F.length(text).cast("long")).otherwise(own["n_chars"].cast("long"))
+    return rows.select(*[new.get(c, own[c]).alias(c) for c in columns])
