@@ -20,7 +20,7 @@ def spark():
 @pytest.fixture
 def hot(spark):
     """Every key with more than a handful of rows counts as hot."""
-    spark.conf.set("spark.topiclake.rowsPerTask", "5")
+    spark.conf.set("spark.topiclake.rowsPerTask", "12")
     yield
     spark.conf.unset("spark.topiclake.rowsPerTask")
 

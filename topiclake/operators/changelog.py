@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from topiclake.envelope import ENVELOPE, KEY_ORDER
 from topiclake.operators.decode import as_struct, decode
@@ -50,6 +50,15 @@ def _deletes(kind: Column) -> Column:
     return kind.isin("-D", "-U")
 
 
+def _comparable(df: DataFrame, column: str, of: Column) -> Column:
+    """A column of a row in a form that can be compared: maps by their sorted keys."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.MapType):
+        by_key = F.transform(F.array_sort(F.map_keys(of)), lambda k: F.struct(k.alias("k"), F.element_at(of, k).alias("v")))
+        return F.to_json(F.struct(by_key.alias("c")))
+    return F.to_json(F.struct(of.alias("c"))) if "map<" in kind.simpleString() else of
+
+
 def normalize(changes: DataFrame, pk: list[str], order: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """Upserts and deletes -> a full changelog.
 
@@ -68,13 +77,18 @@ def normalize(changes: DataFrame, pk: list[str], order: list[str] | None = None,
     gone = F.col("_state.gone")
     known = F.coalesce(~F.col("_before.gone"), F.lit(False))
 
+    def content_of(side: Column) -> Column:
+        return F.struct(*[_comparable(changes, c, side[c]).alias(f"c{i}") for i, c in enumerate(columns)])
+
+    same = content_of(row).eqNullSafe(content_of(old))
+
     def change(kind: str, step: int, content: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.lit(step).alias("step"), content.alias("row"))
 
     steps = (
         F.when(gone & known, F.array(change("-D", 0, old)))
         .when(~gone & ~known, F.array(change("+I", 0, row)))
-        .when(~gone & known & ~row.eqNullSafe(old), F.array(change("-U", 0, old), change("+U", 1, row)))
+        .when(~gone & known & ~same, F.array(change("-U", 0, old), change("+U", 1, row)))
     )
     return seen.select(*pk, *order, F.explode(steps).alias("_change")).select(
         F.col("_change.kind").alias("row_kind"), *pk, "_change.row.*", *order, F.col("_change.step").alias("step")

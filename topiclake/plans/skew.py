@@ -2,108 +2,67 @@
 
 A window partitioned by key puts every row of a key into one task, so a key that
 holds a third of a log would stop the job.  ``last_before`` keeps the plain window for
-ordinary keys and cuts each hot key along its order into slices of bounded size.  What
-a slice needs from the slices before it is one value, found by a small aggregate
-and added to the slice as one extra row; the rows themselves are shuffled once.
+ordinary keys.  Rows of hot keys are sorted over all tasks by key and order, whatever the
+types and with NULLs first as in any sort; a task's part of a key is a slice.  What a slice
+needs from the slices before it is one value, found by a small aggregate and added to
+the slice as one extra row.  The result does not depend on which keys count as hot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
+
+from topiclake.plans.bounded import small_side
+from topiclake.plans.workspace import new_dir
 
 #: rows of one key that a single task may sort; override with this session setting
 ROWS_PER_TASK_KEY = "spark.topiclake.rowsPerTask"
 ROWS_PER_TASK = 2_000_000
-#: keys beyond this many hold less than 1/10000 of all rows each and need no slices
-MAX_HOT_KEYS = 10_000
-MAX_SLICES = 4096
-SAMPLES_PER_SLICE = 200
-#: whole numbers below this are exact as DOUBLE, with room for a fraction of one half
-EXACT = 1 << 52
+#: sampled rows by which a key of that size is found
+SAMPLED = 1000
 
 
 def rows_per_task(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_PER_TASK_KEY, str(ROWS_PER_TASK)))
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> dict[int, int]:
-    """Hash of key -> rows, for keys with more rows than one task should sort.
-
-    Reads the key columns only and counts with map-side combine.  At most MAX_HOT_KEYS
-    rows reach the driver.  A key that shares its hash with a hot one is sliced too,
-    which is harmless.  A limit of 0 rows says that there are no hot keys and skips the count.
-    """
-    if rows_per_task(df) == 0:
-        return {}
-    counts = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .groupBy("h")
-        .count()
-        .where(F.col("count") > rows_per_task(df))
-        .orderBy(F.col("count").desc(), "h")
-        .limit(MAX_HOT_KEYS)
-    )
-    return {row["h"]: row["count"] for row in counts.collect()}
-
-
-def _number(df: DataFrame, column: str) -> Column:
-    """An order column as a whole number that sorts the same way."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(column).cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("bigint")
-    if isinstance(kind, T.IntegralType):
-        return F.col(column).cast("bigint")
-    raise TypeError(f"order column {column} must be an integer, date or timestamp, not {kind.simpleString()}")
-
-
-def _rank(df: DataFrame, order: list[str], ranges: list[tuple[int, int]]) -> Column:
-    """The order columns as one number that never falls along the order.
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash of key and estimated rows, for keys with more rows than one task should sort.
 
-    Each column counts from its lowest value and the columns after it fill the space
-    between two of its values.  Where a column is too wide for that, the rest is left out.
+    Counts a sample of the key column in which a hot key has about SAMPLED rows, so next
+    to nothing is shuffled.  The sample decides about speed, never about results.  A key that
+    shares its hash with a hot one is sliced too, which is harmless.
     """
-    rank = F.lit(0.0)
-    for column, (low, high) in reversed(list(zip(order, ranges))):
-        if high - low >= EXACT:
-            rank = F.lit(0.0)
-        step = (_number(df, column) - F.lit(low)).cast("double") + rank
-        rank = step / F.lit(float(high - low + 1))
-    return rank
+    limit = rows_per_task(df)
+    share = min(1.0, SAMPLED / max(limit, 1))
+    hashes = df.select(F.xxhash64(*keys).alias("_hash"))
+    some = hashes if share == 1.0 else hashes.sample(share, seed=1)
+    return some.groupBy("_hash").agg((F.count("*") / share).alias("_rows")).where(F.col("_rows") > limit)
 
 
-def add_slices(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame | None:
-    """Add ``_slice``: where a row of a hot key lies along ``order``, -1 for other keys.
+def add_slices(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame] | None:
+    """The rows of ordinary keys, and those of hot keys with ``_slice``: which part of the
+    order of its key a row is in.  None when there are no hot keys.
 
-    None when there are no hot keys.  The bounds of slices are quantiles over a sample
-    of the hot rows; the sample only places the bounds, any bounds give the same result.
+    The sliced rows are written, because ranges must not move between two uses.  A limit of
+    0 rows says that there are no hot keys and skips the look at them.
     """
-    hot = hot_keys(df, keys)
-    if not hot:
+    spark = df.sparkSession
+    if rows_per_task(df) == 0:
+        return None
+    path = new_dir(spark, "hot-keys")
+    hot_keys(df, keys).write.parquet(path)
+    hot = spark.read.schema("_hash BIGINT, _rows DOUBLE").parquet(path)
+    total = hot.agg(F.sum("_rows")).first()[0]
+    if not total:
         return None
-    is_hot = F.xxhash64(*keys).isin(list(hot))
-    rows = sum(hot.values())
-    slices = min(MAX_SLICES, 2 * -(-rows // rows_per_task(df)))
-    numbers = [_number(df, c) for c in order]
-    extremes = df.where(is_hot).agg(*[f(n) for n in numbers for f in (F.min, F.max)]).first()
-    ranges = list(zip(extremes[::2], extremes[1::2]))
-    ranked = df.withColumn("_rank", F.when(is_hot, _rank(df, order, ranges)))
-    fraction = min(1.0, slices * SAMPLES_PER_SLICE / rows)
-    points = ranked.where(is_hot).select("_rank").sample(fraction, seed=1)
-    wanted = [i / slices for i in range(1, slices)]
-    bounds = sorted(set(points.approxQuantile("_rank", wanted, 1 / (4 * slices))))
-    if not bounds:
-        return df.withColumn("_slice", F.when(is_hot, 0).otherwise(-1))
-
-    from pyspark.ml.feature import Bucketizer
-
-    splits = [float("-inf"), *bounds, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="_rank", outputCol="_bucket", handleInvalid="keep")
-    sliced = cut.transform(ranked).withColumn("_slice", F.when(is_hot, F.col("_bucket").cast("int")).otherwise(-1))
-    return sliced.drop("_rank", "_bucket")
+    side = small_side(hot.select("_hash"))
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    ranges = max(2, -(-2 * int(total) // rows_per_task(df)))
+    sliced = hashed.join(side, "_hash", "left_semi").drop("_hash").repartitionByRange(ranges, *keys, *order)
+    path = new_dir(spark, "slices")
+    sliced.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
+    return hashed.join(side, "_hash", "left_anti").drop("_hash"), spark.read.parquet(path)
 
 
 def last_before(
@@ -111,33 +70,37 @@ def last_before(
 ) -> DataFrame:
     """Add ``name``: the latest non-NULL ``value`` among the earlier rows of the same key.
 
-    ``value`` is a column, so that it is shuffled once; ``order`` must not be NULL.  With
-    ``backwards`` it is the next value instead of the last.
+    ``value`` is a column, so that it is shuffled once.  ``order`` may be of any types that sort;
+    NULL comes before all others.  With ``backwards`` it is the next value instead of the last.
     """
     sort = [F.col(c).desc() if backwards else F.col(c).asc() for c in order]
     before = (Window.unboundedPreceding, -1)
-    sliced = add_slices(df, keys, order)
-    if sliced is None:
+
+    def looked_back(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(*before)
-        return df.withColumn(name, F.last(value, ignorenulls=True).over(window))
+        return rows.withColumn(name, F.last(value, ignorenulls=True).over(window))
 
-    if backwards:
-        sliced = sliced.withColumn("_slice", F.when(F.col("_slice") >= 0, F.lit(MAX_SLICES) - F.col("_slice")).otherwise(-1))
+    parts = add_slices(df, keys, order)
+    if parts is None:
+        return looked_back(df)
+    cold, sliced = parts
     pick = F.min_by if backwards else F.max_by
     present = F.when(F.col(value).isNotNull(), F.struct(*order))
     # one row per hot key and slice: the last value of the slice, then that of the slices before it
-    ends = sliced.where(F.col("_slice") >= 0).groupBy(*keys, "_slice").agg(pick(F.col(value), present).alias(value))
-    by_slice = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*before)
+    ends = sliced.groupBy(*keys, "_slice").agg(pick(F.col(value), present).alias(value))
+    slices = F.col("_slice").desc() if backwards else F.col("_slice").asc()
+    by_slice = Window.partitionBy(*keys).orderBy(slices).rowsBetween(*before)
     carried = (
         ends.withColumn(value, F.last(value, ignorenulls=True).over(by_slice))
         .where(F.col(value).isNotNull())
         .withColumn("_carried", F.lit(True))
     )
     window = Window.partitionBy(*keys, "_slice").orderBy(F.col("_carried").desc(), *sort).rowsBetween(*before)
-    return (
+    warm = (
         sliced.withColumn("_carried", F.lit(False))
         .unionByName(carried, allowMissingColumns=True)
         .withColumn(name, F.last(value, ignorenulls=True).over(window))
         .where(~F.col("_carried"))
         .drop("_slice", "_carried")
     )
+    return looked_back(cold).unionByName(warm)
