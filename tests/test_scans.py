@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import messages, rows
+from topiclake.operators import cursors as K
 from topiclake.operators.cursors import SENTINEL_LEDGERS
 from topiclake.sources import starts as S, topics as T
 
@@ -175,3 +176,43 @@ def test_a_stored_log_skips_ledgers(spark, path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ledger_id,1)" in plan
     assert "partition#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def cursor(spark, *positions):
+    rows = [("s", "persistent://public/default/t", 0, *p, i, False, False) for i, p in enumerate(positions)]
+    return spark.createDataFrame(rows, K.CURSORS)
+
+
+def test_a_cursor_inside_an_entry(spark):
+    m = messages(spark, [(0, 0, "a", "v", 0)]).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    m = m.withColumn("batch_index", F.col("n")).withColumn("entry_id", F.lit(1).cast("bigint")).drop("n")
+    rest = S.with_start(m, "external-subscription", cursors=cursor(spark, (0, 1, 1)), subscription="s")
+    assert rows(rest, "batch_index") == [(2,), (3,), (4,)]
+    assert S.with_start(m, "external-subscription", cursors=cursor(spark, (0, 1, -1)), subscription="s").count() == 0
+
+
+def test_the_table_of_commits_as_cursors(spark):
+    m = messages(spark, [(0, e, "a", "v", e) for e in range(8)])
+    rest = S.with_start(m, "external-subscription", cursors=cursor(spark, (0, 1, -1), (0, 2, -1)), subscription="s")
+    assert rows(rest, "entry_id") == [(3,), (4,), (5,), (6,), (7,)]
+
+
+def test_a_start_table_that_names_a_partition_twice(spark):
+    m = messages(spark, [(0, e, "a", "v", e) for e in range(6)])
+    start = ((0, 3, -1), True)
+    starts = spark.createDataFrame([("persistent://public/default/t", 0, *start)] * 2, S.STARTS_DDL)
+    assert rows(S.from_starts(m, starts), "entry_id") == [(3,), (4,), (5,)]
+
+
+def test_marks_of_a_killed_first_start_do_not_count(spark, path):
+    m, where = messages(spark, [(0, e, "a", "v", e) for e in range(6)]), path("marks")
+    spark.range(0).write.parquet(f"{where}/_unfinished/marks-x")
+    assert S.captured_marks(m, where).count() == 1
+    assert S.captured_marks(m.limit(0), where).count() == 1
+
+
+def test_a_java_regex(spark):
+    m = messages(spark, [(0, 0, "a", "v", 0)])
+    assert T.scan(m, pattern="public/default/\\p{Alpha}").count() == 1
+    with pytest.raises(Exception, match="(?i)regex|pattern"):
+        T.scan(m, pattern="public/default/(t")

@@ -28,7 +28,7 @@ def stored(spark, path, *parts):
     """A log whose parts arrive as one file per partition each, in order."""
     where = path("log")
     for i, part in enumerate(parts):
-        W.write(part, f"{where}/commit={i}")
+        W.write(part, where, commit=f"{i}")
     return where
 
 
@@ -107,7 +107,7 @@ def run_twice(stream, writer, checkpoint):
 def test_exactly_once_survives_a_kill(spark, path, after_write):
     source = stored(spark, path, numbers(spark, 0, 40), numbers(spark, 40, 100))
     out = path("out")
-    writer = fail_once(St.batch_writer(out, "exactly-once"), after_write)
+    writer = fail_once(St.batch_writer(out, "exactly-once", writer="w"), after_write)
     run_twice(lambda: stream_log(spark, source, 2), writer, path("checkpoint"))
     audit = E.audit(read_log(spark, out)).agg(F.sum("messages"), F.sum("duplicates"), F.sum("gaps")).first()
     assert (audit[0], audit[1]) == (100, 0)
@@ -122,6 +122,59 @@ def test_at_least_once_may_repeat_but_loses_nothing(spark, path):
     assert tuple(audit) == (40, 40)
 
 
+def test_a_batch_that_runs_again_changes_nothing(spark, path):
+    out = path("out")
+    writer = St.batch_writer(out, "exactly-once", writer="w")
+    writer(numbers(spark, 0, 15), 0)
+    St.write_stream(stream_log(spark, out), path("copy"), follower := path("checkpoint"), "exactly-once").awaitTermination()
+    writer(numbers(spark, 0, 15), 0)
+    seen = []
+    St.start(stream_log(spark, out), lambda batch, _: seen.append(batch.count()), follower).awaitTermination()
+    assert read_log(spark, out).count() == 15 and sum(seen) == 0
+    with pytest.raises(ValueError):
+        St.batch_writer(out, "exactly-once")
+
+
+def test_streams_and_batches_share_a_log(spark, path):
+    out = path("out")
+    one, two = stored(spark, path, numbers(spark, 0, 10)), stored(spark, path, numbers(spark, 10, 17))
+    for source in (one, two):
+        St.write_stream(stream_log(spark, source), out, path("checkpoint"), "exactly-once").awaitTermination()
+    assert W.write(numbers(spark, 17, 20), out, commit="mine") and not W.write(numbers(spark, 17, 20), out, commit="mine")
+    assert read_log(spark, out).count() == 20
+    # a new checkpoint is a new writer
+    St.write_stream(stream_log(spark, one), out, path("checkpoint"), "exactly-once").awaitTermination()
+    assert read_log(spark, out).count() == 30
+
+
+def test_an_unfinished_commit_is_not_seen(spark, path):
+    out = path("out")
+    W.write(numbers(spark, 0, 5), out)
+    with pytest.raises(Exception, match="cannot"):
+        W.write(numbers(spark, 5, 9).withColumn("value", F.raise_error(F.lit("cannot")).cast("binary")), out, commit="x")
+    assert read_log(spark, out).count() == 5
+    assert W.write(numbers(spark, 5, 9), out, commit="x") and read_log(spark, out).count() == 9
+
+
+def test_new_ledgers_rise(spark, path):
+    out = path("out")
+    for _ in range(2):
+        W.write(numbers(spark, 0, 4), out, new_ledger=True)
+    found = read_log(spark, out)
+    assert found.select("topic", "partition", *W.POSITION).distinct().count() == 8
+    assert found.select("ledger_id").distinct().count() == 2
+
+
+def test_cursors_stay_after_a_new_checkpoint(spark, path):
+    where = path("cursors")
+    for last in (70, 90):
+        source = stored(spark, path, numbers(spark, 0, last, partitions=1))
+        St.write_stream(
+            stream_log(spark, source), path("out"), path("checkpoint"), "exactly-once", subscription="s", cursor_path=where
+        ).awaitTermination()
+    assert rows(K.current_cursors(K.read_cursors(spark, where)), "entry_id") == [(89,)]
+
+
 def test_no_checkpoint_means_no_guarantee(spark, path, caplog):
     source, out = stored(spark, path, numbers(spark, 0, 10)), path("out")
     with caplog.at_level(logging.WARNING, "topiclake"):
@@ -156,7 +209,7 @@ def test_cursors(spark, path):
     K.commit_cursors(K.commit_rows(E.positions(numbers(spark, 0, 9)), "outside", 0, external=True), where)
     current = K.current_cursors(K.read_cursors(spark, where))
     assert rows(current.where("subscription = 's'"), "partition", "entry_id") == [(0, 58), (1, 59)]
-    W.write(numbers(spark, 60, 63), f"{source}/commit=2")
+    W.write(numbers(spark, 60, 63), source, commit="2")
     rest = with_start(read_log(spark, source), "external-subscription", cursors=current, subscription="s")
     assert rows(rest, "entry_id") == [(60,), (61,), (62,)]
     for name in ("s", "outside"):
@@ -181,7 +234,7 @@ def test_commit_is_retried():
 def test_restart_with_other_parallelism_and_more_partitions(spark, path):
     source, out, checkpoint = stored(spark, path, numbers(spark, 0, 40)), path("out"), path("checkpoint")
     St.write_stream(stream_log(spark, source), out, checkpoint, "exactly-once").awaitTermination()
-    W.write(numbers(spark, 40, 90, partitions=5), f"{source}/commit=1")
+    W.write(numbers(spark, 40, 90, partitions=5), source, commit="1")
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
         St.write_stream(stream_log(spark, source), out, checkpoint, "exactly-once").awaitTermination()
@@ -195,7 +248,7 @@ def test_restart_with_other_parallelism_and_more_partitions(spark, path):
 def test_discovery_can_be_turned_off(spark, path):
     source = stored(spark, path, numbers(spark, 0, 10))
     known = partitions(read_log(spark, source))
-    W.write(numbers(spark, 10, 40, partitions=4), f"{source}/commit=1")
+    W.write(numbers(spark, 10, 40, partitions=4), source, commit="1")
     out = path("out")
     St.write_stream(stream_log(spark, source, only=known), out, path("checkpoint"), "exactly-once").awaitTermination()
     assert partitions(read_log(spark, out)).count() == 2
@@ -211,10 +264,10 @@ def test_stream_from_latest(spark, path):
         St.write_stream(stream, out, checkpoint, "exactly-once").awaitTermination()
 
     run()
-    W.write(numbers(spark, 10, 14), f"{source}/commit=1")
+    W.write(numbers(spark, 10, 14), source, commit="1")
     run()
     # a partition that is found later is read from its first message
-    W.write(numbers(spark, 14, 20, partitions=3), f"{source}/commit=2")
+    W.write(numbers(spark, 14, 20, partitions=3), source, commit="2")
     run()
     assert rows(read_log(spark, out), "entry_id") == [(i,) for i in range(10, 20)]
     with pytest.raises(ValueError, match="marks"):

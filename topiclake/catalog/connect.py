@@ -32,6 +32,8 @@ def _decoded(m: DataFrame, schema: T.StructType, fmt: str, column: str, into: st
     """Key or value as a struct, also for formats of a single column."""
     if fmt == "json":
         return decode(m, schema, fmt, column=column, into=into)
+    if len(schema.fields) > 1:
+        raise ValueError(f"format {fmt} holds one column, not {schema.names}: name a format, or leave columns out")
     field = schema.fields[0]
     out = decode(m, field.dataType, fmt, column=column, into=into)
     return out.withColumn(into, F.when(F.col(into).isNotNull(), F.struct(F.col(into).alias(field.name))))
@@ -133,6 +135,8 @@ def insert_messages(
     read_only = [c for c in METADATA if c in extra and c not in ("eventTime", "properties")]
     if read_only:
         raise ValueError(f"metadata columns {read_only} are read-only")
+    if len(table.value_columns) > 1 and (table.value_format or "raw") in ("raw", "atomic"):
+        raise ValueError(f"format {table.value_format or 'raw'} holds one column, not {table.value_columns}: name a format")
     out = encode(rows, table.value_columns, table.value_format or "raw", into="_value")
     if keys:
         named = out.withColumns({f"_k_{n}": F.col(c) for c, n in keys.items()})
@@ -141,6 +145,8 @@ def insert_messages(
             packed = F.to_json(F.struct(*[F.col(f"_k_{n}").alias(n) for n in keys.values()])).cast("binary")
             out = named.withColumn("_key", packed)
         else:
+            if len(keys) > 1:
+                raise ValueError(f"a key in format {fmt} holds one column, not {list(keys)}")
             out = encode(named, [f"_k_{next(iter(keys.values()))}"], fmt, into="_key")
     value = F.col("_value")
     if table.upsert and "row_kind" in rows.columns:
@@ -162,9 +168,13 @@ def insert_messages(
     )
 
 
-def insert_into(rows: DataFrame, path: str, table: TableOptions, sequence: Column, *, mode: str = "append", **settings) -> None:
-    """Write rows to the table's topic in the log at ``path``."""
+def insert_into(rows: DataFrame, path: str, table: TableOptions, sequence: Column, *, commit: str | None = None, **settings) -> bool:
+    """Write rows to the table's topic in the log at ``path``, as one commit.
+
+    Unless a ``ledger_id`` is given the commit is a ledger of its own, after those before it.
+    """
     writers = table.options.get("sink.parallelism")
-    write(
-        insert_messages(rows, table, sequence, **settings), path, mode=mode, parallelism=int(writers) if writers else None
+    messages = insert_messages(rows, table, sequence, **settings)
+    return write(
+        messages, path, commit=commit, parallelism=int(writers) if writers else None, new_ledger="ledger_id" not in settings
     )

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from topiclake.envelope import ENVELOPE, LOG, POSITION, as_envelope
 from topiclake.functions.topic_names import full_name
 from topiclake.operators.routing import Router, route
+from topiclake.plans import commits
 
 SEMANTICS = ("at-least-once", "exactly-once", "none")
 #: metadata columns a table may write
@@ -80,9 +84,26 @@ def arranged(messages: DataFrame, parallelism: int | None = None) -> DataFrame:
     return spread.sortWithinPartitions(*LOG, *POSITION)
 
 
-def write(messages: DataFrame, path: str, *, mode: str = "append", parallelism: int | None = None) -> None:
-    """Add messages to a log: one directory per topic and partition."""
-    arranged(messages.select(*ENVELOPE.names), parallelism).write.mode(mode).partitionBy(*LOG).parquet(path)
+def write(
+    messages: DataFrame, path: str, *, commit: str | None = None, parallelism: int | None = None, new_ledger: bool = False
+) -> bool:
+    """Add messages to a log as one commit: a directory per topic and partition.
+
+    ``commit`` names it, a new name unless given; a commit that is there already is left
+    as it is, and False comes back.  With ``new_ledger`` the commit is a ledger of its own, later
+    than those before it, as a broker would assign; otherwise messages bring their ledger.
+    """
+    spark = messages.sparkSession
+    if new_ledger:
+        messages = messages.withColumn("ledger_id", F.lit(next_ledger()))
+    rows = arranged(messages.select(*ENVELOPE.names), parallelism)
+    name = commit or f"batch-{uuid.uuid4().hex}"
+    return commits.commit(spark, path, name, lambda place: rows.write.partitionBy(*LOG).parquet(place))
+
+
+def next_ledger() -> int:
+    """A ledger id after all that were given before: the time in microseconds."""
+    return time.time_ns() // 1000
 
 
 def due(m: DataFrame, now: Column) -> DataFrame:
@@ -118,6 +139,9 @@ def upsert_messages(
     )
 
 
-def write_upsert(changes: DataFrame, path: str, *, mode: str = "append", parallelism: int | None = None, **columns) -> None:
-    """Write a changelog to a keyed topic; the arguments are those of ``upsert_messages``."""
-    write(upsert_messages(changes, **columns), path, mode=mode, parallelism=parallelism)
+def write_upsert(changes: DataFrame, path: str, *, parallelism: int | None = None, **columns) -> bool:
+    """Write a changelog to a keyed topic; the arguments are those of ``upsert_messages``.
+
+    Without a ``ledger_id`` the commit is a ledger of its own, so its rows come after all before.
+    """
+    return write(upsert_messages(changes, **columns), path, parallelism=parallelism, new_ledger="ledger_id" not in columns)

@@ -12,10 +12,11 @@ import time
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import LOG, position
+from topiclake.operators.cursors import current_cursors
+from topiclake.plans import commits
 from topiclake.plans.bounded import small_rows, small_side
 
 STARTS_DDL = "topic STRING, partition INT, start STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>, inclusive BOOLEAN"
@@ -44,14 +45,12 @@ def high_water(m: DataFrame) -> DataFrame:
 def captured_marks(log: DataFrame, path: str) -> DataFrame:
     """High-water marks of the first start: written once, read again at every restart.
 
-    A stream that starts at latest must not move its start when it is restarted.
+    A stream that starts at latest must not move its start when it is restarted.  Marks count
+    once their commit is finished; what a killed first start has left is not looked at.
     """
     spark = log.sparkSession
-    try:
-        return spark.read.schema(MARKS_DDL).parquet(path)
-    except AnalysisException:
-        high_water(log).coalesce(1).write.mode("errorifexists").parquet(path)
-        return spark.read.schema(MARKS_DDL).parquet(path)
+    commits.commit(spark, path, "marks", lambda place: high_water(log).write.parquet(place))
+    return spark.read.schema(MARKS_DDL).parquet(f"{path.rstrip('/')}/commit=marks")
 
 
 def earliest_starts(parts: DataFrame) -> DataFrame:
@@ -95,19 +94,25 @@ def specific_starts(marks: DataFrame, positions: DataFrame) -> DataFrame:
 def subscription_starts(
     marks: DataFrame, cursors: DataFrame, subscription: str, default: str = "latest"
 ) -> DataFrame:
-    """From the saved cursor: the entry after the last one read.
+    """From the saved cursor: the message after the last one read.
 
-    An entry of -1 means that nothing of the ledger was read.  Partitions without a
-    cursor start at ``default``.  A cursor that a live consumer holds is an error.
+    A cursor with a batch index goes on inside its entry, one without after the entry; an
+    entry of -1 means that nothing of the ledger was read.  Of a table of commits the newest
+    row of a partition counts.  Partitions without a cursor start at ``default``.  A
+    cursor that a live consumer holds (a column ``active``) is an error.
     """
     current = cursors.where(F.col("subscription") == subscription)
     if "active" in cursors.columns and current.where("active").take(1):
         raise RuntimeError(
             f"subscription {subscription} is held by another consumer, messages could be read twice"
         )
-    entry = F.when(F.col("entry_id") == -1, F.lit(-1)).otherwise(F.col("entry_id") + 1)
-    at = F.struct(F.col("ledger_id"), entry.alias("entry_id"), F.lit(-1).alias("batch_index"))
-    saved = current.select(*LOG, at.alias("saved"))
+    if "seq" in cursors.columns:
+        current = current_cursors(current)
+    inside = F.coalesce(F.col("batch_index"), F.lit(-1)) >= 0
+    entry = F.when((F.col("entry_id") == -1) | inside, F.col("entry_id")).otherwise(F.col("entry_id") + 1)
+    batch = F.when(inside, F.col("batch_index") + 1).otherwise(F.lit(-1))
+    at = F.struct(F.col("ledger_id"), entry.alias("entry_id"), batch.cast("int").alias("batch_index"))
+    saved = current.groupBy(*LOG).agg(F.max(at).alias("saved"))
     found = F.col("saved").isNotNull()
     fallback = F.lit(None) if default == "earliest" else F.col("last")
     return marks.join(saved, LOG, "left").select(
@@ -194,6 +199,7 @@ def from_starts(m: DataFrame, starts: DataFrame, *, fixed: bool = False) -> Data
     stream may do so only if the starts are ``fixed``, the same at every restart, because
     it then has two sources.
     """
+    starts = _one_each(starts)
     rows = small_rows(starts.select(*LOG, "start", "inclusive"))
     if rows is None:
         return _reached(m, starts)
@@ -213,6 +219,15 @@ def from_starts(m: DataFrame, starts: DataFrame, *, fixed: bool = False) -> Data
     return _reached(m.where(started).where(F.col("ledger_id") >= lowest), side).unionByName(m.where(~started))
 
 
+def _one_each(starts: DataFrame) -> DataFrame:
+    """One start per partition, the earliest given: messages must not come twice."""
+    first = F.min(F.struct("start", (~F.col("inclusive")).alias("after")))
+    found = starts.groupBy(*LOG).agg(F.max(F.col("start").isNull()).alias("whole"), first.alias("first"))
+    return found.select(
+        *LOG, F.when(~F.col("whole"), F.col("first.start")).alias("start"), (F.col("whole") | ~F.col("first.after")).alias("inclusive")
+    )
+
+
 def _reached(m: DataFrame, starts: DataFrame) -> DataFrame:
     here = position()
     reached = (

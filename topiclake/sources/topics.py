@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import ENVELOPE, LOG
@@ -71,7 +69,10 @@ def matches(pattern: str) -> Column:
         raise ValueError("the topic pattern is empty")
     path = full_name(pattern).split("://", 1)[1]
     namespace = "/".join(path.split("/")[:2])
-    re.compile(path)
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        # Spark judges its own kind of regex; no data is read
+        session.range(1).select(F.lit("").rlike(f"\\A(?:{path})\\z")).collect()
     return (namespace_of(F.col("topic")) == namespace) & F.substring_index("topic", "://", -1).rlike(rf"\A(?:{path})\z")
 
 

@@ -1,19 +1,23 @@
 """Streaming writes with a chosen delivery guarantee.
 
-Every micro-batch goes to ``<log>/commit=<batch id>``.  ``exactly-once`` overwrites that
-directory, so a batch that is run again after a failure replaces what it wrote before;
-``at-least-once`` appends to it.  Cursors are committed after the write.
+Every micro-batch is one commit of the log, visible whole or not at all.  ``exactly-once`` names it by
+the query and the micro-batch, so a batch that is run again after a failure finds its
+commit and writes nothing; the names of two queries, or of a query with a new
+checkpoint, differ.  ``at-least-once`` gives every attempt a name of its own.  Cursors are
+committed after the write.
 """
 
 from __future__ import annotations
 
+import json
 import logging
+import time
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from topiclake.envelope import ENVELOPE
 from topiclake.operators.cursors import commit_cursors, commit_rows
 from topiclake.operators.eventtime import positions
 from topiclake.operators.sinks import SEMANTICS, upsert_messages, write
@@ -42,10 +46,17 @@ def start(
     return writer.start()
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a query once and keeps in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def batch_writer(
     path: str,
     semantic: str = "at-least-once",
     *,
+    writer: str | None = None,
+    checkpoint: str | None = None,
     fail_on_write: bool = True,
     subscription: str | None = None,
     cursor_path: str | None = None,
@@ -54,6 +65,8 @@ def batch_writer(
 ) -> BatchWriter:
     """A function that writes one micro-batch of envelopes to the log at ``path``.
 
+    ``exactly-once`` needs a name for the query in its commits: ``writer``, or else the id in
+    the ``checkpoint``.
     ``source`` turns messages that were read into messages to write; cursors of
     ``subscription`` are those of the messages that were read.  With ``fail_on_write``
     off, a batch that cannot be written is logged and left out; what was read for it is
@@ -61,12 +74,14 @@ def batch_writer(
     """
     if semantic not in SEMANTICS:
         raise ValueError(f"semantic must be one of {SEMANTICS}, not {semantic!r}")
+    if semantic == "exactly-once" and not (writer or checkpoint):
+        raise ValueError("exactly-once needs the name of the writer or its checkpoint")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         messages = source(batch) if source else batch
-        mode = "overwrite" if semantic == "exactly-once" else "append"
+        own = (writer or query_id(batch.sparkSession, checkpoint)) if semantic == "exactly-once" else uuid.uuid4().hex
         try:
-            write(messages.select(*ENVELOPE.names), f"{path}/commit={batch_id}", mode=mode)
+            write(messages, path, commit=f"{own}-{batch_id}")
         except Exception:
             if fail_on_write:
                 raise
@@ -75,7 +90,7 @@ def batch_writer(
                 batch.write.mode("overwrite").parquet(f"{quarantine_path}/commit={batch_id}")
             return
         if subscription and cursor_path:
-            commit_cursors(commit_rows(positions(batch), subscription, batch_id), cursor_path)
+            commit_cursors(commit_rows(positions(batch), subscription, time.time_ns() // 1000), cursor_path)
 
     return write_batch
 
@@ -100,7 +115,7 @@ def write_stream(
             log.warning("no checkpoint given: semantic %s becomes none", semantic)
         semantic, checkpoint = "none", new_dir(messages.sparkSession, "checkpoint")
     writer = batch_writer(
-        path, semantic, fail_on_write=fail_on_write, subscription=subscription, cursor_path=cursor_path, source=source,
+        path, semantic, checkpoint=checkpoint, fail_on_write=fail_on_write, subscription=subscription, cursor_path=cursor_path, source=source,
         quarantine_path=quarantine_path,
     )
     return start(messages, writer, checkpoint, available_now=available_now, interval=interval)
@@ -109,14 +124,15 @@ def write_stream(
 def write_upsert_stream(
     changes: DataFrame, path: str, checkpoint: str, *, output_mode: str = "update", available_now: bool = True, **columns
 ) -> StreamingQuery:
-    """Write a stream of changed rows to a keyed topic, at least once.
+    """Write a stream of changed rows to a keyed topic, each micro-batch once.
 
-    The micro-batch becomes the ledger, so a later row of a key comes after an earlier
-    one.  The arguments are those of ``upsert_messages``.
+    Every commit is a ledger of its own, so a later row of a key comes after an earlier one.
+    The arguments are those of ``upsert_messages``.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write(upsert_messages(batch, ledger_id=batch_id, **columns), f"{path}/commit={batch_id}", mode="overwrite")
+        own = query_id(batch.sparkSession, checkpoint)
+        write(upsert_messages(batch, **columns), path, commit=f"{own}-{batch_id}", new_ledger=True)
 
     return start(changes, write_batch, checkpoint, available_now=available_now, output_mode=output_mode)
 
