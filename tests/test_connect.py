@@ -102,3 +102,34 @@ def test_new_cursors_stand_before_the_start(spark, log, path):
     assert rows(rest, "entry_id") == [(i,) for i in (1, 3, 5, 6, 7, 8, 9, 10, 11)]
     given = S.position_rows(spark, {("x", 0): (4, 7), ("x", 1): (4, 0)})
     assert rows(S.new_cursors(given, cursors, "s"), "partition", "ledger_id", "entry_id") == [(0, 4, 6), (1, 4, -1)]
+
+
+def test_unknown_options_are_refused():
+    with pytest.raises(ValueError, match="scan.startup.mod'"):
+        options("n INT", {"format": "atomic", "scan.startup.mod": "earliest"})
+
+
+def test_no_column_is_dropped(spark, path):
+    two = options("a INT, b STRING", {"format": "raw"})
+    frame = spark.createDataFrame([(1, "x")], "a INT, b STRING")
+    with pytest.raises(ValueError, match="one column"):
+        insert_messages(frame, two, F.lit(0))
+    keyed = options("a INT, b STRING, c INT", {"format": "json", "key.format": "raw", "key.fields": "a;b"})
+    with pytest.raises(ValueError, match="one column"):
+        insert_messages(frame.withColumn("c", F.lit(1)), keyed, F.lit(0))
+
+
+def test_positions_of_two_inserts_differ(spark, path):
+    where, one = path(), options("a INT", {"format": "json", "scan.startup.mode": "earliest"})
+    for _ in range(2):
+        insert_into(spark.createDataFrame([(1,), (2,)], "a INT"), where, one, F.col("a"))
+    log = read_log(spark, where)
+    assert log.select("ledger_id", "entry_id").distinct().count() == 4
+    assert read_table(log, one).count() == 4
+
+
+def test_lost_data_stops_a_read(spark, log):
+    beyond = {"format": "json", "scan.startup.mode": "specific-offsets", "scan.startup.specific-offsets": "99:99:0"}
+    with pytest.raises(Exception, match="beyond the last message"):
+        read_table(log, options("v INT", beyond)).collect()
+    assert read_table(log, options("v INT", {**beyond, "failondataloss": "false"})).count() >= 0

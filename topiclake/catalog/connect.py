@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from topiclake.catalog.options import TableOptions, validate_sink, validate_source
+from topiclake.catalog.registry import avro_definition, check_same_schema
 from topiclake.envelope import KEY_ORDER, LOG
 from topiclake.functions.positions import parse_positions
 from topiclake.operators.assemble import METADATA, assemble
 from topiclake.operators.changelog import latest, normalize
 from topiclake.operators.decode import decode, encode
 from topiclake.operators.sinks import to_messages, write
+from topiclake.plans.bounded import small_rows
 from topiclake.sources.starts import high_water, with_start
 from topiclake.sources.topics import scan
 
@@ -32,6 +35,8 @@ def _decoded(m: DataFrame, schema: T.StructType, fmt: str, column: str, into: st
     """Key or value as a struct, also for formats of a single column."""
     if fmt == "json":
         return decode(m, schema, fmt, column=column, into=into)
+    if fmt == "avro":
+        return decode(m, json.dumps(avro_definition(schema)), fmt, column=column, into=into)
     if len(schema.fields) > 1:
         raise ValueError(f"format {fmt} holds one column, not {schema.names}: name a format, or leave columns out")
     field = schema.fields[0]
@@ -61,6 +66,7 @@ def _messages(log: DataFrame, table: TableOptions, marks: DataFrame | None, curs
         subscription=opts.get("scan.startup.sub-name"),
         default=table.get("scan.startup.sub-start-offset"),
         timestamp_ms=None if millis is None else int(millis),
+        data_loss="fail" if (table.get("failondataloss") or "").lower() == "true" else "last",
     )
 
 
@@ -91,13 +97,19 @@ def read_table(
     *,
     marks: DataFrame | None = None,
     cursors: DataFrame | None = None,
+    registry: DataFrame | None = None,
     view: str | None = None,
 ) -> DataFrame:
     """Rows of a table: its physical columns, then metadata columns.
 
+    With a schema ``registry`` all topics of the table must have one schema.
     An upsert table gives its current rows.  ``view`` registers the table for SQL.
     """
-    rows = _rows(_messages(log, table, marks, cursors), table, metadata)
+    m = _messages(log, table, marks, cursors)
+    if registry is not None:
+        names = table.topics or [r["topic"] for r in small_rows(m.select("topic").distinct()) or ()]
+        check_same_schema(registry, names)
+    rows = _rows(m, table, metadata)
     if table.upsert:
         order = [f"_{c}" for c in KEY_ORDER]
         rows = latest(rows, table.primary_key, order).drop(*order)

@@ -34,13 +34,22 @@ DEFAULTS = {
     "flush-on-checkpoint": "true",
 }
 
+# Options without a default, and the prefixes below which options are passed on.
+PLAIN = (
+    "connector", "topic", "topic-pattern", "service-url", "admin-url", "format", "key.format", "value.format", "key.fields",
+    "key.fields-prefix", "scan.startup.specific-offsets", "scan.startup.sub-name", "scan.startup.timestamp-millis",
+    "sink.message-router", "sink.parallelism",
+)
+PREFIXES = (READER_PREFIX, PRODUCER_PREFIX, PROPERTIES_PREFIX)
+FORMATS = ("json", "avro", "raw", "atomic", "protobuf", "csv", *CHANGELOG_FORMATS)
+
 
 # Texts of the errors, as users of such table options know them.
 MESSAGES = {
     "both topics": "Option 'topic' and 'topic-pattern' shouldn't be set together.",
     "no topic": "Either 'topic' or 'topic-pattern' must be set.",
     "startup mode": "Invalid value for option 'scan.startup.mode'. Supported values are "
-    "[earliest, latest, specific-offsets, external-subscription], but was: {mode}",
+    "[earliest, latest, specific-offsets, external-subscription, timestamp], but was: {mode}",
     "startup option": "'{option}' is required in '{mode}' startup mode but missing.",
     "single topic": "the sink currently only supports single topic, but got '{option}': {value}.",
     "router": "Option 'sink.message-router' should be a non-empty string.",
@@ -87,6 +96,14 @@ def topic_list(value: str | None) -> list[str]:
     return [t.strip() for t in (value or "").replace(";", ",").split(",") if t.strip()]
 
 
+def check_known(options: Mapping[str, str]) -> None:
+    """Refuse options that nothing reads: a misspelt one must not mean its default."""
+    formats = tuple(f"{part}{fmt}." for part in ("", "key.", "value.") for fmt in FORMATS)
+    unknown = sorted(o for o in options if o not in DEFAULTS and o not in PLAIN and not o.startswith((*PREFIXES, *formats)))
+    if unknown:
+        raise OptionError(f"Unsupported options found: {unknown}. Supported options: {sorted([*DEFAULTS, *PLAIN])}")
+
+
 def validate_source(options: Mapping[str, str]) -> None:
     """Topic and startup mode of a table that is read."""
     if "topic" in options and "topic-pattern" in options:
@@ -167,6 +184,7 @@ class TableOptions:
     def __post_init__(self) -> None:
         opts = case_folded(self.options)
         object.__setattr__(self, "options", opts)
+        check_known(opts)
         if self.upsert:
             self._check_upsert(opts)
         elif self.primary_key and self.value_format not in CHANGELOG_FORMATS:

@@ -180,6 +180,8 @@ def as_table(log: DataFrame, registry: DataFrame, database: str, table: str, vie
     elif fmt == "json":
         out = decode(messages, schema, "json").select("data.*")
     else:
+        if len(schema.fields) > 1:
+            raise ValueError(f"a topic of type {entry['schema_type']} with columns {schema.names} needs a decoder, see decode")
         column = schema.fields[0]
         out = decode(messages, column.dataType, fmt).select(F.col("data").alias(column.name))
     if view:

@@ -248,9 +248,12 @@ def with_start(
     subscription: str | None = None,
     default: str = "latest",
     timestamp_ms: int | None = None,
+    data_loss: str | None = None,
 ) -> DataFrame:
     """Messages of ``m`` from a startup mode on.
 
+    ``data_loss`` is the policy of ``guard_data_loss`` for starts that were given or saved.
+
     ``marks`` are the high-water marks at first start (``high_water`` of the log then);
     without them the marks of ``m`` itself are taken, which needs a batch DataFrame.
     """
@@ -266,6 +269,10 @@ def with_start(
         if m.isStreaming:
             raise ValueError(f"a stream that starts at {mode} needs marks, see captured_marks")
         marks = small_side(high_water(m))
+
+    def guarded(starts: DataFrame) -> DataFrame:
+        return guard_data_loss(starts, marks, data_loss) if data_loss else starts
+
     if mode == "latest":
         # the marks of the first start do not change, see captured_marks
         return from_starts(m, latest_starts(marks), fixed=True)
@@ -274,10 +281,10 @@ def with_start(
             raise ValueError("the mode specific-offsets needs positions")
         if not isinstance(positions, DataFrame):
             positions = position_rows(m.sparkSession, positions)
-        return from_starts(m, specific_starts(marks, positions))
+        return from_starts(m, guarded(specific_starts(marks, positions)))
     if cursors is None or subscription is None:
         raise ValueError("the mode external-subscription needs a subscription and its cursors")
-    return from_starts(m, subscription_starts(marks, cursors, subscription, default))
+    return from_starts(m, guarded(subscription_starts(marks, cursors, subscription, default)))
 
 
 def until_marker(m: DataFrame, marker: Column) -> DataFrame:
