@@ -1,18 +1,53 @@
 """Connected components of a graph given as a table of edges.
 
-Alternates two steps until nothing changes: every node hands its smallest neighbour to
-its larger neighbours, then to its smaller ones.  Edges end as stars around the smallest
-node of each component, after about log(n) rounds.  Minima are pre-aggregated, the joins
-are plain equi-joins that adaptive execution splits where a node is hot, and each round
-is written to the shared folder, so that lineage stays short.  Nothing reaches the driver
-but a count and a checksum.
+First every task joins the edges it has, up to EDGES_PER_TASK of them, into stars around the
+smallest node; a graph that fits one task is then done.  Otherwise two steps alternate
+until nothing changes: every node hands its smallest neighbour to its larger neighbours,
+then to its smaller ones.  Edges end as stars around the smallest node of each component,
+after about log(n) rounds.  Minima are pre-aggregated, the joins are plain equi-joins that
+adaptive execution splits where a node is hot, and each round is written to the shared
+folder, so that lineage stays short.  Only a count and a checksum reach the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from topiclake.llm.tables import written
+from topiclake.llm.tables import let_workers_import, written
+
+EDGES_PER_TASK = 1_000_000
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace a task's edges by stars around the smallest node of what they connect."""
+    above: dict = {}
+
+    def top(node):
+        path = []
+        while (parent := above.get(node, node)) != node:
+            path.append(node)
+            node = parent
+        for passed in path:
+            above[passed] = node
+        return node
+
+    schema = None
+    for batch in batches:
+        schema = batch.schema
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = top(u), top(v)
+            above[max(x, y)] = min(x, y)
+    if schema is not None:
+        nodes = list(above)
+        rows = [(n, t) for n in nodes if (t := top(n)) != n]
+        for at in range(0, len(rows), 50_000):
+            some = rows[at : at + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in some], schema.field(i).type) for i in (0, 1)], schema=schema
+            )
 
 
 def _hand_down(edges: DataFrame, larger: bool) -> DataFrame:
@@ -30,7 +65,7 @@ def _hand_down(edges: DataFrame, larger: bool) -> DataFrame:
     return linked.where(F.col("u") > F.col("v")).distinct()
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node reachable.
 
     Loops and repeated edges are allowed, rows with a NULL end are ignored, and an empty
@@ -42,8 +77,12 @@ def connected(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
+    let_workers_import(edges.sparkSession)
+    tasks = -(-state.count() // edges_per_task)
+    if tasks:
+        state = written(state.repartition(tasks).mapInArrow(_stars, state.schema), "edges")
     before = None
-    while True:
+    while tasks > 1:
         check = F.bit_xor(F.xxhash64("u", "v"))
         now = tuple(state.agg(F.count("*"), check).first())
         if now == before or not now[0]:

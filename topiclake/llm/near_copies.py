@@ -13,7 +13,10 @@ similarity, and the exact Jaccard similarity of the full sets decides.
   passage that is everywhere lists only documents that consist of little else.
 * A list is not turned into all its pairs.  In each round every list names one centre and
   the members of other components are compared with it; copies fall into one component.
-  After ROUNDS rounds the pairs that are left between different components are compared.
+* What is left between different components after ROUNDS rounds is compared exactly: lists of
+  up to SHORT members pair by pair; the members of longer ones are dealt into blocks of about
+  BLOCK, every two blocks that share a list meet once, and a task answers with the links that
+  join its components, never more than it has members.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from topiclake.llm.components import connected
-from topiclake.llm.tables import let_workers_import, written
+from topiclake.llm.tables import as_row, let_workers_import, row_key, written
 from topiclake.llm.words import Texts, chunks, mix, windows
 from topiclake.plans.bounded import small_side
 
@@ -35,10 +38,11 @@ KEPT = 64
 COMMON = 0.375
 #: six standard deviations of the estimate below 0.75
 ESTIMATE = 0.42
-ROUNDS = 3
+ROUNDS = 2
+SHORT, BLOCK = 32, 256
 LINK, OF = 75, 100
 
-_SKETCHES = "doc_id long, n_shingles long, set_id binary, sketch array<long>"
+_SKETCHES = "row_key long, doc_id long, n_shingles long, set_id binary, sketch array<long>"
 _SETS = "set_id binary, members array<long>"
 
 
@@ -72,12 +76,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = list(shingle_sets(texts))
             yield pa.RecordBatch.from_arrays(
                 [
-                    texts.rows.column(0).cast(pa.int64()),
+                    texts.rows.column(0),
+                    texts.rows.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_id(s) for s in sets], pa.binary()),
                     _lists([s[:KEPT] for s in sets]),
                 ],
-                names=["doc_id", "n_shingles", "set_id", "sketch"],
+                names=["row_key", "doc_id", "n_shingles", "set_id", "sketch"],
             )
 
 
@@ -124,7 +129,8 @@ def _with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
 def _postings(classes: DataFrame) -> DataFrame:
     """(value, set_id, n_shingles): the listed values of each class, rarest first, that another class has too."""
     kept = classes.select("set_id", "n_shingles", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
-    often = kept.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    # written, so that the join has plain sides and a hot value can be split
+    often = written(kept.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "often")
     shared = kept.join(often, "value")
     by_class = Window.partitionBy("set_id")
     rank = F.row_number().over(by_class.orderBy("df", "value"))
@@ -155,29 +161,93 @@ def _star_pairs(listed: DataFrame, turn: int) -> DataFrame:
     return near.select(*_pair("set_id", "c")).distinct()
 
 
-def _other_pairs(listed: DataFrame) -> DataFrame:
-    """The pairs of a list that are still in different components."""
-    mixed = listed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    left = listed.join(mixed.select("value"), "value", "left_semi")
+def _mixed(listed: DataFrame) -> DataFrame:
+    """(value, n) of the lists whose members are in different components."""
+    roots = listed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    return roots.where("low != high").select("value", "n")
+
+
+def _short_pairs(listed: DataFrame, mixed: DataFrame, short: int) -> DataFrame:
+    left = listed.join(mixed.where(F.col("n") <= short).select("value"), "value", "left_semi")
     right = left.select("value", F.col("set_id").alias("c"), F.col("n_shingles").alias("c_n"), F.col("root").alias("c_root"))
     apart = (F.col("set_id") < F.col("c")) & (F.col("root") != F.col("c_root")) & _sizes_allow("n_shingles", "c_n")
     return left.join(right, "value").where(apart).select(*_pair("set_id", "c")).distinct()
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, any others): doc_id, n_shingles,
-    component_id (the smallest doc_id among all documents reachable over links), kept.
-
-    Shingles are SHINGLE words, lower case A-Z; a document of fewer words is one shingle, one
-    without words or with NULL text has none and is linked with nothing.  Rows that share a
-    doc_id are documents of their own with the same name.  A NULL doc_id stays NULL: such a
-    row takes the component's smallest known doc_id and is kept only if there is none.
-    An empty table gives an empty result; columns other than doc_id and text are not read.
-    """
+def _blocks(listed: DataFrame, mixed: DataFrame, short: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """Members of long lists in blocks, (set_id, root, block), and the pairs of blocks that share a list."""
+    hot = listed.join(mixed.where(F.col("n") > short), "value")
+    anchor = F.max_by("value", F.struct("n", "value"))
+    homes = hot.groupBy("set_id", "root").agg(anchor.alias("anchor"))
+    sizes = homes.groupBy("anchor").agg(F.ceil(F.count("*") / size).alias("blocks"))
+    block = F.xxhash64("anchor", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+    dealt = written(homes.join(sizes, "anchor").select("set_id", "root", block.alias("block")), "blocks")
+    low, high = F.min("root").alias("low"), F.max("root").alias("high")
+    present = hot.select("value", "set_id").join(dealt, "set_id").groupBy("value", "block").agg(low, high)
+    other = present.select("value", F.col("block").alias("other"), F.col("low").alias("o_low"), F.col("high").alias("o_high"))
+    # two blocks of one and the same component have nothing to join
+    apart = (F.least("low", "o_low") != F.greatest("high", "o_high")) & (F.col("block") <= F.col("other"))
+    return dealt, written(present.join(other, "value").where(apart).select("block", "other").distinct(), "meetings")
+
+
+def _meet(rows: pa.Table) -> pa.Table:
+    """The links between the two blocks of a group that join components, by exact similarity."""
+    ids, roots, sides = (rows[c].to_pylist() for c in ("set_id", "root", "side"))
+    column = rows["members"].combine_chunks()
+    lengths = np.diff(column.offsets.to_numpy())
+    shingle, number = np.unique(column.flatten().to_numpy(), return_inverse=True)
+    of = np.repeat(np.arange(len(ids)), lengths)
+    # rows by shingle: who has it; pairs are counted per shingle against the members of each row
+    order = np.argsort(number, kind="stable")
+    ends = np.cumsum(np.bincount(number, minlength=len(shingle)))
+    begins = np.append(0, ends[:-1])
+    holder, begin = of[order], np.append(0, np.cumsum(lengths))
+    side = np.array(sides)
+    one_block = (side == 2).all()
+    above = {r: r for r in roots}
+
+    def top(r):
+        while above[r] != r:
+            above[r] = above[above[r]]
+            r = above[r]
+        return r
+
+    links = []
+    for x in range(len(ids)):
+        if side[x] == 1:
+            continue
+        mine = number[begin[x] : begin[x + 1]]
+        spans = [holder[begins[m] : ends[m]] for m in mine]
+        common = np.bincount(np.concatenate(spans), minlength=len(ids)) if spans else np.zeros(len(ids), int)
+        similar = OF * common >= LINK * (lengths[x] + lengths - common)
+        similar &= np.arange(len(ids)) > x if one_block else side == 1
+        for y in np.flatnonzero(similar).tolist():
+            if top(roots[x]) != top(roots[y]):
+                above[top(roots[x])] = top(roots[y])
+                links.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+
+def _block_links(listed: DataFrame, mixed: DataFrame, classes: DataFrame, text: DataFrame, short: int, size: int) -> DataFrame:
+    dealt, meetings = _blocks(listed, mixed, short, size)
+    sets = _sets_of(dealt.select("set_id"), classes, text)
+    home = dealt.join(sets, "set_id")
+    same = F.when(F.col("block") == F.col("other"), 2)
+    first = meetings.withColumn("side", same.otherwise(0))
+    second = meetings.where("block != other").withColumn("side", F.lit(1))
+    there = first.join(home, "block").select("block", "other", "side", "set_id", "root", "members")
+    more = second.join(home.withColumnRenamed("block", "other"), "other")
+    both = there.unionByName(more.select("block", "other", "side", "set_id", "root", "members"))
+    return both.groupBy("block", "other").applyInArrow(_meet, "a binary, b binary")
+
+
+def _grouped(docs: DataFrame, short: int, block: int) -> DataFrame:
+    """row_key, doc_id, n_shingles, root (the group; NULL without shingles) and component_id of each row."""
     spark = docs.sparkSession
     let_workers_import(spark)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    sketches = written(text.mapInArrow(_sketch, _SKETCHES), "sketches")
+    keyed = text.select(row_key().alias("row_key"), "doc_id", "text")
+    sketches = written(keyed.mapInArrow(_sketch, _SKETCHES), "sketches")
     with_any = sketches.where("n_shingles > 0")
     classes = written(
         with_any.groupBy("set_id").agg(
@@ -192,43 +262,81 @@ def near_copies(docs: DataFrame) -> DataFrame:
         if roots is not None:
             known = roots.select(F.col("node").alias("set_id"), "root")
             listed = postings.join(known, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-        pairs = _star_pairs(listed, turn) if turn < ROUNDS else _other_pairs(listed)
+        if turn < ROUNDS:
+            pairs = _star_pairs(listed, turn)
+        else:
+            listed = written(listed, "listed")
+            mixed = written(_mixed(listed), "mixed")
+            pairs = _short_pairs(listed, mixed, short)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn == ROUNDS or roots is None:
-                break
+        new = None
+        if not pairs.isEmpty():
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            likely = written(_with_both(pairs, classes, "sketch").mapInArrow(_likely, "a binary, b binary"), "likely")
+            new = _verified(likely, classes, text)
+        if turn == ROUNDS and not mixed.where(F.col("n") > short).isEmpty():
+            more = _block_links(listed, mixed, classes, text, short, block)
+            new = more if new is None else new.unionByName(more)
+        if new is None:
             continue
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        likely = written(_with_both(pairs, classes, "sketch").mapInArrow(_likely, "a binary, b binary"), "likely")
-        new = written(_verified(likely, classes, text), "links")
+        new = written(new, "links")
         links = new if links is None else links.unionByName(new)
         if not new.isEmpty():
             roots = written(connected(links), "roots")
     return _labelled(sketches, classes, roots)
 
 
+def _sets_of(wanted: DataFrame, classes: DataFrame, text: DataFrame) -> DataFrame:
+    """(set_id, members) of the wanted classes, made again from the text of one document of each."""
+    ids = classes.join(wanted, "set_id", "left_semi").select(F.col("first_id").alias("wanted")).distinct()
+    some = text.join(small_side(ids), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    sets = some.mapInArrow(_members, _SETS).join(wanted, "set_id", "left_semi")
+    return written(sets.dropDuplicates(["set_id"]), "sets")
+
+
 def _verified(likely: DataFrame, classes: DataFrame, text: DataFrame) -> DataFrame:
-    """The pairs of classes whose full shingle sets are similar.  Sets are made again from the
-    text of one document of each class that is in a pair."""
+    """The pairs of classes whose full shingle sets are similar."""
     ends = likely.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    wanted = classes.join(ends, "set_id", "left_semi").select(F.col("first_id").alias("wanted")).distinct()
-    some = text.join(small_side(wanted), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = some.mapInArrow(_members, _SETS).join(ends, "set_id", "left_semi").dropDuplicates(["set_id"])
-    return _with_both(likely, written(sets, "sets"), "members").mapInArrow(_overlaps, "a binary, b binary")
+    return _with_both(likely, _sets_of(ends, classes, text), "members").mapInArrow(_overlaps, "a binary, b binary")
 
 
 def _labelled(sketches: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    first = classes.select("set_id", "first_id")
-    if roots is None:
-        named = first.select("set_id", F.col("first_id").alias("component"))
-    else:
-        member = first.join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
-        member = member.withColumn("root", F.coalesce("root", "set_id"))
-        least = member.groupBy("root").agg(F.min("first_id").alias("component"))
-        named = member.join(least, "root").select("set_id", "component")
+    member = classes.select("set_id", "first_id", F.col("set_id").alias("root"))
+    if roots is not None:
+        known = roots.select(F.col("node").alias("set_id"), F.col("root").alias("found"))
+        member = member.join(known, "set_id", "left").withColumn("root", F.coalesce("found", "root"))
+    least = member.groupBy("root").agg(F.min("first_id").alias("component"))
+    named = member.join(least, "root").select("set_id", "root", "component")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return sketches.join(named, "set_id", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    return sketches.join(named, "set_id", "left").select("row_key", "doc_id", "n_shingles", "root", component.alias("component_id"))
+
+
+def near_copies(docs: DataFrame, short: int = SHORT, block: int = BLOCK) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, any others): doc_id, n_shingles,
+    component_id (the smallest doc_id among all documents reachable over links), kept.
+
+    Shingles are SHINGLE words, lower case A-Z; a document of fewer words is one shingle, one
+    without words or with NULL text has none and is linked with nothing.  Rows that share a
+    doc_id are documents of their own with the same name.  A NULL doc_id stays NULL: such a
+    row takes the component's smallest known doc_id and is kept only if there is none.
+    An empty table gives an empty result; columns other than doc_id and text are not read.
+    """
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return _grouped(docs, short, block).select("doc_id", "n_shingles", "component_id", kept)
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of each group of near-copies, with all its columns: that with the smallest doc_id,
+    of several that with the smallest hash of doc_id and text.  Rows without words all stay."""
+    grouped = written(_grouped(docs, SHORT, BLOCK).where("root is not null").select("row_key", "doc_id", "root"), "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    first = grouped.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first.row_key").alias("first"))
+    by_key = grouped.groupBy("row_key", "root").agg(F.count("*").alias("n")).join(first, "root")
+    # keys of rows that go, and of rows that are there more than once, equal in doc_id and text
+    going = by_key.where("row_key <> first or n > 1").select("row_key", (F.col("row_key") == F.col("first")).alias("again"))
+    marked = docs.select(as_row(docs).alias("row"), row_key().alias("row_key")).join(small_side(going), "row_key", "left")
+    once = marked.where("again").dropDuplicates(["row_key"])
+    kept = marked.where("again is null").unionByName(once)
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
