@@ -99,10 +99,3 @@ def test_sentinels_are_not_committed(spark):
     assert rows(commit_rows(positions, "s", 1), "partition") == [(0,)]
     existing = spark.createDataFrame([("other", 0)], "topic STRING, partition INT")
     assert commit_rows(positions, "s", 1, existing=existing).count() == 0
-
-
-def test_stream_needs_no_more_than_a_few_watermarks(spark):
-    from topiclake.streaming.watermarks import union_by_partition
-
-    with pytest.raises(ValueError):
-        union_by_partition(spark.range(1), [("t", i) for i in range(100)], "ts", "1 second")

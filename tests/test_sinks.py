@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import logging
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from topiclake.streaming import sinks as St
 from topiclake.streaming.state import BatchState, WholeState
 from topiclake.streaming.temporal import as_of_join_stream
 from topiclake.streaming.upsert import normalize_stream
-from topiclake.streaming.watermarks import union_by_partition
+from topiclake.streaming.watermarks import tumble_stream
 
 
 def numbers(spark, low, high, partitions=2):
@@ -388,20 +389,28 @@ def test_temporal_stream_keeps_rows_without_time_and_waits_for_versions(spark, p
     assert rows(got.where("part = 0"), "view") == [(2,)]
 
 
-def test_partition_watermarks_in_a_stream(spark, path):
-    """Partition 1 is far ahead; rows of partition 0 are not late because of it."""
-    first = messages(spark, [(0, 0, "a", "x", 10), (1, 1, "a", "x", 10_000)])
-    second = messages(spark, [(0, 2, "a", "x", 12), (0, 3, "a", "x", 3600), (1, 4, "a", "x", 10_001)])
-    third = messages(spark, [(0, 5, "a", "x", 3700), (1, 6, "a", "x", 10_002)])
-    source, out = stored(spark, path, first, second, third), path("out")
-    stream = stream_log(spark, source, 2)
-    parts = [("persistent://public/default/t", 0), ("persistent://public/default/t", 1)]
-    merged = union_by_partition(stream, parts, "event_time", "0 seconds")
-    counts = merged.groupBy(F.window("event_time", "1 minute")).agg(F.count("*").alias("n"))
-    St.start(counts, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/part={n}"), path("checkpoint")).awaitTermination()
-    got = spark.read.parquet(out).select((F.unix_seconds("window.start") - 1704067200).alias("s"), "n")
-    assert (0, 2) in rows(got, "s", "n")
-    assert not [r for r in rows(got, "s", "n") if r[0] > 3700]
+@pytest.mark.parametrize("delay, expected", [("0 seconds", False), ("30 seconds", False), ("0 seconds", True)])
+def test_windows_wait_for_the_slowest_of_many_partitions(spark, path, delay, expected):
+    """64 partitions; partition 1 comes a day late, micro-batch after micro-batch."""
+    def part(i):
+        times = [(p, i * 100 + p, "k", '{"v": 1}', (i - (5 if p == 1 else 0)) * 86400 + 60 * p) for p in range(64)]
+        return messages(spark, [t for t in times if t[4] >= 0])
+
+    source, out = stored(spark, path, *[part(i) for i in range(9)]), path("out")
+    wanted = messages(spark, [(p, 0, "k", "v", 0) for p in range(65 if expected else 64)]).select("topic", "partition")
+    stream = stream_log(spark, source, 64).select("topic", "partition", "event_time")
+    tumble_stream(
+        stream, "event_time", "1 day", [F.count("*").alias("n")], lambda df, n: df.write.mode("overwrite").parquet(f"{out}/part={n}"),
+        path("state"), path("checkpoint"), delay=delay, expected=wanted,
+    ).awaitTermination()
+    if expected:
+        # a partition without rows holds all windows
+        assert not any(f for _, _, f in os.walk(out))
+        return
+    got = rows(spark.read.parquet(out).select(F.unix_seconds("window_start").alias("s"), "n"), "s", "n")
+    days = [(s - 1704067200) // 86400 for s, _ in got]
+    # partition 1 has reached day 3, a minute after midnight
+    assert days == [0, 1, 2] and [n for _, n in got] == [64, 64, 64]
 
 
 def test_shared_dir(spark):

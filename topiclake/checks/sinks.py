@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from topiclake.checks import check
 from topiclake.checks.scans import MURMUR
 from topiclake.checks.topics import EV, EVENT_DDL, LINE_DDL, ORD, ORDER_DDL, events, json_bytes, lineitem, ntz, orders, table
+from topiclake.envelope import LOG
 from topiclake.operators import cursors as K, eventtime as E
 from topiclake.operators.changelog import decode_upsert, latest
 from topiclake.operators.decode import decode
@@ -14,10 +15,11 @@ from topiclake.operators.routing import route
 from topiclake.operators.sinks import due, to_messages, write
 from topiclake.plans.workspace import new_dir
 from topiclake.sources.starts import high_water, with_start
-from topiclake.sources.topics import read_log, scan, stream_log
+from topiclake.sources.topics import partitions, read_log, scan, stream_log
 from topiclake.streaming.sinks import batch_writer, start, write_stream
 from topiclake.streaming.temporal import as_of_join_stream
 from topiclake.streaming.upsert import normalize_stream
+from topiclake.streaming.watermarks import tumble_stream
 
 CUT = "TIMESTAMP '2024-01-20 00:00:00'"
 
@@ -213,6 +215,34 @@ def stream_tumble_agg(spark, folder):
     return spark.read.parquet(path).select(ntz("window_start").alias("window_start"), "events", "highest")
 
 
+@check(
+    "stream_partition_watermark",
+    f"""WITH {EV}, rows AS (SELECT *, user_id % 64 AS part FROM ev WHERE user_id % 64 <> 5 OR event_id <= (SELECT MAX(event_id) * 3 // 4 FROM ev)),
+    low AS (SELECT MIN(seen) AS low FROM (SELECT MAX(publish_time) AS seen FROM rows GROUP BY part))
+    SELECT date_trunc('day', publish_time) AS window_start, COUNT(*) AS events, CAST(COUNT(CASE WHEN tombstone THEN 1 END) AS BIGINT) AS tombstones FROM rows
+    WHERE date_trunc('day', publish_time) + INTERVAL 1 DAY <= (SELECT low FROM low) GROUP BY 1""",
+)
+def stream_partition_watermark(spark, folder):
+    """Daily windows over 64 partitions, of which one arrives four micro-batches later than the others."""
+    m = events(spark, folder).withColumn("partition", (F.col("key").cast("string").cast("bigint") % 64).cast("int"))
+    last = m.agg(F.max("sequence_id")).first()[0]
+    path = new_dir(spark, "input")
+    part = F.floor(F.col("sequence_id") * 8 / (last + 1)) + F.when(F.col("partition") == 5, 4).otherwise(0)
+    # the slow partition is three quarters through when the others are done
+    slow = (F.col("partition") != 5) | (F.col("sequence_id") <= F.lit(last * 3 // 4))
+    for i in range(12):
+        write(m.where(slow & (part == i)), path, commit=f"{i:02}")
+    out, state, checkpoint = (new_dir(spark, n) for n in ("windows", "state", "checkpoint"))
+    stream = stream_log(spark, path, files_per_batch=64).select(*LOG, "publish_time", "value")
+    aggs = [F.count("*").alias("events"), F.count_if(F.col("value").isNull()).alias("tombstones")]
+    tumble_stream(
+        stream, "publish_time", "1 day", aggs, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/part={n}"), state, checkpoint,
+        expected=partitions(m),
+    ).awaitTermination()
+    found = spark.read.schema("window_start TIMESTAMP, window_end TIMESTAMP, events BIGINT, tombstones BIGINT").parquet(out)
+    return found.select(ntz("window_start").alias("window_start"), "events", "tombstones")
+
+
 @check(
     "stream_changelog_normalize",
     f"""WITH {EV}, last AS (SELECT user_id, MAX(event_id) AS event_id FROM ev GROUP BY 1)

@@ -1,27 +1,89 @@
-"""Watermarks per topic partition in a running stream."""
+"""Windows of a stream under a watermark per topic partition, for any number of partitions.
+
+Each partition has the highest time it has seen; the watermark of the stream is the lowest of
+them less a delay, so a partition that lags holds the windows of all.  A micro-batch writes its
+rows by window, and reads only the windows that it closes.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from topiclake.envelope import LOG
+from topiclake.streaming.sinks import start
+from topiclake.streaming.state import BatchState
+
+
+class PartitionMarks:
+    """The highest time of every topic partition, kept between micro-batches."""
+
+    def __init__(self, path: str, delay: str, expected: DataFrame | None = None) -> None:
+        self.state = BatchState(path, lambda rows: rows.groupBy(*LOG).agg(F.max("seen").alias("seen")))
+        self.delay, self.expected = delay, expected
 
-#: one source per partition costs a file listing each; beyond this use partition_watermark per batch
-MAX_PARTITIONS = 32
+    def low(self, spark: SparkSession, batch_id: int) -> int | None:
+        """The watermark in microseconds that the batches before this one have reached.
 
+        None before the first row, and while an expected partition has none.  One number
+        comes to the driver.
+        """
+        seen = self.state.before(spark, batch_id)
+        if seen is None:
+            return None
+        if self.expected is not None:
+            seen = self.expected.select(*LOG).distinct().join(seen, LOG, "left")
+        late = F.col("seen") - F.expr(f"INTERVAL {self.delay}")
+        row = seen.agg(F.min(F.unix_micros(late)).alias("low"), F.count_if(F.col("seen").isNull()).alias("silent")).first()
+        return None if row["silent"] else row["low"]
 
-def union_by_partition(stream: DataFrame, parts: list[tuple[str, int]], ts: str, delay: str) -> DataFrame:
-    """The stream with one watermark per topic partition, of which Spark takes the minimum.
+    def put(self, rows: DataFrame, ts: str, batch_id: int) -> None:
+        self.state.put(rows.where(F.col(ts).isNotNull()).groupBy(*LOG).agg(F.max(ts).alias("seen")), batch_id)
 
-    A partition without data holds the watermark.
+
+def tumble_stream(
+    rows: DataFrame,
+    ts: str,
+    size: str,
+    aggs: list[Column],
+    emit: Callable[[DataFrame, int], None],
+    state_path: str,
+    checkpoint: str,
+    *,
+    by: list[str] | None = None,
+    delay: str = "0 seconds",
+    expected: DataFrame | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """``tumble`` over a stream whose rows carry topic and partition; ``ts`` is a timestamp.
+
+    A window is emitted in the micro-batch in which the watermark reaches its end, and once.  Rows
+    of windows that were closed before are late and left out, rows without time belong to
+    none.  ``expected`` partitions (topic, partition) hold the watermark before they have rows.
     """
-    if not 0 < len(parts) <= MAX_PARTITIONS:
-        raise ValueError(f"1 to {MAX_PARTITIONS} partitions can have their own watermark, not {len(parts)}")
-    stream.sparkSession.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
-    topic, partition = (F.col(c) for c in LOG)
-    streams = [
-        stream.where((topic == name) & (partition == number)).withWatermark(ts, delay) for name, number in parts
-    ]
-    return reduce(DataFrame.unionByName, streams)
+    by = by or []
+    marks = PartitionMarks(f"{state_path}/marks", delay, expected)
+    window = F.window(ts, size)
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = marks.low(spark, batch_id)
+        timed = batch.where(F.col(ts).isNotNull()).withColumn("_end", F.unix_micros(window["end"]))
+        fresh = timed if before is None else timed.where(F.col("_end") > before)
+        # a batch that runs again overwrites what it wrote; the directory is the window
+        fresh.write.mode("overwrite").partitionBy("_end").parquet(f"{state_path}/rows/micro_batch={batch_id}")
+        marks.put(batch, ts, batch_id)
+        now = marks.low(spark, batch_id + 1)
+        if now is None:
+            return
+        kept = spark.read.schema(f"{batch.schema.toDDL()}, _end BIGINT").parquet(f"{state_path}/rows")
+        due = kept.where((F.col("_end") <= now) & (F.lit(True) if before is None else F.col("_end") > before))
+        out = due.groupBy(F.window(ts, size).alias("_window"), *by).agg(*aggs)
+        names = [c for c in out.columns if c not in ("_window", *by)]
+        emit(
+            out.select(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), *by, *names), batch_id
+        )
+
+    return start(rows, each_batch, checkpoint, available_now=available_now)
