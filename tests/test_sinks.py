@@ -194,12 +194,17 @@ def test_fail_on_write(spark, path, caplog):
 
     with pytest.raises(Exception, match="cannot encode"):
         St.write_stream(stream_log(spark, source), path("out"), path("checkpoint"), source=broken).awaitTermination()
+    def one_broken(batch):
+        fails = F.raise_error(F.lit("cannot encode")).cast("binary")
+        return batch.withColumn("value", F.when(F.col("entry_id").isin(3, 8), fails).otherwise(F.col("value")))
+
     out, bad = path("out"), path("bad")
     St.write_stream(
-        stream_log(spark, source), out, path("checkpoint"), source=broken, fail_on_write=False, quarantine_path=bad
+        stream_log(spark, source), out, path("checkpoint"), source=one_broken, fail_on_write=False, quarantine_path=bad
     ).awaitTermination()
     assert "was not written" in caplog.text
-    assert read_log(spark, bad).count() == 10
+    assert rows(read_log(spark, bad), "entry_id") == [(3,), (8,)]
+    assert rows(read_log(spark, out), "entry_id") == [(i,) for i in range(10) if i not in (3, 8)]
 
 
 def test_cursors(spark, path):

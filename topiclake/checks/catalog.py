@@ -6,8 +6,8 @@ from pyspark.sql import functions as F, types as T
 
 from topiclake.catalog.connect import insert_into, read_changelog, read_table
 from topiclake.catalog.options import TableOptions
-from topiclake.catalog.registry import REGISTRY_DDL
-from topiclake.catalog.tables import RESERVED_TENANT, as_table, databases, tables
+from topiclake.catalog.registry import REGISTRY_DDL, accepted
+from topiclake.catalog.tables import RESERVED_TENANT, as_table, create_database, create_table, databases, drop_table, table_exists, tables
 from topiclake.checks import check
 from topiclake.checks.topics import EV, ORDERS, events, log, ntz, table
 from topiclake.plans.workspace import new_dir
@@ -43,13 +43,13 @@ def list_tables(spark, folder):
     return tables(registry(spark, folder))
 
 
-@check("register_table", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 300000")
+@check("register_table", "SELECT o_orderkey, o_totalprice FROM orders")
 def register_table(spark, folder):
     """The orders topic under its registry schema as a view, asked in SQL."""
     entry = (ORDERS, "JSON", "", "o_orderkey BIGINT, o_totalprice DOUBLE")
     rows = spark.createDataFrame([entry], REGISTRY_DDL)
     as_table(log(spark, folder), rows, "public/default", "orders", view="orders_topic")
-    return spark.sql("SELECT o_orderkey, o_totalprice FROM orders_topic WHERE o_totalprice > 300000")
+    return spark.sql("SELECT o_orderkey, o_totalprice FROM orders_topic")
 
 
 _USERS = {"topic": "events", "key.format": "raw", "value.format": "json", "value.fields-include": "EXCEPT_KEY"}
@@ -123,3 +123,50 @@ def table_insert(spark, folder):
     return back.select(
         "o_custkey", "o_orderkey", "o_totalprice", ntz("eventTime").alias("eventTime"), F.col("properties")["status"].alias("status")
     )
+
+
+@check(
+    "table_exists",
+    f"""WITH {_TABLES}, one AS (SELECT MIN(database) AS database FROM t)
+    SELECT database, (SELECT MIN("table") FROM t JOIN one USING (database)) AS "table", true AS found FROM one
+    UNION ALL SELECT database, 'not there', false FROM one""",
+)
+def tables_that_exist(spark, folder):
+    """The first table of the first database, and one that is not there."""
+    rows = registry(spark, folder)
+    database = databases(rows).agg(F.min("database")).first()[0]
+    name = tables(rows, database).agg(F.min("table")).first()[0]
+    found = [(database, n, table_exists(rows, database, n)) for n in (name, "not there")]
+    return spark.createDataFrame(found, "database STRING, table STRING, found BOOLEAN")
+
+
+@check(
+    "create_drop_table",
+    f"""WITH {_TABLES} SELECT DISTINCT database, "table" FROM t UNION ALL SELECT 'made', 'stays'""",
+)
+def create_and_drop(spark, folder):
+    """A database with two tables is added to the registry, one table is dropped again."""
+    rows = create_database(registry(spark, folder), "made")
+    schema = T.StructType.fromDDL("o_orderkey BIGINT, o_totalprice DOUBLE")
+    for name in ("stays", "goes"):
+        rows = create_table(rows, "made", name, schema, {"format": "json"})
+    return tables(drop_table(rows, "made", "goes"))
+
+
+@check(
+    "schema_compat_check",
+    "SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false ELSE true END AS accepted FROM supplier",
+)
+def schema_compat(spark, folder):
+    """Writers declare one schema for topics that have it, another one, none, bytes, or (declaring none) bytes."""
+    kind = F.col("s_suppkey") % 5
+    topic = F.concat(F.lit("persistent://public/default/s"), "s_suppkey")
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", topic.alias("topic"), kind.alias("kind"))
+    row = lambda schema_type, definition: [schema_type.alias("schema_type"), definition.alias("definition"), F.lit("").alias("ddl")]
+    stored = suppliers.where("kind <> 2").select(
+        "topic",
+        *row(F.when(F.col("kind") >= 3, "BYTES").otherwise("JSON"), F.when(F.col("kind") == 0, "a").when(F.col("kind") == 1, "b").otherwise("")),
+    )
+    last = F.col("kind") == 4
+    declared = suppliers.select("topic", *row(F.when(last, "NONE").otherwise("JSON"), F.when(last, "").otherwise("a")))
+    return accepted(stored, declared).join(suppliers, "topic").select("s_suppkey", "accepted")

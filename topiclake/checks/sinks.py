@@ -310,3 +310,66 @@ def stream_temporal_join(spark, folder):
         lambda df, n: df.write.mode("overwrite").parquet(f"{path}/part={n}"), deleted="gone",
     ).awaitTermination()
     return spark.read.parquet(path).select("view_id", "user_id", "price")
+
+
+@check("sink_none", f"WITH {ORD} SELECT partition, COUNT(*) AS messages FROM ord GROUP BY 1")
+def sink_none(spark, folder):
+    """A stream without a checkpoint of its own gives no guarantee; here nothing fails."""
+    source, path = stored_in_parts(spark, orders(spark, folder), 2, "sequence_id"), new_dir(spark, "none")
+    write_stream(stream_log(spark, source), path, semantic="none").awaitTermination()
+    return read_log(spark, path).groupBy("partition").agg(F.count("*").alias("messages"))
+
+
+@check(
+    "fail_on_write",
+    f"""WITH {ORD} SELECT partition, sequence_id, o_orderkey IN (SELECT MIN(o_orderkey) FROM orders UNION SELECT MAX(o_orderkey) FROM orders) AS quarantined
+    FROM ord""",
+)
+def fail_on_write(spark, folder):
+    """Two orders cannot be encoded: they are set aside, all others are written."""
+    m = orders(spark, folder)
+    ends = m.agg(F.min("sequence_id").alias("low"), F.max("sequence_id").alias("high")).first()
+    source, path, bad = stored_in_parts(spark, m, 2, "sequence_id"), new_dir(spark, "written"), new_dir(spark, "set-aside")
+
+    def encode_orders(batch):
+        fails = F.raise_error(F.lit("cannot encode this order")).cast("binary")
+        return batch.withColumn("value", F.when(F.col("sequence_id").isin(ends["low"], ends["high"]), fails).otherwise(F.col("value")))
+
+    write_stream(
+        stream_log(spark, source), path, new_dir(spark, "checkpoint"), source=encode_orders, fail_on_write=False, quarantine_path=bad
+    ).awaitTermination()
+    good = read_log(spark, path).select("partition", "sequence_id", F.lit(False).alias("quarantined"))
+    return good.unionByName(read_log(spark, bad).select("partition", "sequence_id", F.lit(True).alias("quarantined")))
+
+
+@check(
+    "remove_cursor",
+    f"""WITH {EV} SELECT 'kept' AS subscription, partition, MAX(event_id) // 1000 AS ledger_id, MAX(event_id) % 1000 AS entry_id FROM ev GROUP BY partition
+    UNION ALL SELECT 'outside', partition, MAX(event_id) // 1000, MAX(event_id) % 1000 FROM ev GROUP BY partition""",
+)
+def remove_cursor(spark, folder):
+    """Three subscriptions; one that the read made for itself is removed, one made outside stays."""
+    path, last = new_dir(spark, "cursors"), E.positions(events(spark, folder))
+    for name, external in (("kept", False), ("gone", False), ("outside", True)):
+        K.commit_cursors(K.commit_rows(last, name, 1, external=external), path)
+    for name in ("gone", "outside"):
+        K.drop_cursor(spark, path, name)
+    return K.current_cursors(K.read_cursors(spark, path)).select("subscription", "partition", "ledger_id", "entry_id")
+
+
+@check("rescale_state", "SELECT CAST(user_id % 8 AS INTEGER) AS partition, COUNT(*) AS messages FROM events GROUP BY 1")
+def rescale_state(spark, folder):
+    """A stream goes on from its checkpoint with another number of shuffle partitions and new topic partitions."""
+    m = events(spark, folder)
+    user = F.col("key").cast("string").cast("bigint")
+    old, new = m.where(user % 8 < 4), m.where(user % 8 >= 4).withColumn("partition", (user % 8).cast("int"))
+    source, path, checkpoint = new_dir(spark, "input"), new_dir(spark, "rescaled"), new_dir(spark, "checkpoint")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for i, (part, tasks) in enumerate(((old, "3"), (new, "5"))):
+            write(part, source, commit=f"{i}")
+            spark.conf.set("spark.sql.shuffle.partitions", tasks)
+            write_stream(stream_log(spark, source), path, checkpoint, "exactly-once").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return E.audit(read_log(spark, path)).select("partition", "messages")

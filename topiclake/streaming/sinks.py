@@ -15,12 +15,14 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from topiclake.envelope import LOG, POSITION
 from topiclake.operators.cursors import commit_cursors, commit_rows
 from topiclake.operators.eventtime import positions
 from topiclake.operators.sinks import SEMANTICS, upsert_messages, write
+from topiclake.plans.commits import commit
 from topiclake.plans.workspace import new_dir
 
 log = logging.getLogger("topiclake")
@@ -67,28 +69,35 @@ def batch_writer(
 
     ``exactly-once`` needs a name for the query in its commits: ``writer``, or else the id in
     the ``checkpoint``.
-    ``source`` turns messages that were read into messages to write; cursors of
+    ``source`` turns messages that were read into messages to write, message by message; cursors of
     ``subscription`` are those of the messages that were read.  With ``fail_on_write``
-    off, a batch that cannot be written is logged and left out; what was read for it is
-    kept below ``quarantine_path``.
+    off, a message that cannot be written is logged and left out, and kept as it was read
+    below ``quarantine_path``; the others of its batch are written.
     """
     if semantic not in SEMANTICS:
         raise ValueError(f"semantic must be one of {SEMANTICS}, not {semantic!r}")
     if semantic == "exactly-once" and not (writer or checkpoint):
         raise ValueError("exactly-once needs the name of the writer or its checkpoint")
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        messages = source(batch) if source else batch
-        own = (writer or query_id(batch.sparkSession, checkpoint)) if semantic == "exactly-once" else uuid.uuid4().hex
+    def write_part(part: DataFrame, name: str, depth: int) -> None:
         try:
-            write(messages, path, commit=f"{own}-{batch_id}")
+            write(source(part) if source else part, path, commit=name)
         except Exception:
             if fail_on_write:
                 raise
-            log.exception("batch %s was not written", batch_id)
+            if part.limit(2).count() > 1 and depth < 64:
+                # halve until the messages that fail stand alone; the others are written
+                half = F.shiftright(F.xxhash64(*LOG, *POSITION), depth).bitwiseAND(1)
+                for side in (0, 1):
+                    write_part(part.where(half == side), f"{name}.{side}", depth + 1)
+                return
+            log.exception("a message of commit %s was not written", name)
             if quarantine_path:
-                batch.write.mode("overwrite").parquet(f"{quarantine_path}/commit={batch_id}")
-            return
+                commit(part.sparkSession, quarantine_path, name, lambda place: part.write.parquet(place))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        own = (writer or query_id(batch.sparkSession, checkpoint)) if semantic == "exactly-once" else uuid.uuid4().hex
+        write_part(batch, f"{own}-{batch_id}", 0)
         if subscription and cursor_path:
             commit_cursors(commit_rows(positions(batch), subscription, time.time_ns() // 1000), cursor_path)
 
