@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from topiclake.llm.tables import let_workers_import, written
 from topiclake.plans.workspace import new_dir
@@ -36,20 +36,6 @@ BLOCK = 1 << 20
 _DATE = "2000-01-01T00:00:00Z"
 
 
-def sha1_base32(column: str) -> Column:
-    """The bare base32 SHA-1 of a text, upper case, with built-in functions."""
-    # 40 hex digits are 32 groups of 5 bits: every 5 digits make 4 letters
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    digest = F.sha1(F.col(column).cast("binary"))
-    out = []
-    for group in range(8):
-        number = F.conv(F.substring(digest, 5 * group + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            place = F.shiftright(number, shift).bitwiseAND(31) + 1
-            out.append(F.substring(F.lit(letters), place, F.lit(1)))
-    return F.concat(*out)
-
-
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
@@ -74,7 +60,7 @@ def record(page: dict) -> bytes:
         f"WARC-Date: {_DATE}",
         # a field ends with its line; the URI is quoted so that any text survives
         f"WARC-Target-URI: {json.dumps(page['url'])}",
-        f"WARC-Payload-Digest: sha1:{page['digest']}",
+        f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(page['digest'])).decode()}",
         f"X-Page: {json.dumps(page['page_id'])}",
     ]
     if not page["is_first"]:
@@ -235,7 +221,7 @@ def with_first(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """
     html = F.coalesce("html", F.lit(""))
     page = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
-    page = page.withColumn("digest", sha1_base32("html")).withColumn("payload_bytes", F.octet_length("html").cast("long"))
+    page = page.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
     first = page.groupBy("digest").agg(F.min("page_id").alias("first_id"))
     known = page.join(first, "digest")
     alone = (F.col("payload_bytes") < least_bytes) | F.col("page_id").eqNullSafe(F.col("first_id"))
