@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+# How a broker names the partitions of a topic.
 PARTITION_SUFFIX = "-partition-"
 _INDEX = r"-partition-(0|[1-9]\d*)$"
 

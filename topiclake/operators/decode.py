@@ -19,7 +19,7 @@ MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 CORRUPT = "_corrupt_record"
 #: fixed value: how a text timestamp is written unless an option says otherwise
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-#: encodings whose line ends cannot be found byte by byte
+# Fixed value: encodings whose line ends cannot be found byte by byte.
 _WIDE_ENCODINGS = ("UTF-16", "UTF-32")
 _BLANKS = "".join(map(chr, range(33)))
 
