@@ -236,10 +236,15 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
     return written(page.mapInArrow(_write(folder, limit), "archive string, records long"), "archives")
 
 
+def _one_each(archives: DataFrame) -> DataFrame:
+    """A task for each archive: the rows are tiny, what they stand for is not."""
+    return archives.repartition(max(1, archives.count()))
+
+
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """A gzip member for every record and an index beside: (archive, index, records)."""
     let_workers_import(archives.sparkSession)
-    spread = archives.select("archive").repartition(F.col("archive"))
+    spread = _one_each(archives.select("archive"))
     return written(spread.mapInArrow(_normalise(folder), "archive string, index string, records long"), "normalised")
 
 
@@ -247,7 +252,7 @@ def read_records(archives: DataFrame) -> DataFrame:
     """The records of normalised archives: archive, offset, size, page_id, url, record_type,
     payload_digest, payload_bytes, refers_to, payload (NULL for revisits)."""
     let_workers_import(archives.sparkSession)
-    spread = archives.select("archive", "index").repartition(F.col("archive"))
+    spread = _one_each(archives.select("archive", "index"))
     return spread.mapInArrow(_read, _READ_COLUMNS)
 
 
