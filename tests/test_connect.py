@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from helpers import at, messages, rows
-from topiclake.catalog.connect import insert_into, insert_messages, read_changelog, read_table
+from topiclake.catalog.connect import insert_into, insert_messages, insert_stream, read_changelog, read_table, read_table_stream
 from topiclake.catalog.options import TableOptions
 from topiclake.operators import cursors as K
 from topiclake.sources import starts as S
@@ -133,3 +133,22 @@ def test_lost_data_stops_a_read(spark, log):
     with pytest.raises(Exception, match="beyond the last message"):
         read_table(log, options("v INT", beyond)).collect()
     assert read_table(log, options("v INT", {**beyond, "failondataloss": "false"})).count() >= 0
+
+
+def test_a_stream_from_options_starts_at_latest(spark, path):
+    where, state, checkpoint, out = path(), path("state"), path("checkpoint"), path("out")
+    table = options("v INT", {"format": "json", "fail-on-write": "false", "sink.semantic": "exactly-once"})
+
+    def go():
+        rows_read = read_table_stream(spark, where, table, state)
+        insert_stream(rows_read, out, options("v INT", {"sink.semantic": "exactly-once"}), F.col("v"), checkpoint).awaitTermination()
+
+    insert_into(spark.createDataFrame([(1,), (2,)], "v INT"), where, table, F.col("v"))
+    insert_into(spark.createDataFrame([(7,)], "v INT"), out, table, F.col("v"))
+    go()
+    insert_into(spark.createDataFrame([(3,)], "v INT"), where, table, F.col("v"))
+    go()
+    found = read_table(read_log(spark, out), options("v INT", {"scan.startup.mode": "earliest"}))
+    assert rows(found, "v") == [(3,), (7,)]
+    with pytest.raises(ValueError, match="normalize_stream"):
+        read_table_stream(spark, where, options("v INT", {}, primary_key=["v"], upsert=True), state)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from topiclake.catalog.options import TableOptions, validate_sink, validate_source
 from topiclake.catalog.registry import avro_definition, check_same_schema
@@ -16,8 +17,9 @@ from topiclake.operators.changelog import latest, normalize
 from topiclake.operators.decode import decode, encode
 from topiclake.operators.sinks import to_messages, write
 from topiclake.plans.bounded import small_rows
-from topiclake.sources.starts import high_water, with_start
-from topiclake.sources.topics import scan
+from topiclake.sources.starts import captured_marks, high_water, with_start
+from topiclake.sources.topics import partitions, read_log, scan, stream_log
+from topiclake.streaming.sinks import write_stream
 
 
 def _key_names(table: TableOptions) -> dict[str, str]:
@@ -190,3 +192,38 @@ def insert_into(rows: DataFrame, path: str, table: TableOptions, sequence: Colum
     return write(
         messages, path, commit=commit, parallelism=int(writers) if writers else None, new_ledger="ledger_id" not in settings
     )
+
+
+def read_table_stream(
+    spark: SparkSession,
+    path: str,
+    table: TableOptions,
+    state_path: str,
+    metadata: list[str] | Mapping[str, str] = (),
+    *,
+    cursors: DataFrame | None = None,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Rows of a table as a stream over the log at ``path``, from the table's options alone.
+
+    The start of the first run is kept below ``state_path``.  Without partition discovery
+    (``partition-discovery-interval-ms`` of 0 or less) partitions that come later are not read.
+    """
+    if table.upsert:
+        raise ValueError("an upsert table is a changelog: decode its stream and use normalize_stream")
+    stored = read_log(spark, path)
+    known = scan(stored, topics=table.topics) if "topic" in table.options else scan(stored, pattern=table.options["topic-pattern"])
+    only = partitions(known) if int(table.get("partition-discovery-interval-ms")) <= 0 else None
+    mode = (table.get("scan.startup.mode") or "latest").lower()
+    marks = captured_marks(known, f"{state_path}/marks") if mode not in ("earliest", "timestamp") else None
+    return _rows(_messages(stream_log(spark, path, files_per_batch, only), table, marks, cursors), table, metadata)
+
+
+def insert_stream(
+    rows: DataFrame, path: str, table: TableOptions, sequence: Column, checkpoint: str | None = None, *, quarantine_path: str | None = None, **settings
+) -> StreamingQuery:
+    """Write a stream of rows to the table's topic; the options say how safely (``sink.semantic``, ``fail-on-write``)."""
+    return write_stream(
+        insert_messages(rows, table, sequence, **settings), path, checkpoint, table.get("sink.semantic"),
+        fail_on_write=table.get("fail-on-write").lower() == "true", quarantine_path=quarantine_path,
+    )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from topiclake.catalog.connect import insert_into, read_changelog, read_table
+from topiclake.catalog.connect import insert_into, insert_stream, read_changelog, read_table, read_table_stream
 from topiclake.catalog.options import TableOptions
 from topiclake.catalog.registry import REGISTRY_DDL, accepted
 from topiclake.catalog.tables import RESERVED_TENANT, as_table, create_database, create_table, databases, drop_table, table_exists, tables
 from topiclake.checks import check
 from topiclake.checks.topics import EV, ORDERS, events, log, ntz, table
+from topiclake.operators.sinks import write
 from topiclake.plans.workspace import new_dir
 from topiclake.sources.topics import read_log
 
@@ -170,3 +171,20 @@ def schema_compat(spark, folder):
     last = F.col("kind") == 4
     declared = suppliers.select("topic", *row(F.when(last, "NONE").otherwise("JSON"), F.when(last, "").otherwise("a")))
     return accepted(stored, declared).join(suppliers, "topic").select("s_suppkey", "accepted")
+
+
+@check(
+    "stream_table_options",
+    "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+)
+def stream_table_options(spark, folder):
+    """A stream from table to table: where it starts, what is decoded and how it is written come from options."""
+    schema = T.StructType.fromDDL("o_orderkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderpriority STRING")
+    path, copy, state = (new_dir(spark, n) for n in ("input", "copy", "state"))
+    for i in range(2):
+        write(log(spark, folder).where("topic like '%orders'").where(F.col("sequence_id") % 2 == i), path, commit=f"{i}")
+    source = TableOptions(schema, {"topic": "orders", "format": "json", "scan.startup.mode": "earliest", "partition-discovery-interval-ms": "1000"})
+    sink = TableOptions(schema, {"topic": "copy", "format": "json", "scan.startup.mode": "earliest", "sink.semantic": "exactly-once"})
+    rows = read_table_stream(spark, path, source, state, files_per_batch=4)
+    insert_stream(rows, copy, sink, F.col("o_orderkey"), new_dir(spark, "checkpoint"), partitions=3).awaitTermination()
+    return read_table(read_log(spark, copy), sink)
