@@ -71,9 +71,9 @@ def partition_watermark(
         .withColumn("next", F.lead("batch").over(in_order))
         .where(F.col("high").isNotNull())
     )
-    number = F.col(batch).cast("bigint")
-    facts = F.struct(F.min(number).alias("first"), F.max(number).alias("last"), F.count_distinct(*LOG).alias("logs"))
-    facts = m.agg(facts.alias("facts")).scalar()
+    # from the reduced rows, whose exchange the plan reuses: the input is read once
+    facts = F.struct(F.min("batch").alias("first"), F.max("batch").alias("last"), F.count_distinct(*LOG).alias("logs"), F.max("seen").alias("top"))
+    facts = per_batch.agg(facts.alias("facts")).scalar()
     until = F.coalesce(F.col("next") - 1, facts["last"])
     if idle_after is not None:
         until = F.least(until, F.col("batch") + idle_after)
