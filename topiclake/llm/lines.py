@@ -7,7 +7,7 @@ LINK / OF or more.  With a similarity t two lines share a token among the first
 
 1. Equal lines are brought together first, by hash; from here on a line is there once.
 2. A first filter takes the order of the hashes, needs no counts, and keeps the lines that
-   share one of their first tokens with another line.  Most lines end here.
+   share TOGETHER of their first tokens with others.  Most lines end here.
 3. The lines that are left order their tokens by rarity among them.  Their first tokens are
    joined under the length filter and the positional filter (tokens from a shared one on must
    be enough), and the full sets decide.
@@ -20,13 +20,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from topiclake.llm.tables import as_row, row_key, with_text, written
+from topiclake.llm.tables import as_row, counted_side, row_key, with_text, written
 from topiclake.plans.bounded import small_side
 
 SHINGLE = 5
 LINK, OF = 75, 100
 #: members of a list that are compared as pairs
 SHORT = 32
+#: first tokens that a line must share to get past the first filter
+TOGETHER = 4
 
 _BLANKS = "\t\r\u000b\f"
 
@@ -41,29 +43,33 @@ def _first(n: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Every line of SHINGLE words or more: doc_id, doc_key, line_no, line, words."""
+    """Every line of SHINGLE words or more: name, check, place and the line itself."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = text.select("doc_id", row_key().alias("doc_key"), F.split("text", "\n").alias("parts"))
     every = keyed.select("doc_id", "doc_key", F.posexplode("parts").alias("line_no", "line"))
-    return every.withColumn("words", _words(F.col("line"))).where(F.size("words") >= SHINGLE)
+    # stops at the last of these words, most lines go on
+    long = every.where(F.col("line").rlike(rf"^\s*(?:\S+\s+){{{SHINGLE - 1}}}\S"))
+    return long.select(*_name(), _place().alias("place"), "line")
 
 
 def _with_tokens(lines: DataFrame) -> DataFrame:
-    hashed = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    shingle = ", ".join(f"hashes[i + {k}]" for k in range(SHINGLE))
-    tokens = F.expr(f"transform(sequence(0, size(hashes) - {SHINGLE}), i -> xxhash64({shingle}))")
-    return hashed.withColumn("tokens", F.sort_array(F.array_distinct(tokens))).drop("words", "hashes")
+    """Replace the line by its distinct shingle hashes, in the order of the hashes."""
+    hashed = lines.withColumn("hashes", F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
+    others = ", ".join(f"hashes[i + {k}]" for k in range(1, SHINGLE))
+    tokens = F.expr(f"transform(slice(hashes, 1, size(hashes) - {SHINGLE - 1}), (h, i) -> xxhash64(h, {others}))")
+    return hashed.withColumn("tokens", F.sort_array(F.array_distinct(tokens))).drop("hashes")
 
 
 _PLACE = ["doc_id", "doc_key", "line_no"]
 
 
 def _name() -> list[Column]:
-    """Equal lines have equal names; 96 bits in all."""
-    return [F.xxhash64("line").alias("name"), F.crc32(F.encode("line", "UTF-8")).alias("check")]
+    """Equal lines have equal names; 128 bits in all."""
+    return [F.xxhash64("line").alias("name"), F.xxhash64(F.lit(1), "line").alias("check")]
 
 
 def _place() -> Column:
+    """Where a line stands; NULL ids come after all others."""
     return F.struct(F.col("doc_id").isNull().alias("unnamed"), *_PLACE)
 
 
@@ -84,21 +90,36 @@ def _similar(left: Column, right: Column) -> Column:
     return (OF + LINK) * common >= LINK * (F.size(left) + F.size(right))
 
 
-def _candidates(distinct: DataFrame) -> DataFrame:
-    """The names of lines that share one of their first tokens, in the order of hashes, with another line."""
-    first = distinct.select("name", "check", F.explode("first").alias("token"))
-    shared = first.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    return first.join(shared, "token").select("name", "check").distinct()
+def _candidates(lines: DataFrame) -> DataFrame:
+    """The names of lines that share TOGETHER of their first tokens, in the order of hashes, with others.
+
+    A similar line has all but ``n - ceil(t n)`` tokens too, so so many more than those hold
+    TOGETHER of the common ones, or all there must be.
+    """
+    tokens = _with_tokens(lines.drop("place"))
+    n = F.size("tokens")
+    common = F.ceil(n * LINK / OF).cast("int")
+    need = F.least(F.lit(TOGETHER), common)
+    first = F.slice("tokens", 1, n - common + need).alias("first")
+    # a line is known by one of its hashes here; two lines in one only mean a candidate more
+    distinct = tokens.select("name", "check", first, need.alias("need")).groupBy("name", "check")
+    distinct = distinct.agg(F.max("first").alias("first"), F.max("need").cast("byte").alias("need"))
+    # written, so that tokens are made once
+    posted = written(distinct.drop("check"), "first").select("name", "need", F.explode("first").alias("token"))
+    shared = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
+    found = posted.join(shared, "token").groupBy("name").agg(F.count("*").alias("n"), F.min("need").alias("need"))
+    return found.where("n >= need").select("name")
 
 
 def _ranked(lines: DataFrame) -> DataFrame:
     """(token, line, n, position, place) for the first tokens of each line, rarest first, that another line has too."""
-    every = lines.select("line", "place", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    often = every.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    every = lines.select("line", F.explode("tokens").alias("token"))
+    often = written(every.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "often")
+    shared = every.join(often, "token").join(lines.select("line", "place", F.size("tokens").alias("n")), "line")
     by_line = Window.partitionBy("line")
     # tokens that no other line has come first; they take the places before all others
     rank = F.row_number().over(by_line.orderBy("df", "token")) - 1 + F.col("n") - F.count("*").over(by_line)
-    ranked = every.join(often, "token").withColumn("position", rank)
+    ranked = shared.withColumn("position", rank)
     return ranked.where(F.col("position") < _first(F.col("n"))).select("token", "line", "n", "position", "place")
 
 
@@ -152,29 +173,21 @@ def removed_lines(docs: DataFrame, short: int = SHORT) -> DataFrame:
     and line number; NULL ids come last.  Rows that are equal in doc_id and text are one document.
     """
     lines = _lines(docs)
-    place = _place().alias("place")
-    tokens = _with_tokens(lines)
-    first = F.slice("tokens", 1, _first(F.size("tokens")))
-    distinct = (
-        tokens.select(*_name(), place, first.alias("first"))
-        .groupBy("name", "check")
-        .agg(F.min("place").alias("place"), F.max("first").alias("first"))
-    )
-    wanted = written(_candidates(distinct), "wanted")
-    named = lines.select(*_name(), place, "line", "words")
-    places = written(named.select("name", "check", "place").distinct(), "places")
-    least = places.groupBy("name", "check").agg(F.min("place").alias("place"))
-    some = named.join(small_side(wanted), ["name", "check"], "left_semi").withColumnRenamed("place", "own")
-    some = some.join(least.join(small_side(wanted), ["name", "check"], "left_semi"), ["name", "check"])
-    some = some.where(F.col("own").eqNullSafe(F.col("place")))
-    # a line is known by its place from here on
-    full = written(
-        _with_tokens(some).select(F.xxhash64("name", "check").alias("line"), "name", "check", "place", "tokens").dropDuplicates(["line"]), "lines"
-    )
+    wanted = counted_side(written(_candidates(lines), "wanted"))
+    places = written(lines.drop("line"), "places")
+    least = places.groupBy("name", "check").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
+    # the text of a line that is wanted, from its first place
+    where = least.join(wanted, "name", "left_semi").select("name", "check", "first")
+    some = lines.join(wanted, "name", "left_semi").join(where, ["name", "check"]).where(F.col("place") == F.col("first"))
+    named = some.select(F.xxhash64("name", "check").alias("line_id"), "name", "check", "place", "line")
+    full = _with_tokens(named.dropDuplicates(["line_id"])).withColumnRenamed("line_id", "line")
+    full = written(full, "lines")
     later = written(_later(full.select("line", "place", "tokens"), short).distinct(), "later")
-    fuzzy = full.join(later, "line", "left_semi").select("name", "check").withColumn("goes", F.lit(True))
-    marked = places.join(least.withColumnRenamed("place", "first"), ["name", "check"]).join(fuzzy, ["name", "check"], "left")
-    gone = marked.where(F.coalesce("goes", ~F.col("place").eqNullSafe(F.col("first"))))
+    fuzzy = full.join(later, "line", "left_semi").select("name", "check", F.lit(True).alias("goes"))
+    # all places of lines that are similar to an earlier one, and all but the first of the others
+    known = least.join(fuzzy, ["name", "check"], "left").where("copies > 1 or goes")
+    marked = places.join(counted_side(written(known.drop("copies"), "known")), ["name", "check"])
+    gone = marked.where(F.coalesce("goes", F.col("place") != F.col("first")))
     return gone.groupBy(F.col("place.doc_key").alias("doc_key")).agg(F.array_sort(F.collect_set("place.line_no")).alias("removed"))
 
 

@@ -30,6 +30,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: rows of a few fixed-width columns that are broadcast, about 64 MB
+BROADCAST_ROWS = 1_000_000
+
+
+def counted_side(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of narrow keys, marked for broadcast when it has no more than ``limit`` rows;
+    beyond that the join is shuffled."""
+    return F.broadcast(keys) if keys.count() <= limit else keys
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
