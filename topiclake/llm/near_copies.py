@@ -29,9 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from topiclake.llm.components import connected
-from topiclake.llm.tables import as_row, let_workers_import, row_key, written
+from topiclake.llm.tables import as_row, counted_side, let_workers_import, row_key, written
 from topiclake.llm.words import Texts, chunks, mix, windows
-from topiclake.plans.bounded import small_side
 
 SHINGLE = 5
 KEPT = 64
@@ -291,7 +290,7 @@ def _grouped(docs: DataFrame, short: int, block: int) -> DataFrame:
 def _sets_of(wanted: DataFrame, classes: DataFrame, text: DataFrame) -> DataFrame:
     """(set_id, members) of the wanted classes, made again from the text of one document of each."""
     ids = classes.join(wanted, "set_id", "left_semi").select(F.col("first_id").alias("wanted")).distinct()
-    some = text.join(small_side(ids), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    some = text.join(counted_side(written(ids, "ids")), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     sets = some.mapInArrow(_members, _SETS).join(wanted, "set_id", "left_semi")
     return written(sets.dropDuplicates(["set_id"]), "sets")
 
@@ -336,7 +335,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     by_key = grouped.groupBy("row_key", "root").agg(F.count("*").alias("n")).join(first, "root")
     # keys of rows that go, and of rows that are there more than once, equal in doc_id and text
     going = by_key.where("row_key <> first or n > 1").select("row_key", (F.col("row_key") == F.col("first")).alias("again"))
-    marked = docs.select(as_row(docs).alias("row"), row_key().alias("row_key")).join(small_side(going), "row_key", "left")
+    marked = docs.select(as_row(docs).alias("row"), row_key().alias("row_key")).join(counted_side(written(going, "going")), "row_key", "left")
     once = marked.where("again").dropDuplicates(["row_key"])
     kept = marked.where("again is null").unionByName(once)
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
