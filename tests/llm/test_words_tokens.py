@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from topiclake.llm.tokens import Encoder
 from topiclake.llm.words import LETTERS, chunks, windows
@@ -55,6 +56,15 @@ def test_ids_are_the_tokenizers(values):
     assert found == own._encode([v or "" for v in values])
 
 
+def test_added_tokens_are_the_files():
+    end = "<|endoftext|>"
+    values = [f"a{end}b", "a<|endof", "text|>b", f"{end}{end}", f"a. {end} é!{end}", "plain. Text", None, f"中{end}", "<|endoftext|", ">"]
+    plain = Tokenizer.from_file(PATH)
+    found = [ids.tolist() for chunk in chunks(batch(values)) for ids in Encoder(PATH).encode(chunk)[0]]
+    assert found == [plain.encode(v or "", add_special_tokens=False).ids for v in values]
+    assert found[0] == [64, 50256, 65]
+
+
 def test_chunks_never_cut_a_text():
     sizes = [len(c) for c in chunks(batch(["a" * 50, "b", "c", "d" * 9]), limit=10)]
     assert sizes == [1, 2, 1] and [c.data.size for c in chunks(batch([]))] == []

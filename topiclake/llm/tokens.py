@@ -2,14 +2,15 @@
 
 A byte-level BPE tokenizer cuts a text into pieces first and works on each piece alone.
 For characters below LATIN the cut is made here for a whole chunk of texts with arrays,
-and the tokenizer's model makes the ids of each piece; texts with other characters, and all
-texts for tokenizers that are cut otherwise, go to the tokenizer as they are.  Pieces are known by a 64-bit
-hash, and the ids of up to CACHED pieces stay in the worker.
+and the tokenizer's model makes the ids of each piece; texts with other characters or with an added
+token of the file, and all texts for tokenizers that are cut otherwise, go to the tokenizer as they are.  Pieces are
+known by a 64-bit hash, and the ids of up to CACHED pieces stay in the worker.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -108,7 +109,9 @@ class Encoder:
 
     def __init__(self, path: str, cached: int = CACHED):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        # a look ahead, so that tokens that overlap are all found
+        self.added = re.compile(f"(?={'|'.join(added)})") if added else None
         self.cached = cached
         self.by_pieces = _cut_as_here(path)
         self._forget()
@@ -150,7 +153,10 @@ class Encoder:
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         begins = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)])
         offsets = begins[texts.offsets]
-        foreign = np.concatenate([[0], np.cumsum((codes >= LATIN) | (not self.by_pieces))])[offsets]
+        other = (codes >= LATIN) | (not self.by_pieces)
+        if self.added:
+            other[[found.start() for found in self.added.finditer(text)]] = True
+        foreign = np.concatenate([[0], np.cumsum(other)])[offsets]
         starts = np.flatnonzero(piece_starts(np.minimum(codes, LATIN - 1), offsets))
         ends = np.append(starts[1:], len(codes))
         pieces = np.searchsorted(starts, offsets)
