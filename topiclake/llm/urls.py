@@ -7,6 +7,12 @@ pages the rules block and goes against links, to those that link there.  A host
 with the share of its pages that were ruled so.  It is blocked when its distrust is above its trust by half
 of what a host gets that is blocked as a whole.
 
+Distrust is counted in two ways, and the larger counts.  A host deals its distrust out to those that link
+to it, so each of many gets little.  Reach is the distrust of the hosts that a host links to, each by
+its part of the host's links: a host that links to one blocked host and nowhere else gets the same however many
+others link there too.  Rounds go on until what is still on its way can move no host by more
+than a tolerance.
+
 Everything is DataFrame operations.  Links are counted per pair of hosts before they are
 shuffled, pages join their host's score without their html, and each round's scores are written.
 """
@@ -14,15 +20,19 @@ shuffled, pages join their host's score without their html, and each round's sco
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from topiclake.llm.tables import written
 
 DAMPING = 0.85
+#: rounds of the SQL; the operator goes on until the scores are settled
 ROUNDS = 8
 #: distrust less trust, as a part of what a wholly blocked host starts with
 THRESHOLD = 0.5
+#: what the scores may still lack, in the same unit
+TOLERANCE = 0.001
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"(?i)href\s*=\s*[\"']?\s*([^\"'\s>]+)"
@@ -86,8 +96,18 @@ def host_links(pages: DataFrame) -> DataFrame:
     return named.where("source <> target and source <> '' and target <> ''").groupBy("source", "target").agg(F.count("*").alias("links"))
 
 
-def _spread(seeds: DataFrame, links: DataFrame, rounds: int, damping: float) -> DataFrame:
-    """(host, trust, distrust) after ``rounds`` rounds; ``seeds``: (host, trust, distrust)."""
+_SCORES = ("trust", "distrust", "reach")
+
+
+def _unsettled(term: DataFrame, damping: float) -> float:
+    """The most that all rounds after that of ``term`` can add to a score of a host."""
+    # trust and distrust may all meet at one host; a reach is a mean of others
+    mass = term.agg(F.sum("trust"), F.sum("distrust"), F.max("reach")).first()
+    return max(m or 0.0 for m in mass) * damping / (1 - damping)
+
+
+def _spread(seeds: DataFrame, links: DataFrame, rounds: int | None, damping: float, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust, reach) after ``rounds`` rounds, or once settled; ``seeds``: (host, trust, distrust)."""
     out = links.groupBy("source").agg(F.sum("links").alias("out"))
     into = links.groupBy("target").agg(F.sum("links").alias("into"))
     edges = written(
@@ -96,27 +116,30 @@ def _spread(seeds: DataFrame, links: DataFrame, rounds: int, damping: float) ->
         ),
         "links",
     )
-    start = seeds.select("host", *[((1 - damping) * F.col(c)).alias(c) for c in ("trust", "distrust")])
-    state = start
-    for _ in range(rounds):
-        followed = edges.join(state, edges["source"] == state["host"]).select(
-            F.col("target").alias("host"), (damping * F.col("trust") * F.col("follow")).alias("trust"), F.lit(0.0).alias("distrust")
+    start = seeds.withColumn("reach", F.col("distrust")).select("host", *[((1 - damping) * F.col(c)).alias(c) for c in _SCORES])
+    sums = [F.sum(c).alias(c) for c in _SCORES]
+    # what each round adds; the scores are the sums
+    terms, term = [start], start
+    while len(terms) <= rounds if rounds is not None else _unsettled(term, damping) > tolerance * (1 - damping):
+        followed = edges.join(term, edges["source"] == term["host"]).select(
+            F.col("target").alias("host"), (damping * F.col("trust") * F.col("follow")).alias("trust"), F.lit(0.0).alias("distrust"), F.lit(0.0).alias("reach")
         )
-        went_back = edges.join(state, edges["target"] == state["host"]).select(
-            F.col("source").alias("host"), F.lit(0.0).alias("trust"), (damping * F.col("distrust") * F.col("back")).alias("distrust")
+        went_back = edges.join(term, edges["target"] == term["host"]).select(
+            F.col("source").alias("host"), F.lit(0.0).alias("trust"), (damping * F.col("distrust") * F.col("back")).alias("distrust"), (damping * F.col("reach") * F.col("follow")).alias("reach")
         )
-        every = start.unionByName(followed).unionByName(went_back)
-        state = written(every.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
-    return state
+        term = written(followed.unionByName(went_back).groupBy("host").agg(*sums).where("trust > 0 or distrust > 0 or reach > 0"), "ranks")
+        terms.append(term)
+    return reduce(DataFrame.unionByName, terms).groupBy("host").agg(*sums)
 
 
 def judge(
-    pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS, damping: float = DAMPING, threshold: float = THRESHOLD
+    pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int | None = None, damping: float = DAMPING, threshold: float = THRESHOLD
 ) -> DataFrame:
     """``pages`` (page_id, url, html, any others) -> page_id, host, path, rule, verdict.
 
     A page without a host has no rule and is allowed; NULL html has no links; repeated rows and
-    NULL ids get a row each.  An empty table gives an empty result.
+    NULL ids get a row each.  An empty table gives an empty result.  Without ``rounds`` the scores
+    are spread until they are settled.
     """
     ruled = _ruled(pages, rules)
     share = lambda verdict: F.avg((F.coalesce("ruled", F.lit("")) == verdict).cast("double"))
@@ -126,6 +149,6 @@ def judge(
     links = written(host_links(ruled.select("host", "html")), "links")
     # without links between hosts the scores stay where they start
     scores = _spread(seeds, links, 0 if links.isEmpty() else rounds, damping)
-    blocked = scores.where(F.col("distrust") - F.col("trust") > threshold * (1 - damping)).select("host", F.lit("block").alias("spread"))
+    blocked = scores.where(F.greatest("distrust", "reach") - F.col("trust") > threshold * (1 - damping)).select("host", F.lit("block").alias("spread"))
     verdict = F.coalesce("ruled", "spread", F.lit("allow"))
     return ruled.drop("html").join(blocked, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
