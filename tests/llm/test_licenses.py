@@ -3,8 +3,10 @@ from __future__ import annotations
 import re
 
 import duckdb
+import pyarrow as pa
 
 from topiclake.llm import licenses
+from topiclake.llm.words import chunks
 
 DOCS = "doc_id long, text string, score string"
 FOLDER = "/root/testdata/sf0.01"
@@ -49,3 +51,15 @@ def test_notices_and_odd_rows(spark):
 def test_words_of_two_files_never_join(spark):
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(["all", "rights reserved", "general public", "license"])], DOCS).coalesce(1)
     assert [r.n_base for r in licenses.scan(df).collect()] == [0, 0, 0, 0]
+
+
+def test_the_key_phrase_is_enough_to_look():
+    # the first words are the rarest of this index, and three of the four are others
+    notices = {label: notice for label, notice, _ in licenses.NOTICES}
+    text = notices["apache-2.0"].replace("licensed under the", "made with another", 1)
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [f"before {text} after"]})
+    (texts,) = chunks(rows)
+    index = licenses.Index(licenses.templates())
+    (got,) = licenses.scan_texts(texts, index).to_pylist()
+    size = len(notices["apache-2.0"].split())
+    assert got["labels"] == "apache-2.0" and got["score"] == (size - 3) / size

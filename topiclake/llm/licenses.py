@@ -2,9 +2,9 @@
 
 Templates are phrases and notices as word sequences.  The index says in which templates a
 licence word stands, and where.  Words are ranked by their inverse document frequency over
-all documents.  In each file a template's rarest words give offsets (place in the file minus
-place in the template); offsets on which they agree are kept, the mandatory key phrase must
-stand there word by word, and the score is the share of the template's words in place, weighted
+all documents.  In each file the rarest word of a template's key phrase gives offsets (place in the file minus
+place in the template); the key phrase must stand there word by word, whatever the words around it
+are, and the score is the share of the template's words in place, weighted
 by their rarity.  A base phrase is a template that is all key, so all its places are found.
 """
 
@@ -21,8 +21,6 @@ from pyspark.sql import DataFrame, functions as F
 from topiclake.llm.tables import let_workers_import
 from topiclake.llm.words import LETTERS, Texts, chunks
 
-#: words of a notice whose places are looked up, rarest first, and how many must agree
-RARE, AGREE = 4, 2
 #: share of a notice, weighted by rarity, that makes its label
 LEAST_SHARE = 0.6
 
@@ -101,19 +99,14 @@ def _frequencies(index: Index):
 
 
 def _starts(template: int, index: Index, number: np.ndarray, text_of: np.ndarray, places: dict[int, np.ndarray]) -> np.ndarray:
-    """Offsets where the template's key phrase stands and its rarest words agree."""
+    """Offsets where the template's key phrase stands, found by its rarest word."""
     own, rarity = index.numbers[template], index.rarity
     first, end = index.templates[template].key
-    base = index.templates[template].base
-    by_rarity = sorted(range(len(own)), key=lambda t: (-rarity[own[t]], t))[: len(own) if base else RARE]
     none = np.zeros(0, np.int64)
-    if base:
-        offsets = places.get(own[by_rarity[0]], none) - by_rarity[0]
-    else:
-        offsets, votes = np.unique(np.concatenate([places.get(own[t], none) - t for t in by_rarity]), return_counts=True)
-        offsets = offsets[votes >= min(AGREE, len(by_rarity))]
+    by_rarity = sorted(range(first, end), key=lambda t: (-rarity[own[t]], t))
+    offsets = places.get(own[by_rarity[0]], none) - by_rarity[0]
     offsets = offsets[(offsets + first >= 0) & (offsets + end <= len(number))]
-    for t in sorted(range(first, end), key=lambda t: (-rarity[own[t]], t)):
+    for t in by_rarity[1:]:
         offsets = offsets[number[offsets + t] == own[t]]
     return offsets[text_of[offsets + first] == text_of[offsets + end - 1]] if len(offsets) else offsets
 
