@@ -51,3 +51,12 @@ def test_query_with_hot_keys(spark, db, hot, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+def test_the_stream_of_windows_reads_tombstones(spark, db, monkeypatch):
+    from topiclake.checks import sinks
+
+    seen, stored = [], sinks.stored_in_parts
+    monkeypatch.setattr(sinks, "stored_in_parts", lambda spark, m, *more: seen.append(m) or stored(spark, m, *more))
+    compare(spark, db, "stream_tumble_agg")
+    assert seen[0].where("value IS NULL").count() > 0

@@ -14,7 +14,7 @@ from topiclake.operators.decode import decode
 from topiclake.operators.routing import route
 from topiclake.operators.sinks import due, to_messages, write
 from topiclake.plans.workspace import new_dir
-from topiclake.sources.starts import high_water, with_start
+from topiclake.sources.starts import drop_undecodable, high_water, with_start
 from topiclake.sources.topics import partitions, read_log, scan, stream_log
 from topiclake.streaming.sinks import batch_writer, start, write_stream
 from topiclake.streaming.temporal import as_of_join_stream
@@ -206,10 +206,10 @@ def sink_exactly_once(spark, folder):
     HAVING date_trunc('day', publish_time) + INTERVAL 1 DAY <= (SELECT MAX(publish_time) FROM rows)""",
 )
 def stream_tumble_agg(spark, folder):
-    """The daily windows of a stream; the last window is still open."""
-    source = stored_in_parts(spark, events(spark, folder).where("value IS NOT NULL"), 3, "sequence_id")
+    """The daily windows of a stream; the last window is still open and tombstones fall into none."""
+    source = stored_in_parts(spark, events(spark, folder), 3, "sequence_id")
     path, checkpoint = new_dir(spark, "windows"), new_dir(spark, "checkpoint")
-    rows = decode(stream_log(spark, source), EVENT_DDL).select("publish_time", "data.*")
+    rows = drop_undecodable(decode(stream_log(spark, source), EVENT_DDL)).select("publish_time", "data.*")
     out = E.tumble(rows, "publish_time", "1 day", [F.count("*").alias("events"), F.max("value").alias("highest")])
     start(out, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/part={n}"), checkpoint).awaitTermination()
     return spark.read.parquet(path).select(ntz("window_start").alias("window_start"), "events", "highest")
