@@ -60,3 +60,13 @@ def test_the_stream_of_windows_reads_tombstones(spark, db, monkeypatch):
     monkeypatch.setattr(sinks, "stored_in_parts", lambda spark, m, *more: seen.append(m) or stored(spark, m, *more))
     compare(spark, db, "stream_tumble_agg")
     assert seen[0].where("value IS NULL").count() > 0
+
+
+def test_counts_of_counts_are_retracted(spark, db, monkeypatch):
+    from topiclake.operators import changelog
+
+    seen, count_change = [], changelog.count_change
+    monkeypatch.setattr(changelog, "count_change", lambda changes, by: seen.append(changes) or count_change(changes, by))
+    compare(spark, db, "count_of_counts_having")
+    kinds = {r.row_kind: r["count"] for r in seen[0].groupBy("row_kind").count().collect()}
+    assert kinds["-U"] == kinds["+U"] > 0 and kinds["+I"] > 0

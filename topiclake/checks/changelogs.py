@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from topiclake.checks import check
 from topiclake.checks.topics import EV, event_rows, events, ntz, table, user_id
@@ -15,6 +15,8 @@ from topiclake.sources.topics import read_log, scan
 
 DDL = "event_type STRING, value DOUBLE"
 COLUMNS = ["event_type", "value"]
+#: parts in which documents arrive
+UPDATES = 8
 #: SQL: what `normalize` gives for the events topic, one row per change
 NORMAL = f"""{EV}, seen AS (
   SELECT user_id, event_id, tombstone, event_type, value,
@@ -120,6 +122,15 @@ def _word_counts(spark, folder):
     return words.groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("count"))
 
 
+def _word_count_changes(spark, folder):
+    """The counts per word as upserts: documents arrive in UPDATES parts, and each part updates its words."""
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(UPDATES)).alias("update")
+    words = table(spark, folder, "documents").select(part, F.explode(F.split("text", " ")).alias("word"))
+    counts = words.groupBy(F.lower("word").alias("word"), "update").agg(F.count("*").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("word").orderBy("update"))
+    return counts.select(F.lit("+U").alias("row_kind"), "word", so_far.alias("n"), "update")
+
+
 _WORDS = "w AS (SELECT LOWER(word) AS word, COUNT(*) AS count FROM (SELECT UNNEST(string_split(text, ' ')) AS word FROM documents) GROUP BY 1)"
 
 
@@ -136,7 +147,9 @@ def grouped_count_upsert(spark, folder):
 
 @check("count_of_counts_having", f"WITH {_WORDS} SELECT count, COUNT(*) AS words FROM w GROUP BY 1 HAVING COUNT(*) < 2")
 def count_of_counts_having(spark, folder):
-    return _word_counts(spark, folder).groupBy("count").agg(F.count("*").alias("words")).where("words < 2")
+    """Words per count, by adding and retracting the changes of counts that are updated several times."""
+    full = C.normalize(_word_count_changes(spark, folder), ["word"], ["update"], ["n"])
+    return C.count_change(full, ["n"]).select(F.col("n").alias("count"), F.col("count").alias("words")).where("words < 2")
 
 
 @check(
