@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-from topiclake.llm.queries import conversations, documents, pages  # noqa: E402, F401
+from topiclake.llm.queries import conversations, documents, embeddings, pages  # noqa: E402, F401

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topiclake.llm import decontaminate, licenses, lines, near_copies, packing, quality, repeats
+from topiclake.llm import decontaminate, licenses, lines, merkle, near_copies, packing, quality, repeats
 from topiclake.llm.queries import query
 from topiclake.llm.tables import table
 
@@ -146,3 +146,64 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         (F.col("chars") - F.coalesce(lost, F.lit(0))).alias("kept_chars"),
     )
+
+
+def _tagged(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_tagged(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_OP11 = f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf, {_leaf_sql("replace(text, chr(10), '')")} AS cut,
+    xor(list_reduce(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ord(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT)),
+      lambda c, b: list_reduce(range(8), lambda d, k: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)), 4294967295), 4294967295) % 2 = 0 AS tampered
+  FROM documents
+), leaf AS (
+  SELECT doc_id, leaf, CASE WHEN tampered THEN cut ELSE leaf END AS changed, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS no, count(*) OVER (PARTITION BY source) AS n FROM base
+), node AS (
+  SELECT tree, 0 AS lvl, no AS pos, n, leaf AS h FROM leaf
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY tree, lvl, pos // 3, n
+), sub AS (SELECT tree, h FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, tree AS pos, (SELECT count(*) FROM sub) AS n, h FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 3, n
+), step AS (
+  SELECT tree, lvl, pos, coalesce(string_agg(h, '') OVER (PARTITION BY tree, lvl, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (PARTITION BY tree, lvl, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM (SELECT tree, lvl, pos, n, h FROM node UNION ALL SELECT -1, lvl, pos, n, h FROM top) WHERE n > 1
+), walk AS (
+  SELECT tree, no, 0 AS lvl, no AS pos, changed AS acc, '' AS sib FROM leaf
+  UNION ALL
+  SELECT w.tree, w.no, w.lvl + 1, w.pos // 3, sha256(l || acc || r), sib || l || r FROM walk w JOIN step s ON s.tree = w.tree AND s.lvl = w.lvl AND s.pos = w.pos
+), low AS (SELECT tree, no, arg_max(acc, lvl) AS acc, arg_max(sib, lvl) AS sib FROM walk GROUP BY tree, no),
+climb AS (
+  SELECT tree, no, 0 AS lvl, tree AS pos, acc, sib FROM low
+  UNION ALL
+  SELECT w.tree, w.no, w.lvl + 1, w.pos // 3, sha256(l || acc || r), sib || l || r FROM climb w JOIN step s ON s.tree = -1 AND s.lvl = w.lvl AND s.pos = w.pos
+), done AS (SELECT tree, no, arg_max(acc, lvl) AS acc, arg_max(sib, lvl) AS sib FROM climb GROUP BY tree, no)
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(sib) AS proof_sha256, acc AS folded_root, acc = top.h AS verified
+FROM leaf JOIN done USING (tree, no) JOIN sub USING (tree) JOIN top ON top.n = 1
+"""
+
+
+@query("op11_merkle_manifest", _OP11)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all rows, and the roots they lead to when every second text has lost its line ends."""
+    docs = table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    leaf = merkle.digest(*fields)
+    cut = merkle.digest(*fields[:-1], F.replace("text", F.lit("\n"), F.lit("")))
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    carry = {"doc_id": F.col("doc_id"), "changed": F.when(tampered, cut)}
+    proved = merkle.prove(merkle.build(docs, leaf, "source", ["doc_id"], carry))
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("proof"))
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
