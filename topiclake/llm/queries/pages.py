@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topiclake.llm import urls, warc
+from topiclake.llm import urls, warc, wrappers
 from topiclake.llm.queries import query
 from topiclake.llm.tables import table
 
@@ -75,3 +75,9 @@ FROM ruled r LEFT JOIN r{urls.ROUNDS} s ON s.host = r.host"""
 @query("op8_url_filter", _op8_sql())
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"))
+
+
+@query("op13_html_extraction")
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = wrappers.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
