@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +101,30 @@ def test_sentinels_are_not_committed(spark):
     assert rows(commit_rows(positions, "s", 1), "partition") == [(0,)]
     existing = spark.createDataFrame([("other", 0)], "topic STRING, partition INT")
     assert commit_rows(positions, "s", 1, existing=existing).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_watermarks_of_many_partitions(spark, seed):
+    """Against the highest times of all partitions, batch by batch."""
+    rng = random.Random(seed)
+    steps = [(rng.randint(0, 40), rng.randint(0, 6), rng.choice([None, rng.randint(0, 100)])) for _ in range(rng.choice([20, 150]))]
+    m = arrivals(spark, *steps)
+    logs, high, want = {p for _, p, _ in steps}, {}, {}
+    for b in range(min(s[0] for s in steps), max(s[0] for s in steps) + 1):
+        for _, p, ts in (s for s in steps if s[0] == b and s[2] is not None):
+            high[p] = max(high.get(p, ts), ts)
+        if high:
+            want[b] = min(high.values()) - 2 if len(high) == len(logs) else None
+    got = {r.batch: r.watermark for r in E.partition_watermark(m, "batch", "ts", delay_ms=2).collect()}
+    assert got == want
+
+
+def test_watermarks_are_not_spread_over_batches_and_partitions(spark):
+    """Two hundred partitions that change once, thousands of batches: no row for each of both."""
+    m = spark.range(200).selectExpr("'t' AS topic", "CAST(id AS INT) AS partition", "id AS batch", "id AS ts")
+    last = spark.createDataFrame([("t", 0, 5000, 9000)], "topic string, partition int, batch bigint, ts bigint")
+    marks = E.partition_watermark(m.unionByName(last), "batch", "ts")
+    assert marks.count() == 5001 and marks.where("watermark IS NULL").count() == 199
+    plan = marks._jdf.queryExecution().executedPlan().toString()
+    spread = [line for line in plan.splitlines() if "Generate explode(sequence" in line]
+    assert spread and all("explode(sequence(first" in line for line in spread)

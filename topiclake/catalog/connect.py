@@ -16,10 +16,11 @@ from topiclake.operators.assemble import METADATA, assemble
 from topiclake.operators.changelog import latest, normalize
 from topiclake.operators.decode import decode, encode
 from topiclake.operators.sinks import to_messages, write
-from topiclake.plans.bounded import small_rows
+from topiclake.plans.bounded import small_rows, small_side
+from topiclake.sources.manifest import files, high_water as manifest_marks, log_path
 from topiclake.sources.starts import captured_marks, high_water, with_start
 from topiclake.sources.topics import partitions, read_log, scan, stream_log
-from topiclake.streaming.sinks import write_stream
+from topiclake.streaming.sinks import ERROR, write_stream
 
 
 def _key_names(table: TableOptions) -> dict[str, str]:
@@ -46,6 +47,12 @@ def _decoded(m: DataFrame, schema: T.StructType, fmt: str, column: str, into: st
     return out.withColumn(into, F.when(F.col(into).isNotNull(), F.struct(F.col(into).alias(field.name))))
 
 
+def _stored_marks(spark: SparkSession, path: str, table: TableOptions) -> DataFrame:
+    """High-water marks of the table's topics from the positions that commits keep; no message is read."""
+    rows = files(spark, path)
+    return manifest_marks(scan(rows, topics=table.topics) if "topic" in table.options else scan(rows, pattern=table.options["topic-pattern"]))
+
+
 def _messages(log: DataFrame, table: TableOptions, marks: DataFrame | None, cursors: DataFrame | None) -> DataFrame:
     """The messages a scan of the table covers."""
     opts = table.options
@@ -53,6 +60,8 @@ def _messages(log: DataFrame, table: TableOptions, marks: DataFrame | None, curs
     m = scan(log, topics=table.topics) if "topic" in opts else scan(log, pattern=opts["topic-pattern"])
     mode = (table.get("scan.startup.mode") or "latest").lower()
     positions = None
+    if marks is None and not m.isStreaming and mode not in ("earliest", "timestamp") and (path := log_path(log)):
+        marks = small_side(_stored_marks(log.sparkSession, path, table))
     if mode == "specific-offsets":
         marks = high_water(m) if marks is None else marks
         found = parse_positions(log.sparkSession, opts["scan.startup.specific-offsets"])
@@ -137,6 +146,7 @@ def insert_messages(
     partitions: int = 0,
     ledger_id: Column | int = 0,
     publish_time: Column | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
     """Rows as messages of the table's topic.
 
@@ -179,6 +189,7 @@ def insert_messages(
         delay_ms=int(table.options.get("properties.send-delay-millisecond", "0")),
         partitions=partitions,
         router=router,
+        mark=mark,
     )
 
 
@@ -215,15 +226,21 @@ def read_table_stream(
     known = scan(stored, topics=table.topics) if "topic" in table.options else scan(stored, pattern=table.options["topic-pattern"])
     only = partitions(known) if int(table.get("partition-discovery-interval-ms")) <= 0 else None
     mode = (table.get("scan.startup.mode") or "latest").lower()
-    marks = captured_marks(known, f"{state_path}/marks") if mode not in ("earliest", "timestamp") else None
+    marks = None
+    if mode not in ("earliest", "timestamp"):
+        marks = captured_marks(known, f"{state_path}/marks", lambda: _stored_marks(spark, path, table))
     return _rows(_messages(stream_log(spark, path, files_per_batch, only), table, marks, cursors), table, metadata)
 
 
 def insert_stream(
     rows: DataFrame, path: str, table: TableOptions, sequence: Column, checkpoint: str | None = None, *, quarantine_path: str | None = None, **settings
 ) -> StreamingQuery:
-    """Write a stream of rows to the table's topic; the options say how safely (``sink.semantic``, ``fail-on-write``)."""
+    """Write a stream of rows to the table's topic; the options say how safely (``sink.semantic``, ``fail-on-write``).
+
+    Unless a ``ledger_id`` is given every micro-batch is a ledger of its own, after all commits before it, as with ``insert_into``.
+    """
+    strict = table.get("fail-on-write").lower() == "true"
     return write_stream(
-        insert_messages(rows, table, sequence, **settings), path, checkpoint, table.get("sink.semantic"),
-        fail_on_write=table.get("fail-on-write").lower() == "true", quarantine_path=quarantine_path,
+        insert_messages(rows, table, sequence, mark=None if strict else ERROR, **settings), path, checkpoint, table.get("sink.semantic"),
+        fail_on_write=strict, quarantine_path=quarantine_path, new_ledger="ledger_id" not in settings,
     )

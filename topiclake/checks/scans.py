@@ -10,7 +10,10 @@ from topiclake.envelope import LOG
 from topiclake.functions.hashing import key_slot
 from topiclake.functions.positions import parse_positions
 from topiclake.operators.decode import decode
-from topiclake.sources import starts as S, topics as T
+from topiclake.operators.sinks import write
+from topiclake.plans.workspace import new_dir
+from topiclake.sources import manifest as M, starts as S, topics as T
+from topiclake.sources.topics import read_log
 
 CUT = "TIMESTAMP '2024-01-20 00:00:00'"
 ROW = "topic, partition, sequence_id"
@@ -274,3 +277,51 @@ def skip_corrupt(spark, folder):
 def stop_at_marker(spark, folder):
     marker = (F.col("properties")["type"] == "purchase") & (F.col("sequence_id") % 100 >= 90)
     return _rows(S.until_marker(events(spark, folder), marker))
+
+
+def _stored_events(spark, folder):
+    """Events in three commits, of which the last two overlap, and the messages themselves."""
+    path, m = new_dir(spark, "stored"), events(spark, folder)
+    part = F.when(F.col("publish_time") < F.expr(CUT), 0).otherwise(1 + F.col("sequence_id") % 2)
+    for i in range(3):
+        write(m.where(part == i), path, commit=f"{i}")
+    return path, m
+
+
+@check(
+    "stored_positions",
+    f"WITH {EV} SELECT topic, partition, MAX(event_id) // 1000 AS ledger_id, MAX(event_id) % 1000 AS entry_id, -1 AS batch_index FROM ev GROUP BY 1, 2",
+)
+def stored_positions(spark, folder):
+    """Last positions from what the commits keep; no message is read."""
+    path, _ = _stored_events(spark, folder)
+    return M.positions(M.files(spark, path))
+
+
+@check(
+    "stored_backlog",
+    f"""WITH {EV}, cur AS (SELECT partition, MAX(event_id) - 150 AS last FROM ev WHERE partition < 3 GROUP BY 1)
+    SELECT topic, partition, COUNT(CASE WHEN last IS NULL OR event_id > last THEN 1 END) AS backlog, COUNT(*) AS messages FROM ev LEFT JOIN cur USING (partition) GROUP BY 1, 2""",
+)
+def stored_backlog(spark, folder):
+    """Messages after cursors that stand inside files: only those files are read."""
+    path, m = _stored_events(spark, folder)
+    at = m.where("partition < 3").groupBy(*LOG).agg((F.max("sequence_id") - 150).alias("last"))
+    cursors = at.select(*LOG, F.expr("last DIV 1000").alias("ledger_id"), F.pmod("last", F.lit(1000)).alias("entry_id"), F.lit(-1).alias("batch_index"))
+    return M.backlog(spark, path, M.files(spark, path), cursors)
+
+
+@check(
+    "resume_lagging_partition",
+    f"""WITH {EV}, lagging AS (SELECT *, user_id % 64 AS part FROM ev), mark AS (SELECT part, MAX(event_id) AS last FROM lagging WHERE publish_time < {CUT} GROUP BY 1)
+    SELECT CAST(part AS INTEGER) AS partition, sequence_id FROM lagging LEFT JOIN mark USING (part) WHERE part = 7 OR last IS NULL OR event_id > last""",
+)
+def resume_lagging_partition(spark, folder):
+    """64 partitions read on from saved positions, one of them from its beginning: of the others no earlier file is read."""
+    path = new_dir(spark, "stored")
+    m = events(spark, folder).withColumn("partition", (F.col("key").cast("string").cast("bigint") % 64).cast("int"))
+    early = F.col("publish_time") < F.expr(CUT)
+    for i, part in enumerate((m.where(early), m.where(~early))):
+        write(part, path, commit=f"{i}")
+    saved = S.high_water(m.where(early)).select(*LOG, F.when(F.col("partition") != 7, F.col("last")).alias("start"), F.lit(False).alias("inclusive"))
+    return S.from_starts(read_log(spark, path), saved).select("partition", "sequence_id")

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from topiclake.catalog.connect import insert_into, insert_stream, read_table
+from topiclake.catalog.options import TableOptions
 from topiclake.checks import check
 from topiclake.checks.scans import MURMUR
 from topiclake.checks.topics import EV, EVENT_DDL, LINE_DDL, ORD, ORDER_DDL, events, json_bytes, lineitem, ntz, orders, table
@@ -16,7 +22,9 @@ from topiclake.operators.sinks import due, to_messages, write
 from topiclake.plans.workspace import new_dir
 from topiclake.sources.starts import drop_undecodable, high_water, with_start
 from topiclake.sources.topics import partitions, read_log, scan, stream_log
-from topiclake.streaming.sinks import batch_writer, start, write_stream
+from topiclake.streaming.delivery import deliver_stream
+from topiclake.streaming.markers import until_marker_stream
+from topiclake.streaming.sinks import ERROR, batch_writer, start, write_stream
 from topiclake.streaming.temporal import as_of_join_stream
 from topiclake.streaming.upsert import normalize_stream
 from topiclake.streaming.watermarks import tumble_stream
@@ -121,6 +129,31 @@ def delayed_delivery(spark, folder):
     return due(m, now).select(F.col("sequence_id").alias("o_orderkey"), ntz("deliver_at").alias("deliver_at"))
 
 
+#: the times of three micro-batches
+DELIVERED = ("1994-01-01", "1996-01-01", "1998-01-01")
+
+
+@check(
+    "stream_delayed_delivery",
+    f"""WITH b AS (SELECT MIN(o_orderkey) AS low, (MAX(o_orderkey) - MIN(o_orderkey) + 3) // 3 AS width FROM orders),
+    o AS (SELECT o_orderkey, o_orderdate + INTERVAL 2 DAY AS due, (o_orderkey - low) // width AS part FROM orders, b),
+    t AS (SELECT UNNEST([0, 1, 2]) AS batch, UNNEST([{", ".join(f"TIMESTAMP '{d}'" for d in DELIVERED)}]) AS now)
+    SELECT o_orderkey, MIN(batch) AS batch FROM o JOIN t ON batch >= part AND now >= due GROUP BY 1""",
+)
+def stream_delayed_delivery(spark, folder):
+    """Orders arrive in three micro-batches, years apart, and are held for two days: each is delivered in the first
+    micro-batch after that, once; the latest are still held."""
+    m = order_messages(spark, folder, delay_ms=2 * 86_400_000, partitions=4)
+    source, path, state = stored_in_parts(spark, m, 3, "sequence_id"), new_dir(spark, "delivered"), new_dir(spark, "held")
+    times = iter(DELIVERED)
+    deliver_stream(
+        stream_log(spark, source, files_per_batch=4), lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}"), state,
+        new_dir(spark, "checkpoint"), clock=lambda: int(datetime.fromisoformat(f"{next(times)}T00:00:00+00:00").timestamp()) * 1_000_000,
+        bucket=120 * 86_400,
+    ).awaitTermination()
+    return spark.read.parquet(path).select(F.col("sequence_id").alias("o_orderkey"), "batch")
+
+
 @check(
     "sink_parallelism",
     "SELECT CAST(l_orderkey % 8 AS INTEGER) AS partition, l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem",
@@ -243,6 +276,26 @@ def stream_partition_watermark(spark, folder):
     return found.select(ntz("window_start").alias("window_start"), "events", "tombstones")
 
 
+@check(
+    "stream_stop_at_marker",
+    f"""WITH {EV}, stop AS (SELECT partition, MIN(event_id) AS stop FROM ev
+      WHERE event_type = 'purchase' AND event_id % 100 >= 90 AND event_id * 6 >= (SELECT MAX(event_id) FROM ev) * (partition + 1) GROUP BY 1)
+    SELECT partition, sequence_id FROM ev LEFT JOIN stop USING (partition) WHERE stop IS NULL OR event_id < stop""",
+)
+def stream_stop_at_marker(spark, folder):
+    """Four partitions meet their end markers in different micro-batches of six; what comes after is not read."""
+    m = events(spark, folder)
+    last = m.agg(F.max("sequence_id")).first()[0]
+    late = F.col("sequence_id") * 6 >= F.lit(last) * (F.col("partition") + 1)
+    marker = (F.col("properties")["type"] == "purchase") & (F.col("sequence_id") % 100 >= 90) & late
+    source, path = stored_in_parts(spark, m, 6, "sequence_id"), new_dir(spark, "stopped")
+    until_marker_stream(
+        stream_log(spark, source, files_per_batch=4), marker, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}"),
+        new_dir(spark, "state"), new_dir(spark, "checkpoint"),
+    ).awaitTermination()
+    return spark.read.parquet(path).select("partition", "sequence_id")
+
+
 @check(
     "stream_changelog_normalize",
     f"""WITH {EV}, last AS (SELECT user_id, MAX(event_id) AS event_id FROM ev GROUP BY 1)
@@ -312,6 +365,74 @@ def stream_temporal_join(spark, folder):
     return spark.read.parquet(path).select("view_id", "user_id", "price")
 
 
+@check(
+    "sink_passing_fault",
+    f"WITH {ORD} SELECT partition, COUNT(*) AS messages, COUNT(DISTINCT sequence_id) AS distinct_numbers FROM ord GROUP BY 1",
+)
+def sink_passing_fault(spark, folder):
+    """A micro-batch fails once for no lasting reason, is halved, and killed when one half is written; it runs again
+    without faults, and a stream started anew finds nothing left to do: every message is there once."""
+    source, path, checkpoint = stored_in_parts(spark, orders(spark, folder), 2, "sequence_id"), new_dir(spark, "once"), new_dir(spark, "checkpoint")
+    calls = iter(range(1_000))
+
+    def faulty(part):
+        turn = next(calls)
+        if turn == 2:
+            raise OSError("killed")
+        return part.withColumn("value", F.raise_error(F.lit("for now")).cast("binary")) if turn == 0 else part
+
+    for _ in range(3):
+        query = write_stream(stream_log(spark, source), path, checkpoint, "exactly-once", source=faulty, fail_on_write=False)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            if "killed" not in str(error):
+                raise
+    return E.audit(read_log(spark, path)).select("partition", "messages", "distinct_numbers")
+
+
+@check(
+    "set_aside_in_one_pass",
+    f"WITH {ORD} SELECT partition, sequence_id, CASE WHEN o_orderkey % 7 = 0 THEN 'no price' END AS reason FROM ord",
+)
+def set_aside_in_one_pass(spark, folder):
+    """A source that marks the messages it cannot encode: they are set aside with the reason, in the commit of the others."""
+    source, path, bad = stored_in_parts(spark, orders(spark, folder), 2, "sequence_id"), new_dir(spark, "written"), new_dir(spark, "set-aside")
+    write_stream(
+        stream_log(spark, source), path, new_dir(spark, "checkpoint"), "exactly-once", fail_on_write=False, quarantine_path=bad,
+        source=lambda part: part.withColumn(ERROR, F.when(F.col("sequence_id") % 7 == 0, F.lit("no price"))),
+    ).awaitTermination()
+    good = read_log(spark, path).select("partition", "sequence_id", F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(spark.read.parquet(bad).select("partition", "sequence_id", F.col(ERROR).alias("reason")))
+
+
+@check(
+    "insert_batch_and_stream",
+    "SELECT user_id, ARG_MAX(event_type, event_id) AS event_type, ARG_MAX(value, event_id) AS value FROM events GROUP BY 1",
+)
+def insert_batch_and_stream(spark, folder):
+    """A table is written by batches and streams in turn, each with lower numbers inside than the one before: what was written
+    last is the current row."""
+    users = TableOptions(
+        StructType.fromDDL("user_id BIGINT, event_type STRING, value DOUBLE"),
+        {"topic": "users", "format": "json", "value.fields-include": "EXCEPT_KEY", "scan.startup.mode": "earliest", "sink.semantic": "exactly-once"},
+        primary_key=["user_id"], upsert=True,
+    )
+    rows, path = table(spark, folder, "events"), new_dir(spark, "users")
+    last = rows.agg(F.max("event_id")).first()[0]
+    order = F.lit(last) - F.col("event_id")
+    for i in range(4):
+        part = rows.where(F.expr(f"event_id * 4 DIV {last + 1}") == i)
+        part = part.groupBy("user_id").agg(F.max_by(F.struct("event_id", "event_type", "value"), "event_id").alias("r")).select("user_id", "r.*")
+        if i % 2 == 0:
+            insert_into(part, path, users, order, partitions=4)
+        else:
+            stored = new_dir(spark, "rows")
+            part.write.parquet(stored)
+            insert_stream(spark.readStream.schema(part.schema).parquet(stored), path, users, order, new_dir(spark, "checkpoint"), partitions=4).awaitTermination()
+    return read_table(read_log(spark, path), users)
+
+
 @check("sink_none", f"WITH {ORD} SELECT partition, COUNT(*) AS messages FROM ord GROUP BY 1")
 def sink_none(spark, folder):
     """A stream without a checkpoint of its own gives no guarantee; here nothing fails."""

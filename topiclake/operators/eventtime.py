@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topiclake.envelope import LOG, position
@@ -61,7 +63,9 @@ def partition_watermark(
     for that many batches out of the minimum.  ``batch`` is a dense whole number;
     ``partitions`` is how many there are, by default those seen in ``m``.
 
-    Rows are reduced to one per batch and partition before anything is ordered.
+    Rows are reduced to one per batch and partition before anything is ordered.  The highest time of a
+    partition never falls, so the lowest of all partitions at a batch is the lowest among the highest times that end
+    after it: each change of a partition counts once, where it ends, and a running minimum over the batches does the rest.
     """
     seen_time = F.col(ts) if when is None else F.when(when, F.col(ts))
     per_batch = m.groupBy(F.col(batch).cast("bigint").alias("batch"), *LOG).agg(F.max(seen_time).alias("seen"))
@@ -72,42 +76,52 @@ def partition_watermark(
         .where(F.col("high").isNotNull())
     )
     # from the reduced rows, whose exchange the plan reuses: the input is read once
-    facts = F.struct(F.min("batch").alias("first"), F.max("batch").alias("last"), F.count_distinct(*LOG).alias("logs"), F.max("seen").alias("top"))
+    facts = F.struct(F.min("batch").alias("first"), F.max("batch").alias("last"), F.count_distinct(*LOG).alias("logs"))
     facts = per_batch.agg(facts.alias("facts")).scalar()
-    until = F.coalesce(F.col("next") - 1, facts["last"])
-    if idle_after is not None:
-        until = F.least(until, F.col("batch") + idle_after)
     known = F.lit(partitions) if partitions is not None else facts["logs"]
+
+    def delayed(low: Column) -> Column:
+        return F.timestamp_micros(F.unix_micros(low) - delay_ms * 1000) if _is_time(m, ts) else low - delay_ms
+
+    if idle_after is None:
+        began = steps.groupBy(*LOG).agg(F.min("batch").alias("began"))
+        whole = began.agg(F.min("began").alias("first"), F.max("began").alias("from"), F.count("*").alias("ready"))
+        batches = whole.where("ready > 0").select("from", "ready", F.explode(F.sequence("first", facts["last"])).alias("batch"))
+        ends = steps.groupBy((F.coalesce("next", facts["last"] + 1) - 1).alias("batch")).agg(F.min("high").alias("low"))
+        lows = _running(batches.join(ends, "batch", "left"), "low", F.min, backwards=True)
+        everyone = (F.col("ready") >= known) & (F.col("batch") >= F.col("from"))
+        return lows.select("batch", F.when(everyone, delayed(F.col("low"))).alias("watermark"))
+    # a partition counts for so many batches after each change at most
+    until = F.least(F.coalesce(F.col("next") - 1, facts["last"]), F.col("batch") + idle_after)
     per = (
         steps.select(F.explode(F.sequence("batch", until)).alias("batch"), "high")
         .groupBy("batch")
         .agg(F.count("*").alias("ready"), F.min("high").alias("low"))
     )
-    whole = F.col("ready") >= known
-    if idle_after is not None:
-        whole = whole | (F.col("batch") >= facts["first"] + idle_after)
-    delayed = F.timestamp_micros(F.unix_micros("low") - delay_ms * 1000) if _is_time(m, ts) else F.col("low") - delay_ms
-    marks = per.select("batch", F.when(whole, delayed).alias("watermark"))
-    if idle_after is None:
-        return marks
-    return _never_back(marks)
+    whole = (F.col("ready") >= known) | (F.col("batch") >= facts["first"] + idle_after)
+    return _never_back(per.select("batch", F.when(whole, delayed(F.col("low"))).alias("watermark")))
 
 
 def _never_back(marks: DataFrame, size: int = 1024) -> DataFrame:
-    """The highest watermark so far, because a partition that comes back may be behind.
+    """The highest watermark so far, because a partition that comes back may be behind."""
+    return _running(marks, "watermark", F.max, size=size)
+
+
+def _running(rows: DataFrame, value: str, extreme: Callable, *, backwards: bool = False, size: int = 1024) -> DataFrame:
+    """``value`` replaced by its extreme so far, in the order of ``batch`` or against it.
 
     Batches are ordered inside chunks; then the chunks, a thousandth as many, among themselves.
     """
-    chunk = F.expr(f"batch DIV {size}")
-    chunked = marks.withColumn("chunk", chunk)
-    earlier = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = chunked.groupBy("chunk").agg(F.max("watermark").alias("top")).withColumn("before", F.max("top").over(earlier))
-    inside = F.max("watermark").over(Window.partitionBy("chunk").orderBy("batch"))
-    return (
-        chunked.withColumn("inside", inside)
-        .join(before.select("chunk", "before"), "chunk")
-        .select("batch", F.greatest("inside", "before").alias("watermark"))
-    )
+    def order(column: str) -> Column:
+        return F.col(column).desc() if backwards else F.col(column).asc()
+
+    chunked = rows.withColumn("_chunk", F.expr(f"batch DIV {size}"))
+    earlier = Window.orderBy(order("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    before = chunked.groupBy("_chunk").agg(extreme(value).alias("_top")).withColumn("_before", extreme("_top").over(earlier))
+    inside = extreme(value).over(Window.partitionBy("_chunk").orderBy(order("batch")))
+    most = F.greatest if extreme is F.max else F.least
+    joined = chunked.withColumn("_inside", inside).join(before.select("_chunk", "_before"), "_chunk")
+    return joined.select(*[most("_inside", "_before").alias(value) if c == value else F.col(c) for c in rows.columns])
 
 
 def _is_time(m: DataFrame, ts: str) -> bool:

@@ -34,7 +34,15 @@ def route_column(
 
 
 def route(
-    df: DataFrame, partitions: int, router: str | Router = "round-robin", *, key: str = "key", sequence: str = "sequence_id"
+    df: DataFrame, partitions: int, router: str | Router = "round-robin", *, key: str = "key", sequence: str = "sequence_id", mark: str | None = None
 ) -> DataFrame:
-    """Set ``partition`` by a router."""
-    return df.withColumn("partition", route_column(partitions, router, key=key, sequence=sequence))
+    """Set ``partition`` by a router.
+
+    With ``mark`` a message that the router cannot place does not fail: that column says why, NULL for all others.
+    """
+    place = route_column(partitions, router, key=key, sequence=sequence)
+    if mark is None:
+        return df.withColumn("partition", place)
+    lost = F.col(key).isNull() if router == "key-hash" else F.lit(False)
+    reason = F.when(lost, F.lit("key-hash routing needs a message key"))
+    return df.withColumns({"partition": F.when(~lost, place).otherwise(-1), mark: reason})

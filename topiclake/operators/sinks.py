@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import ENVELOPE, LOG, POSITION, as_envelope
 from topiclake.functions.topic_names import full_name
 from topiclake.operators.routing import Router, route
 from topiclake.plans import commits
+from topiclake.sources import manifest
 
 SEMANTICS = ("at-least-once", "exactly-once", "none")
 #: metadata columns a table may write
@@ -33,6 +33,7 @@ def to_messages(
     deliver_at: Column | None = None,
     partitions: int = 0,
     router: str | Router = "round-robin",
+    mark: str | None = None,
 ) -> DataFrame:
     """Rows -> envelopes.
 
@@ -40,6 +41,7 @@ def to_messages(
     ``sequence`` orders the messages and becomes their entry, so writing the same rows
     again gives the same messages.  An event time before the epoch is not set, and
     properties without a value are dropped.  A fixed delay counts from the publish time.
+    ``mark`` is that of ``route``.
     """
     if "," in topic:
         raise ValueError(f"a sink writes one topic, not {topic!r}")
@@ -60,7 +62,7 @@ def to_messages(
         deliver_at=deliver_at,
         properties=None if properties is None else F.map_filter(properties, lambda _, v: v.isNotNull()),
     )
-    return route(messages, partitions, router) if partitions else messages
+    return route(messages, partitions, router, mark=mark) if partitions else messages
 
 
 def check_writable(columns: list[str]) -> None:
@@ -90,20 +92,28 @@ def write(
     """Add messages to a log as one commit: a directory per topic and partition.
 
     ``commit`` names it, a new name unless given; a commit that is there already is left
-    as it is, and False comes back.  With ``new_ledger`` the commit is a ledger of its own, later
-    than those before it, as a broker would assign; otherwise messages bring their ledger.
+    as it is, and False comes back.  With ``new_ledger`` the commit is a ledger of its own, the one after
+    those before it, as a broker would assign: the number is taken when the commit becomes visible, by batches and
+    streams alike.  Otherwise messages bring their ledger.
     """
     spark = messages.sparkSession
     if new_ledger:
-        messages = messages.withColumn("ledger_id", F.lit(next_ledger()))
+        messages = messages.withColumn("ledger_id", F.lit(None).cast("bigint"))
     rows = arranged(messages.select(*ENVELOPE.names), parallelism)
+
+    def put(place: str) -> None:
+        rows.write.partitionBy(*LOG).parquet(place)
+        manifest.keep(spark, place)
+
     name = commit or f"batch-{uuid.uuid4().hex}"
-    return commits.commit(spark, path, name, lambda place: rows.write.partitionBy(*LOG).parquet(place))
+    if new_ledger:
+        return commits.commit_once(spark, path, name, put, floor=lambda: highest_ledger(spark, path))
+    return commits.commit(spark, path, name, put)
 
 
-def next_ledger() -> int:
-    """A ledger id after all that were given before: the time in microseconds."""
-    return time.time_ns() // 1000
+def highest_ledger(spark: SparkSession, path: str) -> int:
+    """The highest ledger that messages have brought."""
+    return manifest.files(spark, path).agg(F.max("high.ledger_id")).first()[0] or 0
 
 
 def due(m: DataFrame, now: Column) -> DataFrame:

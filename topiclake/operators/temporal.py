@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topiclake.plans.bounded import small_rows
 from topiclake.plans.skew import last_before
@@ -59,26 +59,19 @@ def as_of_join(
         *[F.col(c).alias(o) for c, o in zip(right_order, ties)],
         F.struct(*right_columns).alias("_right"),
     )
-    kinds = dict(zip(ties, (right.schema[c].dataType for c in right_order)))
-    zero = [F.lit(0).cast("bigint").cast(kinds[o]).alias(o) for o in ties]
-    when = F.col(left_ts)
+    # left rows without time come before all versions; those with time are told apart from versions by the side,
+    # so they need no ties.  NULL is of any type
     rows = left.select(
         *[F.col(c).alias(k) for c, k in zip(on, keys)],
-        F.coalesce(when, _before_all(left.schema[left_ts].dataType)).alias("_ts"),
+        F.col(left_ts).alias("_ts"),
         F.lit(1).alias("_side"),
-        *zero,
         F.struct(*left.columns).alias("_left"),
     )
-    both = versions.unionByName(rows, allowMissingColumns=True)
-    seen = last_before(both, keys, ["_ts", "_side", *ties], "_right", "_match").where("_side = 1")
+    both = versions.unionByName(rows, allowMissingColumns=True).withColumn("_timed", F.col("_ts").isNotNull())
+    seen = last_before(both, keys, ["_timed", "_ts", "_side", *ties], "_right", "_match").where("_side = 1")
     return _with_match(seen, [F.col("_left.*")], right_columns, how, deleted)
 
 
-def _before_all(kind: T.DataType) -> Column:
-    """A time before any version, for left rows without time."""
-    return F.lit(-(1 << 62)) if isinstance(kind, T.IntegralType) else F.lit("0001-01-01").cast(kind)
-
-
 def _with_match(
     rows: DataFrame, left: list[Column], right_columns: list[str], how: str, deleted: str | None
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from topiclake.plans.bounded import small_side
+from topiclake.plans.bounded import small_rows
 from topiclake.plans.workspace import new_dir
 
 #: rows of one key that a single task may sort; override with this session setting
@@ -50,13 +50,19 @@ def add_slices(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFr
     spark = df.sparkSession
     if rows_per_task(df) == 0:
         return None
-    path = new_dir(spark, "hot-keys")
-    hot_keys(df, keys).write.parquet(path)
-    hot = spark.read.schema("_hash BIGINT, _rows DOUBLE").parquet(path)
-    total = hot.agg(F.sum("_rows")).first()[0]
-    if not total:
+    hot = hot_keys(df, keys)
+    few = small_rows(hot)
+    if few == []:
         return None
-    side = small_side(hot.select("_hash"))
+    if few is None:
+        # the sampled rows hold so many hot keys that they are not fetched
+        path = new_dir(spark, "hot-keys")
+        hot.write.parquet(path)
+        hot = spark.read.schema("_hash BIGINT, _rows DOUBLE").parquet(path)
+        total, side = hot.agg(F.sum("_rows")).first()[0], hot.select("_hash")
+    else:
+        total = sum(r["_rows"] for r in few)
+        side = F.broadcast(spark.createDataFrame([(r["_hash"],) for r in few], "_hash BIGINT"))
     hashed = df.withColumn("_hash", F.xxhash64(*keys))
     ranges = max(2, -(-2 * int(total) // rows_per_task(df)))
     sliced = hashed.join(side, "_hash", "left_semi").drop("_hash").repartitionByRange(ranges, *keys, *order)

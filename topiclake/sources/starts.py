@@ -9,20 +9,18 @@ one row per topic partition and are broadcast behind a check of that.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import LOG, position
 from topiclake.operators.cursors import current_cursors
 from topiclake.plans import commits
-from topiclake.plans.bounded import small_rows, small_side
+from topiclake.plans.bounded import small_side
+from topiclake.sources.manifest import pruned
 
 STARTS_DDL = "topic STRING, partition INT, start STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>, inclusive BOOLEAN"
 MARKS_DDL = "topic STRING, partition INT, last STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>"
-#: partitions whose starts are turned into conditions that skip files
-PRUNED_PARTITIONS = 1000
 POLICIES = ("fail", "earliest", "last")
 
 
@@ -42,14 +40,16 @@ def high_water(m: DataFrame) -> DataFrame:
     return extreme_position(m)
 
 
-def captured_marks(log: DataFrame, path: str) -> DataFrame:
+def captured_marks(log: DataFrame, path: str, marks: Callable[[], DataFrame] | None = None) -> DataFrame:
     """High-water marks of the first start: written once, read again at every restart.
 
     A stream that starts at latest must not move its start when it is restarted.  Marks count
-    once their commit is finished; what a killed first start has left is not looked at.
+    once their commit is finished; what a killed first start has left is not looked at.  ``marks`` gives them
+    if they are known without reading the log.
     """
     spark = log.sparkSession
-    commits.commit(spark, path, "marks", lambda place: high_water(log).write.parquet(place))
+    found = marks or (lambda: high_water(log))
+    commits.commit(spark, path, "marks", lambda place: found().write.parquet(place))
     return spark.read.schema(MARKS_DDL).parquet(f"{path.rstrip('/')}/commit=marks")
 
 
@@ -191,32 +191,16 @@ def guard_data_loss(starts: DataFrame, marks: DataFrame, policy: str = "fail") -
     )
 
 
-def from_starts(m: DataFrame, starts: DataFrame, *, fixed: bool = False) -> DataFrame:
+def from_starts(m: DataFrame, starts: DataFrame) -> DataFrame:
     """Messages at or after the start of their partition.
 
     Partitions without a row were found later and are read from the earliest message.
-    From a stored log only row groups of ledgers that can hold such messages are read.  A
-    stream may do so only if the starts are ``fixed``, the same at every restart, because
-    it then has two sources.
+    Of a stored log only the files that can hold such messages are read, whatever the number of partitions
+    and however far one of them lags.
     """
     starts = _one_each(starts)
-    rows = small_rows(starts.select(*LOG, "start", "inclusive"))
-    if rows is None:
-        return _reached(m, starts)
-    known = [row for row in rows if row["start"] is not None]
-    side = F.broadcast(m.sparkSession.createDataFrame(rows, STARTS_DDL))
-    stored = m.schema["partition"].metadata.get("topiclake.directory", False)
-    if (m.isStreaming and not fixed) or not stored or not 0 < len(known) <= PRUNED_PARTITIONS:
-        return _reached(m, side)
-    by_topic: dict[str, list[int]] = {}
-    for row in known:
-        by_topic.setdefault(row["topic"], []).append(row["partition"])
-    started = reduce(
-        Column.__or__, [(F.col("topic") == t) & F.col("partition").isin(parts) for t, parts in by_topic.items()]
-    )
-    # two scans of different directories: one skips row groups by ledger, the other reads all
-    lowest = min(row["start"]["ledger_id"] for row in known)
-    return _reached(m.where(started).where(F.col("ledger_id") >= lowest), side).unionByName(m.where(~started))
+    side = small_side(starts.select(*LOG, "start", "inclusive"))
+    return _reached(pruned(m, side), side)
 
 
 def _one_each(starts: DataFrame) -> DataFrame:
@@ -274,8 +258,7 @@ def with_start(
         return guard_data_loss(starts, marks, data_loss) if data_loss else starts
 
     if mode == "latest":
-        # the marks of the first start do not change, see captured_marks
-        return from_starts(m, latest_starts(marks), fixed=True)
+        return from_starts(m, latest_starts(marks))
     if mode == "specific-offsets":
         if positions is None:
             raise ValueError("the mode specific-offsets needs positions")
@@ -288,13 +271,18 @@ def with_start(
 
 
 def until_marker(m: DataFrame, marker: Column) -> DataFrame:
-    """Messages before the first end marker of their partition; the marker is not emitted."""
-    first = extreme_position(m.where(marker), lowest=True, name="stop")
-    return (
-        m.join(small_side(first), LOG, "left")
-        .where(F.col("stop").isNull() | (position() < F.col("stop")))
-        .select(m.columns)
-    )
+    """Messages before the first end marker of their partition; the marker is not emitted.
+
+    Of a stream the markers must be kept between micro-batches, see ``until_marker_stream``.
+    """
+    if m.isStreaming:
+        raise ValueError("a stream keeps its end markers between micro-batches: use until_marker_stream")
+    return before_stops(m, small_side(extreme_position(m.where(marker), lowest=True, name="stop")))
+
+
+def before_stops(m: DataFrame, stops: DataFrame) -> DataFrame:
+    """Messages before the position ``stop`` of their partition; without one all of them."""
+    return m.join(stops, LOG, "left").where(F.col("stop").isNull() | (position() < F.col("stop"))).select(m.columns)
 
 
 def drop_undecodable(decoded: DataFrame, column: str = "data") -> DataFrame:

@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from topiclake.envelope import ENVELOPE, LOG
+from topiclake.envelope import ENVELOPE, LOG, POSITION
 from topiclake.functions.hashing import SLOTS, java_hash, key_slot, let
 from topiclake.functions.topic_names import full_name, namespace_of, partition_topic, topic_parts
 from topiclake.plans.bounded import small_side
+from topiclake.sources.manifest import LOG_PATH, own_ledger
 
+_STORED = T.StructType([*ENVELOPE.fields, T.StructField("commit", T.StringType())])
 
-#: marks the columns of a stored log that are directories, so that conditions on them skip files
-DIRECTORY = {"topiclake.directory": True}
 
-
-def _stored(files: DataFrame) -> DataFrame:
-    return files.select(*[F.col(c).alias(c, metadata=DIRECTORY if c in LOG else {}) for c in ENVELOPE.names])
+def _stored(files: DataFrame, path: str) -> DataFrame:
+    """Envelopes of stored files; columns that place a message know their log, so that starts can skip files."""
+    whole = files.withColumn("ledger_id", own_ledger(F.col("ledger_id"), F.col("commit")))
+    known = {LOG_PATH: path.rstrip("/")}
+    return whole.select(*[F.col(c).alias(c, metadata=known if c in (*LOG, *POSITION) else {}) for c in ENVELOPE.names])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """A stored log: parquet directories by commit, topic and partition."""
-    return _stored(spark.read.schema(ENVELOPE).parquet(path))
+    return _stored(spark.read.schema(_STORED).parquet(path), path)
 
 
 def stream_log(
@@ -30,10 +32,10 @@ def stream_log(
 
     ``only`` turns discovery off: the partitions it lists are read and no others.
     """
-    reader = spark.readStream.schema(ENVELOPE)
+    reader = spark.readStream.schema(_STORED)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    stream = _stored(reader.parquet(path))
+    stream = _stored(reader.parquet(path), path)
     return stream if only is None else stream.join(small_side(only.select(*LOG)), LOG, "left_semi")
 
 

@@ -5,6 +5,12 @@ the query and the micro-batch, so a batch that is run again after a failure find
 commit and writes nothing; the names of two queries, or of a query with a new
 checkpoint, differ.  ``at-least-once`` gives every attempt a name of its own.  Cursors are
 committed after the write.
+
+Messages that cannot be written can be set aside.  They are part of the same commit, in a hidden folder, whatever it took
+to find them, so good and bad ones become visible together and an attempt that is repeated starts anew.
+A ``source`` that marks them in the column ``ERROR`` costs no second pass.  If it raises instead, the batch
+is halved until the messages that raise stand alone.  Only errors of a row are treated so: a full disk, a lost
+executor or a missing file fail the batch, which then runs again.
 """
 
 from __future__ import annotations
@@ -15,18 +21,25 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JError, Py4JJavaError
+from pyspark.errors import PythonException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from topiclake.envelope import LOG, POSITION
+from topiclake.envelope import ENVELOPE, LOG, POSITION
 from topiclake.operators.cursors import commit_cursors, commit_rows
 from topiclake.operators.eventtime import positions
-from topiclake.operators.sinks import SEMANTICS, upsert_messages, write
-from topiclake.plans.commits import commit
+from topiclake.operators.sinks import SEMANTICS, arranged, highest_ledger, upsert_messages, write
+from topiclake.plans.commits import commit, commit_once, exists
 from topiclake.plans.workspace import new_dir
+from topiclake.sources import manifest
 
 log = logging.getLogger("topiclake")
 BatchWriter = Callable[[DataFrame, int], None]
+#: a ``source`` may give this column: why a message cannot be written, NULL if it can
+ERROR = "_error"
+#: hidden folder of a commit with the messages that were set aside: as they were read, or as ``source`` marked them
+SET_ASIDE = "_set_aside"
 
 
 def start(
@@ -53,6 +66,25 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
+def row_error(error: BaseException) -> bool:
+    """Whether a job failed because of a row: a data exception, an error that an expression raised, or one of a Python function.
+
+    Spark tells by the SQL state: class 22 are data exceptions, P0001 is what a user raised.
+    """
+    cause = error.java_exception if isinstance(error, Py4JJavaError) else getattr(error, "_origin", None)
+    while cause is not None:
+        if cause.getClass().getName().endswith(".PythonException"):
+            return True
+        try:
+            state = cause.getSqlState() or ""
+        except (Py4JError, TypeError):  # no error of Spark's own
+            state = ""
+        if state.startswith("22") or state == "P0001":
+            return True
+        cause = cause.getCause()
+    return isinstance(error, PythonException)
+
+
 def batch_writer(
     path: str,
     semantic: str = "at-least-once",
@@ -64,6 +96,7 @@ def batch_writer(
     cursor_path: str | None = None,
     source: Callable[[DataFrame], DataFrame] | None = None,
     quarantine_path: str | None = None,
+    new_ledger: bool = False,
 ) -> BatchWriter:
     """A function that writes one micro-batch of envelopes to the log at ``path``.
 
@@ -71,33 +104,65 @@ def batch_writer(
     the ``checkpoint``.
     ``source`` turns messages that were read into messages to write, message by message; cursors of
     ``subscription`` are those of the messages that were read.  With ``fail_on_write``
-    off, a message that cannot be written is logged and left out, and kept as it was read
-    below ``quarantine_path``; the others of its batch are written.
+    off, a message that cannot be written is logged and left out, and kept as it was read, or with its mark,
+    below ``quarantine_path``; the others of its batch are written.  With ``new_ledger`` every micro-batch is the next ledger
+    of the log, see ``write``.
     """
     if semantic not in SEMANTICS:
         raise ValueError(f"semantic must be one of {SEMANTICS}, not {semantic!r}")
     if semantic == "exactly-once" and not (writer or checkpoint):
         raise ValueError("exactly-once needs the name of the writer or its checkpoint")
 
-    def write_part(part: DataFrame, name: str, depth: int) -> None:
+    def aside(part: DataFrame, name: str, place: str) -> None:
+        log.error("messages of commit %s were not written", name)
+        part.write.mode("append").parquet(f"{place}/{SET_ASIDE}")
+
+    def write_part(part: DataFrame, name: str, place: str, depth: int) -> None:
+        spark, seen = part.sparkSession, Observation()
+        out = source(part) if source else part
+        marked = ERROR in out.columns
+        if marked:
+            out = out.observe(seen, F.count_if(F.col(ERROR).isNotNull()).alias("bad"))
+        if new_ledger:
+            out = out.withColumn("ledger_id", F.lit(None).cast("bigint"))
+        good = out.where(F.col(ERROR).isNull()) if marked else out
         try:
-            write(source(part) if source else part, path, commit=name)
-        except Exception:
-            if fail_on_write:
+            arranged(good.select(*ENVELOPE.names)).write.mode("append").partitionBy(*LOG).parquet(place)
+        except Exception as error:
+            if fail_on_write or not row_error(error):
                 raise
             if part.limit(2).count() > 1 and depth < 64:
                 # halve until the messages that fail stand alone; the others are written
                 half = F.shiftright(F.xxhash64(*LOG, *POSITION), depth).bitwiseAND(1)
                 for side in (0, 1):
-                    write_part(part.where(half == side), f"{name}.{side}", depth + 1)
+                    write_part(part.where(half == side), name, place, depth + 1)
                 return
             log.exception("a message of commit %s was not written", name)
-            if quarantine_path:
-                commit(part.sparkSession, quarantine_path, name, lambda place: part.write.parquet(place))
+            aside(part, name, place)
+            return
+        if marked and seen.get["bad"]:
+            if fail_on_write:
+                reason = out.where(F.col(ERROR).isNotNull()).first()[ERROR]
+                raise ValueError(f"a message cannot be written: {reason}")
+            bad = out.where(F.col(ERROR).isNotNull()).select(*ENVELOPE.names, ERROR)
+            log.error("%s messages of commit %s were not written", seen.get["bad"], name)
+            aside(bad, name, place)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        own = (writer or query_id(batch.sparkSession, checkpoint)) if semantic == "exactly-once" else uuid.uuid4().hex
-        write_part(batch, f"{own}-{batch_id}", 0)
+        spark = batch.sparkSession
+        own = (writer or query_id(spark, checkpoint)) if semantic == "exactly-once" else uuid.uuid4().hex
+        name = f"{own}-{batch_id}"
+
+        def put(place: str) -> None:
+            write_part(batch, name, place, 0)
+            manifest.keep(spark, place)
+
+        def set_aside(place: str) -> None:
+            bad = f"{place}/{SET_ASIDE}"
+            if quarantine_path and exists(spark, bad):
+                commit(spark, quarantine_path, name, lambda to: spark.read.parquet(bad).write.parquet(to))
+
+        commit_once(spark, path, name, put, floor=(lambda: highest_ledger(spark, path)) if new_ledger else None, before=set_aside)
         if subscription and cursor_path:
             commit_cursors(commit_rows(positions(batch), subscription, time.time_ns() // 1000), cursor_path)
 
@@ -115,6 +180,7 @@ def write_stream(
     cursor_path: str | None = None,
     source: Callable[[DataFrame], DataFrame] | None = None,
     quarantine_path: str | None = None,
+    new_ledger: bool = False,
     available_now: bool = True,
     interval: str | None = None,
 ) -> StreamingQuery:
@@ -125,7 +191,7 @@ def write_stream(
         semantic, checkpoint = "none", new_dir(messages.sparkSession, "checkpoint")
     writer = batch_writer(
         path, semantic, checkpoint=checkpoint, fail_on_write=fail_on_write, subscription=subscription, cursor_path=cursor_path, source=source,
-        quarantine_path=quarantine_path,
+        quarantine_path=quarantine_path, new_ledger=new_ledger,
     )
     return start(messages, writer, checkpoint, available_now=available_now, interval=interval)
 

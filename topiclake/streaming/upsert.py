@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from topiclake.envelope import KEY_ORDER
 from topiclake.operators.changelog import normalize
 from topiclake.streaming.sinks import start
-from topiclake.streaming.state import BatchState
+from topiclake.streaming.state import BUCKETS, KeyedState
 
 
 def normalize_stream(
@@ -22,12 +22,13 @@ def normalize_stream(
     *,
     order: list[str] | None = None,
     columns: list[str] | None = None,
+    buckets: int = BUCKETS,
     available_now: bool = True,
 ) -> StreamingQuery:
     """``normalize`` over a stream of upserts and deletes.
 
-    The last row of every key is kept between batches.  A batch reads the kept rows of
-    its own keys, puts them before its messages and drops the changes they cause.
+    The last row of every key is kept between batches, in ``buckets`` by the hash of the key.  A batch reads the buckets of
+    its own keys, puts their kept rows before its messages and drops the changes they cause.
     """
     order = KEY_ORDER if order is None else order
     if columns is None:
@@ -38,13 +39,13 @@ def normalize_stream(
         rest = [c for c in fields if c not in pk]
         return rows.groupBy(*pk).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")).select(*pk, "_last.*")
 
-    state = BatchState(state_path, newest)
+    state = KeyedState(state_path, pk, newest, buckets=buckets)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # read several times below; lost blocks are read from the source again
         rows = batch.select(*fields).persist()
         try:
-            kept = state.before(batch.sparkSession, batch_id)
+            kept = state.before(batch.sparkSession, rows.schema, batch_id, state.touched(rows))
             if kept is None:
                 emit(normalize(rows, pk, order, columns), batch_id)
             else:
@@ -57,4 +58,3 @@ def normalize_stream(
             rows.unpersist()
 
     return start(changes, each_batch, checkpoint, available_now=available_now)
-
