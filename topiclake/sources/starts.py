@@ -10,14 +10,15 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import LOG, position
 from topiclake.operators.cursors import current_cursors
 from topiclake.plans import commits
-from topiclake.plans.bounded import small_side
-from topiclake.sources.manifest import pruned
+from topiclake.plans.bounded import small_rows, small_side
+from topiclake.sources.manifest import log_path, pruned
 
 STARTS_DDL = "topic STRING, partition INT, start STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>, inclusive BOOLEAN"
 MARKS_DDL = "topic STRING, partition INT, last STRUCT<ledger_id: BIGINT, entry_id: BIGINT, batch_index: INT>"
@@ -198,9 +199,22 @@ def from_starts(m: DataFrame, starts: DataFrame) -> DataFrame:
     Of a stored log only the files that can hold such messages are read, whatever the number of partitions
     and however far one of them lags.
     """
-    starts = _one_each(starts)
-    side = small_side(starts.select(*LOG, "start", "inclusive"))
-    return _reached(pruned(m, side), side)
+    starts = _one_each(starts).select(*LOG, "start", "inclusive")
+    rows = small_rows(starts)
+    if rows is None:
+        return _reached(pruned(m, starts), starts)
+    side = F.broadcast(m.sparkSession.createDataFrame(rows, STARTS_DDL))
+    known = [row for row in rows if row["start"] is not None]
+    m = pruned(m, side)
+    if m.isStreaming or not known or log_path(m) is None:
+        return _reached(m, side)
+    by_topic: dict[str, list[int]] = {}
+    for row in known:
+        by_topic.setdefault(row["topic"], []).append(row["partition"])
+    started = reduce(Column.__or__, [(F.col("topic") == t) & F.col("partition").isin(parts) for t, parts in by_topic.items()])
+    # of the files that a start cuts, row groups of lower ledgers are skipped; the others are another scan, of other directories
+    lowest = min(row["start"]["ledger_id"] for row in known)
+    return _reached(m.where(started).where(F.col("ledger_id") >= lowest), side).unionByName(m.where(~started))
 
 
 def _one_each(starts: DataFrame) -> DataFrame:

@@ -8,21 +8,24 @@ from topiclake.envelope import ENVELOPE, LOG, POSITION
 from topiclake.functions.hashing import SLOTS, java_hash, key_slot, let
 from topiclake.functions.topic_names import full_name, namespace_of, partition_topic, topic_parts
 from topiclake.plans.bounded import small_side
+from topiclake.plans.commits import NUMBERED, found
 from topiclake.sources.manifest import LOG_PATH, own_ledger
 
 _STORED = T.StructType([*ENVELOPE.fields, T.StructField("commit", T.StringType())])
 
 
-def _stored(files: DataFrame, path: str) -> DataFrame:
+def _stored(files: DataFrame, path: str, numbered: bool = True) -> DataFrame:
     """Envelopes of stored files; columns that place a message know their log, so that starts can skip files."""
-    whole = files.withColumn("ledger_id", own_ledger(F.col("ledger_id"), F.col("commit")))
+    whole = files.withColumn("ledger_id", own_ledger(F.col("ledger_id"), F.col("commit"))) if numbered else files
     known = {LOG_PATH: path.rstrip("/")}
     return whole.select(*[F.col(c).alias(c, metadata=known if c in (*LOG, *POSITION) else {}) for c in ENVELOPE.names])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """A stored log: parquet directories by commit, topic and partition."""
-    return _stored(spark.read.schema(_STORED).parquet(path), path)
+    files = spark.read.schema(_STORED).parquet(path)
+    # where all messages bring their ledger, conditions on it reach the files; asked after the files were listed
+    return _stored(files, path, bool(found(spark, f"{path.rstrip('/')}/commit={NUMBERED}*")))
 
 
 def stream_log(
