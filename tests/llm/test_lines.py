@@ -17,7 +17,7 @@ def words(line):
 
 def tokens(line):
     w = words(line)
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()}
 
 
 def brute(docs):
@@ -47,7 +47,7 @@ def corpus(seed):
             for _ in range(rng.choice([0, 0, 1, 1, 2, 4])):
                 line[rng.randrange(len(line))] = rng.choice([*vocabulary, f"x{rng.random()}"])
             parts.append(rng.choice([" ", "  ", "\t"]).join(line))
-        docs.append((d, "\n".join([*parts, rng.choice(["", "short one", "a b c d"])])))
+        docs.append((d, "\n".join([*parts, rng.choice(["", "short one", " short  one\t", "a b c d", "a b c", f"only {d}", "\u00a0"])])))
     return docs + [(50, None), (51, ""), (52, "\n\n"), (None, docs[4][1])]
 
 
@@ -70,6 +70,14 @@ def test_repeated_rows_and_empty_tables(spark):
     assert lines.removed_lines(df.where("doc_id = 3")).count() == 0
 
 
+def test_short_and_very_long_lines(spark):
+    long = " ".join(f"w{i}" for i in range(100_000))
+    docs = [(1, f"menu\n{long}\nhome page"), (2, f"menu\nhome\tpage \nown line"), (3, f"{long} more"), (4, " \n\t"), (5, "menu home page"), (6, "home page")]
+    df = spark.createDataFrame([(d, t, len(t), "k", 1) for d, t in docs], DOCS)
+    got = {r.doc_id: r.text for r in lines.dedup_lines(df).collect()}
+    assert got == brute(docs) == {1: docs[0][1], 2: "own line", 4: " \n\t", 5: "menu home page"}
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")
     plan = lines.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()

@@ -1,11 +1,12 @@
 """Line dedup: an exact set-similarity join of lines, with DataFrame operations only.
 
-A line is the set of its SHINGLE-word shingles, known by 64-bit hashes; lines of fewer words
-are left alone.  A line goes when an earlier one, by doc_id and line number, has a Jaccard similarity of
+A line is the set of its SHINGLE-word shingles, known by 64-bit hashes; a line of fewer words, one at least, has all
+its words as its one token.  A line goes when an earlier one, by doc_id and line number, has a Jaccard similarity of
 LINK / OF or more.  With a similarity t two lines share a token among the first
 ``n - ceil(t n) + 1`` tokens of each in any one order, so:
 
-1. Equal lines are brought together first, by hash; from here on a line is there once.
+1. Equal lines are brought together first, by hash; from here on a line is there once.  Lines of few words are similar
+   only if their words are equal, so their words are what is hashed, and this is all they need.
 2. A first filter takes the order of the hashes, needs no counts, and keeps the lines that
    share TOGETHER of their first tokens with others.  Most lines end here.
 3. The lines that are left order their tokens by rarity among them.  Their first tokens are
@@ -34,7 +35,12 @@ _BLANKS = "\t\r\u000b\f"
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.translate(line, _BLANKS, "    "), " "), "")
+    # most lines have single blanks between words only, and need no more than a split
+    odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    for blank in _BLANKS:
+        odd = odd | line.contains(blank)
+    every = F.array_remove(F.split(F.translate(line, _BLANKS, "    "), " "), "")
+    return F.when(odd | (line == ""), every).otherwise(F.split(line, " "))
 
 
 def _first(n: Column) -> Column:
@@ -43,29 +49,36 @@ def _first(n: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Every line of SHINGLE words or more: name, check, place and the line itself."""
+    """Every line with a word: name, check, place, the line itself, and whether it has SHINGLE words or more."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = text.select("doc_id", row_key().alias("doc_key"), F.split("text", "\n").alias("parts"))
     every = keyed.select("doc_id", "doc_key", F.posexplode("parts").alias("line_no", "line"))
     # stops at the last of these words, most lines go on
-    long = every.where(F.col("line").rlike(rf"^\s*(?:\S+\s+){{{SHINGLE - 1}}}\S"))
-    return long.select(*_name(), _place().alias("place"), "line")
+    every = every.where(F.col("line").rlike(r"\S")).withColumn("long", F.col("line").rlike(rf"^\s*(?:\S+\s+){{{SHINGLE - 1}}}\S"))
+    same = F.when(F.col("long"), F.col("line")).otherwise(F.array_join(_words(F.col("line")), " "))
+    return every.select(*_name(same), _place().alias("place"), "line", "long")
 
 
 def _with_tokens(lines: DataFrame) -> DataFrame:
-    """Replace the line by its distinct shingle hashes, in the order of the hashes."""
+    """Replace the line by its distinct shingle hashes, in the order of the hashes; nothing of a line of few words is to be used."""
     hashed = lines.withColumn("hashes", F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
     others = ", ".join(f"hashes[i + {k}]" for k in range(1, SHINGLE))
-    tokens = F.expr(f"transform(slice(hashes, 1, size(hashes) - {SHINGLE - 1}), (h, i) -> xxhash64(h, {others}))")
+    tokens = F.expr(f"transform(slice(hashes, 1, greatest(0, size(hashes) - {SHINGLE - 1})), (h, i) -> xxhash64(h, {others}))")
     return hashed.withColumn("tokens", F.sort_array(F.array_distinct(tokens))).drop("hashes")
 
 
 _PLACE = ["doc_id", "doc_key", "line_no"]
 
 
-def _name() -> list[Column]:
-    """Equal lines have equal names; 128 bits in all."""
-    return [F.xxhash64("line").alias("name"), F.xxhash64(F.lit(1), "line").alias("check")]
+#: the lowest bits of a name are free: how many first tokens a line must share fits there
+_SPARE = TOGETHER.bit_length() - 1
+#: bits of the tokens that the first filter looks at; two that fall together only mean a candidate more
+_TOKEN_BITS = 48
+
+
+def _name(line: Column) -> list[Column]:
+    """Equal lines have equal names; 126 bits in all."""
+    return [F.xxhash64(line).bitwiseAND(F.lit(-(1 << _SPARE))).alias("name"), F.xxhash64(F.lit(1), line).alias("check")]
 
 
 def _place() -> Column:
@@ -90,25 +103,42 @@ def _similar(left: Column, right: Column) -> Column:
     return (OF + LINK) * common >= LINK * (F.size(left) + F.size(right))
 
 
-def _candidates(lines: DataFrame) -> DataFrame:
-    """The names of lines that share TOGETHER of their first tokens, in the order of hashes, with others.
+def _needed(n: Column) -> Column:
+    """How many of its first tokens a line of ``n`` must share with another one: TOGETHER, or all that must be common."""
+    return F.least(F.lit(TOGETHER), F.ceil(n * LINK / OF).cast("int"))
+
+
+def _posted(lines: DataFrame) -> DataFrame:
+    """name, check, place of all lines; those of SHINGLE words or more with their ``first`` tokens, in the order of hashes, and ``need``.
 
     A similar line has all but ``n - ceil(t n)`` tokens too, so so many more than those hold
     TOGETHER of the common ones, or all there must be.
     """
-    tokens = _with_tokens(lines.drop("place"))
-    n = F.size("tokens")
-    common = F.ceil(n * LINK / OF).cast("int")
-    need = F.least(F.lit(TOGETHER), common)
-    first = F.slice("tokens", 1, n - common + need).alias("first")
-    # a line is known by one of its hashes here; two lines in one only mean a candidate more
-    distinct = tokens.select("name", "check", first, need.alias("need")).groupBy("name", "check")
-    distinct = distinct.agg(F.max("first").alias("first"), F.max("need").cast("byte").alias("need"))
-    # written, so that tokens are made once
-    posted = written(distinct.drop("check"), "first").select("name", "need", F.explode("first").alias("token"))
-    shared = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    found = posted.join(shared, "token").groupBy("name").agg(F.count("*").alias("n"), F.min("need").alias("need"))
-    return found.where("n >= need").select("name")
+    n, need = F.size("tokens"), _needed(F.size("tokens"))
+    first = F.slice("tokens", 1, n - F.ceil(n * LINK / OF).cast("int") + need)
+    every = _with_tokens(lines)
+    return every.select(
+        "name", "check", "place", F.when(F.col("long"), first).alias("first"), F.when(F.col("long"), need).cast("byte").alias("need")
+    )
+
+
+def _candidates(posted: DataFrame, copied: DataFrame) -> DataFrame:
+    """The names of lines that share as many of their first tokens as they need with others.
+
+    ``copied`` are the names that stand several times: those are looked at once.
+    """
+    long = posted.where("first IS NOT NULL").select("name", "check", "first", "need")
+    once = long.join(copied, ["name", "check"], "left_anti")
+    some = long.join(copied, ["name", "check"], "left_semi").dropDuplicates(["name", "check"])
+    # two lines of one name only mean a candidate more; need - 1 stands in the name's free bits
+    marked = F.col("name").bitwiseOR(F.col("need").cast("long") - 1).alias("name")
+    each = once.unionByName(some).select(marked, F.explode("first").alias("token"))
+    each = each.withColumn("token", F.col("token").bitwiseAND(F.lit((1 << _TOKEN_BITS) - 1)))
+    shared = each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
+    # the tokens that are shared are few and spread evenly: they are looked up, and nothing is sorted
+    found = each.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("name").agg(F.count("*").alias("n"))
+    spare = F.lit((1 << _SPARE) - 1)
+    return found.where(F.col("n") > F.col("name").bitwiseAND(spare)).select(F.col("name").bitwiseAND(F.lit(-(1 << _SPARE))).alias("name")).distinct()
 
 
 def _ranked(lines: DataFrame) -> DataFrame:
@@ -173,12 +203,19 @@ def removed_lines(docs: DataFrame, short: int = SHORT) -> DataFrame:
     and line number; NULL ids come last.  Rows that are equal in doc_id and text are one document.
     """
     lines = _lines(docs)
-    wanted = counted_side(written(_candidates(lines), "wanted"))
-    places = written(lines.drop("line"), "places")
-    least = places.groupBy("name", "check").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
+    posted = written(_posted(lines), "posted")
+    places = posted.select("name", "check", "place")
+    copied = written(places.groupBy("name", "check").agg(F.count("*").alias("n")).where("n > 1").select("name", "check"), "copied")
+    wanted = counted_side(written(_candidates(posted, counted_side(copied)), "wanted"))
+    # a line that stands once and is no candidate stays
+    asked = places.join(wanted, "name", "left_semi").unionByName(
+        places.join(wanted, "name", "left_anti").join(counted_side(copied), ["name", "check"], "left_semi")
+    )
+    asked = written(asked, "asked")
+    least = asked.groupBy("name", "check").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
     # the text of a line that is wanted, from its first place
     where = least.join(wanted, "name", "left_semi").select("name", "check", "first")
-    some = lines.join(wanted, "name", "left_semi").join(where, ["name", "check"]).where(F.col("place") == F.col("first"))
+    some = lines.where("long").join(wanted, "name", "left_semi").join(where, ["name", "check"]).where(F.col("place") == F.col("first"))
     named = some.select(F.xxhash64("name", "check").alias("line_id"), "name", "check", "place", "line")
     full = _with_tokens(named.dropDuplicates(["line_id"])).withColumnRenamed("line_id", "line")
     full = written(full, "lines")
@@ -186,7 +223,7 @@ def removed_lines(docs: DataFrame, short: int = SHORT) -> DataFrame:
     fuzzy = full.join(later, "line", "left_semi").select("name", "check", F.lit(True).alias("goes"))
     # all places of lines that are similar to an earlier one, and all but the first of the others
     known = least.join(fuzzy, ["name", "check"], "left").where("copies > 1 or goes")
-    marked = places.join(counted_side(written(known.drop("copies"), "known")), ["name", "check"])
+    marked = asked.join(counted_side(written(known.drop("copies"), "known")), ["name", "check"])
     gone = marked.where(F.coalesce("goes", F.col("place") != F.col("first")))
     return gone.groupBy(F.col("place.doc_key").alias("doc_key")).agg(F.array_sort(F.collect_set("place.line_no")).alias("removed"))
 
@@ -207,6 +244,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, any others) without the lines that are similar to an earlier one.
 
     A document that has no word left after that goes too; one that had none stays.  A NULL
-    text stays NULL; an empty table gives an empty result.
+    text stays NULL; an empty table gives an empty result.  Lines and texts of any length are compared whole.  Rows that are equal
+    in doc_id and text are one document.  Other columns stay as they are, whatever their names.
     """
     return without_lines(docs, removed_lines(docs))

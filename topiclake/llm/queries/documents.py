@@ -111,8 +111,9 @@ WITH line AS (
 ), word AS (
   SELECT doc_id, no, list_filter(string_split_regex(line, '[ \\t\\r\\x0B\\f]+'), lambda x: x <> '') AS w FROM line
 ), item AS (
-  SELECT doc_id, no, list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s
-  FROM word WHERE len(w) >= 5
+  SELECT doc_id, no, list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
+  FROM word WHERE len(w) > 0
 ), token AS (SELECT doc_id, no, len(s) AS n, unnest(s) AS g FROM item),
 gone AS (
   SELECT DISTINCT doc_id, no FROM (
