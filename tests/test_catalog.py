@@ -261,3 +261,22 @@ def test_as_table(spark, reg):
     # a topic that never registered a schema holds bytes
     assert C.as_table(log, R.empty_registry(spark), "public/default", "t").dtypes == [("value", "binary")]
     assert scan(log, topic="t").count() == 5
+
+
+def test_stored_definitions_act(spark):
+    """Key fields, start, metadata and upsert of a table that was created in the catalog."""
+    made = C.create_database(R.empty_registry(spark), "mine")
+    schema = T.StructType.fromDDL("k_id INT, v INT")
+    keyed = {"format": "json", "key.format": "json", "key.fields": "k_id", "key.fields-prefix": "k_", "value.fields-include": "EXCEPT_KEY", "topic": "t"}
+    made = C.create_table(made, "mine", "whole", schema, keyed, metadata={"when": "eventTime"})
+    made = C.create_table(made, "mine", "late", schema, {**keyed, "scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": "1704067203000"})
+    current = T.StructType.fromDDL("id INT, v INT")
+    made = C.create_table(made, "mine", "current", current, {"format": "json", "value.fields-include": "EXCEPT_KEY", "topic": "t"}, primary_key=["id"], upsert=True)
+    log = messages(spark, [(0, i, f'{{"id": {i % 2}}}', f'{{"v": {i}}}', i) for i in range(5)])
+    assert rows(C.as_table(log, made, "mine", "whole"), "k_id", "v") == [(i % 2, i) for i in (0, 2, 4, 1, 3)]
+    assert C.as_table(log, made, "mine", "whole").columns == ["k_id", "v", "when"]
+    assert rows(C.as_table(log, made, "mine", "late"), "v") == [(3,), (4,)]
+    assert rows(C.as_table(log, made, "mine", "current", view="current_rows"), "id", "v") == [(0, 4), (1, 3)]
+    assert spark.sql("SELECT SUM(v) AS s FROM current_rows").first().s == 7
+    with pytest.raises(C.CatalogError, match="mapped"):
+        C.stored_options(R.empty_registry(spark), "public/default", "t")

@@ -11,6 +11,8 @@ import json
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from topiclake.catalog.connect import read_table
+from topiclake.catalog.options import TableOptions
 from topiclake.catalog.registry import REGISTRY_DDL, schema_of, struct_for
 from topiclake.functions.topic_names import namespace_of, topic_parts
 from topiclake.operators.decode import decode
@@ -108,8 +110,14 @@ def create_table(
     options: dict[str, str] | None = None,
     *,
     ignore_if_exists: bool = False,
+    primary_key: list[str] | None = None,
+    upsert: bool = False,
+    metadata: dict[str, str] | None = None,
 ) -> DataFrame:
-    """The registry with a new table; nothing is changed when its definition cannot be stored."""
+    """The registry with a new table; nothing is changed when its definition cannot be stored.
+
+    ``primary_key``, ``upsert`` and ``metadata`` (column -> metadata of the message) are part of the definition.
+    """
     if not is_generic(database):
         raise CatalogError(f"{database} is mapped from topics, tables cannot be created in it")
     if not database_exists(registry, database):
@@ -119,7 +127,14 @@ def create_table(
             return registry
         raise CatalogError(f"table {database}.{table} already exists")
     try:
-        definition = json.dumps(to_props(schema, options or {}), sort_keys=True)
+        props = to_props(schema, options or {})
+        if primary_key:
+            props["primary-key"] = json.dumps(primary_key)
+        if upsert:
+            props["upsert"] = "true"
+        if metadata:
+            props["metadata"] = json.dumps(metadata)
+        definition = json.dumps(props, sort_keys=True)
     except (TypeError, ValueError) as error:
         raise CatalogError(f"the definition of {table} cannot be stored") from error
     return _add(registry, (topic_name(database, table), TABLE_TYPE, definition, ""))
@@ -164,16 +179,39 @@ def table_definition(registry: DataFrame, database: str, table: str) -> tuple[T.
     return schema, options
 
 
-def as_table(log: DataFrame, registry: DataFrame, database: str, table: str, view: str | None = None) -> DataFrame:
-    """A topic as a table with the columns of its registry schema, optionally as a temp view."""
+def stored_options(registry: DataFrame, database: str, table: str) -> tuple[TableOptions, dict[str, str]]:
+    """The options of a table that was created in the catalog, with its keys, and its metadata columns.
+
+    Without a topic it is that of the table's own name; without a start it is read from the first message.
+    """
+    entry = schema_of(registry, topic_name(database, table))
+    if entry["schema_type"] != TABLE_TYPE:
+        raise CatalogError(f"{database}.{table} is a mapped topic, it has no options")
+    schema, options = table_definition(registry, database, table)
+    opts = {k: v for k, v in options.items() if k != "generic"}
+    if not {"topic", "topic-pattern"} & set(opts):
+        opts["topic"] = topic_name(database, table)
+    opts.setdefault("scan.startup.mode", "earliest")
+    props = json.loads(entry["definition"])
+    keys = json.loads(props.get("primary-key", "[]"))
+    return TableOptions(schema, opts, primary_key=keys, upsert=props.get("upsert") == "true"), json.loads(props.get("metadata", "{}"))
+
+
+def as_table(
+    log: DataFrame, registry: DataFrame, database: str, table: str, view: str | None = None, *, cursors: DataFrame | None = None
+) -> DataFrame:
+    """A topic as a table with the columns of its registry schema, optionally as a temp view.
+
+    A table that was created in the catalog is read by all its options: formats of key and value, key fields, start, metadata
+    columns, and as its current rows if it is an upsert table.
+    """
     topic = topic_name(database, table)
     entry = schema_of(registry, topic)
     if entry["schema_type"] == TABLE_TYPE:
-        schema, options = table_definition(registry, database, table)
-        fmt = options.get("value.format", options.get("format"))
-    else:
-        schema = struct_for(entry)
-        fmt = {"JSON": "json", "AVRO": "avro"}.get(entry["schema_type"], "atomic")
+        options, metadata = stored_options(registry, database, table)
+        return read_table(log, options, metadata, cursors=cursors, view=view)
+    schema = struct_for(entry)
+    fmt = {"JSON": "json", "AVRO": "avro"}.get(entry["schema_type"], "atomic")
     messages = scan(log, topic=topic)
     if fmt == "avro":
         out = decode(messages, entry["definition"], "avro").select("data.*")

@@ -8,9 +8,10 @@ from topiclake.checks import check
 from topiclake.checks.topics import EV, event_rows, events, ntz, table, user_id
 from topiclake.operators import changelog as C
 from topiclake.operators.decode import decode
-from topiclake.operators.sinks import upsert_messages, write_upsert
+from topiclake.operators.sinks import upsert_messages, write, write_upsert
 from topiclake.operators.temporal import as_of_join, intervals
 from topiclake.plans.workspace import new_dir
+from topiclake.sources import snapshots
 from topiclake.sources.topics import read_log, scan
 
 DDL = "event_type STRING, value DOUBLE"
@@ -69,6 +70,21 @@ def materialize_latest(spark, folder):
     return C.latest_table(events(spark, folder), {"user_id": user_id()}, DDL).select("user_id", "event_type", "value")
 
 
+@check(
+    "materialize_snapshot",
+    f"WITH {EV}, {LAST} SELECT user_id, event_type, value FROM ev JOIN last USING (user_id, event_id) WHERE NOT tombstone",
+)
+def materialize_snapshot(spark, folder):
+    """The current table of a stored log, from a snapshot of its first three commits, made in two steps, and the commits since."""
+    path, m = new_dir(spark, "log"), events(spark, folder)
+    for i in range(5):
+        write(m.where(F.expr(f"sequence_id % 5 = {(i * 2) % 5}")), path, commit=f"{i}")
+        if i in (0, 2):
+            snapshots.refresh(spark, path)
+    rows = C.latest_table(snapshots.last_messages(spark, path), {"user_id": user_id()}, DDL)
+    return rows.select("user_id", "event_type", "value")
+
+
 @check(
     "materialize_as_of",
     f"""WITH {EV}, last AS (SELECT user_id, MAX(event_id) AS event_id FROM ev WHERE publish_time <= TIMESTAMP '2024-01-15' GROUP BY 1)

@@ -11,8 +11,9 @@ from pyspark.sql.types import StructType
 from topiclake.catalog.connect import insert_into, insert_stream, read_table
 from topiclake.catalog.options import TableOptions
 from topiclake.checks import check
+from topiclake.checks.changelogs import NORMAL
 from topiclake.checks.scans import MURMUR
-from topiclake.checks.topics import EV, EVENT_DDL, LINE_DDL, ORD, ORDER_DDL, events, json_bytes, lineitem, ntz, orders, table
+from topiclake.checks.topics import EV, EVENT_DDL, LINE_DDL, ORD, ORDER_DDL, events, json_bytes, lineitem, ntz, orders, table, user_id
 from topiclake.envelope import LOG
 from topiclake.operators import cursors as K, eventtime as E
 from topiclake.operators.changelog import decode_upsert, latest
@@ -320,6 +321,23 @@ def stream_changelog_normalize(spark, folder):
 
 
 
+@check(
+    "stream_changelog_rows",
+    f"WITH {NORMAL} SELECT row_kind, user_id, event_type, value, event_id, step FROM normal",
+)
+def stream_changelog_rows(spark, folder):
+    """Every row of the changelog of a stream in four micro-batches, whose state is in few buckets."""
+    source = stored_in_parts(spark, events(spark, folder), 4, "sequence_id")
+    path, state, checkpoint = (new_dir(spark, name) for name in ("changes", "state", "checkpoint"))
+    rows = decode_upsert(stream_log(spark, source, files_per_batch=4), {"user_id": user_id()}, "event_type STRING, value DOUBLE")
+    normalize_stream(
+        rows, ["user_id"], state, checkpoint, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/part={n}"),
+        columns=["event_type", "value"], buckets=7,
+    ).awaitTermination()
+    found = spark.read.parquet(path).withColumn("event_id", F.col("ledger_id") * 1000 + F.col("entry_id"))
+    return found.select("row_kind", "user_id", "event_type", "value", "event_id", "step")
+
+
 @check(
     "sink_at_least_once",
     f"WITH {ORD} SELECT partition, sequence_id FROM ord",

@@ -101,11 +101,11 @@ def latest(changes: DataFrame, pk: list[str], order: list[str] | None = None) ->
     An aggregate, so each task reduces its own rows first and a hot key costs nothing.
     """
     order = KEY_ORDER if order is None else order
-    last = _last(changes, pk, order)
+    last = last_of(changes, pk, order)
     return last.where(~_deletes(F.col("row_kind"))).select(*[c for c in changes.columns if c != "row_kind"])
 
 
-def _last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def last_of(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key that is last in ``order``."""
     rest = [c for c in rows.columns if c not in {*keys, *order}]
     if any("map<" in rows.schema[c].dataType.simpleString() for c in rest):
@@ -123,7 +123,7 @@ def latest_as_of(changes: DataFrame, pk: list[str], until: Column, order: list[s
 
 def compact(m: DataFrame) -> DataFrame:
     """The last message of each key of a topic; deleted keys and messages without key are left out."""
-    last = _last(m.where(F.col("key").isNotNull()), ["topic", "key"], KEY_ORDER)
+    last = last_of(m.where(F.col("key").isNotNull()), ["topic", "key"], KEY_ORDER)
     return last.where(F.coalesce(F.length("value"), F.lit(0)) > 0).select(*ENVELOPE.names)
 
 
@@ -132,7 +132,7 @@ def latest_table(m: DataFrame, pk: Mapping[str, Column], schema: str, *, fmt: st
 
     Messages are reduced to the last one per key before any value is decoded.
     """
-    last = _last(m.where(F.col("key").isNotNull()).select("topic", "key", "value", *KEY_ORDER), ["topic", "key"], KEY_ORDER)
+    last = last_of(m.where(F.col("key").isNotNull()).select("topic", "key", "value", *KEY_ORDER), ["topic", "key"], KEY_ORDER)
     rows = decode_upsert(last, pk, schema, fmt=fmt)
     return rows.where(~_deletes(F.col("row_kind"))).drop("row_kind")
 

@@ -76,6 +76,8 @@ def encode(
     """Encode columns of a row into the bytes column ``into``."""
     row = F.struct(*columns)
     fmt = fmt.lower()
+    if fmt in ("raw", "atomic") and len(columns) != 1:
+        raise ValueError(f"format {fmt} holds one column, not {list(columns)}")
     if fmt == "json":
         return df.withColumn(into, F.to_json(row).cast("binary"))
     if fmt == "raw":

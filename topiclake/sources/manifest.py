@@ -56,12 +56,14 @@ def _inside(file: Column, folder: str) -> Column:
     return F.substring_index(file, f"/{folder}/", -1)
 
 
-def _commits(spark: SparkSession, path: str, inside: str = "") -> set[str]:
+def commit_names(spark: SparkSession, path: str, inside: str = "") -> set[str]:
+    """The commits of a log, those that have ``inside`` if given."""
     paths = [p.removesuffix(inside) for p in found(spark, f"{path}/commit=*{inside}")]
     return {p.rpartition("/")[2].removeprefix("commit=") for p in paths}
 
 
-def _commit_log(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+def commit_log(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The messages of some commits, with the commit's name."""
     schema = T.StructType([*ENVELOPE.fields, T.StructField("commit", T.StringType())])
     stored = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/commit={n}" for n in names])
     return stored.withColumn("ledger_id", own_ledger(F.col("ledger_id"), F.col("commit")))
@@ -70,7 +72,7 @@ def _commit_log(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
 def files(spark: SparkSession, path: str) -> DataFrame:
     """``commit``, ``topic``, ``partition``, ``file``, ``low``, ``high``, ``messages``, ``earliest``, ``latest`` of all files of a log."""
     path = path.rstrip("/")
-    there, described = _commits(spark, path), _commits(spark, path, f"/{FOLDER}")
+    there, described = commit_names(spark, path), commit_names(spark, path, f"/{FOLDER}")
     schema = T.StructType([*T.StructType.fromDDL(STORED).fields, T.StructField("commit", T.StringType())])
     kept = spark.createDataFrame([], schema)
     if described:
@@ -78,7 +80,7 @@ def files(spark: SparkSession, path: str) -> DataFrame:
         for end in ("low", "high"):
             kept = kept.withColumn(end, F.col(end).withField("ledger_id", own_ledger(F.col(f"{end}.ledger_id"), F.col("commit"))))
     if rest := sorted(there - described):
-        m = _commit_log(spark, path, rest).select("commit", *LOG, *POSITION, "publish_time", "_metadata.file_path")
+        m = commit_log(spark, path, rest).select("commit", *LOG, *POSITION, "publish_time", "_metadata.file_path")
         rows = summarized(m, F.regexp_extract(F.substring_index("file_path", "/commit=", -1), "^[^/]*/(.*)$", 1), "commit")
         kept = kept.unionByName(rows)
     return kept.select("commit", *LOG, "file", "low", "high", "messages", "earliest", "latest")

@@ -31,10 +31,10 @@ def ticking(messages: DataFrame, per_second: int = 1) -> DataFrame:
 
 
 class HeldBack:
-    """The messages that are not due yet, in a folder that all executors share."""
+    """Rows that wait for the time in ``column``, in a folder that all executors share, by buckets of so many seconds."""
 
-    def __init__(self, path: str, bucket: int = BUCKET) -> None:
-        self.path, self.bucket = path.rstrip("/"), bucket
+    def __init__(self, path: str, bucket: int = BUCKET, column: str = "deliver_at") -> None:
+        self.path, self.bucket, self.column = path.rstrip("/"), bucket * 1_000_000, column
 
     def now(self, spark: SparkSession, batch_id: int, clock: Callable[[], int]) -> tuple[int | None, int]:
         """The times of the micro-batch before and of this one, in microseconds."""
@@ -45,31 +45,34 @@ class HeldBack:
         )
         return before, int(own)
 
-    def hold(self, messages: DataFrame, batch_id: int) -> None:
-        """Keep messages; a micro-batch that runs again replaces its own."""
-        due = F.expr(f"unix_seconds(deliver_at) DIV {self.bucket}")
-        rows = messages.withColumns({"_due": due, "_batch": F.lit(batch_id)})
-        # as many files for an hour as its rows need
-        rows.hint("rebalance", "_due").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_due", "_batch").parquet(
+    def hold(self, rows: DataFrame, batch_id: int) -> None:
+        """Keep rows; a micro-batch that runs again replaces its own."""
+        at = f"unix_micros(`{self.column}`)"
+        due = F.expr(f"({at} - pmod({at}, {self.bucket})) DIV {self.bucket}")
+        kept = rows.withColumns({"_due": due, "_batch": F.lit(batch_id)})
+        # as many files for a bucket as its rows need
+        kept.hint("rebalance", "_due").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_due", "_batch").parquet(
             f"{self.path}/held"
         )
 
-    def released(self, like: DataFrame, before: int | None, now: int, batch_id: int) -> DataFrame | None:
-        """Messages of earlier micro-batches that have become due after ``before`` and until ``now``."""
-        if before is None or not exists(like.sparkSession, f"{self.path}/held"):
+    def released(self, like: DataFrame, before: int | None, now: int | None, batch_id: int) -> DataFrame | None:
+        """Rows of earlier micro-batches whose time is after ``before``, if that is known, and until ``now``."""
+        if now is None or not exists(like.sparkSession, f"{self.path}/held"):
             return None
         kept = like.sparkSession.read.schema(f"{like.schema.toDDL()}, _due BIGINT, _batch BIGINT").parquet(f"{self.path}/held")
-        hours = F.col("_due").between(before // 1_000_000 // self.bucket, now // 1_000_000 // self.bucket)
-        at = F.unix_micros("deliver_at")
-        return kept.where(hours & (F.col("_batch") < batch_id) & (at > before) & (at <= now)).select(*like.columns)
+        at, bucket = F.unix_micros(self.column), F.col("_due")
+        ready = (F.col("_batch") < batch_id) & (at <= now) & (bucket <= now // self.bucket)
+        if before is not None:
+            ready = ready & (at > before) & (bucket >= before // self.bucket)
+        return kept.where(ready).select(*like.columns)
 
     def expire(self, spark: SparkSession, before: int | None) -> None:
-        """Remove the hours that were over before the last micro-batch: neither this one nor a later one reads them."""
+        """Remove the buckets that were over before the last micro-batch: neither this one nor a later one reads them."""
         if before is None:
             return
-        for hour in found(spark, f"{self.path}/held/_due=*"):
-            if int(hour.rpartition("=")[2]) < before // 1_000_000 // self.bucket:
-                removed(spark, hour)
+        for bucket in found(spark, f"{self.path}/held/_due=*"):
+            if int(bucket.rpartition("=")[2]) < before // self.bucket:
+                removed(spark, bucket)
 
 
 def deliver_stream(

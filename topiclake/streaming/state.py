@@ -109,6 +109,8 @@ class KeyedState:
 
     def before(self, spark: SparkSession, schema, batch_id: int, buckets: list[int] | None = None) -> DataFrame | None:
         """What the batches before this one left in ``buckets``, all unless given; None if there is nothing."""
+        if buckets == []:
+            return None
         epoch = batch_id // self.every
         rows = self._read(spark, schema, epoch, range(epoch * self.every, batch_id), buckets)
         return None if rows is None else self.merge(rows)
