@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import math
+import random
 import re
+from collections import Counter
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 
 from topiclake.llm import licenses
@@ -29,6 +33,58 @@ def test_base_phrases_of_documents(spark):
         assert 0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
 
 
+def plain_scan(texts):
+    """labels and score of each text by their meaning: every place of a key phrase, and the words in place around it."""
+    found, split = licenses.templates(), {d: WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for d, t in texts.items()}
+    files = Counter(w for words in split.values() for w in set(words))
+    rarity = {w: max(1e-9, math.log((len(split) + 2) / (files[w] + 1))) for t in found for w in t.words}
+    out = {}
+    for d, words in split.items():
+        labels, best = set(), 0.0
+        for t in found:
+            first, end = t.key
+            for at in (i - first for i in range(len(words)) if words[i : i + end - first] == t.words[first:end]):
+                here = sum(rarity[w] for q, w in enumerate(t.words) if 0 <= at + q < len(words) and words[at + q] == w)
+                share = 1.0 if t.base else min(1.0, here / sum(rarity[w] for w in t.words))
+                if share >= licenses.LEAST_SHARE:
+                    labels.add(t.label)
+                    best = max(best, share)
+        out[d] = (",".join(sorted(labels)), best)
+    return out
+
+
+def test_labels_and_scores_against_their_meaning(spark):
+    rng = random.Random(4)
+    pieces = [t for _, t, _ in [*licenses.NOTICES, *licenses.TEXTS]] + list(licenses.BASE)
+    texts = {}
+    for d in range(150):
+        words = " ".join(rng.choice(pieces) if rng.random() < 0.6 else "some other words" for _ in range(rng.randint(0, 4))).split()
+        for _ in range(rng.choice([0, 0, 1, 3, 10, 40])):
+            if words:
+                words[rng.randrange(len(words))] = rng.choice(["other", "", "the", "license", "software the"])
+        texts[d] = " ".join(words[rng.randint(0, 8) :])
+    texts |= {1000: None, 1001: "the " * 100_000 + licenses.TEXTS[0][1]}
+    want = plain_scan(texts)
+    got = licenses.scan(spark.createDataFrame([(d, t, "s") for d, t in texts.items()], DOCS).repartition(5)).collect()
+    assert {r.doc_id: r.labels for r in got} == {d: labels for d, (labels, _) in want.items()}
+    assert all(math.isclose(r.score, want[r.doc_id][1], rel_tol=1e-9, abs_tol=1e-12) for r in got)
+    assert len({x for labels, _ in want.values() for x in labels.split(",")}) > 10
+
+
+def test_rare_words_agree_on_where_a_template_stands(spark):
+    """Without the places of key phrases the index alone finds licences that are whole."""
+    index = licenses.Index(licenses.templates())
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [f"x y {licenses.TEXTS[3][1]} z", "the software"]})
+    (texts,) = chunks(rows)
+    words = texts.words(licenses.LETTERS, lower=True)
+    number, text_of = index.numbers_of(words.hashes()), words.text_of()
+    rare = licenses._rarest(index, number, text_of, np.flatnonzero(number >= 0))
+    zlib = next(i for i, t in enumerate(index.templates) if t.label == "zlib")
+    agreed = licenses._agreed(zlib, index, rare, text_of)
+    assert 2 in agreed.tolist() and licenses._stands(zlib, index, number, agreed).tolist() == [2]
+    assert len({w for w, at in rare.items() if (text_of[at] == 0).any()}) == licenses.LOOKED_UP
+
+
 def test_notices_and_odd_rows(spark):
     notices = {label: notice for label, notice, _ in licenses.NOTICES}
     changed = notices["mit"].replace("any person obtaining", "every person getting")

@@ -193,7 +193,8 @@ def repair(turns: DataFrame, part_rows: int = PART_ROWS, part_bytes: int = PART_
 
     Turns are ordered by turn (NULL first), role, text; equal rows follow each other in any order.
     Rows with a NULL conv_id are one conversation.  A role that is NULL or unknown is
-    relabelled, a NULL text is empty, and an empty table gives an empty result.
+    relabelled, a NULL text is empty, and an empty table gives an empty result.  Texts of any length are rendered whole.  Other
+    columns are not read, whatever their names.
     """
     spark = turns.sparkSession
     let_workers_import(spark)

@@ -241,13 +241,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     items: ids of the items with a window in the text, ascending; spans: maximal runs of hit
     words as [first, end); clean_text: the text without them.  A NULL text has no words and
     an empty clean_text.  Items without words or with a NULL id find nothing; items that
-    share an id count as one.  Columns other than doc_id and text, item_id and text are not read.
+    share an id count as one.  Rows that are repeated get a row each, empty tables give an empty result or find nothing, and texts of
+    any length are searched whole.  Columns other than doc_id and text, item_id and text are not read, whatever their names.
     """
     return _found(docs, benchmark, block_bytes, [F.col("doc_id").cast("long").alias("doc_id")])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with the spans of test phrases taken out of text; all rows and other columns stay."""
+    """``docs`` with the spans of test phrases taken out of text; all rows and other columns, whatever their names, stay."""
     found = _found(docs, benchmark, block_bytes, [as_row(docs, "text").alias("row")])
     hit = F.size("spans") > 0
     return with_text(found, docs.columns, F.when(hit, F.col("clean_text")).otherwise(F.col("text")), hit)

@@ -320,7 +320,8 @@ def near_copies(docs: DataFrame, short: int = SHORT, block: int = BLOCK) -> Data
     without words or with NULL text has none and is linked with nothing.  Rows that share a
     doc_id are documents of their own with the same name.  A NULL doc_id stays NULL: such a
     row takes the component's smallest known doc_id and is kept only if there is none.
-    An empty table gives an empty result; columns other than doc_id and text are not read.
+    An empty table gives an empty result; columns other than doc_id and text are not read, whatever their names.  Texts of any length
+    give all their shingles.
     """
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     return _grouped(docs, short, block).select("doc_id", "n_shingles", "component_id", kept)
@@ -328,7 +329,8 @@ def near_copies(docs: DataFrame, short: int = SHORT, block: int = BLOCK) -> Data
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each group of near-copies, with all its columns: that with the smallest doc_id,
-    of several that with the smallest hash of doc_id and text.  Rows without words all stay."""
+    of several that with the smallest hash of doc_id and text.  Rows without words all stay; of rows that are equal in
+    doc_id and text one stays."""
     grouped = written(_grouped(docs, SHORT, BLOCK).where("root is not null").select("row_key", "doc_id", "root"), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
     first = grouped.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first.row_key").alias("first"))

@@ -151,7 +151,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, block: int = BLO
     ``tokenizer``: path of a tokenizer file that all workers can read.  ``length`` is a power
     of two.  Order is that of the rows in each partition.  A NULL or empty text is END alone;
     rows that share a doc_id are packed one after the other like any others; an empty table
-    gives no pieces.  sequence_id: the partition's number times 2^40, plus the window's.
+    gives no pieces.  Texts of any length are cut into as many pieces as they need; other columns are not read, whatever their names.
+    sequence_id: the partition's number times 2^40, plus the window's.
     """
     let_workers_import(docs.sparkSession)
 

@@ -223,7 +223,8 @@ def judge(docs: DataFrame, model: Model | None, least_probability: float = LEAST
 
     A NULL or empty text has no words and fails the base rules.  Without a model (no
     labels, or one class only) probability is NULL and the base rules decide alone.  Rows
-    are judged one by one, so repeated rows and NULL ids get their own row each.
+    are judged one by one, so repeated rows and NULL ids get their own row each; an empty table gives none.  Texts of any length
+    are read whole.  Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     let_workers_import(spark)
@@ -248,7 +249,7 @@ def judge(docs: DataFrame, model: Model | None, least_probability: float = LEAST
 
 
 def keep_good(docs: DataFrame, model: Model | None, least_probability: float = LEAST_PROBABILITY) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns, whatever their names."""
     spark = docs.sparkSession
     let_workers_import(spark)
     shared = spark.sparkContext.broadcast(model)

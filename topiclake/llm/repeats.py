@@ -266,7 +266,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_bytes: int = HOT_B
     spans: maximal runs of removed bytes as [first, last).  Texts are UTF-8 bytes, a NULL text
     is empty; cuts may fall into a character, so what is kept is bytes.  Rows are documents of
     their own even when they share a doc_id; rows equal in doc_id and text are copies of each
-    other.  An empty table gives an empty result.  ``length`` must be 64 bytes or more.
+    other.  An empty table gives an empty result.  ``length`` must be 64 bytes or more.  Texts of any length are cut
+    whole into segments.  Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     let_workers_import(spark)

@@ -24,7 +24,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from topiclake.llm.tables import written
+from topiclake.llm.tables import counted_side, written
 
 DAMPING = 0.85
 #: rounds of the SQL; the operator goes on until the scores are settled
@@ -138,7 +138,8 @@ def judge(
     """``pages`` (page_id, url, html, any others) -> page_id, host, path, rule, verdict.
 
     A page without a host has no rule and is allowed; NULL html has no links; repeated rows and
-    NULL ids get a row each.  An empty table gives an empty result.  Without ``rounds`` the scores
+    NULL ids get a row each.  An empty table gives an empty result.  Pages of any length are read whole, other columns not at
+    all, whatever their names.  Without ``rounds`` the scores
     are spread until they are settled.
     """
     ruled = _ruled(pages, rules)
@@ -149,6 +150,8 @@ def judge(
     links = written(host_links(ruled.select("host", "html")), "links")
     # without links between hosts the scores stay where they start
     scores = _spread(seeds, links, 0 if links.isEmpty() else rounds, damping)
+    # written, so that pages of a host that holds many of them can be split over tasks
     blocked = scores.where(F.greatest("distrust", "reach") - F.col("trust") > threshold * (1 - damping)).select("host", F.lit("block").alias("spread"))
+    blocked = counted_side(written(blocked, "blocked"))
     verdict = F.coalesce("ruled", "spread", F.lit("allow"))
     return ruled.drop("html").join(blocked, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))

@@ -5,7 +5,8 @@ as many crawlers leave them.  ``normalise`` inflates each such file once, as a s
 writes every record as a gzip member of its own, beside an index of offsets.  ``read_records``
 reads records by the index.
 
-Files go through Arrow's file systems (local paths, file:, hdfs:, s3:, gs:).  A task writes
+Files go through Arrow's file systems (file:, hdfs:, s3:, gs:), by names that Spark's own file system has completed, so that a
+path without a scheme means the same to both.  A task writes
 under a name of its own and reports the name in its rows; the rows are written to a table,
 so only files of finished tasks are ever read, and a task that runs again leaves no harm.
 """
@@ -15,15 +16,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topiclake.llm.tables import let_workers_import, written
+from topiclake.llm.tables import counted_side, let_workers_import, written
 from topiclake.plans.workspace import new_dir
 
 #: pages of this many bytes or more may become revisits
@@ -48,6 +50,13 @@ def _place(path: str, ending: str) -> tuple[fs.FileSystem, str, str]:
     return system, f"{folder}/{name}", f"{path}/{name}"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and host that Spark takes for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri().toString()
+    return re.sub("^file:/(?!/)", "file:///", full)
+
+
 def record(page: dict) -> bytes:
     """The WARC record of a page: a response with its payload, or a revisit without."""
     payload = (page["html"] or "").encode() if page["is_first"] else b""
@@ -222,8 +231,9 @@ def with_first(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     html = F.coalesce("html", F.lit(""))
     page = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     page = page.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
-    first = page.groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    known = page.join(first, "digest")
+    # written, so that pages move only if payloads are many, and those of a frequent one are then split over tasks
+    first = written(page.groupBy("digest").agg(F.min("page_id").alias("first_id")), "first-pages")
+    known = page.join(counted_side(first), "digest")
     alone = (F.col("payload_bytes") < least_bytes) | F.col("page_id").eqNullSafe(F.col("first_id"))
     return known.withColumn("is_first", alone).select("page_id", "url", "html", "digest", "payload_bytes", "first_id", "is_first")
 
@@ -232,6 +242,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
     """Write a record for every page; returns the table of archives (archive, records)."""
     let_workers_import(pages.sparkSession)
     # the payload of a revisit is not needed any more
+    folder = qualified(pages.sparkSession, folder)
     page = with_first(pages, least_bytes).withColumn("html", F.when(F.col("is_first"), F.col("html")))
     return written(page.mapInArrow(_write(folder, limit), "archive string, records long"), "archives")
 
@@ -244,7 +255,7 @@ def _one_each(archives: DataFrame) -> DataFrame:
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """A gzip member for every record and an index beside: (archive, index, records)."""
     let_workers_import(archives.sparkSession)
-    spread = _one_each(archives.select("archive"))
+    spread, folder = _one_each(archives.select("archive")), qualified(archives.sparkSession, folder)
     return written(spread.mapInArrow(_normalise(folder), "archive string, index string, records long"), "normalised")
 
 
@@ -257,7 +268,10 @@ def read_records(archives: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """Write ``pages`` (page_id, url, html, any others), normalise, and read back."""
+    """Write ``pages`` (page_id, url, html, any others), normalise, and read back.
+
+    Payloads of any length are written whole.  Other columns are not looked at, whatever their names; an empty table gives no records.
+    """
     spark = pages.sparkSession
     raw = write_archives(pages, new_dir(spark, "warc-raw"), least_bytes)
     return read_records(normalise(raw, new_dir(spark, "warc")))
