@@ -4,7 +4,15 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from helpers import at, messages, rows
-from topiclake.catalog.connect import insert_into, insert_messages, insert_stream, read_changelog, read_table, read_table_stream
+from topiclake.catalog.connect import (
+    insert_into,
+    insert_messages,
+    insert_stream,
+    read_changelog,
+    read_changelog_stream,
+    read_table,
+    read_table_stream,
+)
 from topiclake.catalog.options import TableOptions
 from topiclake.operators import cursors as K
 from topiclake.sources import starts as S
@@ -152,3 +160,56 @@ def test_a_stream_from_options_starts_at_latest(spark, path):
     assert rows(found, "v") == [(3,), (7,)]
     with pytest.raises(ValueError, match="normalize_stream"):
         read_table_stream(spark, where, options("v INT", {}, primary_key=["v"], upsert=True), state)
+
+
+def test_an_upsert_table_as_a_stream(spark, path):
+    """The changelog from options alone: what the batch gives, from two micro-batches and a restart."""
+    table = options("id STRING, v INT", {"value.fields-include": "EXCEPT_KEY", "scan.startup.mode": "earliest"}, primary_key=["id"], upsert=True)
+    where, out, state, checkpoint = path("upsert"), path("out"), path("state"), path("checkpoint")
+    emit = lambda df, n: df.write.mode("overwrite").parquet(f"{out}/part={n}")
+    for i in range(3):
+        data = [("+U", f"k{j % 4}", i * j, j) if (i + j) % 5 else ("-D", f"k{j % 4}", None, j) for j in range(7)]
+        insert_into(spark.createDataFrame(data, "row_kind STRING, id STRING, v INT, n BIGINT"), where, table, F.col("n"), partitions=1)
+        if i:
+            read_changelog_stream(spark, where, table, state, checkpoint, emit, files_per_batch=1).awaitTermination()
+    columns = ["row_kind", "id", "v", "_ledger_id", "_entry_id", "step"]
+    assert rows(spark.read.parquet(out), *columns) == rows(read_changelog(read_log(spark, where), table), *columns)
+    with pytest.raises(ValueError, match="only an upsert table"):
+        read_changelog_stream(spark, where, options("v INT", {}), state, checkpoint, emit)
+    with pytest.raises(ValueError, match="read_changelog_stream"):
+        read_table_stream(spark, where, table, state)
+
+
+def test_schema_rules_hold_for_writers_and_streams(spark, path):
+    from topiclake.catalog import registry as R
+
+    table, other = options("v INT", {"scan.startup.mode": "earliest"}), options("v STRING", {"scan.startup.mode": "earliest"})
+    known = R.register_schema(R.empty_registry(spark), "persistent://public/default/t", table.schema, "JSON")
+    where, data = path("log"), spark.createDataFrame([(1,)], "v INT")
+    assert insert_into(data, where, table, F.col("v"), registry=known)
+    with pytest.raises(R.IncompatibleSchema):
+        insert_into(data.select(F.col("v").cast("string")), where, other, F.lit(1), registry=known)
+    assert read_log(spark, where).count() == 1
+    both = options("v INT", {"topic": "t;u", "scan.startup.mode": "earliest"})
+    assert read_table_stream(spark, where, table, path("state"), registry=known).isStreaming
+    with pytest.raises(R.IncompatibleSchema):
+        read_table_stream(spark, where, both, path("state"), registry=known)
+
+
+@pytest.mark.parametrize("default", ["latest", "earliest"])
+def test_a_first_read_leaves_cursors(spark, path, default):
+    table = options("v INT", {"scan.startup.mode": "external-subscription", "scan.startup.sub-name": "s", "scan.startup.sub-start-offset": default})
+    where, cursors = path("log"), path("cursors")
+
+    def more(low, high):
+        insert_into(spark.range(low, high).select(F.col("id").cast("int").alias("v")), where, table, F.col("v"), partitions=1)
+
+    def read():
+        return [v for (v,) in rows(read_table(read_log(spark, where), table, cursor_path=cursors), "v")]
+
+    more(0, 3)
+    assert read() == ([] if default == "latest" else [0, 1, 2])
+    # what comes after the first read is after the cursor, also when that stands at the last message
+    more(3, 5)
+    assert read() == ([3, 4] if default == "latest" else [0, 1, 2, 3, 4])
+    assert K.current_cursors(K.read_cursors(spark, cursors)).count() == 1

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from topiclake.catalog.options import TableOptions, validate_sink, validate_source
-from topiclake.catalog.registry import avro_definition, check_same_schema
+from topiclake.catalog.registry import avro_definition, check_same_schema, register_schema
 from topiclake.envelope import KEY_ORDER, LOG
 from topiclake.functions.positions import parse_positions
 from topiclake.operators.assemble import METADATA, assemble
@@ -18,9 +18,10 @@ from topiclake.operators.decode import decode, encode
 from topiclake.operators.sinks import to_messages, write
 from topiclake.plans.bounded import small_rows, small_side
 from topiclake.sources.manifest import files, high_water as manifest_marks, log_path
-from topiclake.sources.starts import captured_marks, high_water, with_start
+from topiclake.sources.starts import captured_marks, high_water, kept_cursors, with_start
 from topiclake.sources.topics import partitions, read_log, scan, stream_log
 from topiclake.streaming.sinks import ERROR, write_stream
+from topiclake.streaming.upsert import normalize_stream
 
 
 def _key_names(table: TableOptions) -> dict[str, str]:
@@ -53,7 +54,9 @@ def _stored_marks(spark: SparkSession, path: str, table: TableOptions) -> DataFr
     return manifest_marks(scan(rows, topics=table.topics) if "topic" in table.options else scan(rows, pattern=table.options["topic-pattern"]))
 
 
-def _messages(log: DataFrame, table: TableOptions, marks: DataFrame | None, cursors: DataFrame | None) -> DataFrame:
+def _messages(
+    log: DataFrame, table: TableOptions, marks: DataFrame | None, cursors: DataFrame | None, cursor_path: str | None = None
+) -> DataFrame:
     """The messages a scan of the table covers."""
     opts = table.options
     validate_source(opts)
@@ -62,6 +65,9 @@ def _messages(log: DataFrame, table: TableOptions, marks: DataFrame | None, curs
     positions = None
     if marks is None and not m.isStreaming and mode not in ("earliest", "timestamp") and (path := log_path(log)):
         marks = small_side(_stored_marks(log.sparkSession, path, table))
+    if cursor_path is not None and mode == "external-subscription":
+        marks = small_side(high_water(m)) if marks is None else marks
+        cursors = kept_cursors(log.sparkSession, cursor_path, marks, opts["scan.startup.sub-name"], table.get("scan.startup.sub-start-offset"))
     if mode == "specific-offsets":
         marks = high_water(m) if marks is None else marks
         found = parse_positions(log.sparkSession, opts["scan.startup.specific-offsets"])
@@ -108,15 +114,17 @@ def read_table(
     *,
     marks: DataFrame | None = None,
     cursors: DataFrame | None = None,
+    cursor_path: str | None = None,
     registry: DataFrame | None = None,
     view: str | None = None,
 ) -> DataFrame:
     """Rows of a table: its physical columns, then metadata columns.
 
+    A start at a subscription takes its ``cursors``, or those stored at ``cursor_path``, where a first read leaves some.
     With a schema ``registry`` all topics of the table must have one schema.
     An upsert table gives its current rows.  ``view`` registers the table for SQL.
     """
-    m = _messages(log, table, marks, cursors)
+    m = _messages(log, table, marks, cursors, cursor_path)
     if registry is not None:
         names = table.topics or [r["topic"] for r in small_rows(m.select("topic").distinct()) or ()]
         check_same_schema(registry, names)
@@ -193,11 +201,32 @@ def insert_messages(
     )
 
 
-def insert_into(rows: DataFrame, path: str, table: TableOptions, sequence: Column, *, commit: str | None = None, **settings) -> bool:
+def declare(registry: DataFrame | None, table: TableOptions) -> None:
+    """Refuse to write a table whose topic has another schema than its values: nothing is written then.
+
+    Formats without a schema of their own are bytes to the registry and are not checked.
+    """
+    kind = {"json": "JSON", "avro": "AVRO"}.get(table.value_format or "")
+    if registry is not None and kind is not None:
+        register_schema(registry, table.topics[0], _part(table, table.value_columns), kind)
+
+
+def insert_into(
+    rows: DataFrame,
+    path: str,
+    table: TableOptions,
+    sequence: Column,
+    *,
+    commit: str | None = None,
+    registry: DataFrame | None = None,
+    **settings,
+) -> bool:
     """Write rows to the table's topic in the log at ``path``, as one commit.
 
-    Unless a ``ledger_id`` is given the commit is a ledger of its own, after those before it.
+    Unless a ``ledger_id`` is given the commit is a ledger of its own, after those before it.  With a schema ``registry`` the
+    topic must have no schema yet or that of the table.
     """
+    declare(registry, table)
     writers = table.options.get("sink.parallelism")
     messages = insert_messages(rows, table, sequence, **settings)
     return write(
@@ -213,32 +242,73 @@ def read_table_stream(
     metadata: list[str] | Mapping[str, str] = (),
     *,
     cursors: DataFrame | None = None,
+    cursor_path: str | None = None,
     files_per_batch: int | None = None,
+    registry: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of a table as a stream over the log at ``path``, from the table's options alone.
 
     The start of the first run is kept below ``state_path``.  Without partition discovery
-    (``partition-discovery-interval-ms`` of 0 or less) partitions that come later are not read.
+    (``partition-discovery-interval-ms`` of 0 or less) partitions that come later are not read.  With a schema ``registry``
+    all topics of the table that are there must have one schema.
     """
     if table.upsert:
-        raise ValueError("an upsert table is a changelog: decode its stream and use normalize_stream")
+        raise ValueError("an upsert table is a changelog: use read_changelog_stream, or normalize_stream over its decoded stream")
+    return _stream_rows(spark, path, table, state_path, metadata, cursors, files_per_batch, registry, cursor_path)
+
+
+def _stream_rows(
+    spark: SparkSession, path: str, table: TableOptions, state_path: str, metadata: list[str] | Mapping[str, str],
+    cursors: DataFrame | None, files_per_batch: int | None, registry: DataFrame | None, cursor_path: str | None = None,
+) -> DataFrame:
     stored = read_log(spark, path)
     known = scan(stored, topics=table.topics) if "topic" in table.options else scan(stored, pattern=table.options["topic-pattern"])
+    if registry is not None:
+        names = table.topics or [r["topic"] for r in _stored_marks(spark, path, table).select("topic").distinct().collect()]
+        check_same_schema(registry, names)
     only = partitions(known) if int(table.get("partition-discovery-interval-ms")) <= 0 else None
     mode = (table.get("scan.startup.mode") or "latest").lower()
     marks = None
     if mode not in ("earliest", "timestamp"):
         marks = captured_marks(known, f"{state_path}/marks", lambda: _stored_marks(spark, path, table))
-    return _rows(_messages(stream_log(spark, path, files_per_batch, only), table, marks, cursors), table, metadata)
+    return _rows(_messages(stream_log(spark, path, files_per_batch, only), table, marks, cursors, cursor_path), table, metadata)
 
 
-def insert_stream(
-    rows: DataFrame, path: str, table: TableOptions, sequence: Column, checkpoint: str | None = None, *, quarantine_path: str | None = None, **settings
+def read_changelog_stream(
+    spark: SparkSession,
+    path: str,
+    table: TableOptions,
+    state_path: str,
+    checkpoint: str,
+    emit: Callable[[DataFrame, int], None],
+    *,
+    cursors: DataFrame | None = None,
+    files_per_batch: int | None = None,
+    registry: DataFrame | None = None,
+    available_now: bool = True,
 ) -> StreamingQuery:
+    """``read_changelog`` of an upsert table as a stream: ``emit(changes, batch_id)`` gets the ``+I -U +U -D`` rows of each micro-batch.
+
+    The start of the first run and the last row of every key are kept below ``state_path``.
+    """
+    if not table.upsert:
+        raise ValueError("only an upsert table has a changelog")
+    rows = _stream_rows(spark, path, table, state_path, [], cursors, files_per_batch, registry)
+    columns = [c for c in table.schema.names if c not in table.primary_key]
+    return normalize_stream(
+        rows, table.primary_key, f"{state_path}/keys", checkpoint, emit, order=[f"_{c}" for c in KEY_ORDER], columns=columns, available_now=available_now
+    )
+
+
+def insert_stream(
+    rows: DataFrame, path: str, table: TableOptions, sequence: Column, checkpoint: str | None = None, *, quarantine_path: str | None = None,
+    registry: DataFrame | None = None, **settings
+) -> StreamingQuery:
     """Write a stream of rows to the table's topic; the options say how safely (``sink.semantic``, ``fail-on-write``).
 
     Unless a ``ledger_id`` is given every micro-batch is a ledger of its own, after all commits before it, as with ``insert_into``.
     """
+    declare(registry, table)
     strict = table.get("fail-on-write").lower() == "true"
     return write_stream(
         insert_messages(rows, table, sequence, mark=None if strict else ERROR, **settings), path, checkpoint, table.get("sink.semantic"),

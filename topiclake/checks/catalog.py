@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from topiclake.catalog.connect import insert_into, insert_stream, read_changelog, read_table, read_table_stream
+from topiclake.catalog.connect import insert_into, insert_stream, read_changelog, read_changelog_stream, read_table, read_table_stream
 from topiclake.catalog.options import TableOptions
 from topiclake.catalog.registry import REGISTRY_DDL, accepted
 from topiclake.catalog.tables import RESERVED_TENANT, as_table, create_database, create_table, databases, drop_table, table_exists, tables
@@ -188,3 +188,29 @@ def stream_table_options(spark, folder):
     rows = read_table_stream(spark, path, source, state, files_per_batch=4)
     insert_stream(rows, copy, sink, F.col("o_orderkey"), new_dir(spark, "checkpoint"), partitions=3).awaitTermination()
     return read_table(read_log(spark, copy), sink)
+
+
+@check(
+    "stream_table_changelog",
+    """WITH seen AS (SELECT *, LAG(o_orderkey) OVER w AS prev, LAG(o_orderstatus) OVER w AS ps, LAG(o_totalprice) OVER w AS pp
+      FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+    changed AS (SELECT * FROM seen WHERE prev IS NOT NULL AND (o_orderstatus <> ps OR o_totalprice <> pp))
+    SELECT '+I' AS row_kind, o_custkey, o_orderstatus, o_totalprice, o_orderkey FROM seen WHERE prev IS NULL
+    UNION ALL SELECT '-U', o_custkey, ps, pp, o_orderkey FROM changed
+    UNION ALL SELECT '+U', o_custkey, o_orderstatus, o_totalprice, o_orderkey FROM changed""",
+)
+def stream_table_changelog(spark, folder):
+    """The last order of each customer as an upsert table, written in three commits and read as a stream of changes."""
+    schema = T.StructType.fromDDL("o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE")
+    options = {"topic": "last-orders", "format": "json", "value.fields-include": "EXCEPT_KEY", "scan.startup.mode": "earliest"}
+    target = TableOptions(schema, options, primary_key=["o_custkey"], upsert=True)
+    path, out, state, checkpoint = (new_dir(spark, n) for n in ("upserts", "changes", "state", "checkpoint"))
+    orders = table(spark, folder, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    for i in range(3):
+        part = orders.where(F.expr(f"o_orderkey * 3 DIV {last + 1}") == i).select(*schema.names, "o_orderkey")
+        insert_into(part, path, target, F.col("o_orderkey"), partitions=4)
+    read_changelog_stream(
+        spark, path, target, state, checkpoint, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/part={n}"), files_per_batch=4
+    ).awaitTermination()
+    return spark.read.parquet(out).select("row_kind", *schema.names, F.col("_entry_id").alias("o_orderkey"))

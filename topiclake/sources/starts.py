@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.envelope import LOG, position
-from topiclake.operators.cursors import current_cursors
+from topiclake.operators.cursors import CURSORS, commit_cursors, commit_rows, current_cursors, read_cursors
 from topiclake.plans import commits
 from topiclake.plans.bounded import small_rows, small_side
 from topiclake.sources.manifest import log_path, pruned
@@ -141,6 +141,19 @@ def new_cursors(starts: DataFrame, cursors: DataFrame, subscription: str) -> Dat
     )
 
 
+def kept_cursors(spark: SparkSession, path: str, marks: DataFrame, subscription: str, default: str = "latest") -> DataFrame:
+    """The cursors stored at ``path``; partitions of ``marks`` without one of the subscription get theirs first.
+
+    So a first read fixes where the subscription begins, and what is written before the next one is not missed.
+    """
+    stored = read_cursors(spark, path) if commits.exists(spark, path) else spark.createDataFrame([], CURSORS)
+    current = current_cursors(stored)
+    missing = new_cursors(subscription_starts(marks, stored, subscription, default), current, subscription)
+    if not missing.isEmpty():
+        commit_cursors(commit_rows(missing, subscription, time.time_ns() // 1000), path)
+    return read_cursors(spark, path)
+
+
 def resolve_start(current: DataFrame, saved: DataFrame, mode: DataFrame) -> DataFrame:
     """Starts after a restart.
 
