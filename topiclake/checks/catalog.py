@@ -211,6 +211,6 @@ def stream_table_changelog(spark, folder):
         part = orders.where(F.expr(f"o_orderkey * 3 DIV {last + 1}") == i).select(*schema.names, "o_orderkey")
         insert_into(part, path, target, F.col("o_orderkey"), partitions=4)
     read_changelog_stream(
-        spark, path, target, state, checkpoint, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/part={n}"), files_per_batch=4
+        spark, path, target, state, checkpoint, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/part={n}"), files_per_batch=8
     ).awaitTermination()
     return spark.read.parquet(out).select("row_kind", *schema.names, F.col("_entry_id").alias("o_orderkey"))
