@@ -22,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topiclake.llm.tables import as_row, counted_side, row_key, with_text, written
-from topiclake.plans.bounded import small_side
 
 SHINGLE = 5
 LINK, OF = 75, 100
@@ -231,7 +230,8 @@ def removed_lines(docs: DataFrame, short: int = SHORT) -> DataFrame:
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` with the removed lines taken out of text, and without documents that have no word left."""
     keyed = docs.select(as_row(docs).alias("row"), row_key().alias("doc_key"))
-    joined = keyed.join(small_side(removed), "doc_key", "left")
+    # written, so that a key that many rows share can be split over tasks; never fetched, so it is the same at every size
+    joined = keyed.join(written(removed, "removed"), "doc_key", "left")
     whole = F.col("row")["text"]
     kept = F.filter(F.split(whole, "\n"), lambda line, i: ~F.array_contains("removed", i))
     changed = F.col("removed").isNotNull()
