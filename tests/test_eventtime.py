@@ -88,6 +88,26 @@ def test_audit(spark):
     assert (clean.gaps, clean.duplicates, clean.missing) == (0, 0, 0)
 
 
+def test_audit_takes_a_row_for_64_numbers(spark):
+    dense = E._chunks(numbered(spark, [*range(6_400), *range(6_400)]), "sequence_id")
+    assert dense.where("seen IS NOT NULL").count() == 100 and dense.count() == 101
+
+
+def test_audit_of_any_numbers(spark):
+    chance = random.Random(7)
+    near = [-(2**62), -129, -128, -65, -64, -63, -1, 0, 1, 62, 63, 64, 65, 127, 128, 129, 191, 192, 256, 2**62, 2**62 + 63]
+    for turn in range(6):
+        numbers = [chance.choice(near) if turn < 3 else chance.randrange(-300, 300 * turn) for _ in range(12 * (turn + 1) ** 2)]
+        there = sorted(set(numbers))
+        gaps = [(a + 1, b - 1) for a, b in zip(there, there[1:], strict=False) if b - a > 1]
+        row = E.audit(numbered(spark, [*numbers, None, None])).drop("missing").first()
+        assert (row.messages, row.distinct_numbers, row.lowest, row.highest) == (len(numbers) + 2, len(there) + 1, there[0], there[-1])
+        assert row.gaps == len(gaps)
+        assert rows(E.gap_ranges(numbered(spark, [*numbers, None])), "gap_from", "gap_to") == gaps
+    row = E.audit(numbered(spark, [None, None])).first()
+    assert (row.messages, row.distinct_numbers, row.lowest, row.gaps, row.missing) == (2, 1, None, -1, None)
+
+
 def test_gaps_of_a_hot_partition(spark, hot):
     numbers = [n for n in range(400) if n % 7]
     assert rows(E.gap_ranges(numbered(spark, numbers)), "gap_from", "gap_to") == [(n, n) for n in range(7, 399, 7)]

@@ -155,35 +155,51 @@ def backlog(m: DataFrame, cursors: DataFrame) -> DataFrame:
     )
 
 
-def _runs(m: DataFrame, seq: str) -> DataFrame:
-    """Per number: how often it occurs, and whether the number before it occurs."""
-    marks = F.array(
-        F.struct(F.col(seq).alias("number"), F.lit(1).alias("here"), F.lit(0).alias("follows")),
-        F.struct((F.col(seq) + 1).alias("number"), F.lit(0).alias("here"), F.lit(1).alias("follows")),
+def _chunks(m: DataFrame, seq: str) -> DataFrame:
+    """Per 64 numbers in a row: messages, which of the numbers occur, as the bits of ``seen``, and whether the number before them
+    does, as ``carry``.
+
+    Where numbers are dense this is a row for 64 of them, at most two rows for each.  ``seen`` is NULL where only the number before
+    occurs, and for messages without a number, whose ``chunk`` is NULL.
+    """
+    here = (
+        m.select(*LOG, F.col(seq).cast("bigint").alias("number"))
+        .groupBy(*LOG, F.shiftright("number", 6).alias("chunk"))
+        .agg(
+            F.count("*").alias("copies"),
+            F.expr("bit_or(shiftleft(1L, CAST(number & 63 AS INT)))").alias("seen"),
+            F.min("number").alias("first"),
+            F.max("number").alias("last"),
+        )
     )
+    carried = "struct(chunk + 1 AS chunk, 0L AS copies, CAST(NULL AS BIGINT) AS seen, CAST(NULL AS BIGINT) AS first, CAST(NULL AS BIGINT) AS last, 1 AS carry)"
+    marks = F.expr(f"""concat(array(struct(chunk, copies, seen, first, last, 0 AS carry)),
+        IF(seen < 0 AND chunk < shiftright(9223372036854775807L, 6), array({carried}), array()))""")
     return (
-        m.select(*LOG, F.explode(marks).alias("mark"))
+        here.select(*LOG, F.explode(marks).alias("mark"))
         .select(*LOG, "mark.*")
-        .groupBy(*LOG, "number")
-        .agg(F.sum("here").alias("copies"), F.max("follows").alias("follows"))
+        .groupBy(*LOG, "chunk")
+        .agg(F.sum("copies").alias("copies"), *[F.max(c).alias(c) for c in ("seen", "first", "last", "carry")])
+        # how many numbers occur after one that does not
+        .withColumn("starts", F.expr("bit_count(seen & ~(shiftleft(seen, 1) | carry))"))
     )
 
 
 def audit(m: DataFrame, seq: str = "sequence_id") -> DataFrame:
     """Totals, duplicates and gaps per topic partition over a number that should be dense.
 
-    Grouped by number first, so a partition of any size is spread over all tasks.
+    Grouped by number first, 64 at a time, so a partition of any size is spread over all tasks.
     """
-    here = F.col("copies") > 0
     return (
-        _runs(m, seq)
+        _chunks(m, seq)
         .groupBy(*LOG)
         .agg(
             F.sum("copies").alias("messages"),
-            F.count_if(here).alias("distinct_numbers"),
-            F.min(F.when(here, F.col("number"))).alias("lowest"),
-            F.max(F.when(here, F.col("number"))).alias("highest"),
-            (F.count_if(here & (F.col("follows") == 0)) - 1).alias("gaps"),
+            # messages without a number count as one number
+            (F.coalesce(F.sum(F.bit_count("seen")), F.lit(0)) + F.max(F.col("chunk").isNull().cast("int"))).alias("distinct_numbers"),
+            F.min("first").alias("lowest"),
+            F.max("last").alias("highest"),
+            (F.coalesce(F.sum("starts"), F.lit(0)) - 1).alias("gaps"),
         )
         .withColumn("duplicates", F.col("messages") - F.col("distinct_numbers"))
         .withColumn("missing", F.col("highest") - F.col("lowest") + 1 - F.col("distinct_numbers"))
@@ -192,10 +208,18 @@ def audit(m: DataFrame, seq: str = "sequence_id") -> DataFrame:
 
 def gap_ranges(m: DataFrame, seq: str = "sequence_id") -> DataFrame:
     """The missing ranges themselves: ``gap_from, gap_to`` per topic partition."""
-    runs = _runs(m, seq)
-    begins_gap = F.when((F.col("copies") == 0) & (F.col("follows") == 1), F.col("number"))
-    edges = runs.where((F.col("copies") == 0) | (F.col("follows") == 0))
-    paired = last_before(edges.withColumn("begin", begins_gap), LOG, ["number"], "begin", "gap_from")
-    return paired.where((F.col("copies") > 0) & F.col("gap_from").isNotNull()).select(
-        *LOG, "gap_from", (F.col("number") - 1).alias("gap_to")
-    )
+    chunks = _chunks(m, seq).where("chunk IS NOT NULL")
+    # gaps that end in the chunk of the number before them
+    places = F.expr("concat(IF(carry = 1, array(-1), array()), filter(sequence(0, 63), i -> getbit(seen, i) = 1))")
+    steps = F.expr("""filter(zip_with(slice(places, 1, size(places) - 1), slice(places, 2, size(places) - 1),
+        (a, b) -> struct(a + 1 AS a, b - 1 AS b)), g -> g.a <= g.b)""")
+    inside = chunks.where("starts + carry > 1").withColumn("places", places).select(*LOG, "chunk", F.explode(steps).alias("gap"))
+    inside = inside.select(*LOG, F.expr("chunk * 64 + gap.a").alias("gap_from"), F.expr("chunk * 64 + gap.b").alias("gap_to"))
+    # the others: a number that begins a gap, and the next that ends it, in a later chunk
+    ends = F.expr("""concat(IF(seen IS NULL, array(struct(chunk * 64 AS number, chunk * 64 AS begin)), array()),
+        IF(seen IS NOT NULL AND carry = 0, array(struct(first AS number, CAST(NULL AS BIGINT) AS begin)), array()),
+        IF(seen >= 0, array(struct(last + 1 AS number, last + 1 AS begin)), array()))""")
+    edges = chunks.select(*LOG, F.explode(ends).alias("edge")).select(*LOG, "edge.*")
+    paired = last_before(edges, LOG, ["number"], "begin", "gap_from")
+    across = paired.where(F.col("begin").isNull() & F.col("gap_from").isNotNull()).select(*LOG, "gap_from", (F.col("number") - 1).alias("gap_to"))
+    return inside.unionByName(across)
