@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import messages, rows
-from topiclake.envelope import LOG
+from topiclake.envelope import LOG, POSITION
 from topiclake.operators import eventtime as E, sinks as W
 from topiclake.plans import commits
 from topiclake.sources import manifest as M, starts as S
@@ -29,6 +29,19 @@ def files_read(df):
     return sum(n.metrics().apply("numFiles").value() for n in nodes if n.nodeName().startswith("Scan parquet"))
 
 
+def test_many_ledgers_take_no_more_rows(spark, path):
+    where = path("log")
+    m = messages(spark, [(i % 2, i, "k", "v", i) for i in range(300)]).withColumn("ledger_id", F.when(F.col("entry_id") % 50 > 0, F.col("entry_id")))
+    W.write(m, where, commit="0", parallelism=2)
+    spans = M.files(spark, where).groupBy("partition").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("messages").alias("n"))
+    # messages without a ledger come first, as in any order of positions
+    assert [(r.partition, r.low.ledger_id, r.low.entry_id, r.high.ledger_id, r.high.entry_id, r.n) for r in spans.orderBy("partition").collect()] == [
+        (0, None, 0, 298, 298, 150), (1, 1, 1, 299, 299, 150)
+    ]
+    plan = M.summarized(read_log(spark, where).select(*LOG, *POSITION, "publish_time", F.lit("f").alias("file_path")), F.col("file_path"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan
+
+
 def test_files_say_what_the_log_holds(spark, path):
     where = path("log")
     W.write(numbers(spark, 0, 40), where, commit="0")

@@ -55,6 +55,21 @@ def test_files_are_in_log_order(spark, path):
     assert all(f.e == sorted(f.e) for f in files) and sum(len(f.e) for f in files) == 200
 
 
+def test_writers_take_large_ranges_in_pieces(spark, path, hot):
+    where, tasks = path("log"), 2
+    W.write(numbers(spark, 0, 200).orderBy(F.rand(3)), where, parallelism=tasks)
+    back = read_log(spark, where).withColumn("file", F.input_file_name())
+    assert rows(back, "entry_id") == [(i,) for i in range(200)]
+    files = back.groupBy("file").agg(F.collect_list("entry_id").alias("e"), F.min("partition").alias("p")).collect()
+    # the limit of a task is 12 rows; ranges are found by a sample
+    assert all(f.e == sorted(f.e) and len(f.e) <= 24 for f in files)
+    spans = sorted((f.p, f.e[0], f.e[-1]) for f in files)
+    assert all(a[0] < b[0] or a[2] < b[1] for a, b in zip(spans, spans[1:], strict=False))
+    # part-00000 and part-00001: no job had more writers
+    assert {os.path.basename(f.file)[:10] for f in files} == {"part-00000", "part-00001"}
+    assert not [f for f in os.listdir(shared_dir(spark)) if f.startswith("topiclake-ranges")]
+
+
 def test_sink_takes_one_topic(spark):
     with pytest.raises(ValueError, match="one topic"):
         W.to_messages(spark.range(1), topic="a,b", value=F.lit(b""), sequence=F.col("id"))

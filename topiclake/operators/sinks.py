@@ -5,11 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from topiclake.envelope import ENVELOPE, LOG, POSITION, as_envelope
 from topiclake.functions.topic_names import full_name
 from topiclake.operators.routing import Router, route
 from topiclake.plans import commits
+from topiclake.plans.skew import rows_per_task
+from topiclake.plans.workspace import new_dir
 from topiclake.sources import manifest
 
 SEMANTICS = ("at-least-once", "exactly-once", "none")
@@ -86,6 +89,31 @@ def arranged(messages: DataFrame, parallelism: int | None = None) -> DataFrame:
     return spread.sortWithinPartitions(*LOG, *POSITION)
 
 
+def write_in_turns(rows: DataFrame, place: str, parallelism: int) -> None:
+    """Write messages with ``parallelism`` writers, of which none sorts more rows at once than a task should.
+
+    Ranges of the log that are larger are cut further and stored; the writers take the pieces in log order,
+    ``parallelism`` at a time, a file for each piece and partition.
+    """
+    spark, limit = rows.sparkSession, rows_per_task(rows)
+    turns = -(-rows.count() // (limit * parallelism)) if limit else 1
+    if turns <= 1:
+        arranged(rows, parallelism).write.partitionBy(*LOG).parquet(place)
+        return
+    stored = new_dir(spark, "ranges")
+    try:
+        cut = rows.repartitionByRange(parallelism * turns, *LOG, *POSITION).withColumn("_range", F.spark_partition_id())
+        cut.write.partitionBy("_range").parquet(stored)
+        pieces = sorted((int(p.rpartition("=")[2]), p) for p in commits.found(spark, f"{stored}/_range=*"))
+        schema = StructType([*rows.schema.fields, StructField("_range", IntegerType())])
+        for first in range(0, len(pieces), parallelism):
+            turn = spark.read.schema(schema).option("basePath", stored).parquet(*[p for _, p in pieces[first : first + parallelism]])
+            turn = turn.repartitionById(parallelism, F.pmod("_range", F.lit(parallelism))).drop("_range")
+            turn.sortWithinPartitions(*LOG, *POSITION).write.mode("append").partitionBy(*LOG).parquet(place)
+    finally:
+        commits.removed(spark, stored)
+
+
 def write(
     messages: DataFrame, path: str, *, commit: str | None = None, parallelism: int | None = None, new_ledger: bool = False
 ) -> bool:
@@ -99,10 +127,13 @@ def write(
     spark = messages.sparkSession
     if new_ledger:
         messages = messages.withColumn("ledger_id", F.lit(None).cast("bigint"))
-    rows = arranged(messages.select(*ENVELOPE.names), parallelism)
+    rows = messages.select(*ENVELOPE.names)
 
     def put(place: str) -> None:
-        rows.write.partitionBy(*LOG).parquet(place)
+        if parallelism is None:
+            arranged(rows).write.partitionBy(*LOG).parquet(place)
+        else:
+            write_in_turns(rows, place, parallelism)
         manifest.keep(spark, place)
 
     name = commit or f"batch-{uuid.uuid4().hex}"

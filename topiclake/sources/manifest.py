@@ -8,6 +8,7 @@ any, or by others) are read for their positions instead.
 
 from __future__ import annotations
 
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -31,16 +32,24 @@ def own_ledger(ledger: Column, commit: Column) -> Column:
 
 
 def summarized(messages: DataFrame, file: Column, *more: str) -> DataFrame:
-    """A row for each file of messages.  Entries are first reduced per ledger on plain numbers, which hashes and combines."""
-    keys = [*more, *LOG, "file"]
-    times = [F.min("publish_time").alias("earliest"), F.max("publish_time").alias("latest")]
-    ledgers = messages.withColumn("file", file).groupBy(*keys, "ledger_id", "batch_index").agg(
-        F.min("entry_id").alias("low"), F.max("entry_id").alias("high"), F.count("*").alias("messages"), *times
-    )
+    """A row for each file of messages; ``file`` names it by its ``file_path``.
+
+    Plain numbers are aggregated first, which hashes and combines; then only the messages of a file's lowest and highest ledger
+    are looked at for their entries, so a log with as many ledgers as messages takes no more memory.
+    """
+    keys = [*more, *LOG, "file_path"]
+    whole = messages.groupBy(*keys).agg(
+        F.min("ledger_id").alias("_low"), F.max("ledger_id").alias("_high"),
+        F.count("*").alias("messages"), F.min("publish_time").alias("earliest"), F.max("publish_time").alias("latest"),
+    )
+    # a row for each file that the scan lists in the driver anyway; a partition may be NULL
+    sides = F.broadcast(whole.select(*[F.col(k).alias(f"_{k}") for k in keys], "_low", "_high", "messages", "earliest", "latest"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    ends = messages.drop("publish_time").join(sides, same).where(F.col("ledger_id").isNull() | F.col("ledger_id").isin(F.col("_low"), F.col("_high")))
+    facts = [F.max("messages").alias("messages"), F.min("earliest").alias("earliest"), F.max("latest").alias("latest")]
+    ledgers = ends.groupBy(*keys, "ledger_id", "batch_index").agg(F.min("entry_id").alias("low"), F.max("entry_id").alias("high"), *facts)
     low, high = (F.struct("ledger_id", F.col(c).alias("entry_id"), "batch_index") for c in ("low", "high"))
-    return ledgers.groupBy(*keys).agg(
-        F.min(low).alias("low"), F.max(high).alias("high"), F.sum("messages").alias("messages"), F.min("earliest").alias("earliest"), F.max("latest").alias("latest")
-    )
+    return ledgers.groupBy(*keys).agg(F.min(low).alias("low"), F.max(high).alias("high"), *facts).withColumn("file", file).drop("file_path")
 
 
 def keep(spark: SparkSession, draft: str) -> None:
