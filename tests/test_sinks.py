@@ -222,6 +222,25 @@ def test_fail_on_write(spark, path, caplog):
     assert rows(read_log(spark, out), "entry_id") == [(i,) for i in range(10) if i not in (3, 8)]
 
 
+def test_a_failing_batch_is_read_once_and_cut_in_quarters(spark, path):
+    source, sizes = stored(spark, path, numbers(spark, 0, 64)), []
+
+    def one_broken(part):
+        sizes.append((part.count(), len(part.inputFiles()) and all("quarters" in f for f in part.inputFiles())))
+        fails = F.raise_error(F.lit("cannot encode")).cast("binary")
+        return part.withColumn("value", F.when(F.col("entry_id") == 3, fails).otherwise(F.col("value")))
+
+    out, bad = path("out"), path("bad")
+    St.write_stream(
+        stream_log(spark, source), out, path("checkpoint"), source=one_broken, fail_on_write=False, quarantine_path=bad
+    ).awaitTermination()
+    assert rows(read_log(spark, bad), "entry_id") == [(3,)]
+    assert rows(read_log(spark, out), "entry_id") == [(i,) for i in range(64) if i != 3]
+    # only the first attempt reads the batch, the others what was stored for them
+    assert sizes[0][0] == 64 and all(own for _, own in sizes[1:]) and sum(n for n, _ in sizes) < 64 * 4
+    assert not [f for f in os.listdir(shared_dir(spark)) if f.startswith("topiclake-quarters")]
+
+
 def test_cursors(spark, path):
     where, source = path("cursors"), stored(spark, path, numbers(spark, 0, 40), numbers(spark, 40, 60))
     St.write_stream(

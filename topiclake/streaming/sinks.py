@@ -9,7 +9,7 @@ committed after the write.
 Messages that cannot be written can be set aside.  They are part of the same commit, in a hidden folder, whatever it took
 to find them, so good and bad ones become visible together and an attempt that is repeated starts anew.
 A ``source`` that marks them in the column ``ERROR`` costs no second pass.  If it raises instead, the batch
-is halved until the messages that raise stand alone.  Only errors of a row are treated so: a full disk, a lost
+is cut in quarters until the messages that raise stand alone.  Only errors of a row are treated so: a full disk, a lost
 executor or a missing file fail the batch, which then runs again.
 """
 
@@ -30,7 +30,7 @@ from topiclake.envelope import ENVELOPE, LOG, POSITION
 from topiclake.operators.cursors import commit_cursors, commit_rows
 from topiclake.operators.eventtime import positions
 from topiclake.operators.sinks import SEMANTICS, arranged, highest_ledger, upsert_messages, write
-from topiclake.plans.commits import commit, commit_once, exists
+from topiclake.plans.commits import commit, commit_once, exists, removed
 from topiclake.plans.workspace import new_dir
 from topiclake.sources import manifest
 
@@ -40,6 +40,8 @@ BatchWriter = Callable[[DataFrame, int], None]
 ERROR = "_error"
 #: hidden folder of a commit with the messages that were set aside: as they were read, or as ``source`` marked them
 SET_ASIDE = "_set_aside"
+#: messages that one task writes
+FEW = 100_000
 
 
 def start(
@@ -117,8 +119,23 @@ def batch_writer(
         log.error("messages of commit %s were not written", name)
         part.write.mode("append").parquet(f"{place}/{SET_ASIDE}")
 
-    def write_part(part: DataFrame, name: str, place: str, depth: int) -> None:
-        spark, seen = part.sparkSession, Observation()
+    def split(part: DataFrame, name: str, place: str, depth: int, few: bool) -> None:
+        # quartered until the messages that fail stand alone, the others are written; quarters are stored, so that
+        # each one costs its own messages and not those of the whole batch
+        spark, stored, seen = part.sparkSession, new_dir(part.sparkSession, "quarters"), Observation()
+        quarter = F.shiftright(F.xxhash64(*LOG, *POSITION), 2 * depth).bitwiseAND(3)
+        counts = [F.count_if(F.col("_quarter") == number).alias(f"{number}") for number in range(4)]
+        cut = part.withColumn("_quarter", quarter).observe(seen, *counts)
+        try:
+            (cut.coalesce(1) if few else cut.hint("rebalance", "_quarter")).write.partitionBy("_quarter").parquet(stored)
+            for number, held in sorted(seen.get.items()):
+                if held:
+                    write_part(spark.read.schema(part.schema).parquet(f"{stored}/_quarter={number}"), name, place, depth + 1, held)
+        finally:
+            removed(spark, stored)
+
+    def write_part(part: DataFrame, name: str, place: str, depth: int, held: int = FEW + 1) -> None:
+        seen, few = Observation(), held <= FEW
         out = source(part) if source else part
         marked = ERROR in out.columns
         if marked:
@@ -127,15 +144,14 @@ def batch_writer(
             out = out.withColumn("ledger_id", F.lit(None).cast("bigint"))
         good = out.where(F.col(ERROR).isNull()) if marked else out
         try:
-            arranged(good.select(*ENVELOPE.names)).write.mode("append").partitionBy(*LOG).parquet(place)
+            envelopes = good.select(*ENVELOPE.names)
+            laid = envelopes.coalesce(1).sortWithinPartitions(*LOG, *POSITION) if few else arranged(envelopes)
+            laid.write.mode("append").partitionBy(*LOG).parquet(place)
         except Exception as error:
             if fail_on_write or not row_error(error):
                 raise
-            if part.limit(2).count() > 1 and depth < 64:
-                # halve until the messages that fail stand alone; the others are written
-                half = F.shiftright(F.xxhash64(*LOG, *POSITION), depth).bitwiseAND(1)
-                for side in (0, 1):
-                    write_part(part.where(half == side), name, place, depth + 1)
+            if held > 1 and depth < 32 and len(part.take(2)) > 1:
+                split(part, name, place, depth, few)
                 return
             log.exception("a message of commit %s was not written", name)
             aside(part, name, place)
