@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 
 from topiclake.llm import lines
+from topiclake.llm.tables import _CLEANUP, scratch, written
+from topiclake.plans.workspace import shared_dir
 
 DOCS = "doc_id long, text string, n_chars long, doc_key string, removed int"
 
@@ -82,3 +85,27 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")
     plan = lines.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_only_the_result_stays_on_disk(spark):
+    docs = [(d, t) for d, t in corpus(1) if d is not None]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before, setting = set(folder.glob("topiclake-*")), spark.conf.get(_CLEANUP, None)
+    out = lines.dedup_lines(df)
+    new = [p.name for p in set(folder.glob("topiclake-*")) - before]
+    assert len(new) == 1 and new[0].startswith("topiclake-removed-")
+    assert {r.doc_id: r.text for r in out.collect()} == brute(docs)
+    assert spark.conf.get(_CLEANUP, None) == setting
+
+
+def test_scratch_tables_go_when_it_fails(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("topiclake-*"))
+    with pytest.raises(ZeroDivisionError), scratch(spark) as keep:
+        kept = keep(spark.range(3), "kept")
+        with scratch(spark) as inner:
+            outer = inner(written(spark.range(5), "gone"), "outer")
+        assert outer.count() == 5
+        1 / 0
+    assert [p.name.split("-")[1] for p in set(folder.glob("topiclake-*")) - before] == ["kept"] and kept.count() == 3

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from topiclake.llm.tables import as_row, counted_side, row_key, with_text, written
+from topiclake.llm.tables import as_row, counted_side, row_key, scratch, with_text, written
 
 SHINGLE = 5
 LINK, OF = 75, 100
@@ -73,6 +73,8 @@ _PLACE = ["doc_id", "doc_key", "line_no"]
 _SPARE = TOGETHER.bit_length() - 1
 #: bits of the tokens that the first filter looks at; two that fall together only mean a candidate more
 _TOKEN_BITS = 48
+#: parts of the tokens that the first filter takes one after another, so that only one part is on disk
+_PASSES = 3
 
 
 def _name(line: Column) -> list[Column]:
@@ -128,16 +130,22 @@ def _candidates(posted: DataFrame, copied: DataFrame) -> DataFrame:
     """
     long = posted.where("first IS NOT NULL").select("name", "check", "first", "need")
     once = long.join(copied, ["name", "check"], "left_anti")
-    some = long.join(copied, ["name", "check"], "left_semi").dropDuplicates(["name", "check"])
+    some = written(long.join(copied, ["name", "check"], "left_semi").dropDuplicates(["name", "check"]), "some")
     # two lines of one name only mean a candidate more; need - 1 stands in the name's free bits
     marked = F.col("name").bitwiseOR(F.col("need").cast("long") - 1).alias("name")
     each = once.unionByName(some).select(marked, F.explode("first").alias("token"))
     each = each.withColumn("token", F.col("token").bitwiseAND(F.lit((1 << _TOKEN_BITS) - 1)))
-    shared = each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    # the tokens that are shared are few and spread evenly: they are looked up, and nothing is sorted
-    found = each.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("name").agg(F.count("*").alias("n"))
+    found = None
+    for turn in range(_PASSES):
+        part = each.where(F.col("token") % _PASSES == turn)
+        shared = part.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
+        # the tokens that are shared are few and spread evenly: they are looked up, and nothing is sorted
+        counted = part.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("name").agg(F.count("*").alias("n"))
+        counted = written(counted, "counted")
+        found = counted if found is None else found.unionByName(counted)
+    total = found.groupBy("name").agg(F.sum("n").alias("n"))
     spare = F.lit((1 << _SPARE) - 1)
-    return found.where(F.col("n") > F.col("name").bitwiseAND(spare)).select(F.col("name").bitwiseAND(F.lit(-(1 << _SPARE))).alias("name")).distinct()
+    return total.where(F.col("n") > F.col("name").bitwiseAND(spare)).select(F.col("name").bitwiseAND(F.lit(-(1 << _SPARE))).alias("name")).distinct()
 
 
 def _ranked(lines: DataFrame) -> DataFrame:
@@ -196,21 +204,33 @@ def _later(lines: DataFrame, short: int) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, short: int = SHORT) -> DataFrame:
-    """(doc_key, removed): the numbers, from 0, of the lines that go, for documents that lose any.
+    """(doc_key, removed): the numbers, from 0, of the lines that go, for documents that lose any; a written table.
 
     doc_key is ``xxhash64(doc_id, text)``, with '' for a NULL text.  Order is by doc_id, doc_key
     and line number; NULL ids come last.  Rows that are equal in doc_id and text are one document.
     """
-    lines = _lines(docs)
+    with scratch(docs.sparkSession) as keep:
+        return keep(_gone(docs, short), "removed")
+
+
+def _asked(lines: DataFrame, keep) -> tuple[DataFrame, DataFrame]:
+    """(name, check, place) of the lines that stand several times or are candidates, and the candidates' names."""
     posted = written(_posted(lines), "posted")
     places = posted.select("name", "check", "place")
     copied = written(places.groupBy("name", "check").agg(F.count("*").alias("n")).where("n > 1").select("name", "check"), "copied")
-    wanted = counted_side(written(_candidates(posted, counted_side(copied)), "wanted"))
+    wanted = counted_side(keep(_candidates(posted, counted_side(copied)), "wanted"))
     # a line that stands once and is no candidate stays
     asked = places.join(wanted, "name", "left_semi").unionByName(
         places.join(wanted, "name", "left_anti").join(counted_side(copied), ["name", "check"], "left_semi")
     )
-    asked = written(asked, "asked")
+    return keep(asked, "asked"), wanted
+
+
+def _gone(docs: DataFrame, short: int) -> DataFrame:
+    lines = _lines(docs)
+    # the first tokens of all lines are by far the largest table, and go before the sets are made
+    with scratch(docs.sparkSession) as keep:
+        asked, wanted = _asked(lines, keep)
     least = asked.groupBy("name", "check").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
     # the text of a line that is wanted, from its first place
     where = least.join(wanted, "name", "left_semi").select("name", "check", "first")
@@ -230,8 +250,8 @@ def removed_lines(docs: DataFrame, short: int = SHORT) -> DataFrame:
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` with the removed lines taken out of text, and without documents that have no word left."""
     keyed = docs.select(as_row(docs).alias("row"), row_key().alias("doc_key"))
-    # written, so that a key that many rows share can be split over tasks; never fetched, so it is the same at every size
-    joined = keyed.join(written(removed, "removed"), "doc_key", "left")
+    # a written table, so that a key that many rows share can be split over tasks; never fetched, so it is the same at every size
+    joined = keyed.join(removed, "doc_key", "left")
     whole = F.col("row")["text"]
     kept = F.filter(F.split(whole, "\n"), lambda line, i: ~F.array_contains("removed", i))
     changed = F.col("removed").isNotNull()

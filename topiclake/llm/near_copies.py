@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from topiclake.llm.components import connected
-from topiclake.llm.tables import as_row, counted_side, let_workers_import, row_key, written
+from topiclake.llm.tables import as_row, counted_side, let_workers_import, row_key, scratch, written
 from topiclake.llm.words import Texts, chunks, mix, windows
 
 SHINGLE = 5
@@ -331,7 +331,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each group of near-copies, with all its columns: that with the smallest doc_id,
     of several that with the smallest hash of doc_id and text.  Rows without words all stay; of rows that are equal in
     doc_id and text one stays."""
-    grouped = written(_grouped(docs, SHORT, BLOCK).where("root is not null").select("row_key", "doc_id", "root"), "groups")
+    with scratch(docs.sparkSession) as keep:
+        grouped = keep(_grouped(docs, SHORT, BLOCK).where("root is not null").select("row_key", "doc_id", "root"), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
     first = grouped.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first.row_key").alias("first"))
     by_key = grouped.groupBy("row_key", "root").agg(F.count("*").alias("n")).join(first, "root")

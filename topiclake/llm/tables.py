@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from topiclake.plans.commits import removed
 from topiclake.plans.workspace import new_dir
 
 
@@ -22,12 +26,50 @@ def let_workers_import(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
 
 
+#: Spark removes the shuffle files of a job when it ends, and does not wait for the driver to collect garbage
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: the folder of the innermost ``scratch``
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: it is computed once, and a lost
-    executor takes nothing with it."""
+    executor takes nothing with it.  Inside a ``scratch`` the table goes when that ends."""
     path = new_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder = _SCRATCH.get()
+    return _stored(df, path if folder is None else f"{folder}/{path.rpartition('/')[2]}")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that are ``written`` inside are removed at the end; the function that is given writes what stays,
+    which is what ``written`` writes outside, or in the ``scratch`` around."""
+    outer, folder = _SCRATCH.get(), new_dir(spark, "scratch")
+
+    def kept(df: DataFrame, purpose: str) -> DataFrame:
+        token = _SCRATCH.set(outer)
+        try:
+            return written(df, purpose)
+        finally:
+            _SCRATCH.reset(token)
+
+    token = _SCRATCH.set(folder)
+    try:
+        yield kept
+    finally:
+        _SCRATCH.reset(token)
+        removed(spark, folder)
 
 
 #: rows of a few fixed-width columns that are broadcast, about 64 MB
