@@ -109,3 +109,29 @@ def test_scratch_tables_go_when_it_fails(spark):
         assert outer.count() == 5
         1 / 0
     assert [p.name.split("-")[1] for p in set(folder.glob("topiclake-*")) - before] == ["kept"] and kept.count() == 3
+
+
+@pytest.mark.parametrize("seed, usual", [(1, 0), (2, 1), (3, 3), (4, 1000)])
+def test_tokens_of_many_lines_come_last(spark, seed, usual):
+    docs = corpus(seed)
+    df = spark.createDataFrame([(d, t, len(t or ""), "k", 1) for d, t in docs], DOCS)
+    removed = lines.removed_lines(df, 2, usual)
+    got = lines.without_lines(df, removed).collect()
+    assert {r.doc_id: r.text for r in got} == brute(docs)
+    texts = {r.doc_key: (r.text or "").split("\n") for r in df.select("text", lines.row_key().alias("doc_key")).collect()}
+    found = removed.collect()
+    assert found and all(r.lost == sum(len(texts[r.doc_key][i]) for i in r.removed) for r in found)
+
+
+def test_the_first_filter_shuffles_its_tokens_once(spark, monkeypatch):
+    plans = []
+
+    def watched(df, purpose):
+        if purpose == "counted":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return written(df, purpose)
+
+    monkeypatch.setattr(lines, "written", watched)
+    lines.removed_lines(spark.createDataFrame([(d, t) for d, t in corpus(1)], "doc_id long, text string"))
+    assert len(plans) == lines._PASSES and all("ReusedExchange" in p for p in plans)

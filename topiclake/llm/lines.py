@@ -9,9 +9,9 @@ LINK / OF or more.  With a similarity t two lines share a token among the first
    only if their words are equal, so their words are what is hashed, and this is all they need.
 2. A first filter takes the order of the hashes, needs no counts, and keeps the lines that
    share TOGETHER of their first tokens with others.  Most lines end here.
-3. The lines that are left order their tokens by rarity among them.  Their first tokens are
-   joined under the length filter and the positional filter (tokens from a shared one on must
-   be enough), and the full sets decide.
+3. The lines that are left keep the order of the hashes, but tokens that many of them would list
+   come last, by rarity.  Their first tokens are joined under the length filter and the
+   positional filter (tokens from a shared one on must be enough), and the full sets decide.
 4. A list of lines with a common token is first compared with its earliest line.  Lines
    that are still open are compared with all earlier ones: short lists as pairs, long ones inside
    the join, where a pair is looked at only at the first token that the two share.
@@ -27,6 +27,10 @@ SHINGLE = 5
 LINK, OF = 75, 100
 #: members of a list that are compared as pairs
 SHORT = 32
+#: lines that may list a token before it is put behind the others
+USUAL = 8
+#: rows of these lists that are sent to every task, as they are sent several times
+_FEW_ROWS = 100_000
 #: first tokens that a line must share to get past the first filter
 TOGETHER = 4
 
@@ -47,13 +51,18 @@ def _first(n: Column) -> Column:
     return (n - F.ceil(n * LINK / OF) + 1).cast("int")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """Every line with a word: name, check, place, the line itself, and whether it has SHINGLE words or more."""
+def _parts(docs: DataFrame) -> DataFrame:
+    """(doc_id, doc_key, line_no, line) of every line."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = text.select("doc_id", row_key().alias("doc_key"), F.split("text", "\n").alias("parts"))
-    every = keyed.select("doc_id", "doc_key", F.posexplode("parts").alias("line_no", "line"))
+    # a split is never empty; without the word outer it would be made twice to check that
+    return keyed.select("doc_id", "doc_key", F.posexplode_outer("parts").alias("line_no", "line"))
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """Every line with a word: name, check, place, the line itself, and whether it has SHINGLE words or more."""
     # stops at the last of these words, most lines go on
-    every = every.where(F.col("line").rlike(r"\S")).withColumn("long", F.col("line").rlike(rf"^\s*(?:\S+\s+){{{SHINGLE - 1}}}\S"))
+    every = _parts(docs).where(F.col("line").rlike(r"\S")).withColumn("long", F.col("line").rlike(rf"^\s*(?:\S+\s+){{{SHINGLE - 1}}}\S"))
     same = F.when(F.col("long"), F.col("line")).otherwise(F.array_join(_words(F.col("line")), " "))
     return every.select(*_name(same), _place().alias("place"), "line", "long")
 
@@ -61,8 +70,9 @@ def _lines(docs: DataFrame) -> DataFrame:
 def _with_tokens(lines: DataFrame) -> DataFrame:
     """Replace the line by its distinct shingle hashes, in the order of the hashes; nothing of a line of few words is to be used."""
     hashed = lines.withColumn("hashes", F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
-    others = ", ".join(f"hashes[i + {k}]" for k in range(1, SHINGLE))
-    tokens = F.expr(f"transform(slice(hashes, 1, greatest(0, size(hashes) - {SHINGLE - 1})), (h, i) -> xxhash64(h, {others}))")
+    tokens = F.transform("hashes", lambda h, i: F.xxhash64(h, *[F.get("hashes", i + k) for k in range(1, SHINGLE)]))
+    # the last words begin no shingle; a slice outside of transform is compiled, and copies numbers as they are
+    tokens = F.slice(tokens, 1, F.greatest(F.lit(0), F.size("hashes") - (SHINGLE - 1)))
     return hashed.withColumn("tokens", F.sort_array(F.array_distinct(tokens))).drop("hashes")
 
 
@@ -110,16 +120,16 @@ def _needed(n: Column) -> Column:
 
 
 def _posted(lines: DataFrame) -> DataFrame:
-    """name, check, place of all lines; those of SHINGLE words or more with their ``first`` tokens, in the order of hashes, and ``need``.
+    """name, check, place, chars of all lines; those of SHINGLE words or more with their ``first`` tokens, in the order of hashes, and ``need``.
 
     A similar line has all but ``n - ceil(t n)`` tokens too, so so many more than those hold
     TOGETHER of the common ones, or all there must be.
     """
     n, need = F.size("tokens"), _needed(F.size("tokens"))
     first = F.slice("tokens", 1, n - F.ceil(n * LINK / OF).cast("int") + need)
-    every = _with_tokens(lines)
+    every = _with_tokens(lines.withColumn("chars", F.length("line").cast("long")))
     return every.select(
-        "name", "check", "place", F.when(F.col("long"), first).alias("first"), F.when(F.col("long"), need).cast("byte").alias("need")
+        "name", "check", "place", "chars", F.when(F.col("long"), first).alias("first"), F.when(F.col("long"), need).cast("byte").alias("need")
     )
 
 
@@ -137,10 +147,13 @@ def _candidates(posted: DataFrame, copied: DataFrame) -> DataFrame:
     each = each.withColumn("token", F.col("token").bitwiseAND(F.lit((1 << _TOKEN_BITS) - 1)))
     found = None
     for turn in range(_PASSES):
-        part = each.where(F.col("token") % _PASSES == turn)
-        shared = part.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
+        part = each.where(F.col("token") % _PASSES == turn).repartition("token")
+        # the name is read here too, so that both sides are one and the same shuffle
+        shared = part.groupBy("token").agg(F.count("*").alias("n"), F.min("name").alias("any"))
+        shared = shared.where("n > 1 AND any IS NOT NULL").select("token")
         # the tokens that are shared are few and spread evenly: they are looked up, and nothing is sorted
-        counted = part.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("name").agg(F.count("*").alias("n"))
+        # (a semi join would be moved below the shuffle)
+        counted = part.join(shared.hint("shuffle_hash"), "token").groupBy("name").agg(F.count("*").alias("n"))
         counted = written(counted, "counted")
         found = counted if found is None else found.unionByName(counted)
     total = found.groupBy("name").agg(F.sum("n").alias("n"))
@@ -148,16 +161,31 @@ def _candidates(posted: DataFrame, copied: DataFrame) -> DataFrame:
     return total.where(F.col("n") > F.col("name").bitwiseAND(spare)).select(F.col("name").bitwiseAND(F.lit(-(1 << _SPARE))).alias("name")).distinct()
 
 
-def _ranked(lines: DataFrame) -> DataFrame:
-    """(token, line, n, position, place) for the first tokens of each line, rarest first, that another line has too."""
-    every = lines.select("line", F.explode("tokens").alias("token"))
-    often = written(every.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "often")
-    shared = every.join(often, "token").join(lines.select("line", "place", F.size("tokens").alias("n")), "line")
-    by_line = Window.partitionBy("line")
-    # tokens that no other line has come first; they take the places before all others
-    rank = F.row_number().over(by_line.orderBy("df", "token")) - 1 + F.col("n") - F.count("*").over(by_line)
-    ranked = shared.withColumn("position", rank)
-    return ranked.where(F.col("position") < _first(F.col("n"))).select("token", "line", "n", "position", "place")
+def _ranked(lines: DataFrame, usual: int) -> DataFrame:
+    """(token, line, n, position, place) for the first tokens of each line, in one order for all lines.
+
+    Tokens come in the order of the hashes, but those that more than ``usual`` lines would list so come last, rarest first.
+    Only the lines that list one of these are ordered anew.
+    """
+    n = F.size("tokens")
+    first = F.slice("tokens", 1, _first(n))
+    listed = written(lines.select("line", n.alias("n"), "place", F.posexplode(first).alias("position", "token")), "listed")
+    def many(tokens: DataFrame, purpose: str) -> DataFrame:
+        counts = tokens.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") > usual)
+        return counted_side(written(counts, purpose), _FEW_ROWS)
+
+    def having(tokens: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
+        some = counted_side(written(listed.join(tokens, "token", "left_semi").select("line").distinct(), purpose), _FEW_ROWS)
+        return some, lines.join(some, "line", "left_semi").select("line", n.alias("n"), "place", F.explode("tokens").alias("token"))
+
+    # the other tokens of these lines are counted too, else those that come next may be just as frequent
+    often = many(having(many(listed, "listed_often"), "open")[1], "often")
+    again, every = having(often, "again")
+    known = every.join(often, "token", "left")
+    rank = F.row_number().over(Window.partitionBy("line").orderBy(F.coalesce("df", F.lit(0)), "token")) - 1
+    ordered = known.withColumn("position", rank).where(F.col("position") < _first(F.col("n")))
+    columns = ["token", "line", "n", "position", "place"]
+    return listed.join(again, "line", "left_anti").select(columns).unionByName(ordered.select(columns))
 
 
 def _others(frame: DataFrame) -> DataFrame:
@@ -172,19 +200,19 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.where(_similar(F.col("tokens"), F.col("o_tokens"))).select("line").distinct()
 
 
-def _later(lines: DataFrame, short: int) -> DataFrame:
+def _later(lines: DataFrame, short: int, usual: int) -> DataFrame:
     """(line) of those that are similar to an earlier one; ``lines``: line, place, tokens."""
-    ranked = written(_ranked(lines), "ranked")
+    ranked = written(_ranked(lines, usual), "ranked")
     allowed = (F.col("place") > F.col("o_place")) & _enough("n", "o_n") & _positions_allow()
     earliest = ranked.groupBy("token").agg(
         F.min(F.struct("place", "line", "n", "position")).alias("e"), F.count("*").alias("members")
     )
-    heads = earliest.where("members > 1").select("token", *[F.col(f"e.{c}").alias(f"o_{c}") for c in ("line", "n", "position", "place")])
-    stars = written(ranked.join(heads, "token").where(allowed).select("line", "o_line").distinct(), "stars")
+    heads = earliest.where("members > 1").select("token", "members", *[F.col(f"e.{c}").alias(f"o_{c}") for c in ("line", "n", "position", "place")])
+    shared = written(ranked.join(heads, "token"), "shared")
+    stars = written(shared.where(allowed).select("line", "o_line").distinct(), "stars")
     gone = written(_verified(stars, lines), "gone")
     # lists of two are done; the lines that are gone ask no more, but still answer
-    rest = earliest.where("members > 2").select("token", "members")
-    answer = ranked.join(rest, "token")
+    answer = shared.where("members > 2").select("token", "line", "n", "position", "place", "members")
     ask = answer.join(gone, "line", "left_anti")
     few = ask.where(F.col("members") <= short).drop("members")
     pairs = few.join(_others(answer.drop("members")), "token").where(allowed).select("line", "o_line").distinct()
@@ -193,8 +221,8 @@ def _later(lines: DataFrame, short: int) -> DataFrame:
     many = written(ask.where(F.col("members") > short).drop("members"), "open")
     if many.isEmpty():
         return found
-    # in long lists the sets come along, and only links leave the join
-    listed = ranked.groupBy("line").agg(F.collect_list(F.struct("position", "token")).alias("l"))
+    # in long lists the sets come along, and only links leave the join; lists of one line are no list to meet in
+    listed = shared.groupBy("line").agg(F.collect_list(F.struct("position", "token")).alias("l"))
     sets = lines.select("line", "tokens").join(listed.select("line", F.transform(F.array_sort("l"), lambda x: x["token"]).alias("listed")), "line")
     long = answer.where(F.col("members") > short).drop("members").join(sets, "line")
     here = F.element_at(F.array_intersect("listed", "o_listed"), 1) == F.col("token")
@@ -203,20 +231,21 @@ def _later(lines: DataFrame, short: int) -> DataFrame:
     return found.unionByName(met.distinct())
 
 
-def removed_lines(docs: DataFrame, short: int = SHORT) -> DataFrame:
-    """(doc_key, removed): the numbers, from 0, of the lines that go, for documents that lose any; a written table.
+def removed_lines(docs: DataFrame, short: int = SHORT, usual: int = USUAL) -> DataFrame:
+    """(doc_key, removed, lost): the numbers, from 0, of the lines that go, and their characters, for documents that lose any;
+    a written table.
 
     doc_key is ``xxhash64(doc_id, text)``, with '' for a NULL text.  Order is by doc_id, doc_key
     and line number; NULL ids come last.  Rows that are equal in doc_id and text are one document.
     """
     with scratch(docs.sparkSession) as keep:
-        return keep(_gone(docs, short), "removed")
+        return keep(_gone(docs, short, usual), "removed")
 
 
 def _asked(lines: DataFrame, keep) -> tuple[DataFrame, DataFrame]:
-    """(name, check, place) of the lines that stand several times or are candidates, and the candidates' names."""
+    """(name, check, place, chars) of the lines that stand several times or are candidates, and the candidates' names."""
     posted = written(_posted(lines), "posted")
-    places = posted.select("name", "check", "place")
+    places = posted.select("name", "check", "place", "chars")
     copied = written(places.groupBy("name", "check").agg(F.count("*").alias("n")).where("n > 1").select("name", "check"), "copied")
     wanted = counted_side(keep(_candidates(posted, counted_side(copied)), "wanted"))
     # a line that stands once and is no candidate stays
@@ -226,25 +255,32 @@ def _asked(lines: DataFrame, keep) -> tuple[DataFrame, DataFrame]:
     return keep(asked, "asked"), wanted
 
 
-def _gone(docs: DataFrame, short: int) -> DataFrame:
+def _gone(docs: DataFrame, short: int, usual: int) -> DataFrame:
     lines = _lines(docs)
     # the first tokens of all lines are by far the largest table, and go before the sets are made
     with scratch(docs.sparkSession) as keep:
         asked, wanted = _asked(lines, keep)
-    least = asked.groupBy("name", "check").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
+    least = written(asked.groupBy("name", "check").agg(F.min("place").alias("first"), F.count("*").alias("copies")), "least")
     # the text of a line that is wanted, from its first place
     where = least.join(wanted, "name", "left_semi").select("name", "check", "first")
-    some = lines.where("long").join(wanted, "name", "left_semi").join(where, ["name", "check"]).where(F.col("place") == F.col("first"))
+    # a wanted line has SHINGLE words or more, and so its name is made of the line as it is
+    name, check = _name(F.col("line"))
+    named = _parts(docs).withColumn("name", name).join(wanted, "name", "left_semi").select("name", check, _place().alias("place"), "line")
+    some = named.join(where, ["name", "check"]).where(F.col("place") == F.col("first"))
     named = some.select(F.xxhash64("name", "check").alias("line_id"), "name", "check", "place", "line")
     full = _with_tokens(named.dropDuplicates(["line_id"])).withColumnRenamed("line_id", "line")
     full = written(full, "lines")
-    later = written(_later(full.select("line", "place", "tokens"), short).distinct(), "later")
+    later = written(_later(full.select("line", "place", "tokens"), short, usual).distinct(), "later")
     fuzzy = full.join(later, "line", "left_semi").select("name", "check", F.lit(True).alias("goes"))
     # all places of lines that are similar to an earlier one, and all but the first of the others
     known = least.join(fuzzy, ["name", "check"], "left").where("copies > 1 or goes")
     marked = asked.join(counted_side(written(known.drop("copies"), "known")), ["name", "check"])
     gone = marked.where(F.coalesce("goes", F.col("place") != F.col("first")))
-    return gone.groupBy(F.col("place.doc_key").alias("doc_key")).agg(F.array_sort(F.collect_set("place.line_no")).alias("removed"))
+    # rows that are equal in doc_id and text are one document
+    each = F.collect_set(F.struct("place.line_no", "chars")).alias("each")
+    found = gone.groupBy(F.col("place.doc_key").alias("doc_key")).agg(each).withColumn("each", F.array_sort("each"))
+    lost = F.aggregate("each", F.lit(0).cast("long"), lambda n, x: n + x["chars"])
+    return found.select("doc_key", F.col("each.line_no").alias("removed"), lost.alias("lost"))
 
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:

@@ -132,20 +132,19 @@ FROM documents d LEFT JOIN lost USING (doc_id)
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: lines, lines removed, and characters that are kept, line ends of removed lines included."""
     docs = table(spark, folder, "documents")
-    parts = F.split(F.coalesce("text", F.lit("")), "\n")
+    text = F.coalesce("text", F.lit(""))
     sizes = docs.select(
         "doc_id",
-        F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("doc_key"),
-        F.transform(parts, lambda line: F.length(line)).alias("sizes"),
-        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"),
+        F.xxhash64("doc_id", text).alias("doc_key"),
+        (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        F.length(text).cast("long").alias("chars"),
     )
     found = sizes.join(lines.removed_lines(docs), "doc_key", "left")
-    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda n, i: n + F.get("sizes", i))
     return found.select(
         "doc_id",
-        F.size("sizes").cast("long").alias("n_lines"),
+        "n_lines",
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
-        (F.col("chars") - F.coalesce(lost, F.lit(0))).alias("kept_chars"),
+        (F.col("chars") - F.coalesce("lost", F.lit(0))).alias("kept_chars"),
     )
 
 
